@@ -1,0 +1,94 @@
+"""Query catalogue: Spark callables and their DuckDB oracle SQL.
+
+Every query takes ``(spark, sf_dir)``, reads whole tables through the
+library's own operators and returns a DataFrame whose float columns are
+rounded (6 digits; 3 for fits run to convergence) so that the oracle can
+compare values exactly. The SQL side uses the same column names.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import loss_grad as lg
+from ..operators.penalties import L2Penalty
+from ..sources import fixtures as fx
+from . import oracle as o
+from . import params as P
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+
+    return deco
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (names unchanged)."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+# --- C1-C4: loss / gradient aggregates ------------------------------------------------
+
+_LOSS_CASES = {
+    "logistic": ("BIN", [list(P.W_BIN)]),
+    "hinge": ("BIN", [list(P.W_BIN)]),
+    "softmax": ("MULTI", P.w_multi()),
+    "squared": ("REG", [list(P.W_REG)]),
+}
+
+
+def _loss_grad_query(loss: str, reduce: str):
+    fixture, W = _LOSS_CASES[loss]
+
+    def run(spark, sf_dir):
+        pts = fx.FIXTURES[fixture](spark, sf_dir)
+        return rounded(lg.loss_grad_long(pts, loss, W, reduce=reduce))
+
+    run.__doc__ = f"{'mean' if reduce == 'mean' else 'sum'} {loss} loss and gradient over {fixture} (C2/C3)"
+    return run
+
+
+for _loss, (_fix, _W) in _LOSS_CASES.items():
+    for _red in ("mean", "sum"):
+        register(f"{_red}_loss_grad_{_loss}", o.loss_grad_long(_fix, _loss, _W, reduce=_red))(
+            _loss_grad_query(_loss, _red)
+        )
+
+
+@register("point_count", f"SELECT count(*) AS n FROM ({fx.duck_sql('BIN')})")
+def point_count(spark, sf_dir):
+    """Number of labelled points in BIN."""
+    return lg.point_count(fx.bin_points(spark, sf_dir))
+
+
+def _reg_objective_sql():
+    pen = L2Penalty()
+    W = [list(P.W_BIN)]
+    return o.loss_grad_long(
+        "BIN", "logistic", W, "mean", P.LAMBDA_L2 * pen.score(W[0]), [[P.LAMBDA_L2 * w for w in W[0]]]
+    )
+
+
+@register("regularized_objective", _reg_objective_sql())
+def regularized_objective(spark, sf_dir):
+    """C4: mean logistic loss + λ·½‖w‖² and its gradient over BIN."""
+    pts = fx.bin_points(spark, sf_dir)
+    return rounded(lg.loss_grad_long(pts, "logistic", [list(P.W_BIN)], "mean", L2Penalty(), P.LAMBDA_L2))

@@ -1,0 +1,6 @@
+"""Streaming: deliberately empty.
+
+The modelled library has no stream sources, sinks or stateful operators; all
+of its work is batch fitting and scoring over a labelled-point table, so
+there is nothing here to re-express with Structured Streaming.
+"""
