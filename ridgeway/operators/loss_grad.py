@@ -66,6 +66,36 @@ def loss_grad_row(points: PointSet, loss: str | Loss, W, with_grad: bool = True)
     return pw.agg(*aggs)
 
 
+def loss_grad_row_many(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
+    """One-row aggregate for M models at once: ``n``, ``loss_{m}``, ``g_{m}_{c}_{j}`` (Column form)."""
+    loss = get_loss(loss)
+    C = _margin_count(points, loss)
+    feats = list(points.features)
+    Ws = np.asarray(Ws, dtype=float).reshape(-1, C, points.d)
+    y = F.col(points.label)
+    sel = []
+    for m, Wm in enumerate(Ws):
+        sel += [linear_margin(Wm[c], feats).alias(f"_z{m}_{c}") for c in range(C)]
+    with_z = points.df.select(*feats, y.alias("_y"), *sel)
+    pw_cols = []
+    for m in range(len(Ws)):
+        lcol, dcols = loss.pointwise([F.col(f"_z{m}_{c}") for c in range(C)], F.col("_y"))
+        pw_cols.append(lcol.alias(f"_l{m}"))
+        if with_grad:
+            pw_cols += [d.alias(f"_d{m}_{c}") for c, d in enumerate(dcols)]
+    pw = with_z.select(*feats, *pw_cols)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for m in range(len(Ws)):
+        aggs.append(F.sum(f"_l{m}").alias(f"loss_{m}"))
+        if with_grad:
+            aggs += [
+                F.sum(F.col(f"_d{m}_{c}") * F.col(x)).alias(f"g_{m}_{c}_{j + 1}")
+                for c in range(C)
+                for j, x in enumerate(feats)
+            ]
+    return pw.agg(*aggs)
+
+
 def loss_grad_long(
     points: PointSet, loss: str | Loss, W, reduce: str = "mean", penalty=None, lam: float = 0.0
 ) -> DataFrame:
@@ -285,7 +315,21 @@ class SparkEvaluator(Evaluator):
 
     def evaluate_many(self, Ws, with_grad=True):
         Ws = np.asarray(Ws, dtype=float).reshape(-1, self.n_margins, self.d)
-        self.jobs += -(-len(Ws) // MAX_MODELS_PER_JOB)
+        M, C, d = Ws.shape
+        width = M * (1 + (C * d if with_grad else 0))
+        if self.strategy == "column" and width <= COLUMN_FORM_MAX_OUTPUTS:
+            self.jobs += 1
+            r = loss_grad_row_many(self.points, self.loss, Ws, with_grad).first()
+            n = float(r["n"])
+            losses = np.array([r[f"loss_{m}"] for m in range(M)], dtype=float)
+            grads = np.zeros((M, C, d))
+            if with_grad:
+                for m in range(M):
+                    for c in range(C):
+                        for j in range(d):
+                            grads[m, c, j] = r[f"g_{m}_{c}_{j + 1}"]
+            return n, losses, grads
+        self.jobs += -(-M // MAX_MODELS_PER_JOB)
         return collect_models(self.points, self.loss, Ws, with_grad)
 
     def close(self):

@@ -87,3 +87,184 @@ def loss_grad_long(
         f"agg AS (SELECT count(*) AS n, sum(l) AS loss, {gsums} FROM pw) "
         + " UNION ALL ".join(parts)
     )
+
+
+# --- fixed-K fits as recursive CTEs -------------------------------------------------
+
+
+class FitSQL:
+    """A fixed-K first-order fit written as one DuckDB recursive CTE.
+
+    ``data='rows'`` aggregates the loss over the fixture rows at every step;
+    ``data='moments'`` computes the second moments once and iterates on them
+    (squared loss). ``step`` is 'prox_l2', 'prox_l1', 'prox_group',
+    'project_box' or 'none'; ``accelerated`` adds the momentum state.
+    The CTE ``it`` holds (k, w_c_j..., fprev, dnorm): row k+1 carries the
+    objective at the point evaluated in step k and ‖w_{k+1} − w_k‖.
+    """
+
+    def __init__(self, fixture, loss, C, d, K, w0, step, lam=0.0, lr=1.0, decay=False, groups=None,
+                 threshold="exact", data="rows", accelerated=False, momentum="published", lambdas=None,
+                 tol=None):
+        self.fixture, self.loss, self.C, self.d, self.K = fixture, loss, C, d, K
+        self.w0 = [[float(v) for v in row] for row in w0]
+        self.step, self.lam, self.lr, self.decay = step, lam, lr, decay
+        self.groups, self.threshold, self.data = groups or [], threshold, data
+        self.acc, self.momentum = accelerated, momentum
+        self.lambdas = lambdas  # several λ chains at once (column 'lam')
+        self.tol = tol  # stop a chain once ‖Δw‖ < tol, as the trainers do
+        self.W = [[f"w_{c}_{j + 1}" for j in range(d)] for c in range(C)]
+        self.flat = [w for row in self.W for w in row]
+        self.feats = feats_of(d)
+
+    # pieces -------------------------------------------------------------
+    def _lam(self):
+        return "lam" if self.lambdas else D(self.lam)
+
+    def _eta(self, k="k"):
+        return f"({D(self.lr)} / sqrt({k} + 1))" if self.decay else D(self.lr)
+
+    def _score(self, cols):
+        if self.step == "prox_l2":
+            return f"(({' + '.join(f'({c} * {c})' for c in cols)}) / 2.0)"
+        if self.step == "prox_l1":
+            return f"({' + '.join(f'abs({c})' for c in cols)})"
+        if self.step == "prox_group":
+            parts = [f"sqrt({' + '.join(f'({cols[j - 1]} * {cols[j - 1]})' for j in g)})" for g in self.groups]
+            return f"({' + '.join(parts)})"
+        return D(0)
+
+    def _moments_cte(self):
+        cols = ["label"] + self.feats
+        sums = [f"sum({cols[i]} * {cols[j]}) AS m_{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols))]
+        return f"mm AS (SELECT count(*) AS n, {', '.join(sums)} FROM p)"
+
+    def _m(self, i, j):
+        a, b = (i, j) if i <= j else (j, i)
+        return f"m_{a}_{b}"
+
+    def _agg_select(self, point_cols, where):
+        """SELECT of n, ls (loss sum) and g_c_j (gradient sums) at the point columns."""
+        if self.data == "moments":
+            w = point_cols
+            xtxw = [
+                "(" + " + ".join(f"({self._m(j + 1, i + 1)} * {w[i]})" for i in range(self.d)) + ")"
+                for j in range(self.d)
+            ]
+            wxtxw = " + ".join(f"({w[j]} * {xtxw[j]})" for j in range(self.d))
+            wxty = " + ".join(f"({w[j]} * {self._m(j + 1, 0)})" for j in range(self.d))
+            ls = f"({D(0.5)} * ((({wxtxw}) - (2.0 * ({wxty}))) + m_0_0))"
+            grads = ", ".join(f"({xtxw[j]} - {self._m(j + 1, 0)}) AS g_0_{j + 1}" for j in range(self.d))
+            return f"SELECT it.*, n, {ls} AS ls, {grads} FROM it, mm WHERE {where}"
+        rows = [point_cols[c * self.d:(c + 1) * self.d] for c in range(self.C)]
+        zs = [margin_cols(rows[c], self.feats) for c in range(self.C)]
+        l, dl = pointwise(self.loss, zs, "label")
+        grads = ", ".join(f"sum({dl[c]} * x{j + 1}) AS g_{c}_{j + 1}" for c in range(self.C) for j in range(self.d))
+        keys = ", ".join(f"it.{c}" for c in self._state_cols())
+        return f"SELECT {keys}, count(*) AS n, sum({l}) AS ls, {grads} FROM it, p WHERE {where} GROUP BY {keys}"
+
+    def _state_cols(self):
+        cols = ["k"] + (["lam"] if self.lambdas else []) + self.flat
+        if self.acc:
+            cols += ["co"] + [f"t_{w}" for w in self.flat]
+        return cols + ["fprev", "dnorm"]
+
+    def _new_weights(self, v):
+        lam, t = self._lam(), f"({self._eta()} * {self._lam()})"
+        if self.step == "prox_l2":
+            return [f"({x} / (1.0 + {t}))" for x in v]
+        if self.step == "prox_l1":
+            return [f"(CASE WHEN abs({x}) < {t} THEN {D(0)} ELSE ({x} - (sign({x}) * {t})) END)" for x in v]
+        if self.step == "project_box":
+            return [f"greatest({D(0)}, least({D(1)}, {x}))" for x in v]
+        if self.step == "prox_group":
+            out = list(v)
+            for gi, g in enumerate(self.groups):
+                nrm = f"gn{gi}"
+                lim = f"({t} * sqrt({len(g)}))" if self.threshold == "sqrt_size" else t
+                for j in g:
+                    x = v[j - 1]
+                    out[j - 1] = f"(CASE WHEN {nrm} <= {lim} THEN {D(0)} ELSE ({x} * (({nrm} - {t}) / {nrm})) END)"
+            return out
+        return list(v)
+
+    def cte(self) -> str:
+        """``WITH RECURSIVE p AS (...), [mm AS (...),] it AS (...)``."""
+        init = ["0 AS k"] + ([] if not self.lambdas else ["lam"])
+        init += [f"{D(self.w0[c][j])} AS {self.W[c][j]}" for c in range(self.C) for j in range(self.d)]
+        if self.acc:
+            init += [f"{D(1)} AS co"] + [f"{D(self.w0[c][j])} AS t_{self.W[c][j]}" for c in range(self.C) for j in range(self.d)]
+        init += ["CAST(NULL AS DOUBLE) AS fprev", "CAST(NULL AS DOUBLE) AS dnorm"]
+        base = f"SELECT {', '.join(init)}"
+        if self.lambdas:
+            base += " FROM (VALUES " + ", ".join(f"({D(l)})" for l in self.lambdas) + ") AS L(lam)"
+        point = [f"t_{w}" for w in self.flat] if self.acc else self.flat
+        cond = f"k < {self.K}"
+        if self.tol is not None:
+            cond += f" AND (dnorm IS NULL OR dnorm >= {D(self.tol)})"
+        agg = self._agg_select(point, cond)
+        v = [f"({pc} - ({self._eta()} * (g_{c}_{j + 1} / n)))"
+             for (pc, (c, j)) in zip(point, [(c, j) for c in range(self.C) for j in range(self.d)])]
+        vnames = [f"v_{w}" for w in self.flat]
+        lvl1 = (f"SELECT *, {', '.join(f'{e} AS {nm}' for e, nm in zip(v, vnames))}, "
+                f"((ls / n) + ({self._lam()} * {self._score(point)})) AS fnew FROM ({agg}) a")
+        norms = ", ".join(
+            f"sqrt({' + '.join(f'({vnames[j - 1]} * {vnames[j - 1]})' for j in g)}) AS gn{gi}"
+            for gi, g in enumerate(self.groups)
+        )
+        lvl2 = f"SELECT *{', ' + norms if norms else ''} FROM ({lvl1}) b"
+        neww = self._new_weights(vnames)
+        nw = [f"nw_{w}" for w in self.flat]
+        lvl3 = f"SELECT *, {', '.join(f'{e} AS {n}' for e, n in zip(neww, nw))} FROM ({lvl2}) c2"
+        out = ["k + 1"] + (["lam"] if self.lambdas else []) + nw
+        if self.acc:
+            base_c = "1.0" if self.momentum == "published" else "0.0"
+            nco = f"(({base_c} + sqrt(1.0 + ((4.0 * co) * co))) / 2.0)"
+            out += [nco]
+            out += [f"({n} + (({n} - {w}) * ((co - 1.0) / {nco})))" for n, w in zip(nw, self.flat)]
+        out += ["fnew", f"sqrt({' + '.join(f'(({n} - {w}) * ({n} - {w}))' for n, w in zip(nw, self.flat))})"]
+        rec = f"SELECT {', '.join(out)} FROM ({lvl3}) c3"
+        cols = ", ".join(self._state_cols())
+        mm = f", {self._moments_cte()}" if self.data == "moments" else ""
+        return f"WITH RECURSIVE p AS ({duck_sql(self.fixture)}){mm}, it({cols}) AS ({base} UNION ALL {rec})"
+
+    def last(self) -> str:
+        """Predicate selecting the last iterate of each chain."""
+        if self.tol is None:
+            return f"k = {self.K}"
+        if self.lambdas:
+            return "k = (SELECT max(i2.k) FROM it i2 WHERE i2.lam = it.lam)"
+        return "k = (SELECT max(i2.k) FROM it i2)"
+
+    def final_cte(self) -> str:
+        """Adds ``fin``: objective at the last iterate (per λ chain)."""
+        agg = self._agg_select(self.flat, self.last())
+        return (f"{self.cte()}, fin AS (SELECT {'lam, ' if self.lambdas else ''}"
+                f"((ls / n) + ({self._lam()} * {self._score(self.flat)})) AS f FROM ({agg}) a)")
+
+    def model_sql(self, digits=6, model_col=None) -> str:
+        parts = []
+        mid = model_col or "0"
+        for c in range(self.C):
+            for j in range(self.d):
+                parts.append(
+                    f"SELECT {mid} AS model_id, {c} AS class_id, {j + 1} AS feature_id, "
+                    f"{R(self.W[c][j], digits)} AS weight FROM it WHERE {self.last()}"
+                )
+        return self.cte() + " " + " UNION ALL ".join(parts)
+
+    def trace_sql(self, run_id: str) -> str:
+        eta = "NULL" if False else (f"({D(self.lr)} / sqrt(k))" if self.decay else D(self.lr))
+        steps = (f"SELECT '{run_id}' AS run_id, CAST(k - 1 AS INTEGER) AS iter, {R('fprev')} AS loss, "
+                 f"{R(eta)} AS eta, {R('dnorm')} AS norm FROM it WHERE k >= 1")
+        last = (f"SELECT '{run_id}' AS run_id, CAST((SELECT max(k) FROM it) AS INTEGER) AS iter, {R('f')} AS loss, "
+                f"CAST(NULL AS DOUBLE) AS eta, CAST(NULL AS DOUBLE) AS norm FROM fin")
+        return f"{self.final_cte()} {steps} UNION ALL {last}"
+
+
+def margin_cols(wcols: Sequence[str], feats: Sequence[str]) -> str:
+    acc = None
+    for w, x in zip(wcols, feats):
+        term = f"({w} * {x})"
+        acc = term if acc is None else f"({acc} + {term})"
+    return acc
