@@ -290,3 +290,127 @@ def lipschitz_step(spark, sf_dir):
     m = mo.collect_moments(fx.reg2_points(spark, sf_dir))
     L = mo.lipschitz_constant(m)
     return rounded(spark.createDataFrame([(L, 1.0 / L)], "lipschitz double, step double"))
+
+
+# --- SVM dual: C6 (re-aimed), C7, E6, E7, F8-F10 ------------------------------------------
+
+from ..operators import svm as sv  # noqa: E402
+
+SVM_LAMBDA = 1.0
+SVM_LR = 0.05
+SVM_STEPS = 20
+SVM_A = 0.5  # evaluation point of C6/C7
+
+
+def _svm_fit(spark, sf_dir):
+    pts = fx.svm_points(spark, sf_dir)
+    return pts, sv.fit_svm_dual(pts, SVM_LAMBDA, lr=SVM_LR, lr_decay=False, n_iter=SVM_STEPS)
+
+
+def _svm_sql_parts():
+    feats = o.feats_of(4)
+    two_l = o.D(2.0 * SVM_LAMBDA)
+    vm = o.margin_cols([f"v{j + 1}" for j in range(4)], feats)
+    vsum = ", ".join(f"sum((a * label) * x{j + 1}) OVER () AS v{j + 1}" for j in range(4))
+    upd = f"greatest({o.D(0)}, least({o.D(1)}, (a - ({o.D(SVM_LR)} * (((label * {vm}) / {two_l}) - 1.0)))))"
+    cte = (
+        f"WITH RECURSIVE p AS ({fx.duck_sql('SVM')}), st(k, id, x1, x2, x3, x4, label, a) AS ("
+        f"SELECT 0, id, x1, x2, x3, x4, label, {o.D(0)} FROM p UNION ALL "
+        f"SELECT k + 1, id, x1, x2, x3, x4, label, {upd} FROM (SELECT *, {vsum} FROM st WHERE k < {SVM_STEPS}) s), "
+        f"hist AS (SELECT k, {', '.join(f'sum((a * label) * x{j + 1}) AS v{j + 1}' for j in range(4))}, "
+        f"sum(a) AS sa FROM st GROUP BY k), "
+        f"wh AS (SELECT k, {', '.join(f'v{j + 1} / {two_l} AS w{j + 1}' for j in range(4))}, "
+        f"((-({' + '.join(f'(v{j + 1} * v{j + 1})' for j in range(4))})) / {o.D(4.0 * SVM_LAMBDA)}) + sa AS dual "
+        f"FROM hist), "
+        f"pr AS (SELECT wh.k, wh.dual, sum(greatest({o.D(0)}, {o.D(1)} - (label * "
+        f"{o.margin_cols([f'w{j + 1}' for j in range(4)], feats)}))) + ({o.D(SVM_LAMBDA)} * "
+        f"({' + '.join(f'(w{j + 1} * w{j + 1})' for j in range(4))})) AS primal FROM wh, p "
+        f"GROUP BY wh.k, wh.dual, wh.w1, wh.w2, wh.w3, wh.w4)"
+    )
+    return cte
+
+
+_SVM_CTE = _svm_sql_parts()
+
+
+@register("fit_svm_dual", f"{_SVM_CTE} SELECT id, {o.R('a')} AS a FROM st WHERE k = {SVM_STEPS}")
+def fit_svm_dual(spark, sf_dir):
+    """Dual SVM on SVM (λ=1, η=0.05), 20 projected-gradient steps; multipliers per row."""
+    _, fit = _svm_fit(spark, sf_dir)
+    return rounded(fit.multipliers)
+
+
+@register(
+    "dual_to_weights",
+    f"{_SVM_CTE} " + " UNION ALL ".join(
+        f"SELECT 0 AS model_id, 0 AS class_id, {j + 1} AS feature_id, "
+        f"{o.R(f'w{j + 1}')} AS weight FROM wh WHERE k = {SVM_STEPS}" for j in range(4)
+    ),
+)
+def dual_to_weights(spark, sf_dir):
+    """Primal weights (1/2λ)·Σ a y x from the fitted multipliers joined to the points by id."""
+    pts, fit = _svm_fit(spark, sf_dir)
+    return rounded(sv.dual_to_weights(fit.multipliers, pts, SVM_LAMBDA))
+
+
+@register("primal_history", f"{_SVM_CTE} SELECT CAST(k AS INTEGER) AS iter, {o.R('primal')} AS primal FROM pr")
+def primal_history(spark, sf_dir):
+    """F8: Σ hinge + λ‖w‖² at every iterate of the dual fit (all iterates in one job)."""
+    pts, fit = _svm_fit(spark, sf_dir)
+    hist = sv.primal_history(pts, fit)
+    return rounded(spark.createDataFrame(list(enumerate(hist)), "iter int, primal double"))
+
+
+@register(
+    "duality_gap",
+    f"{_SVM_CTE} SELECT CAST(k AS INTEGER) AS iter, {o.R('primal')} AS primal, {o.R('dual')} AS dual, "
+    f"{o.R('primal - dual')} AS gap FROM pr",
+)
+def duality_gap(spark, sf_dir):
+    """primal and dual objective per iterate and their gap."""
+    pts, fit = _svm_fit(spark, sf_dir)
+    hist = sv.primal_history(pts, fit)
+    rows = [(t, p_, d_, p_ - d_) for t, (p_, d_) in enumerate(zip(hist, fit.dual_hist))]
+    return rounded(spark.createDataFrame(rows, "iter int, primal double, dual double, gap double"))
+
+
+@register(
+    "classify_svm",
+    f"{_SVM_CTE} SELECT p.id, {o.R('m')} AS margin, CASE WHEN m >= 0 THEN {o.D(1)} ELSE {o.D(-1)} END AS prediction "
+    f"FROM (SELECT p.id, {o.margin_cols([f'w{j + 1}' for j in range(4)], o.feats_of(4))} AS m FROM p, wh "
+    f"WHERE wh.k = {SVM_STEPS}) p",
+)
+def classify_svm(spark, sf_dir):
+    """margin and ±1 class of every SVM row under the fitted weights."""
+    pts, fit = _svm_fit(spark, sf_dir)
+    return rounded(sv.classify(pts, fit.weights))
+
+
+def _svm_at_half(spark, sf_dir):
+    pts = fx.svm_points(spark, sf_dir)
+    return pts.with_df(pts.df.withColumn("a", F.lit(SVM_A)))
+
+
+_HALF_V = (
+    f"WITH p AS ({fx.duck_sql('SVM')}), q AS (SELECT *, {o.D(SVM_A)} AS a FROM p), "
+    f"v AS (SELECT {', '.join(f'sum((a * label) * x{j + 1}) AS v{j + 1}' for j in range(4))}, sum(a) AS sa FROM q) "
+)
+_HALF_M = o.margin_cols([f"v{j + 1}" for j in range(4)], o.feats_of(4))
+
+
+@register(
+    "dual_objective_grad",
+    _HALF_V + f"SELECT q.id, {o.R('q.a')} AS a, {o.R(f'((label * {_HALF_M}) / {o.D(2 * SVM_LAMBDA)}) - 1.0')} AS grad, "
+    f"{o.R(f'((-((v1 * v1) + (v2 * v2) + (v3 * v3) + (v4 * v4))) / {o.D(4 * SVM_LAMBDA)}) + sa')} "
+    f"AS objective FROM q, v",
+)
+def dual_objective_grad(spark, sf_dir):
+    """Dual objective D(a) and ∇(−D) per row at a = 0.5, without the kernel matrix."""
+    return rounded(sv.dual_objective_grad(_svm_at_half(spark, sf_dir), SVM_LAMBDA).withColumnRenamed("vec_id", "id"))
+
+
+@register("signed_kernel_product", _HALF_V + f"SELECT q.id, {o.R(f'label * {_HALF_M}')} AS ka FROM q, v")
+def signed_kernel_product(spark, sf_dir):
+    """C6 (re-aimed): (K a)_i = y_i x_i·Σ a y x for every row at a = 0.5, O(n d), no pair table."""
+    pts = _svm_at_half(spark, sf_dir)
+    return rounded(sv.signed_kernel_product(pts).select(F.col("id"), "ka"))
