@@ -230,6 +230,15 @@ def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tr
     return parts.groupBy("model", "slot").agg(F.sum("value").alias("value"))
 
 
+def models_frame(points: PointSet, loss: str | Loss, Ws) -> DataFrame:
+    """Loss sums for a model stack as a DataFrame ``(model, n, loss_sum)``, no driver round trip."""
+    parts = models_partials(points, loss, Ws, with_grad=False)
+    return parts.groupBy("model").agg(
+        F.max(F.when(F.col("slot") == 0, F.col("value"))).cast("bigint").alias("n"),
+        F.max(F.when(F.col("slot") == 1, F.col("value"))).alias("loss_sum"),
+    )
+
+
 def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True):
     """(n, loss_sums[M], grad_sums[M, C, d]) for a model stack, evaluated in chunks."""
     loss = get_loss(loss)

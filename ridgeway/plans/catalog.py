@@ -34,12 +34,19 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def round_half_up(c, digits: int = 6):
+    """floor(x·10^k + 0.5)/10^k: the same binary operations as the oracle's rounding,
+    so both sides agree on ties (Spark's ``round`` rounds the decimal string)."""
+    scale = float(10**digits)
+    return F.floor(c.cast("double") * scale + 0.5) / scale
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (names unchanged)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(round_half_up(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -414,3 +421,309 @@ def signed_kernel_product(spark, sf_dir):
     """C6 (re-aimed): (K a)_i = y_i x_i·Σ a y x for every row at a = 0.5, O(n d), no pair table."""
     pts = _svm_at_half(spark, sf_dir)
     return rounded(sv.signed_kernel_product(pts).select(F.col("id"), "ka"))
+
+
+# --- D1-D10, C9: penalties and projections over a many-model coefficient table -----------
+
+from ..operators import penalties as pe  # noqa: E402
+from ..sources import coefficients as co  # noqa: E402
+
+COEF_GROUPS = [list(range(8 * g + 1, 8 * g + 9)) for g in range(6)]  # features 49..64 stay free
+L1_T = 0.1
+L2_T = 0.5
+GROUP_T = 0.2
+
+_COEF = (
+    "coef AS (SELECT vec_id AS model_id, 0 AS class_id, CAST(generate_subscripts(embedding, 1) AS INTEGER) "
+    "AS feature_id, CAST(unnest(embedding) AS DOUBLE) AS weight FROM embeddings), "
+    "cg AS (SELECT c.*, CASE WHEN feature_id <= 48 THEN (feature_id - 1) // 8 + 1 END AS group_id FROM coef c)"
+)
+_KEYS = "model_id, class_id, feature_id"
+
+
+def _coef(spark, sf_dir):
+    return co.embedding_coefficients(spark, sf_dir)
+
+
+def _groups(spark):
+    return pe.groups_frame(spark, COEF_GROUPS)
+
+
+@register("l2_score", f"WITH {_COEF} SELECT model_id, {o.R('sum(weight * weight) / 2.0')} AS score FROM coef GROUP BY model_id")
+def l2_score(spark, sf_dir):
+    """½‖w‖² per model, one model per embedding row."""
+    return rounded(pe.l2_score(_coef(spark, sf_dir)))
+
+
+@register("l2_gradient", f"WITH {_COEF} SELECT {_KEYS}, {o.R(f'{o.D(L2_T)} * weight')} AS grad FROM coef")
+def l2_gradient(spark, sf_dir):
+    """λw per coefficient (λ = 0.5)."""
+    return rounded(pe.l2_gradient(_coef(spark, sf_dir), L2_T))
+
+
+@register("l2_prox", f"WITH {_COEF} SELECT {_KEYS}, {o.R(f'weight / {o.D(1.0 + L2_T)}')} AS weight FROM coef")
+def l2_prox(spark, sf_dir):
+    """D3: w/(1 + t) per coefficient (t = 0.5)."""
+    return rounded(pe.l2_prox(_coef(spark, sf_dir), L2_T))
+
+
+@register("l1_score", f"WITH {_COEF} SELECT model_id, {o.R('sum(abs(weight))')} AS score FROM coef GROUP BY model_id")
+def l1_score(spark, sf_dir):
+    """Σ|w| per model."""
+    return rounded(pe.l1_score(_coef(spark, sf_dir)))
+
+
+@register(
+    "l1_prox",
+    f"WITH {_COEF} SELECT {_KEYS}, {o.R(f'CASE WHEN abs(weight) < {o.D(L1_T)} THEN 0.0 ELSE weight - sign(weight) * {o.D(L1_T)} END')} "
+    f"AS weight FROM coef",
+)
+def l1_prox(spark, sf_dir):
+    """Soft threshold at t = 0.1 per coefficient."""
+    return rounded(pe.l1_prox(_coef(spark, sf_dir), L1_T))
+
+
+@register(
+    "group_l1_score",
+    f"WITH {_COEF}, gn AS (SELECT model_id, class_id, group_id, CASE WHEN group_id IS NULL THEN 0.0 "
+    f"ELSE sqrt(sum(weight * weight)) END AS norm FROM cg GROUP BY model_id, class_id, group_id) "
+    f"SELECT model_id, {o.R('sum(norm)')} AS score FROM gn GROUP BY model_id",
+)
+def group_l1_score(spark, sf_dir):
+    """Σ_g ‖w_g‖ per model over six groups of eight features (49..64 free)."""
+    return rounded(pe.group_l1_score(_coef(spark, sf_dir), _groups(spark)))
+
+
+def _group_prox_sql(threshold):
+    lim = f"{o.D(GROUP_T)} * sqrt(sz)" if threshold == "sqrt_size" else o.D(GROUP_T)
+    return (
+        f"WITH {_COEF}, w AS (SELECT *, sqrt(sum(weight * weight) OVER (PARTITION BY model_id, class_id, group_id)) "
+        f"AS nrm, count(*) OVER (PARTITION BY model_id, class_id, group_id) AS sz FROM cg) "
+        f"SELECT {_KEYS}, {o.R(f'CASE WHEN group_id IS NULL THEN weight WHEN nrm <= {lim} THEN 0.0 ELSE weight * ((nrm - {o.D(GROUP_T)}) / nrm) END')} "
+        f"AS weight FROM w"
+    )
+
+
+@register("group_l1_prox", _group_prox_sql("exact"))
+def group_l1_prox(spark, sf_dir):
+    """Group soft threshold at t = 0.2 (exact prox), window norm per (model, group)."""
+    return rounded(pe.group_l1_prox(_coef(spark, sf_dir), _groups(spark), GROUP_T, "exact"))
+
+
+@register("group_l1_prox_sqrt_size", _group_prox_sql("sqrt_size"))
+def group_l1_prox_sqrt_size(spark, sf_dir):
+    """D7 variant: zero a group when ‖w_g‖ ≤ t·√|g| (the modelled library's threshold)."""
+    return rounded(pe.group_l1_prox(_coef(spark, sf_dir), _groups(spark), GROUP_T, "sqrt_size"))
+
+
+@register("box_membership", f"WITH {_COEF} SELECT model_id, bool_and(weight BETWEEN 0.0 AND 1.0) AS inside FROM coef GROUP BY model_id")
+def box_membership(spark, sf_dir):
+    """Whether all weights of a model lie in [0, 1]."""
+    return pe.box_membership(_coef(spark, sf_dir))
+
+
+@register("box_projection", f"WITH {_COEF} SELECT {_KEYS}, {o.R('greatest(0.0, least(1.0, weight))')} AS weight FROM coef")
+def box_projection(spark, sf_dir):
+    """Clip every weight to [0, 1]."""
+    return rounded(pe.box_projection(_coef(spark, sf_dir)))
+
+
+@register(
+    "vector_norms",
+    f"WITH {_COEF} SELECT model_id, {o.R('sqrt(sum(weight * weight))')} AS l2_norm, {o.R('sum(abs(weight))')} AS l1_norm, "
+    f"{o.R('max(abs(weight))')} AS max_abs FROM coef GROUP BY model_id",
+)
+def vector_norms(spark, sf_dir):
+    """L2, L1 and max-magnitude norm of every model."""
+    return rounded(pe.vector_norms(_coef(spark, sf_dir)))
+
+
+@register(
+    "group_norms",
+    f"WITH {_COEF} SELECT model_id, class_id, group_id, {o.R('sqrt(sum(weight * weight))')} AS norm, "
+    f"CAST(count(*) AS INTEGER) AS size FROM cg WHERE group_id IS NOT NULL GROUP BY model_id, class_id, group_id",
+)
+def group_norms(spark, sf_dir):
+    """L2 norm and size of every feature group of every model."""
+    return rounded(pe.group_norms(_coef(spark, sf_dir), _groups(spark)))
+
+
+@register(
+    "stack_weights",
+    f"WITH {_COEF} SELECT model_id, class_id, feature_id, {o.R('weight')} AS weight FROM coef WHERE feature_id <= 4 "
+    f"UNION ALL SELECT model_id, class_id, feature_id + 4, {o.D(0)} FROM coef WHERE feature_id <= 4 "
+    f"UNION ALL SELECT model_id, class_id, 9, {o.D(1)} FROM coef WHERE feature_id = 1",
+)
+def stack_weights(spark, sf_dir):
+    """Per model, [first four weights | four zeros | bias 1] stacked with offset feature ids."""
+    c = _coef(spark, sf_dir)
+    active = c.where(F.col("feature_id") <= 4)
+    zeros = active.select("model_id", "class_id", "feature_id", F.lit(0.0).alias("weight"))
+    bias = c.where(F.col("feature_id") == 1).select("model_id", "class_id", "feature_id", F.lit(1.0).alias("weight"))
+    return rounded(co.stack_weights([active, zeros, bias]))
+
+
+# --- A1-A5, B1-B4, B6-B12: row-level operators ----------------------------------------------
+
+def _rows(name: str, digits: int = 6):
+    def run(spark, sf_dir):
+        pts = fx.FIXTURES[name](spark, sf_dir)
+        return rounded(pts.df.select(*pts.columns()), digits)
+    return run
+
+
+def _rows_sql(name: str, d: int, id_: bool = False) -> str:
+    cols = (["id"] if id_ else []) + [o.R(f"x{j + 1}") + f" AS x{j + 1}" for j in range(d)]
+    return f"SELECT {', '.join(cols)}, label FROM ({fx.duck_sql(name)})"
+
+
+def _rows_sql_dbl(name: str, d: int, id_: bool = False) -> str:
+    cols = (["id"] if id_ else []) + [o.R(f"x{j + 1}") + f" AS x{j + 1}" for j in range(d)]
+    return f"SELECT {', '.join(cols)}, {o.R('label')} AS label FROM ({fx.duck_sql(name)})"
+
+
+register("points_binary", _rows_sql_dbl("BIN", 4))(_rows("BIN"))
+register("points_multiclass", _rows_sql("MULTI", 4))(_rows("MULTI"))
+register("points_regression", _rows_sql_dbl("REG", 4))(_rows("REG"))
+register("label_linear_threshold", _rows_sql_dbl("RBIN", 4))(_rows("RBIN"))
+register("label_argmax_rule", _rows_sql("RMULTI", 2))(_rows("RMULTI"))
+QUERIES["points_binary"].__doc__ = "A1: BIN labelled points from lineitem."
+QUERIES["label_linear_threshold"].__doc__ = "A2: ±1 labels by the noisy linear rule (RBIN)."
+QUERIES["label_argmax_rule"].__doc__ = "A3: class labels by the argmax of three noisy scores (RMULTI)."
+
+A4_W = (2.0, -1.0, 1.5, 0.5, 0.0, 0.0, 0.0, 0.0, 0.3)
+A4_SCALE = 0.5
+
+
+@register(
+    "respond_by_weights",
+    f"SELECT id, {o.R(f'{fx._duck_linear(A4_W, [f"x{j + 1}" for j in range(9)])} + ({o.D(A4_SCALE)} * (((id * 7) % 13) / 13 - 0.5))')} "
+    f"AS label FROM ({fx.duck_sql('GRP')})",
+)
+def respond_by_weights(spark, sf_dir):
+    """A4: y = X̃w + 0.5ε for a group-sparse w on the GRP rows."""
+    from ..sources.points import respond_by_weights as rbw
+    pts = fx.grp_points(spark, sf_dir)
+    eps = ((F.col("id") * 7) % 13) / 13 - 0.5
+    out = rbw(pts, A4_W, eps, A4_SCALE)
+    return rounded(out.df.select("id", "label"))
+
+
+@register(
+    "held_out_split",
+    f"SELECT id, CASE WHEN id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM ({fx.duck_sql('GRP')})",
+)
+def held_out_split(spark, sf_dir):
+    """A5: deterministic test/train tag of every GRP row (fold 0 of 5 is test)."""
+    from ..sources.points import held_out_split as hos
+    return hos(fx.grp_points(spark, sf_dir)).select("id", "split")
+
+
+@register(
+    "append_bias",
+    f"SELECT id, {', '.join(o.R(f'x{j + 1}') + f' AS x{j + 1}' for j in range(4))}, {o.D(1)} AS x5, label "
+    f"FROM ({fx.duck_sql('SVM')})",
+)
+def append_bias(spark, sf_dir):
+    """B1: SVM points with a constant-1 feature appended."""
+    from ..sources.points import append_bias as ab
+    pts = ab(fx.svm_points(spark, sf_dir))
+    return rounded(pts.df.select(F.col("id"), *pts.features, "label"))
+
+
+@register("slice_features", f"SELECT id, {o.R('x1')} AS x1, {o.R('x2')} AS x2, label FROM ({fx.duck_sql('SVM')})")
+def slice_features(spark, sf_dir):
+    """B2: SVM points restricted to their first two features."""
+    from ..sources.points import slice_features as sl
+    pts = sl(fx.svm_points(spark, sf_dir), 2)
+    return rounded(pts.df.select(F.col("id"), *pts.features, "label"))
+
+
+@register(
+    "encode_binary_label",
+    f"SELECT l_returnflag, CASE WHEN l_returnflag = 'R' THEN {o.D(1)} ELSE {o.D(-1)} END AS label FROM lineitem",
+)
+def encode_binary_label(spark, sf_dir):
+    """±1 encoding of the return flag on every lineitem row."""
+    from ..sources.points import encode_binary_label as eb
+    from ..sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_returnflag", eb(F.col("l_returnflag") == "R").alias("label"))
+
+
+_WM = P.w_multi()
+
+
+@register(
+    "argmax_label",
+    "SELECT "
+    + ", ".join(f"{o.R(f'x{j + 1}')} AS x{j + 1}" for j in range(4))
+    + ", label, CAST(list_position(list_value("
+    + ", ".join(o.margin(_WM[c], o.feats_of(4)) for c in range(3))
+    + "), list_max(list_value("
+    + ", ".join(o.margin(_WM[c], o.feats_of(4)) for c in range(3))
+    + "))) - 1 AS INTEGER) AS predicted FROM ("
+    + fx.duck_sql("MULTI")
+    + ")",
+)
+def argmax_label(spark, sf_dir):
+    """Predicted class = first argmax of the three class margins under W_MULTI."""
+    from ..functions.losses import linear_margin
+    from ..sources.points import argmax_label as am
+    pts = fx.multi_points(spark, sf_dir)
+    z = [linear_margin(_WM[c], list(pts.features)) for c in range(3)]
+    return rounded(pts.df.select(*pts.features, "label", am(z).alias("predicted")))
+
+
+def _pointwise_sql(fixture, loss, W, d):
+    feats = o.feats_of(d)
+    C = len(W)
+    z = [o.margin(W[c], feats) for c in range(C)]
+    l, dl = o.pointwise(loss, [f"margin_{c}" for c in range(C)], "label")
+    inner = f"SELECT *, {', '.join(f'{z[c]} AS margin_{c}' for c in range(C))} FROM ({fx.duck_sql(fixture)})"
+    lab = o.R("label") if loss != "softmax" else "label"
+    grads = ", ".join(o.R(f"{dl[c]} * x{j + 1}") + f" AS g_{c}_{j + 1}" for c in range(C) for j in range(d))
+    margins = ", ".join(o.R(f"margin_{c}") + f" AS margin_{c}" for c in range(C))
+    return f"SELECT {lab} AS label, {margins}, {o.R(l)} AS loss, {grads} FROM ({inner})"
+
+
+def _pointwise_query(fixture, loss, W):
+    def run(spark, sf_dir):
+        pts = fx.FIXTURES[fixture](spark, sf_dir)
+        return rounded(lg.pointwise_frame(pts, loss, W))
+    run.__doc__ = f"pointwise {loss} loss, margin and gradient per {fixture} row"
+    return run
+
+
+for _qn, (_fix, _loss, _W, _d) in {
+    "pointwise_logistic": ("BIN", "logistic", [list(P.W_BIN)], 4),
+    "pointwise_hinge": ("BIN", "hinge", [list(P.W_BIN)], 4),
+    "pointwise_softmax": ("MULTI", "softmax", P.w_multi(), 4),
+    "pointwise_squared": ("REG", "squared", [list(P.W_REG)], 4),
+}.items():
+    register(_qn, _pointwise_sql(_fix, _loss, _W, _d))(_pointwise_query(_fix, _loss, _W))
+
+
+@register(
+    "linear_margin",
+    f"SELECT {o.R('label')} AS label, {o.R(o.margin(P.W_BIN, o.feats_of(4)))} AS margin FROM ({fx.duck_sql('BIN')})",
+)
+def linear_margin_query(spark, sf_dir):
+    """x·w per BIN row under W_BIN."""
+    from ..functions.losses import linear_margin
+    pts = fx.bin_points(spark, sf_dir)
+    return rounded(pts.df.select("label", linear_margin(P.W_BIN, list(pts.features)).alias("margin")))
+
+
+@register(
+    "active_margin_filter",
+    f"SELECT {', '.join(o.R(f'x{j + 1}') + f' AS x{j + 1}' for j in range(4))}, {o.R('label')} AS label, "
+    f"{o.R('label * ' + o.margin(P.W_BIN, o.feats_of(4)))} AS ymargin FROM ({fx.duck_sql('BIN')}) "
+    f"WHERE label * {o.margin(P.W_BIN, o.feats_of(4))} < 1",
+)
+def active_margin_filter(spark, sf_dir):
+    """BIN rows whose hinge loss is positive (y·x·w < 1) under W_BIN."""
+    from ..functions.losses import linear_margin
+    pts = fx.bin_points(spark, sf_dir)
+    ym = F.col("label") * linear_margin(P.W_BIN, list(pts.features))
+    return rounded(pts.df.select(*pts.features, "label", ym.alias("ymargin")).where(F.col("ymargin") < 1))

@@ -18,8 +18,9 @@ def D(v: float) -> str:
 
 
 def R(expr: str, digits: int = 6) -> str:
-    """Rounded, with -0.0 repaired to 0.0."""
-    return f"(round({expr}, {digits}) + {D(0)})"
+    """floor(x·10^k + 0.5)/10^k, the exact rounding used on the Spark side."""
+    scale = D(10.0**digits)
+    return f"(floor(CAST({expr} AS DOUBLE) * {scale} + {D(0.5)}) / {scale})"
 
 
 def margin(weights: Sequence[float], feats: Sequence[str]) -> str:
@@ -45,6 +46,9 @@ def pointwise(loss: str, z: Sequence[str], y: str) -> tuple[str, list[str]]:
     if loss == "squared":
         r = f"({z[0]} - {y})"
         return f"({D(0.5)} * {r} * {r})", [r]
+    if loss == "quadratic":  # the user loss of the G1 query: (z - y)², derivative 2 (z - y)
+        r = f"({z[0]} - {y})"
+        return f"({r} * {r})", [f"({D(2)} * {r})"]
     if loss == "softmax":
         mx = f"greatest({', '.join(z)})" if len(z) > 1 else z[0]
         tot = " + ".join(f"exp({zc} - {mx})" for zc in z)

@@ -198,6 +198,8 @@ def duck_sql(name: str) -> str:
     if name == "SVM":
         feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(4))
         return f"SELECT vec_id AS id, {feats}, CASE WHEN label < 5 THEN {_D1} ELSE -{_D1} END AS label FROM embeddings"
+    if name == "GRP_TRAIN":
+        return f"SELECT * FROM ({duck_sql('GRP')}) WHERE id % 5 <> 0"
     if name in ("GRP", "GRP64"):
         width = 8 if name == "GRP" else 64
         feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(width))
