@@ -27,6 +27,9 @@ from ..functions.losses import Loss, get_loss, linear_margin
 from ..sources.points import PointSet
 
 COLUMN_FORM_MAX_OUTPUTS = 96  # C*d above this switches fits to Arrow partials
+# Many models in one Column aggregate compile slowly (new literals every step);
+# beyond a handful of sums the Arrow partials are faster.
+COLUMN_MANY_MAX_OUTPUTS = 16
 
 
 def as_matrix(W, n_margins: int, d: int) -> np.ndarray:
@@ -326,7 +329,7 @@ class SparkEvaluator(Evaluator):
         Ws = np.asarray(Ws, dtype=float).reshape(-1, self.n_margins, self.d)
         M, C, d = Ws.shape
         width = M * (1 + (C * d if with_grad else 0))
-        if self.strategy == "column" and width <= COLUMN_FORM_MAX_OUTPUTS:
+        if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS:
             self.jobs += 1
             r = loss_grad_row_many(self.points, self.loss, Ws, with_grad).first()
             n = float(r["n"])

@@ -109,7 +109,7 @@ class FitSQL:
 
     def __init__(self, fixture, loss, C, d, K, w0, step, lam=0.0, lr=1.0, decay=False, groups=None,
                  threshold="exact", data="rows", accelerated=False, momentum="published", lambdas=None,
-                 tol=None):
+                 tol=1e-6):
         self.fixture, self.loss, self.C, self.d, self.K = fixture, loss, C, d, K
         self.w0 = [[float(v) for v in row] for row in w0]
         self.step, self.lam, self.lr, self.decay = step, lam, lr, decay
@@ -272,3 +272,35 @@ def margin_cols(wcols: Sequence[str], feats: Sequence[str]) -> str:
         term = f"({w} * {x})"
         acc = term if acc is None else f"({acc} + {term})"
     return acc
+
+
+def trace_cte(fit: FitSQL) -> str:
+    """``fit.final_cte()`` plus ``tr(iter, loss, w_c_j...)``: row t holds w_t and the objective at w_t."""
+    ws = ", ".join(f"it.{w}" for w in fit.flat)
+    return (
+        f"{fit.final_cte()}, tr AS (SELECT CAST(it.k AS INTEGER) AS iter, "
+        f"COALESCE(nx.fprev, (SELECT f FROM fin)) AS loss, {ws} FROM it LEFT JOIN it nx ON nx.k = it.k + 1)"
+    )
+
+
+def newton_logistic_l2(fixture: str, lam: float, iters: int = 12, digits: int = 3) -> str:
+    """Two-feature L2 logistic regression solved by Newton's method (oracle for converged fits)."""
+    z = "((w1 * x1) + (w2 * x2))"
+    s = f"(1.0 / (1.0 + exp(-{z})))"
+    l, dl = pointwise("logistic", [z], "label")
+    agg = (
+        f"SELECT k, w1, w2, sum({dl[0]} * x1) / count(*) + {D(lam)} * w1 AS g1, "
+        f"sum({dl[0]} * x2) / count(*) + {D(lam)} * w2 AS g2, "
+        f"sum({s} * (1.0 - {s}) * x1 * x1) / count(*) + {D(lam)} AS h11, "
+        f"sum({s} * (1.0 - {s}) * x1 * x2) / count(*) AS h12, "
+        f"sum({s} * (1.0 - {s}) * x2 * x2) / count(*) + {D(lam)} AS h22 FROM it, p WHERE k < {iters} GROUP BY k, w1, w2"
+    )
+    step = (
+        f"SELECT k + 1, w1 - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), "
+        f"w2 - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12) FROM ({agg}) a"
+    )
+    return (
+        f"WITH RECURSIVE p AS ({duck_sql(fixture)}), it(k, w1, w2) AS (SELECT 0, {D(0)}, {D(0)} UNION ALL {step}) "
+        f"SELECT 0 AS model_id, 0 AS class_id, 1 AS feature_id, {R('w1', digits)} AS weight FROM it WHERE k = {iters} "
+        f"UNION ALL SELECT 0, 0, 2, {R('w2', digits)} FROM it WHERE k = {iters}"
+    )
