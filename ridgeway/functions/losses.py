@@ -47,6 +47,11 @@ class Loss:
     def numpy(self, Z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 
+    def numpy_many(self, Z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Single-margin losses for M models at once: Z is (n, M); returns (n, M) loss and derivative."""
+        out = [self.numpy(Z[:, m : m + 1], y) for m in range(Z.shape[1])]
+        return np.column_stack([o[0] for o in out]), np.column_stack([o[1][:, 0] for o in out])
+
 
 class LogisticLoss(Loss):
     """log(1 + exp(-y z)) for y in {-1, +1}, in an overflow-free form."""
@@ -66,6 +71,14 @@ class LogisticLoss(Loss):
             d = -y / (np.exp(m) + 1.0)
         return loss, d[:, None]
 
+    def numpy_many(self, Z, y):
+        yy = y[:, None]
+        m = yy * Z
+        loss = np.maximum(-m, 0.0) + np.log1p(np.exp(-np.abs(m)))
+        with np.errstate(over="ignore"):
+            d = -yy / (np.exp(m) + 1.0)
+        return loss, d
+
 
 class HingeLoss(Loss):
     """max(0, 1 - y z); subgradient -y x where the loss is positive."""
@@ -85,6 +98,11 @@ class HingeLoss(Loss):
         d = np.where(loss > 0, -y, 0.0)
         return loss, d[:, None]
 
+    def numpy_many(self, Z, y):
+        yy = y[:, None]
+        loss = np.maximum(0.0, 1.0 - yy * Z)
+        return loss, np.where(loss > 0, -yy, 0.0)
+
 
 class SquaredLoss(Loss):
     """0.5 (x.w - y)^2 with derivative (x.w - y)."""
@@ -99,6 +117,10 @@ class SquaredLoss(Loss):
         r = Z[:, 0] - y
         return 0.5 * r * r, r[:, None]
 
+    def numpy_many(self, Z, y):
+        r = Z - y[:, None]
+        return 0.5 * r * r, r
+
 
 class SoftmaxLoss(Loss):
     """-z_y + log sum_c exp(z_c), max-shifted; derivative p_c - [c = y]."""

@@ -184,6 +184,12 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
             y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
             Z = X @ flat.T
             n_acc += X.shape[0]
+            if C == 1 and M > 1:
+                L, D = loss.numpy_many(Z, y)  # all models in one vectorised call
+                loss_acc += L.sum(axis=0)
+                if with_grad:
+                    grad_acc[:, 0, :] += D.T @ X
+                continue
             for m in range(M):
                 lm, D = loss.numpy(Z[:, m * C : (m + 1) * C], y)
                 loss_acc[m] += lm.sum()
@@ -210,6 +216,7 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
 
 
 MAX_MODELS_PER_JOB = 500  # bounds the per-batch margin matrix (rows x models)
+REBALANCE_MIN_MODELS = 32
 
 
 def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
@@ -229,7 +236,12 @@ def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tr
     if Ws.shape[0] > MAX_MODELS_PER_JOB or Ws[0].size > 100_000:
         raise ValueError("model stack too large for one job; evaluate it in chunks")
     fn = _arrow_partials(points.features, points.label, loss, Ws, with_grad)
-    parts = points.df.select(*points.features, points.label).mapInArrow(fn, _SLOT_SCHEMA)
+    src = points.df.select(*points.features, points.label)
+    if Ws.shape[0] >= REBALANCE_MIN_MODELS:
+        # Per-row work grows with the number of models while this shuffle moves only
+        # d+1 columns once: spread the rows evenly over every core of the cluster.
+        src = src.repartition(src.sparkSession.sparkContext.defaultParallelism)
+    parts = src.mapInArrow(fn, _SLOT_SCHEMA)
     return parts.groupBy("model", "slot").agg(F.sum("value").alias("value"))
 
 

@@ -15,7 +15,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- driver-side protocol (G2 / G3) -----------------------------------------------
@@ -171,6 +171,7 @@ def box_clip(v: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
 # --- table operators over (model_id, class_id, feature_id, weight) -------------------
 
 MODEL_KEYS = ["model_id", "class_id", "feature_id"]
+MAX_GROUP_ROWS = 1_000_000  # feature -> group table is broadcast; one row per feature
 
 
 def l2_score(coef: DataFrame) -> DataFrame:
@@ -208,6 +209,8 @@ def groups_frame(spark, groups: Mapping[int, int] | Sequence[Sequence[int]]) ->
         rows = [(int(f), int(g)) for f, g in groups.items()]
     else:
         rows = [(int(f), gi + 1) for gi, g in enumerate(groups) for f in g]
+    if len(rows) > MAX_GROUP_ROWS:
+        raise ValueError(f"{len(rows)} grouped features; the group table is broadcast and capped at {MAX_GROUP_ROWS}")
     return spark.createDataFrame(rows, "feature_id int, group_id int")
 
 
@@ -229,18 +232,28 @@ def group_l1_score(coef: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def group_l1_prox(coef: DataFrame, groups: DataFrame, t: float, threshold: str = "exact") -> DataFrame:
-    """Group soft threshold with a window norm per (model, class, group)."""
+    """Group soft threshold.
+
+    Group norms come from a ``groupBy`` (partial aggregation map-side, so a
+    group holding a third of all coefficients still reduces in parallel) and
+    are joined back on (model, class, group). AQE turns the join into a
+    broadcast when the norm table is small and splits a skewed key otherwise;
+    no window puts a whole group in one task.
+    """
     g = _with_groups(coef, groups)
-    w = Window.partitionBy("model_id", "class_id", "group_id")
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(w))
-    size = F.count(F.lit(1)).over(w)
-    limit = F.lit(float(t)) * F.sqrt(size.cast("double")) if threshold == "sqrt_size" else F.lit(float(t))
+    keys = ["model_id", "class_id", "group_id"]
+    norms = (
+        g.where(F.col("group_id").isNotNull())
+        .groupBy(*keys)
+        .agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"), F.count(F.lit(1)).alias("_size"))
+    )
+    j = g.join(norms, keys, "left")
+    limit = F.lit(float(t)) * F.sqrt(F.col("_size").cast("double")) if threshold == "sqrt_size" else F.lit(float(t))
     shrunk = F.col("weight") * ((F.col("_norm") - float(t)) / F.col("_norm"))
-    out = g.withColumn("_norm", norm).withColumn("_limit", limit)
-    return out.select(
+    return j.select(
         *MODEL_KEYS,
         F.when(F.col("group_id").isNull(), F.col("weight"))
-        .when(F.col("_norm") <= F.col("_limit"), F.lit(0.0))
+        .when(F.col("_norm") <= limit, F.lit(0.0))
         .otherwise(shrunk)
         .alias("weight"),
     )

@@ -982,3 +982,33 @@ def coefficient_residual(spark, sf_dir):
     m = mo.collect_moments(fx.reg2_points(spark, sf_dir))
     ridge = spark.createDataFrame(tr.model_rows(mo.ridge_closed_form(m, 1.0)), tr.MODEL_SCHEMA)
     return rounded(ev_ops.coefficient_residual(res.model_frame(spark), ridge))
+
+
+# --- wide variants: Arrow moments (d = 65) and Arrow gradients (C·d = 80) -------------------
+
+GRP64_GROUPS = [list(range(16 * g + 1, 16 * g + 17)) for g in range(4)]
+_GRP64_FIT = o.FitSQL("GRP64", "squared", 1, 65, 30, [[0.0] * 65], "prox_group", lam=LAMBDA_GROUP, lr=0.25,
+                      groups=GRP64_GROUPS, data="moments", accelerated=True)
+
+
+@register("fit_group_lasso_wide", _GRP64_FIT.model_sql())
+def fit_group_lasso_wide(spark, sf_dir):
+    """E11 on GRP64: all 64 embedding elements + bias, 4 groups of 16; moments by Arrow partials."""
+    ev = mo.MomentsEvaluator.from_points(fx.grp_points(spark, sf_dir, 64))
+    pen = GroupL1Penalty([[j - 1 for j in g] for g in GRP64_GROUPS])
+    res = tr.accelerated_proximal(ev, np.zeros(65), pen, LAMBDA_GROUP, lr=0.25, lr_decay=False, n_iter=30)
+    return _model(spark, res)
+
+
+_SM10_FIT = o.FitSQL("SM10", "softmax", 10, 8, 5, [[0.0] * 8] * 10, "prox_l2", lam=P.LAMBDA_L2, lr=1.0)
+
+
+@register("fit_softmax_wide", _SM10_FIT.model_sql())
+def fit_softmax_wide(spark, sf_dir):
+    """E13 on SM10: ten-class softmax + L2, 5 proximal steps, gradients as Arrow partials."""
+    ev = lg.SparkEvaluator(fx.sm10_points(spark, sf_dir), "softmax", strategy="arrow")
+    try:
+        res = tr.proximal_gradient(ev, np.zeros((10, 8)), L2Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False, n_iter=5)
+    finally:
+        ev.close()
+    return _model(spark, res)
