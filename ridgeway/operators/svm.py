@@ -81,10 +81,22 @@ class SVMFit:
         return spark.createDataFrame(rows, "model_id int, class_id int, feature_id int, weight double")
 
 
+def svm_lipschitz_constant(points: PointSet, lam: float) -> float:
+    """C8 for the dual: λmax(K)/(2λ) with K = D X Xᵀ D (D = diag(y), y² = 1).
+
+    The nonzero eigenvalues of X Xᵀ are those of XᵀX, so one moments scan
+    (d×d on the driver) replaces the n×n kernel.
+    """
+    from .moments import collect_moments
+
+    m = collect_moments(points)
+    return float(np.linalg.eigvalsh(m.xtx).max()) / (2.0 * lam)
+
+
 def fit_svm_dual(
     points: PointSet,
     lam: float,
-    lr: float = 0.1,
+    lr: float | str = 0.1,
     lr_decay: bool = True,
     n_iter: int = 20000,
     tol: float = 1e-6,
@@ -92,12 +104,17 @@ def fit_svm_dual(
 ) -> SVMFit:
     """Projected gradient on the dual over a ∈ [0, 1]^n, a stored as a column.
 
+    ``lr='lipschitz'`` takes the step 1/L from one moments scan (fewer, larger
+    steps than the fixed default).
+
     Step t: one aggregate gives v_t = Σ a y x, Σ a and ‖a_t − a_{t−1}‖² (the
     stop test of the previous step); the next state is a projection with v_t
     as literals. Stops when ‖Δa‖ < tol or after n_iter steps.
     """
     if points.id is None:
         raise ValueError("the dual needs a row id for its multipliers")
+    if lr == "lipschitz":
+        lr = 1.0 / svm_lipschitz_constant(points, lam)
     if n_iter <= 0 or tol < 1e-6 or lr <= 0:
         raise ValueError("n_iter > 0, tol >= 1e-6 and lr > 0 are required")
     spark = points.df.sparkSession

@@ -215,3 +215,16 @@ def test_model_stack_size_is_checked(spark):
     pts = fx.bin2_points(spark, SF_SMALL)
     with pytest.raises(ValueError):
         lg.models_partials(pts, "logistic", np.zeros((501, 2)))
+
+
+def test_svm_lipschitz_equals_kernel_eigenvalue(spark):
+    pts = fx.svm_points(spark, SF_SMALL)
+    lam = 1.0
+    L = sv.svm_lipschitz_constant(pts, lam)
+    pdf = pts.df.select(*pts.features, "label").toPandas()
+    X = pdf[list(pts.features)].to_numpy()
+    y = pdf["label"].to_numpy()
+    K = (y[:, None] * X) @ (y[:, None] * X).T  # test-only: 500 x 500 on the driver
+    assert L == pytest.approx(np.linalg.eigvalsh(K / (2 * lam)).max(), rel=1e-9)
+    fit = sv.fit_svm_dual(pts, lam, lr="lipschitz", lr_decay=False, n_iter=30)
+    assert fit.dual_hist[-1] >= fit.dual_hist[1]
