@@ -122,7 +122,9 @@ def fit_svm_dual(
     feats = list(points.features)
     y = F.col(points.label)
     state = points.df.select(points.id, *feats, y.alias("label"), F.lit(0.0).alias("a"), F.lit(0.0).alias("a_prev"))
-    state = state.checkpoint(eager=True)
+    # balanced once before the first checkpoint; every step then scans even partitions
+    parts = max(state.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    state = state.repartition(parts).checkpoint(eager=True)
     ypts = PointSet(state, tuple(feats), "label", points.id)
     dual_hist, path, etas, norms = [], [], [], []
     status = "max_iter"

@@ -38,8 +38,20 @@ class PointSet:
         """Only the columns a fit needs (column pruning reaches the scan)."""
         return replace(self, df=self.df.select(*self.columns()))
 
-    def persist(self) -> "PointSet":
-        return replace(self, df=self.projected().df.persist(StorageLevel.MEMORY_AND_DISK))
+    def persist(self, rebalance: bool = False) -> "PointSet":
+        """Project, optionally rebalance, and cache for an iterative job.
+
+        A fit scans this table once per step. Rebalancing once (round-robin into
+        max(current partitions, cluster cores) partitions) means no input split,
+        even one file holding a third of all rows, makes one task do that share of
+        the work in every step; partitions never get larger than the input splits.
+        """
+        df = self.projected().df
+        if rebalance:
+            spark = df.sparkSession
+            n = max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+            df = df.repartition(n)
+        return replace(self, df=df.persist(StorageLevel.MEMORY_AND_DISK))
 
     def unpersist(self) -> None:
         self.df.unpersist()
