@@ -13,3 +13,5 @@ streaming/  intentionally empty: the modelled library has no streams
 """
 
 __version__ = "0.1.0"
+
+from .plans.api import fit  # noqa: E402,F401

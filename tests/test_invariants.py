@@ -228,3 +228,38 @@ def test_svm_lipschitz_equals_kernel_eigenvalue(spark):
     assert L == pytest.approx(np.linalg.eigvalsh(K / (2 * lam)).max(), rel=1e-9)
     fit = sv.fit_svm_dual(pts, lam, lr="lipschitz", lr_decay=False, n_iter=30)
     assert fit.dual_hist[-1] >= fit.dual_hist[1]
+
+
+def test_fit_api_dispatch_and_lasso_matches_spark_ml(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from ridgeway.plans.api import fit
+
+    pts = fx.reg2_points(spark, SF_MID)
+    res = fit(pts, "squared", pe.L1Penalty(), 0.05, solver="accelerated_proximal", lr=1.0, lr_decay=False,
+              n_iter=3000)
+    df = VectorAssembler(inputCols=list(pts.features), outputCol="features").transform(pts.df)
+    ml = LinearRegression(featuresCol="features", labelCol="label", regParam=0.05, elasticNetParam=1.0,
+                          fitIntercept=False, standardization=False, tol=1e-12, maxIter=500).fit(df)
+    np.testing.assert_allclose(res.weights, ml.coefficients.toArray(), atol=1e-4)
+    with pytest.raises(ValueError):
+        fit(pts, "squared", solver="newton")
+
+
+def test_softmax_bfgs_matches_spark_ml_multinomial(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from ridgeway.plans.api import fit
+
+    pts = fx.rmulti_points(spark, SF_SMALL)
+    res = fit(pts, "softmax", pe.L2Penalty(), 0.01, solver="bfgs", tol=1e-6)
+    df = VectorAssembler(inputCols=list(pts.features), outputCol="features").transform(
+        pts.df.withColumn("y", F.col("label").cast("double")))
+    ml = LogisticRegression(featuresCol="features", labelCol="y", family="multinomial", regParam=0.01,
+                            elasticNetParam=0.0, fitIntercept=False, standardization=False, tol=1e-12,
+                            maxIter=500).fit(df)
+    W = ml.coefficientMatrix.toArray()
+    # the softmax is invariant to a common shift of the class rows; L2 picks the centred one
+    np.testing.assert_allclose(res.weights, W, atol=2e-4)
