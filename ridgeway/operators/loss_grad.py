@@ -149,6 +149,8 @@ def loss_grad_long(
     loss = get_loss(loss)
     C = _margin_count(points, loss)
     Wm = as_matrix(W, C, points.d)
+    if C * points.d > COLUMN_FORM_MAX_OUTPUTS:
+        return _loss_grad_long_arrow(points, loss, Wm, reduce, penalty, lam)
     row = loss_grad_row(points, loss, Wm)
     scale = (1.0 / F.col("n")) if reduce == "mean" else F.lit(1.0)
     pen_score = 0.0
@@ -172,6 +174,36 @@ def loss_grad_long(
     ).select("n", "loss", "e.class_id", "e.feature_id", "e.grad")
 
 
+def _loss_grad_long_arrow(points, loss, Wm, reduce, penalty, lam) -> DataFrame:
+    """Wide C*d: Arrow partials summed per slot, reshaped to the long form in Spark."""
+    from pyspark.sql import Window
+
+    C, d = Wm.shape
+    pen_score = 0.0
+    pen_grad = np.zeros_like(Wm)
+    if penalty is not None and lam:
+        pen_score = lam * penalty.score(Wm if C > 1 else Wm[0])
+        pen_grad = lam * np.asarray(penalty.grad(Wm if C > 1 else Wm[0])).reshape(Wm.shape)
+    sums = models_partials(points, loss, Wm[None], with_grad=True)  # (model, slot, value), C*d + 2 rows
+    everything = Window.partitionBy()  # over C*d + 2 rows only
+    n = F.max(F.when(F.col("slot") == 0, F.col("value"))).over(everything)
+    lsum = F.max(F.when(F.col("slot") == 1, F.col("value"))).over(everything)
+    scale = (1.0 / F.col("n")) if reduce == "mean" else F.lit(1.0)
+    k = F.col("slot") - 2
+    pg = F.element_at(F.array(*[F.lit(float(v)) for v in pen_grad.reshape(-1)]), (k + 1).cast("int"))
+    return (
+        sums.select("slot", "value", n.cast("bigint").alias("n"), lsum.alias("lsum"))
+        .where(F.col("slot") >= 2)
+        .select(
+            "n",
+            (F.col("lsum") * scale + F.lit(float(pen_score))).alias("loss"),
+            (k / d).cast("int").alias("class_id"),
+            (k % d + 1).cast("int").alias("feature_id"),
+            (F.col("value") * scale + pg).alias("grad"),
+        )
+    )
+
+
 def point_count(points: PointSet) -> DataFrame:
     """N as a one-row aggregate (fused into C2/C3 elsewhere)."""
     return points.df.agg(F.count(F.lit(1)).alias("n"))

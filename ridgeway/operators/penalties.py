@@ -6,7 +6,7 @@ Two faces of the same formulas:
   ``BoxProjector``) act on the parameter-sized weight array inside a fit;
 * table operators act on a coefficient table
   ``(model_id, class_id, feature_id, weight)`` holding any number of models,
-  grouped and windowed by model (and feature group) in Spark.
+  reduced per model (and feature group) by partially aggregated ``groupBy``.
 """
 
 from __future__ import annotations

@@ -55,6 +55,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # --- C1-C4: loss / gradient aggregates ------------------------------------------------
 
 _LOSS_CASES = {
+    "softmax_wide": ("SM16", P.w_multi(10, 16, 0.01, 0.005)),
     "logistic": ("BIN", [list(P.W_BIN)]),
     "hinge": ("BIN", [list(P.W_BIN)]),
     "softmax": ("MULTI", P.w_multi()),
@@ -62,8 +63,9 @@ _LOSS_CASES = {
 }
 
 
-def _loss_grad_query(loss: str, reduce: str):
-    fixture, W = _LOSS_CASES[loss]
+def _loss_grad_query(case: str, reduce: str):
+    fixture, W = _LOSS_CASES[case]
+    loss = case.replace("_wide", "")
 
     def run(spark, sf_dir):
         pts = fx.FIXTURES[fixture](spark, sf_dir)
@@ -73,10 +75,12 @@ def _loss_grad_query(loss: str, reduce: str):
     return run
 
 
-for _loss, (_fix, _W) in _LOSS_CASES.items():
+for _case, (_fix, _W) in _LOSS_CASES.items():
     for _red in ("mean", "sum"):
-        register(f"{_red}_loss_grad_{_loss}", o.loss_grad_long(_fix, _loss, _W, reduce=_red))(
-            _loss_grad_query(_loss, _red)
+        if _case.endswith("_wide") and _red == "sum":
+            continue
+        register(f"{_red}_loss_grad_{_case}", o.loss_grad_long(_fix, _case.replace("_wide", ""), _W, reduce=_red))(
+            _loss_grad_query(_case, _red)
         )
 
 

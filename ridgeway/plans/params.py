@@ -20,9 +20,9 @@ ARMIJO_C1 = 0.3
 ARMIJO_RHO = 0.9
 
 
-def w_multi(n_classes: int = 3, d: int = 4) -> list[list[float]]:
-    """W_MULTI: weight = 0.1 (class_id + 1) - 0.05 feature_id."""
-    return [[0.1 * (c + 1) - 0.05 * (j + 1) for j in range(d)] for c in range(n_classes)]
+def w_multi(n_classes: int = 3, d: int = 4, a: float = 0.1, b: float = 0.05) -> list[list[float]]:
+    """W_MULTI: weight = a (class_id + 1) - b feature_id (a = 0.1, b = 0.05)."""
+    return [[a * (c + 1) - b * (j + 1) for j in range(d)] for c in range(n_classes)]
 
 
 def grid(points: int = GRID_POINTS, w1=GRID_W1, w2=GRID_W2) -> list[tuple[int, int, float, float]]:

@@ -113,10 +113,10 @@ def grp_points(spark: SparkSession, sf_dir: str, width: int = 8) -> PointSet:
     return append_bias(pts)
 
 
-def sm10_points(spark: SparkSession, sf_dir: str) -> PointSet:
-    """SM10: first eight embedding elements, ten classes."""
+def sm10_points(spark: SparkSession, sf_dir: str, width: int = 8) -> PointSet:
+    """SM10 / SM16: first eight (or ``width``) embedding elements, ten classes."""
     em = table(spark, sf_dir, "embeddings")
-    return points_from_columns(em, [_emb(j) for j in range(8)], _c("label"), id="vec_id", n_classes=10)
+    return points_from_columns(em, [_emb(j) for j in range(width)], _c("label"), id="vec_id", n_classes=10)
 
 
 FIXTURES = {
@@ -131,6 +131,7 @@ FIXTURES = {
     "GRP": grp_points,
     "GRP64": lambda s, d: grp_points(s, d, 64),
     "SM10": sm10_points,
+    "SM16": lambda s, d: sm10_points(s, d, 16),
 }
 
 
@@ -204,7 +205,8 @@ def duck_sql(name: str) -> str:
         width = 8 if name == "GRP" else 64
         feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(width))
         return f"SELECT vec_id AS id, {feats}, {_D1} AS x{width + 1}, CAST(label AS DOUBLE) AS label FROM embeddings"
-    if name == "SM10":
-        feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(8))
+    if name in ("SM10", "SM16"):
+        width = 8 if name == "SM10" else 16
+        feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(width))
         return f"SELECT vec_id AS id, {feats}, label FROM embeddings"
     raise KeyError(name)

@@ -263,3 +263,21 @@ def test_softmax_bfgs_matches_spark_ml_multinomial(spark):
     W = ml.coefficientMatrix.toArray()
     # the softmax is invariant to a common shift of the class rows; L2 picks the centred one
     np.testing.assert_allclose(res.weights, W, atol=2e-4)
+
+
+def test_wide_long_form_goes_through_arrow_and_matches(spark):
+    pts = fx.sm10_points(spark, SF_SMALL)
+    W = np.linspace(-0.3, 0.3, 80).reshape(10, 8)
+    wide_pts = pts.with_df(pts.df.select("*", *[(F.col(f"x{j + 1}") * 0.5).alias(f"x{j + 9}") for j in range(8)]))
+    wide_pts = type(pts)(wide_pts.df, tuple(f"x{j + 1}" for j in range(16)), "label", "id", 10)
+    W16 = np.hstack([W, W])
+    a = lg.loss_grad_long(wide_pts, "softmax", W16).orderBy("class_id", "feature_id").collect()  # 160 > 96: Arrow
+    ev = lg.SparkEvaluator(wide_pts, "softmax", strategy="column")
+    try:
+        n, lsum, G = ev.evaluate(W16)
+    finally:
+        ev.close()
+    assert len(a) == 160 and a[0]["n"] == n
+    assert a[0]["loss"] == pytest.approx(lsum / n, rel=1e-12)
+    got = np.array([r["grad"] for r in a]).reshape(10, 16)
+    np.testing.assert_allclose(got, G / n, rtol=1e-9, atol=1e-12)
