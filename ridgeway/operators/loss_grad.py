@@ -287,6 +287,7 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
 
 MAX_MODELS_PER_JOB = 500  # bounds the per-batch margin matrix (rows x models)
 REBALANCE_MIN_MODELS = 32
+PARTIAL_SLOTS_PER_TASK = 50_000
 
 
 def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
@@ -307,7 +308,11 @@ def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tr
         raise ValueError("model stack too large for one job; evaluate it in chunks")
     fn = _arrow_partials(points.features, points.label, loss, Ws, with_grad)
     src = points.df.select(*points.features, points.label)
-    if Ws.shape[0] >= REBALANCE_MIN_MODELS:
+    slots = Ws.shape[0] * (2 + (C * points.d if with_grad else 0))
+    if slots > PARTIAL_SLOTS_PER_TASK:
+        # large per-task partials: one task per core (narrow coalesce) keeps the shuffle small
+        src = src.coalesce(src.sparkSession.sparkContext.defaultParallelism)
+    elif Ws.shape[0] >= REBALANCE_MIN_MODELS:
         # Per-row work grows with the number of models while this shuffle moves only
         # d+1 columns once: spread the rows evenly over every core of the cluster.
         src = src.repartition(src.sparkSession.sparkContext.defaultParallelism)

@@ -22,6 +22,7 @@ from .loss_grad import Evaluator, as_matrix
 
 COLUMN_FORM_MAX_D = 12
 MAX_DRIVER_D = 2000
+PARTIAL_SLOTS_PER_TASK = 50_000
 
 
 def moments_frame(points: PointSet) -> DataFrame:
@@ -87,8 +88,14 @@ def _arrow_moments(points: PointSet) -> DataFrame:
             T.StructField("n", T.LongType()),
         ]
     )
+    src = points.df.select(*cols)
+    if len(iu) > PARTIAL_SLOTS_PER_TASK:
+        # every task ships a k(k+1)/2 partial: fold the input splits into one task per
+        # core first (a narrow coalesce, no shuffle) so the partials stay few
+        cores = src.sparkSession.sparkContext.defaultParallelism
+        src = src.coalesce(cores)
     upper = (
-        points.df.select(*cols)
+        src
         .mapInArrow(fn, schema)
         .groupBy("i", "j")
         .agg(F.sum("value").alias("value"), F.sum("n").alias("n"))

@@ -80,6 +80,17 @@ class SVMFit:
         rows = [(0, 0, j + 1, float(w)) for j, w in enumerate(self.weights)]
         return spark.createDataFrame(rows, "model_id int, class_id int, feature_id int, weight double")
 
+    def trace_frame(self, spark: SparkSession, run_id: str) -> DataFrame:
+        """A6 for the dual: one row per iterate with D(a_t), η_t, ‖a_{t+1} − a_t‖ and w_t."""
+        rows = []
+        for t, (dual, w) in enumerate(zip(self.dual_hist, self.weight_path)):
+            eta = self.eta_hist[t] if t < len(self.eta_hist) else None
+            norm = self.norm_hist[t] if t < len(self.norm_hist) else None
+            rows.append((run_id, t, float(dual), eta, norm, "current", [float(v) for v in w]))
+        return spark.createDataFrame(
+            rows, "run_id string, iter int, loss double, eta double, norm double, eval_point string, "
+                  "weights array<double>")
+
 
 def svm_lipschitz_constant(points: PointSet, lam: float) -> float:
     """C8 for the dual: λmax(K)/(2λ) with K = D X Xᵀ D (D = diag(y), y² = 1).

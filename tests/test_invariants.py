@@ -281,3 +281,12 @@ def test_wide_long_form_goes_through_arrow_and_matches(spark):
     assert a[0]["loss"] == pytest.approx(lsum / n, rel=1e-12)
     got = np.array([r["grad"] for r in a]).reshape(10, 16)
     np.testing.assert_allclose(got, G / n, rtol=1e-9, atol=1e-12)
+
+
+def test_svm_trace_frame(spark):
+    pts = fx.svm_points(spark, SF_SMALL)
+    fit = sv.fit_svm_dual(pts, 1.0, lr=0.05, lr_decay=False, n_iter=4)
+    t = fit.trace_frame(spark, "svm").orderBy("iter").collect()
+    assert len(t) == 5
+    assert t[-1]["eta"] is None and t[0]["eta"] == 0.05
+    assert [r["loss"] for r in t] == pytest.approx(fit.dual_hist)
