@@ -38,6 +38,16 @@ class FitResult:
     def iterations(self) -> int:
         return len(self.trace) - 1
 
+    @property
+    def path(self) -> np.ndarray:
+        """Iterates w_0 .. w_T (T+1 entries, the first is the initial point)."""
+        return np.array([row[5] for row in self.trace])
+
+    @property
+    def train_log(self) -> np.ndarray:
+        """Logged objective per iterate; the last entry is the objective at the result."""
+        return np.array([row[1] for row in self.trace])
+
     def trace_frame(self, spark: SparkSession, run_id: str) -> DataFrame:
         """The trace as a DataFrame (parameter-sized)."""
         rows = [

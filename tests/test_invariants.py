@@ -290,3 +290,13 @@ def test_svm_trace_frame(spark):
     assert len(t) == 5
     assert t[-1]["eta"] is None and t[0]["eta"] == 0.05
     assert [r["loss"] for r in t] == pytest.approx(fit.dual_hist)
+
+
+def test_fit_result_path_and_log(spark):
+    from ridgeway.plans.api import fit
+
+    res = fit(fx.reg2_points(spark, SF_SMALL), "squared", pe.L2Penalty(), 0.1, solver="gradient_descent", n_iter=5)
+    assert res.path.shape == (len(res.trace), 2)
+    np.testing.assert_allclose(res.path[0], [0.0, 0.0])
+    np.testing.assert_allclose(res.path[-1], res.weights)
+    assert res.train_log[-1] == pytest.approx(res.objective)
