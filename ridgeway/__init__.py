@@ -14,4 +14,13 @@ streaming/  intentionally empty: the modelled library has no streams
 
 __version__ = "0.1.0"
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Executors get the library inside the task closures (functions and classes of
+# this package are pickled by value), so the Arrow operators run on a cluster
+# where the package is not installed and whatever the driver's working folder.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 from .plans.api import fit  # noqa: E402,F401

@@ -27,9 +27,10 @@ from ..functions.losses import Loss, get_loss, linear_margin
 from ..sources.points import PointSet
 
 COLUMN_FORM_MAX_OUTPUTS = 96  # C*d above this switches fits to Arrow partials
-# Many models in one Column aggregate compile slowly (new literals every step);
-# beyond a handful of sums the Arrow partials are faster.
-COLUMN_MANY_MAX_OUTPUTS = 16
+# Many models in one Column aggregate means a fresh, wide expression to compile on
+# every step (new literals); measured slower than the Arrow partials even for three
+# models, so model stacks go through Arrow unless this is raised.
+COLUMN_MANY_MAX_OUTPUTS = 0
 
 
 def as_matrix(W, n_margins: int, d: int) -> np.ndarray:

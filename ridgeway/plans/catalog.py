@@ -1016,3 +1016,26 @@ def fit_softmax_wide(spark, sf_dir):
     finally:
         ev.close()
     return _model(spark, res)
+
+
+LAMBDAS_BIN2 = (0.001, 0.005, 0.02)
+_LOGIT_PATH = o.FitSQL("BIN2", "logistic", 1, 2, K_STEPS, [[0.0, 0.0]], "prox_l1", lr=1.0,
+                       lambdas=list(LAMBDAS_BIN2))
+
+
+@register(
+    "lambda_path_logistic",
+    _LOGIT_PATH.cte() + " " + " UNION ALL ".join(
+        f"SELECT {o.R('lam')} AS lambda, {j + 1} AS feature_id, {o.R(f'w_0_{j + 1}')} AS weight "
+        f"FROM it WHERE {_LOGIT_PATH.last()}" for j in range(2)
+    ),
+)
+def lambda_path_logistic(spark, sf_dir):
+    """E10 for a non-quadratic loss: L1 logistic on BIN2 for three λ, all λ scored in one job per step."""
+    ev = lg.SparkEvaluator(fx.bin2_points(spark, sf_dir), "logistic")
+    try:
+        fits = tr.proximal_path(ev, np.zeros(2), L1Penalty(), LAMBDAS_BIN2, lr=1.0, lr_decay=False, n_iter=K_STEPS)
+    finally:
+        ev.close()
+    rows = [(lam, j + 1, float(f.weights[j])) for lam, f in zip(LAMBDAS_BIN2, fits) for j in range(2)]
+    return rounded(spark.createDataFrame(rows, "lambda double, feature_id int, weight double"))

@@ -300,3 +300,16 @@ def test_fit_result_path_and_log(spark):
     np.testing.assert_allclose(res.path[0], [0.0, 0.0])
     np.testing.assert_allclose(res.path[-1], res.weights)
     assert res.train_log[-1] == pytest.approx(res.objective)
+
+
+def test_proximal_path_equals_separate_fits(spark):
+    ev = lg.SparkEvaluator(fx.bin2_points(spark, SF_SMALL), "logistic")
+    try:
+        path = tr.proximal_path(ev, np.zeros(2), pe.L1Penalty(), [0.001, 0.02], lr=1.0, lr_decay=False, n_iter=6)
+        solo = [tr.proximal_gradient(ev, np.zeros(2), pe.L1Penalty(), lam, lr=1.0, lr_decay=False, n_iter=6)
+                for lam in (0.001, 0.02)]
+    finally:
+        ev.close()
+    for a, b in zip(path, solo):
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12)
+        assert len(a.trace) == len(b.trace)
