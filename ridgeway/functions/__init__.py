@@ -1,5 +1,6 @@
 from .losses import (
     LOSSES,
+    BatchLoss,
     CustomLoss,
     HingeLoss,
     LogisticLoss,
@@ -13,6 +14,7 @@ from .losses import (
 
 __all__ = [
     "LOSSES",
+    "BatchLoss",
     "CustomLoss",
     "HingeLoss",
     "LogisticLoss",

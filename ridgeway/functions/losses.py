@@ -188,6 +188,28 @@ class CustomLoss(Loss):
         return np.asarray(loss, dtype=float), np.asarray(d, dtype=float)[:, None]
 
 
+class BatchLoss(Loss):
+    """G1 for losses that are not functions of the margins.
+
+    ``batch_fn(X, y, W) -> (loss_sum, grad_sum)`` receives one Arrow batch as a
+    NumPy matrix X (rows × d), the labels y and the weights W (C × d) and returns
+    the batch's loss sum and gradient sum (C × d). It runs inside ``mapInArrow``
+    tasks; Spark sums the per-task partials.
+    """
+
+    def __init__(self, name: str, batch_fn, n_margins: int = 1, differentiable: bool = True):
+        self.name = name
+        self.batch_fn = batch_fn
+        self._C = n_margins
+        self.differentiable = differentiable
+
+    def n_margins(self, n_classes):
+        return self._C
+
+    def pointwise(self, margins, label):
+        raise NotImplementedError(f"{self.name} is a batch loss: use the Arrow strategy")
+
+
 LOSSES: dict[str, Loss] = {
     "logistic": LogisticLoss(),
     "hinge": HingeLoss(),

@@ -241,6 +241,7 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
     feats = list(features)
     M, C, d = Ws.shape
     flat = Ws.reshape(M * C, d)
+    batch_fn = getattr(loss, "batch_fn", None)
 
     def fn(batches):
         import pyarrow as pa
@@ -253,8 +254,15 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
                 continue
             X = np.column_stack([b.column(f).to_numpy(zero_copy_only=False).astype(float, copy=False) for f in feats])
             y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
-            Z = X @ flat.T
             n_acc += X.shape[0]
+            if batch_fn is not None:
+                for m in range(M):
+                    lsum, gsum = batch_fn(X, y, Ws[m])
+                    loss_acc[m] += float(lsum)
+                    if with_grad:
+                        grad_acc[m] += np.asarray(gsum, dtype=float).reshape(C, d)
+                continue
+            Z = X @ flat.T
             if C == 1 and M > 1:
                 L, D = loss.numpy_many(Z, y)  # all models in one vectorised call
                 loss_acc += L.sum(axis=0)
@@ -398,7 +406,8 @@ class SparkEvaluator(Evaluator):
         self.n_margins = self.loss.n_margins(points.n_classes)
         self.d = points.d
         if strategy == "auto":
-            strategy = "column" if self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS else "arrow"
+            narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS
+            strategy = "column" if narrow and not hasattr(self.loss, "batch_fn") else "arrow"
         self.strategy = strategy
         self.jobs = 0
         self._plan = _StepPlan(self.points, self.loss, self.n_margins) if strategy == "column" else None

@@ -1039,3 +1039,63 @@ def lambda_path_logistic(spark, sf_dir):
         ev.close()
     rows = [(lam, j + 1, float(f.weights[j])) for lam, f in zip(LAMBDAS_BIN2, fits) for j in range(2)]
     return rounded(spark.createDataFrame(rows, "lambda double, feature_id int, weight double"))
+
+
+# --- G1 for a non-margin loss: the quadratic bowl of the lasso example ----------------------
+
+from ..functions.losses import BatchLoss  # noqa: E402
+
+# The bowl (w − μ)ᵀA(w − μ) and the λ values of the modelled lasso example.
+BOWL_A = ((3.0, 0.5), (0.5, 1.0))
+BOWL_MU = (1.0, 2.0)
+BOWL_LAMBDAS = (2.0, 4.0, 6.0)
+
+
+def _bowl_batch(X, y, W):
+    """Per batch: n·(w−μ)ᵀA(w−μ) and n·(A+Aᵀ)(w−μ) (the loss does not read the rows)."""
+    A = np.array(BOWL_A)
+    r = W[0] - np.array(BOWL_MU)
+    n = X.shape[0]
+    return n * float(r @ (A @ r)), n * ((A + A.T) @ r)[None, :]
+
+
+BOWL = BatchLoss("quadratic_bowl", _bowl_batch)
+BOWL_LR = 1.0 / float(np.linalg.eigvalsh(2.0 * np.array(BOWL_A)).max())
+
+
+def _bowl_path_sql():
+    (a11, a12), (_, a22) = BOWL_A
+    mu1, mu2 = BOWL_MU
+    r1, r2 = f"(w1 - {o.D(mu1)})", f"(w2 - {o.D(mu2)})"
+    g1 = f"(({o.D(2 * a11)} * {r1}) + ({o.D(2 * a12)} * {r2}))"
+    g2 = f"(({o.D(2 * a12)} * {r1}) + ({o.D(2 * a22)} * {r2}))"
+    lr = o.D(BOWL_LR)
+    t = f"({lr} * lam)"
+
+    def st(v):
+        return f"(CASE WHEN abs({v}) < {t} THEN {o.D(0)} ELSE ({v} - (sign({v}) * {t})) END)"
+
+    step = (f"SELECT lam, k, w1, w2, sum({g1}) / count(*) AS g1, sum({g2}) / count(*) AS g2 FROM it, lineitem "
+            f"WHERE k < 2000 AND (dn IS NULL OR dn >= {o.D(1e-6)}) GROUP BY lam, k, w1, w2")
+    upd = f"SELECT lam, k, w1, w2, w1 - ({lr} * g1) AS v1, w2 - ({lr} * g2) AS v2 FROM ({step}) a"
+    nw = f"SELECT lam, k, w1, w2, {st('v1')} AS n1, {st('v2')} AS n2 FROM ({upd}) b"
+    rec = f"SELECT lam, k + 1, n1, n2, sqrt((n1 - w1) * (n1 - w1) + (n2 - w2) * (n2 - w2)) FROM ({nw}) c"
+    base = ("SELECT lam, 0, " + o.D(0) + ", " + o.D(0) + ", CAST(NULL AS DOUBLE) FROM (VALUES "
+            + ", ".join(f"({o.D(l)})" for l in BOWL_LAMBDAS) + ") L(lam)")
+    last = "k = (SELECT max(i2.k) FROM it i2 WHERE i2.lam = it.lam)"
+    return (f"WITH RECURSIVE it(lam, k, w1, w2, dn) AS ({base} UNION ALL {rec}) "
+            + " UNION ALL ".join(f"SELECT {o.R('lam')} AS lambda, {j} AS feature_id, {o.R(f'w{j}')} AS weight "
+                                 f"FROM it WHERE {last}" for j in (1, 2)))
+
+
+@register("custom_loss_bowl_lasso", _bowl_path_sql())
+def custom_loss_bowl_lasso(spark, sf_dir):
+    """G1 + E10: the lasso example's bowl loss as a batch loss over lineitem rows, λ ∈ {2,4,6}, step 1/λmax(2A)."""
+    pts = fx.bin2_points(spark, sf_dir)
+    ev = lg.SparkEvaluator(pts, BOWL)
+    try:
+        fits = tr.proximal_path(ev, np.zeros(2), L1Penalty(), BOWL_LAMBDAS, lr=BOWL_LR, lr_decay=False)
+    finally:
+        ev.close()
+    rows = [(lam, j + 1, float(f.weights[j])) for lam, f in zip(BOWL_LAMBDAS, fits) for j in range(2)]
+    return rounded(spark.createDataFrame(rows, "lambda double, feature_id int, weight double"))

@@ -313,3 +313,24 @@ def test_proximal_path_equals_separate_fits(spark):
     for a, b in zip(path, solo):
         np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12)
         assert len(a.trace) == len(b.trace)
+
+
+def test_bowl_lasso_batch_loss_meets_kkt(spark):
+    from ridgeway.plans import catalog
+
+    pts = fx.bin2_points(spark, SF_SMALL)
+    ev = lg.SparkEvaluator(pts, catalog.BOWL)
+    assert ev.strategy == "arrow"
+    try:
+        fits = tr.proximal_path(ev, np.zeros(2), pe.L1Penalty(), catalog.BOWL_LAMBDAS, lr=catalog.BOWL_LR,
+                                lr_decay=False)
+    finally:
+        ev.close()
+    A, mu = np.array(catalog.BOWL_A), np.array(catalog.BOWL_MU)
+    for lam, f in zip(catalog.BOWL_LAMBDAS, fits):
+        g = 2 * A @ (f.weights - mu)
+        for wj, gj in zip(f.weights, g):
+            if wj == 0:
+                assert abs(gj) <= lam + 1e-4
+            else:
+                assert gj == pytest.approx(-lam * np.sign(wj), abs=1e-4)
