@@ -10,15 +10,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.losses import BatchLoss, CustomLoss, quadratic_bowl
+from ..operators import evaluate as ev_ops
 from ..operators import loss_grad as lg
-from ..operators.penalties import L2Penalty
+from ..operators import moments as mo
+from ..operators import penalties as pe
+from ..operators import svm as sv
+from ..operators.line_search import line_search_table
+from ..operators.penalties import BoxProjector, GroupL1Penalty, L1Penalty, L2Penalty
+from ..session import scratch_path
+from ..sources import coefficients as co
 from ..sources import fixtures as fx
+from ..sources import sinks
+from ..sources.points import PointSet
+from ..sources.points import held_out_split as _split
 from . import oracle as o
 from . import params as P
+from . import trainers as tr
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,11 +120,6 @@ def regularized_objective(spark, sf_dir):
 
 # --- E1-E5, E9-E14: trainers ----------------------------------------------------------
 
-import numpy as np  # noqa: E402
-
-from ..operators import moments as mo  # noqa: E402
-from ..operators.penalties import BoxProjector, GroupL1Penalty, L1Penalty  # noqa: E402
-from . import trainers as tr  # noqa: E402
 
 K_STEPS = 20
 GRP_GROUPS = [[1, 2], [3, 4], [5, 6], [7, 8]]
@@ -136,7 +144,7 @@ _PROX_BIN = o.FitSQL("BIN", "logistic", 1, 4, K_STEPS, [[0.0] * 4], "prox_l2", l
 
 @register("fit_proximal_gradient", _PROX_BIN.model_sql())
 def fit_proximal_gradient(spark, sf_dir):
-    """Logistic + L2 on BIN by proximal gradient, 20 fixed steps (one aggregate each)."""
+    """Logistic + L2 on BIN by proximal gradient, up to 20 steps (one aggregate each; stops at ‖Δw‖ < 1e-6)."""
     return _model(spark, _fit_bin_prox(spark, sf_dir))
 
 
@@ -154,7 +162,7 @@ _ACC_BIN = o.FitSQL("BIN", "logistic", 1, 4, K_STEPS, [[0.0] * 4], "prox_l1", la
 
 @register("fit_accelerated_proximal", _ACC_BIN.model_sql())
 def fit_accelerated_proximal(spark, sf_dir):
-    """Logistic + L1 on BIN by accelerated proximal gradient, 20 fixed steps."""
+    """Logistic + L1 on BIN by accelerated proximal gradient, up to 20 steps."""
     ev = lg.SparkEvaluator(fx.bin_points(spark, sf_dir), "logistic")
     try:
         res = tr.accelerated_proximal(ev, np.zeros(4), L1Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False,
@@ -184,7 +192,7 @@ _MULTI_FIT = o.FitSQL("MULTI", "softmax", 3, 4, 10, [[1.0] * 4] * 3, "prox_l2",
 
 @register("fit_multiclass_logistic_l2", _MULTI_FIT.model_sql())
 def fit_multiclass_logistic_l2(spark, sf_dir):
-    """Softmax + L2 on MULTI from ones(3, 4), proximal gradient, 10 fixed steps."""
+    """Softmax + L2 on MULTI from ones(3, 4), proximal gradient, up to 10 steps."""
     ev = lg.SparkEvaluator(fx.multi_points(spark, sf_dir), "softmax")
     try:
         res = tr.proximal_gradient(ev, np.ones((3, 4)), L2Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False,
@@ -204,7 +212,7 @@ def _group_fit(threshold):
                                       threshold), LAMBDA_GROUP, lr=0.25, lr_decay=False, n_iter=30)
         return _model(spark, res)
 
-    run.__doc__ = f"E11: group lasso on GRP (4 groups + free bias), accelerated, 30 steps, threshold={threshold}"
+    run.__doc__ = f"E11: group lasso on GRP (4 groups + free bias), accelerated, up to 30 steps, threshold={threshold}"
     return sql.model_sql(), run
 
 
@@ -305,7 +313,6 @@ def lipschitz_step(spark, sf_dir):
 
 # --- SVM dual: C6 (re-aimed), C7, E6, E7, F8-F10 ------------------------------------------
 
-from ..operators import svm as sv  # noqa: E402
 
 SVM_LAMBDA = 1.0
 SVM_LR = 0.05
@@ -346,7 +353,7 @@ _SVM_CTE = _svm_sql_parts()
 
 @register("fit_svm_dual", f"{_SVM_CTE} SELECT id, {o.R('a')} AS a FROM st WHERE k = {SVM_STEPS}")
 def fit_svm_dual(spark, sf_dir):
-    """Dual SVM on SVM (λ=1, η=0.05), 20 projected-gradient steps; multipliers per row."""
+    """Dual SVM on SVM (λ=1, η=0.05), up to 20 projected-gradient steps; multipliers per row."""
     _, fit = _svm_fit(spark, sf_dir)
     return rounded(fit.multipliers)
 
@@ -429,8 +436,6 @@ def signed_kernel_product(spark, sf_dir):
 
 # --- D1-D10, C9: penalties and projections over a many-model coefficient table -----------
 
-from ..operators import penalties as pe  # noqa: E402
-from ..sources import coefficients as co  # noqa: E402
 
 COEF_GROUPS = [list(range(8 * g + 1, 8 * g + 9)) for g in range(6)]  # features 49..64 stay free
 L1_T = 0.1
@@ -735,12 +740,6 @@ def active_margin_filter(spark, sf_dir):
 
 # --- F1-F7, F11, E8, E12, E14, G1, A7, B11 ------------------------------------------------
 
-from ..functions.losses import CustomLoss, quadratic_bowl  # noqa: E402
-from ..operators import evaluate as ev_ops  # noqa: E402
-from ..operators.line_search import line_search_table  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import sinks  # noqa: E402
-from ..sources.points import PointSet, held_out_split as _split  # noqa: E402
 
 _GRID = P.grid()
 _GRID_VALUES = ", ".join(f"({i}, {j}, {o.D(a)}, {o.D(b)})" for i, j, a, b in _GRID)
@@ -1009,7 +1008,7 @@ _SM10_FIT = o.FitSQL("SM10", "softmax", 10, 8, 5, [[0.0] * 8] * 10, "prox_l2", l
 
 @register("fit_softmax_wide", _SM10_FIT.model_sql())
 def fit_softmax_wide(spark, sf_dir):
-    """E13 on SM10: ten-class softmax + L2, 5 proximal steps, gradients as Arrow partials."""
+    """E13 on SM10: ten-class softmax + L2, up to 5 proximal steps, gradients as Arrow partials."""
     ev = lg.SparkEvaluator(fx.sm10_points(spark, sf_dir), "softmax", strategy="arrow")
     try:
         res = tr.proximal_gradient(ev, np.zeros((10, 8)), L2Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False, n_iter=5)
@@ -1043,7 +1042,6 @@ def lambda_path_logistic(spark, sf_dir):
 
 # --- G1 for a non-margin loss: the quadratic bowl of the lasso example ----------------------
 
-from ..functions.losses import BatchLoss  # noqa: E402
 
 # The bowl (w − μ)ᵀA(w − μ) and the λ values of the modelled lasso example.
 BOWL_A = ((3.0, 0.5), (0.5, 1.0))
