@@ -1097,3 +1097,30 @@ def custom_loss_bowl_lasso(spark, sf_dir):
         ev.close()
     rows = [(lam, j + 1, float(f.weights[j])) for lam, f in zip(BOWL_LAMBDAS, fits) for j in range(2)]
     return rounded(spark.createDataFrame(rows, "lambda double, feature_id int, weight double"))
+
+
+SOLVERS4 = ("gradient_descent", "bfgs", "proximal", "accelerated_proximal")
+
+
+def _solver_ridge_sql():
+    one = _ridge2_sql(o.D(LAMBDA_RIDGE2), "mean", 3)
+    head, tail = one.split(" SELECT 0 AS model_id", 1)
+    body = "SELECT 0 AS model_id" + tail
+    return head + " " + " UNION ALL ".join(
+        f"SELECT '{name}' AS solver, feature_id, weight FROM ({body})" for name in SOLVERS4
+    )
+
+
+@register("solver_comparison_ridge", _solver_ridge_sql())
+def solver_comparison_ridge(spark, sf_dir):
+    """F11 with an oracle: the four solvers on REG2 ridge (λ=0.05) to ‖·‖ < 1e-6 from one moments scan."""
+    ev = mo.MomentsEvaluator.from_points(fx.reg2_points(spark, sf_dir))
+    pen, lam = L2Penalty(), LAMBDA_RIDGE2
+    fits = {
+        "gradient_descent": tr.gradient_descent(ev, np.zeros(2), pen, lam, lr=1.0),
+        "bfgs": tr.bfgs(ev, np.zeros(2), pen, lam, lr=1.0),
+        "proximal": tr.proximal_gradient(ev, np.zeros(2), pen, lam, lr=1.0, lr_decay=False),
+        "accelerated_proximal": tr.accelerated_proximal(ev, np.zeros(2), pen, lam, lr=1.0, lr_decay=False),
+    }
+    rows = [(name, j + 1, float(res.weights[j])) for name, res in fits.items() for j in range(2)]
+    return rounded(spark.createDataFrame(rows, "solver string, feature_id int, weight double"), 3)
