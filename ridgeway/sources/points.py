@@ -92,6 +92,33 @@ def points_from_columns(
     return PointSet(out.where(keep), names, "label", id_name, n_classes)
 
 
+def points_from_array(
+    df: DataFrame,
+    features: str,
+    label: Column | str,
+    d: int,
+    id: Column | str | None = None,
+    n_classes: int | None = None,
+) -> PointSet:
+    """A1 for a vector column: ``array<float|double>`` or a Spark ML vector.
+
+    Element j becomes the double column ``x{j+1}`` (d is fixed when the job is
+    built), so the wide, codegen-friendly aggregates apply unchanged. Rows
+    whose array is shorter than d fail the job instead of being silently padded.
+    """
+    src = F.col(features)
+    dtype = df.schema[features].dataType
+    if dtype.typeName() == "vector" or type(dtype).__name__ == "VectorUDT":
+        from pyspark.ml.functions import vector_to_array
+
+        src = vector_to_array(src)
+    checked = F.when(F.size(src) >= d, src).otherwise(
+        F.raise_error(F.lit(f"feature vector shorter than {d}")).cast("array<double>")
+    )
+    lab = F.col(label) if isinstance(label, str) else label
+    return points_from_columns(df, [checked[j] for j in range(d)], lab, id=id, n_classes=n_classes)
+
+
 # --- A2 / A3 / B3 / B4: labelling rules --------------------------------------------
 
 

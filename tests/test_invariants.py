@@ -334,3 +334,22 @@ def test_bowl_lasso_batch_loss_meets_kkt(spark):
                 assert abs(gj) <= lam + 1e-4
             else:
                 assert gj == pytest.approx(-lam * np.sign(wj), abs=1e-4)
+
+
+def test_points_from_array_and_ml_vector(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from ridgeway.sources.points import points_from_array
+    from ridgeway.sources.tables import table
+
+    em = table(spark, SF_SMALL, "embeddings")
+    a = points_from_array(em, "embedding", F.col("label").cast("double"), 4, id="vec_id")
+    b = fx.svm_points(spark, SF_SMALL)
+    ra = a.df.orderBy("id").select("x1", "x4").collect()
+    rb = b.df.orderBy("id").select("x1", "x4").collect()
+    assert ra == rb
+    vec = VectorAssembler(inputCols=["x1", "x2", "x3"], outputCol="v").transform(b.df)
+    c = points_from_array(vec, "v", "label", 3, id="id")
+    assert c.df.orderBy("id").select("x3").collect() == b.df.orderBy("id").select("x3").collect()
+    with pytest.raises(Exception):
+        points_from_array(em, "embedding", F.lit(1.0), 65).df.collect()
