@@ -27,10 +27,9 @@ from ..functions.losses import Loss, get_loss, linear_margin
 from ..sources.points import PointSet
 
 COLUMN_FORM_MAX_OUTPUTS = 96  # C*d above this switches fits to Arrow partials
-# Many models in one Column aggregate means a fresh, wide expression to compile on
-# every step (new literals); measured slower than the Arrow partials even for three
-# models, so model stacks go through Arrow unless this is raised.
-COLUMN_MANY_MAX_OUTPUTS = 0
+# A few models (line-search candidates, a short λ list) share one Column aggregate
+# while their sums fit whole-stage codegen; larger stacks go through Arrow partials.
+COLUMN_MANY_MAX_OUTPUTS = 96
 
 
 def as_matrix(W, n_margins: int, d: int) -> np.ndarray:
@@ -68,20 +67,34 @@ def margin_expr(weights, features) -> "F.Column":
 
 
 class _StepPlan:
-    """The weight-independent part of the Column aggregate, built once per fit."""
+    """The weight-independent part of the Column aggregate for M models, built once.
 
-    def __init__(self, points: PointSet, loss: Loss, C: int):
+    Only the margins change from step to step; the pointwise loss, its
+    derivatives and the sums are reused. Output columns: ``n``, ``loss_{m}``,
+    ``g_{m}_{c}_{j}``.
+    """
+
+    def __init__(self, points: PointSet, loss: Loss, C: int, M: int = 1, with_grad: bool = True):
         feats = list(points.features)
-        self.feats, self.C = feats, C
+        self.feats, self.C, self.M = feats, C, M
         self.label = F.col(points.label).alias("_y")
-        lcol, dcols = loss.pointwise([F.col(f"_z{c}") for c in range(C)], F.col("_y"))
-        self.pw = [*[F.col(x) for x in feats], lcol.alias("_l"), *[d.alias(f"_d{c}") for c, d in enumerate(dcols)]]
-        self.aggs = [F.count(F.lit(1)).alias("n"), F.sum("_l").alias("loss")] + [
-            F.sum(F.col(f"_d{c}") * F.col(x)).alias(f"g_{c}_{j + 1}") for c in range(C) for j, x in enumerate(feats)
-        ]
-
-    def row(self, df: DataFrame, Wm: np.ndarray) -> DataFrame:
-        z = [margin_expr(Wm[c], self.feats).alias(f"_z{c}") for c in range(self.C)]
+        self.pw = [F.col(x) for x in feats]
+        self.aggs = [F.count(F.lit(1)).alias("n")]
+        for m in range(M):
+            lcol, dcols = loss.pointwise([F.col(f"_z{m}_{c}") for c in range(C)], F.col("_y"))
+            self.pw.append(lcol.alias(f"_l{m}"))
+            self.aggs.append(F.sum(f"_l{m}").alias(f"loss_{m}"))
+            if with_grad:
+                self.pw += [d.alias(f"_d{m}_{c}") for c, d in enumerate(dcols)]
+                self.aggs += [
+                    F.sum(F.col(f"_d{m}_{c}") * F.col(x)).alias(f"g_{m}_{c}_{j + 1}")
+                    for c in range(C)
+                    for j, x in enumerate(feats)
+                ]
+
+    def row(self, df: DataFrame, Ws: np.ndarray) -> DataFrame:
+        Ws = np.asarray(Ws).reshape(self.M, self.C, len(self.feats))
+        z = [margin_expr(Ws[m, c], self.feats).alias(f"_z{m}_{c}") for m in range(self.M) for c in range(self.C)]
         return df.select(*self.feats, self.label, *z).select(*self.pw).agg(*self.aggs)
 
 
@@ -117,7 +130,7 @@ def loss_grad_row_many(points: PointSet, loss: str | Loss, Ws, with_grad: bool =
     y = F.col(points.label)
     sel = []
     for m, Wm in enumerate(Ws):
-        sel += [linear_margin(Wm[c], feats).alias(f"_z{m}_{c}") for c in range(C)]
+        sel += [margin_expr(Wm[c], feats).alias(f"_z{m}_{c}") for c in range(C)]
     with_z = points.df.select(*feats, y.alias("_y"), *sel)
     pw_cols = []
     for m in range(len(Ws)):
@@ -410,20 +423,20 @@ class SparkEvaluator(Evaluator):
             strategy = "column" if narrow and not hasattr(self.loss, "batch_fn") else "arrow"
         self.strategy = strategy
         self.jobs = 0
-        self._plan = _StepPlan(self.points, self.loss, self.n_margins) if strategy == "column" else None
+        self._plans: dict[tuple[int, bool], _StepPlan] = {}
 
     def evaluate(self, W):
         Wm = as_matrix(W, self.n_margins, self.d)
         self.jobs += 1
         if self.strategy == "column":
-            r = self._plan.row(self.points.df, Wm).collect()[0]
+            r = self._plan(1, True).row(self.points.df, Wm[None]).collect()[0]
             n = float(r["n"])
             if n == 0:
                 raise ValueError("empty point table")
             G = np.array(
-                [[r[f"g_{c}_{j + 1}"] for j in range(self.d)] for c in range(self.n_margins)], dtype=float
+                [[r[f"g_0_{c}_{j + 1}"] for j in range(self.d)] for c in range(self.n_margins)], dtype=float
             )
-            return n, float(r["loss"]), G
+            return n, float(r["loss_0"]), G
         n, losses, grads = collect_models(self.points, self.loss, Wm[None], True)
         if n == 0:
             raise ValueError("empty point table")
@@ -435,7 +448,7 @@ class SparkEvaluator(Evaluator):
         width = M * (1 + (C * d if with_grad else 0))
         if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS:
             self.jobs += 1
-            r = loss_grad_row_many(self.points, self.loss, Ws, with_grad).first()
+            r = self._plan(M, with_grad).row(self.points.df, Ws).collect()[0]
             n = float(r["n"])
             losses = np.array([r[f"loss_{m}"] for m in range(M)], dtype=float)
             grads = np.zeros((M, C, d))
@@ -448,6 +461,12 @@ class SparkEvaluator(Evaluator):
         self.jobs += -(-M // MAX_MODELS_PER_JOB)
         return collect_models(self.points, self.loss, Ws, with_grad)
 
+    def _plan(self, M: int, with_grad: bool) -> _StepPlan:
+        key = (M, with_grad)
+        if key not in self._plans:
+            self._plans[key] = _StepPlan(self.points, self.loss, self.n_margins, M, with_grad)
+        return self._plans[key]
+
     def close(self):
         if self._owned:
             self.points.unpersist()

@@ -128,14 +128,17 @@ def batched_line_search(
 ):
     """First Armijo-accepted step among η ρ^m, m = 0, 1, ..., in batches.
 
-    Candidates of one batch are evaluated in a single job; the accepted m is
-    the same as a one-at-a-time search would find. Returns
+    Candidates of one batch are evaluated in a single job; batches double in
+    size when none passes. The accepted m is the same as a one-at-a-time search
+    would find. Returns
     (eta, w_next, data_loss, data_grad) or None after ``max_shrinks``.
     """
     slope = float(np.sum(g * direction))  # Frobenius inner product
     m0 = 0
+    size = batch
     while m0 <= max_shrinks:
-        ms = list(range(m0, min(m0 + batch, max_shrinks + 1)))
+        ms = list(range(m0, min(m0 + size, max_shrinks + 1)))
+        size = min(2 * size, 32)  # η carries over, so the first batch usually suffices; grow if not
         etas = [eta * rho**m for m in ms]
         cands = [w + e * direction for e in etas]
         if len(cands) == 1:
@@ -162,7 +165,7 @@ def gradient_descent(
     rho: float = 0.9,
     n_iter: int = 2000,
     tol: float = 1e-6,
-    batch: int = 8,
+    batch: int = 2,
     max_shrinks: int = 100,
 ) -> FitResult:
     """Steepest descent with Armijo backtracking; η carries over between steps."""
@@ -179,7 +182,7 @@ def bfgs(
     rho: float = 0.9,
     n_iter: int = 2000,
     tol: float = 1e-6,
-    batch: int = 8,
+    batch: int = 2,
     max_shrinks: int = 100,
     max_params: int = 2000,
 ) -> FitResult:
