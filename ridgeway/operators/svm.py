@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.losses import linear_margin
 from ..session import checkpoint_dir
 from ..sources.points import PointSet
-from .loss_grad import collect_models
+from .loss_grad import collect_models, margin_expr
 from .penalties import box_clip
 
 
@@ -47,7 +47,7 @@ def _dual_vector(points: PointSet, a: str = "a") -> list[float]:
 
 def dual_gradient_column(points: PointSet, v, lam: float) -> Column:
     """∇(−D)_i = y_i (x_i · v)/(2λ) − 1 with v given (parameter-sized)."""
-    return (F.col(points.label) * linear_margin(v, list(points.features))) / F.lit(2.0 * lam) - 1.0
+    return (F.col(points.label) * margin_expr(v, list(points.features))) / F.lit(2.0 * lam) - 1.0
 
 
 def dual_objective_grad(points: PointSet, lam: float, a: str = "a") -> DataFrame:
@@ -145,12 +145,14 @@ def fit_svm_dual(
     dual_hist, path, etas, norms = [], [], [], []
     status = "max_iter"
     jobs = 1
+    sums = [  # built once; every step aggregates the same Columns over the new state
+        *[F.sum(F.col("a") * F.col("label") * F.col(x)).alias(x) for x in feats],
+        F.sum("a").alias("_sa"),
+        F.sum((F.col("a") - F.col("a_prev")) * (F.col("a") - F.col("a_prev"))).alias("_dd"),
+    ]
+    keep = [F.col(points.id), *[F.col(x) for x in feats], F.col("label")]
     for t in range(n_iter + 1):
-        r = state.agg(
-            *[F.sum(F.col("a") * F.col("label") * F.col(x)).alias(x) for x in feats],
-            F.sum("a").alias("_sa"),
-            F.sum((F.col("a") - F.col("a_prev")) * (F.col("a") - F.col("a_prev"))).alias("_dd"),
-        ).first()
+        r = state.agg(*sums).collect()[0]
         jobs += 1
         v = [float(r[x] or 0.0) for x in feats]
         dual = -float(np.dot(v, v)) / (4.0 * lam) + float(r["_sa"] or 0.0)
@@ -166,8 +168,7 @@ def fit_svm_dual(
         eta = lr / math.sqrt(t + 1) if lr_decay else lr
         etas.append(eta)
         grad = dual_gradient_column(ypts.with_df(state), v, lam)
-        state = state.select(points.id, *feats, "label", box_clip(F.col("a") - F.lit(eta) * grad).alias("a"),
-                             F.col("a").alias("a_prev"))
+        state = state.select(*keep, box_clip(F.col("a") - F.lit(eta) * grad).alias("a"), F.col("a").alias("a_prev"))
         if (t + 1) % checkpoint_every == 0:
             state = state.checkpoint(eager=True)
             jobs += 1
