@@ -33,6 +33,18 @@ def linear_margin(weights: Sequence[float], features: Sequence[str | Column]) ->
     return acc
 
 
+def _pm1(label: Column) -> Column:
+    """The label itself when it is ±1; otherwise the job fails (no silent 0/1 labels)."""
+    return F.when((label == 1.0) | (label == -1.0), label).otherwise(
+        F.raise_error(F.lit("binary losses need labels -1 or +1")).cast("double")
+    )
+
+
+def _check_pm1(y: np.ndarray) -> None:
+    if not np.all(np.abs(y) == 1.0):
+        raise ValueError("binary losses need labels -1 or +1")
+
+
 class Loss:
     name = "loss"
     multiclass = False
@@ -59,12 +71,14 @@ class LogisticLoss(Loss):
     name = "logistic"
 
     def pointwise(self, margins, label):
+        label = _pm1(label)
         m = label * margins[0]
         loss = F.greatest(-m, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m)))
         dloss = -label / (F.exp(m) + 1.0)
         return loss, [dloss]
 
     def numpy(self, Z, y):
+        _check_pm1(y)
         m = y * Z[:, 0]
         loss = np.maximum(-m, 0.0) + np.log1p(np.exp(-np.abs(m)))
         with np.errstate(over="ignore"):
@@ -72,6 +86,7 @@ class LogisticLoss(Loss):
         return loss, d[:, None]
 
     def numpy_many(self, Z, y):
+        _check_pm1(y)
         yy = y[:, None]
         m = yy * Z
         loss = np.maximum(-m, 0.0) + np.log1p(np.exp(-np.abs(m)))
@@ -87,18 +102,21 @@ class HingeLoss(Loss):
     differentiable = False
 
     def pointwise(self, margins, label):
+        label = _pm1(label)
         m = label * margins[0]
         loss = F.greatest(F.lit(0.0), 1.0 - m)
         dloss = F.when(loss > 0, -label).otherwise(F.lit(0.0))
         return loss, [dloss]
 
     def numpy(self, Z, y):
+        _check_pm1(y)
         m = y * Z[:, 0]
         loss = np.maximum(0.0, 1.0 - m)
         d = np.where(loss > 0, -y, 0.0)
         return loss, d[:, None]
 
     def numpy_many(self, Z, y):
+        _check_pm1(y)
         yy = y[:, None]
         loss = np.maximum(0.0, 1.0 - yy * Z)
         return loss, np.where(loss > 0, -yy, 0.0)
@@ -140,7 +158,8 @@ class SoftmaxLoss(Loss):
             e = F.exp(z - mx)
             total = e if total is None else total + e
         lse = mx + F.log(total)
-        picked = F.lit(None).cast("double")
+        # a label outside 0..C-1 fails the job instead of dropping out of the sums
+        picked = F.raise_error(F.lit(f"class labels must lie in 0..{len(margins) - 1}")).cast("double")
         for c in range(len(margins) - 1, -1, -1):
             picked = F.when(label == c, margins[c]).otherwise(picked)
         loss = lse - picked
@@ -151,6 +170,8 @@ class SoftmaxLoss(Loss):
         mx = Z.max(axis=1, keepdims=True)
         lse = mx[:, 0] + np.log(np.exp(Z - mx).sum(axis=1))
         yi = y.astype(np.int64)
+        if len(yi) and (yi.min() < 0 or yi.max() >= Z.shape[1] or not np.array_equal(yi, y)):
+            raise ValueError(f"class labels must lie in 0..{Z.shape[1] - 1}")
         loss = lse - Z[np.arange(len(yi)), yi]
         P = np.exp(Z - lse[:, None])
         P[np.arange(len(yi)), yi] -= 1.0

@@ -353,3 +353,14 @@ def test_points_from_array_and_ml_vector(spark):
     assert c.df.orderBy("id").select("x3").collect() == b.df.orderBy("id").select("x3").collect()
     with pytest.raises(Exception):
         points_from_array(em, "embedding", F.lit(1.0), 65).df.collect()
+
+
+def test_bad_labels_fail_instead_of_dropping_out(spark):
+    pts = fx.bin_points(spark, SF_SMALL)
+    zero_one = pts.with_df(pts.df.withColumn("label", (F.col("label") + 1) / 2))
+    with pytest.raises(Exception, match="labels -1 or \\+1"):
+        lg.loss_grad_row(zero_one, "logistic", np.zeros(4)).collect()
+    multi = fx.multi_points(spark, SF_SMALL)
+    shifted = multi.with_df(multi.df.withColumn("label", F.col("label") + 1))
+    with pytest.raises(Exception, match="class labels must lie"):
+        lg.loss_grad_row(shifted, "softmax", np.zeros((3, 4))).collect()
