@@ -313,6 +313,11 @@ PARTIAL_SLOTS_PER_TASK = 50_000
 
 
 def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
+    """Sums for many weight matrices in one scan: ``(model, slot, value)``."""
+    return _models_parts(points, loss, Ws, with_grad).groupBy("model", "slot").agg(F.sum("value").alias("value"))
+
+
+def _models_parts(points: PointSet, loss: str | Loss, Ws, with_grad: bool) -> DataFrame:
     """Sums for many weight matrices in one scan: ``(model, slot, value)``.
 
     The model stack is parameter-sized and checked (at most
@@ -338,16 +343,15 @@ def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tr
         # Per-row work grows with the number of models while this shuffle moves only
         # d+1 columns once: spread the rows evenly over every core of the cluster.
         src = src.repartition(src.sparkSession.sparkContext.defaultParallelism)
-    parts = src.mapInArrow(fn, _SLOT_SCHEMA)
-    return parts.groupBy("model", "slot").agg(F.sum("value").alias("value"))
+    return src.mapInArrow(fn, _SLOT_SCHEMA)
 
 
 def models_frame(points: PointSet, loss: str | Loss, Ws) -> DataFrame:
     """Loss sums for a model stack as a DataFrame ``(model, n, loss_sum)``, no driver round trip."""
-    parts = models_partials(points, loss, Ws, with_grad=False)
+    parts = _models_parts(points, loss, Ws, with_grad=False)  # slots 0 (n) and 1 (loss) only
     return parts.groupBy("model").agg(
-        F.max(F.when(F.col("slot") == 0, F.col("value"))).cast("bigint").alias("n"),
-        F.max(F.when(F.col("slot") == 1, F.col("value"))).alias("loss_sum"),
+        F.sum(F.when(F.col("slot") == 0, F.col("value"))).cast("bigint").alias("n"),
+        F.sum(F.when(F.col("slot") == 1, F.col("value"))).alias("loss_sum"),
     )
 
 
