@@ -172,6 +172,18 @@ def fit_accelerated_proximal(spark, sf_dir):
     return _model(spark, res)
 
 
+@register("trace_table_accelerated", _ACC_BIN.trace_sql("acc_bin", with_eval_point=True))
+def trace_table_accelerated(spark, sf_dir):
+    """A6 + Q6: trace of the accelerated L1 fit; objectives at the extrapolated points, the last at w."""
+    ev = lg.SparkEvaluator(fx.bin_points(spark, sf_dir), "logistic")
+    try:
+        res = tr.accelerated_proximal(ev, np.zeros(4), L1Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False,
+                                      n_iter=K_STEPS)
+    finally:
+        ev.close()
+    return rounded(res.trace_frame(spark, "acc_bin").select("run_id", "iter", "loss", "eta", "norm", "eval_point"))
+
+
 _PROJ_BIN = o.FitSQL("BIN", "logistic", 1, 4, K_STEPS, [[0.5] * 4], "project_box", lr=1.0, decay=True)
 
 

@@ -257,12 +257,14 @@ class FitSQL:
                 )
         return self.cte() + " " + " UNION ALL ".join(parts)
 
-    def trace_sql(self, run_id: str) -> str:
-        eta = "NULL" if False else (f"({D(self.lr)} / sqrt(k))" if self.decay else D(self.lr))
+    def trace_sql(self, run_id: str, with_eval_point: bool = False) -> str:
+        eta = f"({D(self.lr)} / sqrt(k))" if self.decay else D(self.lr)
+        ep_step = f", '{'extrapolated' if self.acc else 'current'}' AS eval_point" if with_eval_point else ""
+        ep_last = ", 'current' AS eval_point" if with_eval_point else ""
         steps = (f"SELECT '{run_id}' AS run_id, CAST(k - 1 AS INTEGER) AS iter, {R('fprev')} AS loss, "
-                 f"{R(eta)} AS eta, {R('dnorm')} AS norm FROM it WHERE k >= 1")
+                 f"{R(eta)} AS eta, {R('dnorm')} AS norm{ep_step} FROM it WHERE k >= 1")
         last = (f"SELECT '{run_id}' AS run_id, CAST((SELECT max(k) FROM it) AS INTEGER) AS iter, {R('f')} AS loss, "
-                f"CAST(NULL AS DOUBLE) AS eta, CAST(NULL AS DOUBLE) AS norm FROM fin")
+                f"CAST(NULL AS DOUBLE) AS eta, CAST(NULL AS DOUBLE) AS norm{ep_last} FROM fin")
         return f"{self.final_cte()} {steps} UNION ALL {last}"
 
 
