@@ -364,3 +364,13 @@ def test_bad_labels_fail_instead_of_dropping_out(spark):
     shifted = multi.with_df(multi.df.withColumn("label", F.col("label") + 1))
     with pytest.raises(Exception, match="class labels must lie"):
         lg.loss_grad_row(shifted, "softmax", np.zeros((3, 4))).collect()
+
+
+def test_svm_duality_gap_closes_with_lipschitz_step(spark):
+    pts = fx.svm_points(spark, SF_SMALL)
+    fit = sv.fit_svm_dual(pts, 1.0, lr="lipschitz", lr_decay=False, n_iter=200)
+    primal = sv.primal_history(pts, fit)
+    gaps = [p - d for p, d in zip(primal, fit.dual_hist)]
+    assert fit.status == "converged"
+    assert all(g >= -1e-6 for g in gaps)  # weak duality along the path
+    assert gaps[-1] < 1e-4 * gaps[0]
