@@ -31,16 +31,17 @@ def embedding_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coefficients_from_array(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
-def stack_weights(blocks: Sequence[DataFrame]) -> DataFrame:
+def stack_weights(blocks: Sequence[DataFrame], sizes: Sequence[int] | None = None) -> DataFrame:
     """Concatenate coefficient blocks feature-wise, offsetting feature ids.
 
-    Block sizes are the largest feature id of each block (a parameter-sized
-    aggregate), so block k's features follow those of blocks 0..k-1.
+    Block k's features follow those of blocks 0..k-1. ``sizes`` gives each
+    block's feature count; without it the largest feature id of each block is
+    read (one small aggregate per block).
     """
     out = None
     offset = 0
-    for b in blocks:
-        size = b.agg(F.max("feature_id")).first()[0] or 0
+    for k, b in enumerate(blocks):
+        size = sizes[k] if sizes is not None else (b.agg(F.max("feature_id")).first()[0] or 0)
         shifted = b.select("model_id", "class_id", (F.col("feature_id") + F.lit(offset)).cast("int").alias("feature_id"),
                            "weight")
         out = shifted if out is None else out.unionByName(shifted)
