@@ -374,3 +374,10 @@ def test_svm_duality_gap_closes_with_lipschitz_step(spark):
     assert fit.status == "converged"
     assert all(g >= -1e-6 for g in gaps)  # weak duality along the path
     assert gaps[-1] < 1e-4 * gaps[0]
+
+
+def test_empty_input_aggregate_gives_n_zero_and_null_loss(spark):
+    pts = fx.bin_points(spark, SF_SMALL)
+    empty = pts.with_df(pts.df.where(F.lit(False)))
+    rows = lg.loss_grad_long(empty, "logistic", np.zeros(4)).collect()
+    assert len(rows) == 4 and all(r["n"] == 0 and r["loss"] is None and r["grad"] is None for r in rows)
