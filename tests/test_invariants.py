@@ -381,3 +381,20 @@ def test_empty_input_aggregate_gives_n_zero_and_null_loss(spark):
     empty = pts.with_df(pts.df.where(F.lit(False)))
     rows = lg.loss_grad_long(empty, "logistic", np.zeros(4)).collect()
     assert len(rows) == 4 and all(r["n"] == 0 and r["loss"] is None and r["grad"] is None for r in rows)
+
+
+class _UphillEvaluator(lg.Evaluator):
+    """f(w) = ½‖w‖² but reporting −∇f, so no Armijo step can ever be accepted."""
+
+    n_margins, d, jobs = 1, 2, 0
+
+    def evaluate(self, W):
+        w = np.asarray(W, dtype=float).reshape(-1)
+        return 1.0, 0.5 * float(w @ w), -w[None, :]
+
+
+def test_line_search_gives_up_after_max_shrinks():
+    res = tr.gradient_descent(_UphillEvaluator(), np.array([1.0, -2.0]), None, 0.0, max_shrinks=100)
+    assert res.status == "line_search_failed"
+    np.testing.assert_allclose(res.weights, [1.0, -2.0])
+    assert len(res.trace) == 1
