@@ -41,6 +41,8 @@ class FitResult:
     @property
     def path(self) -> np.ndarray:
         """Iterates w_0 .. w_T (T+1 entries, the first is the initial point)."""
+        if any(row[5] is None for row in self.trace):
+            raise ValueError("this fit did not keep its path (keep_path=False or a large model)")
         return np.array([row[5] for row in self.trace])
 
     @property
@@ -52,7 +54,7 @@ class FitResult:
         """The trace as a DataFrame (parameter-sized)."""
         rows = [
             (run_id, int(i), float(l), None if e is None else float(e), None if nm is None else float(nm), ep,
-             [float(v) for v in np.asarray(w).reshape(-1)])
+             None if w is None else [float(v) for v in np.asarray(w).reshape(-1)])
             for (i, l, e, nm, ep, w) in self.trace
         ]
         return spark.createDataFrame(rows, TRACE_SCHEMA)
@@ -69,6 +71,15 @@ def model_rows(W, model_id: int = 0) -> list[tuple]:
     return [(int(model_id), c, j + 1, float(M[c, j])) for c in range(M.shape[0]) for j in range(M.shape[1])]
 
 
+PATH_MAX_WEIGHTS = 10_000  # beyond this, traces keep the objective but not every iterate
+
+
+def _snapshot(keep_path: bool | None, size: int):
+    """Copy of the iterate for the trace, or None when the path is not kept."""
+    keep = size <= PATH_MAX_WEIGHTS if keep_path is None else keep_path
+    return (lambda w: np.asarray(w, dtype=float).copy()) if keep else (lambda w: None)
+
+
 def step_size(lr: float, t: int, decay: bool) -> float:
     """η_t = lr, or lr/√t with t counted from 1."""
     return lr / math.sqrt(t) if decay else lr
@@ -167,9 +178,10 @@ def gradient_descent(
     tol: float = 1e-6,
     batch: int = 2,
     max_shrinks: int = 100,
+    keep_path: bool | None = None,
 ) -> FitResult:
     """Steepest descent with Armijo backtracking; η carries over between steps."""
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs=False)
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, False, keep_path)
 
 
 def bfgs(
@@ -184,6 +196,7 @@ def bfgs(
     tol: float = 1e-6,
     batch: int = 2,
     max_shrinks: int = 100,
+    keep_path: bool | None = None,
     max_params: int = 2000,
 ) -> FitResult:
     """Inverse-BFGS over the flattened weights with the same Armijo search.
@@ -193,15 +206,16 @@ def bfgs(
     """
     if np.asarray(w0).size > max_params:
         raise ValueError(f"BFGS keeps a dense {np.asarray(w0).size}² matrix; limit is {max_params} weights")
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs=True)
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, True, keep_path)
 
 
-def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs):
+def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=None):
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
     require_differentiable(penalty)
     w = np.asarray(w0, dtype=float).copy()
     shape = w.shape
+    snap = _snapshot(keep_path, w.size)
     obj = _Objective(ev, penalty, lam, shape)
     eta = lr
     trace = []
@@ -221,7 +235,7 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
             status = "line_search_failed"
             break
         eta, w_next, loss_n, grad_n = found
-        trace.append((i, F0, eta, gnorm, "current", w.copy()))
+        trace.append((i, F0, eta, gnorm, "current", snap(w)))
         if bfgs:
             s = (w_next - w).reshape(-1)
             y = (obj.smooth_grad(w_next, grad_n) - g).reshape(-1)
@@ -246,11 +260,13 @@ def proximal_gradient(
     lr_decay: bool = True,
     n_iter: int = 2000,
     tol: float = 1e-6,
+    keep_path: bool | None = None,
 ) -> FitResult:
     """W ← prox(w − η∇f(w), ηλ); stops when ‖Δw‖ < tol."""
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
+    snap = _snapshot(keep_path, w.size)
     obj = _Objective(ev, penalty, lam, w.shape)
     trace = []
     status = "max_iter"
@@ -259,7 +275,7 @@ def proximal_gradient(
         eta = step_size(lr, i + 1, lr_decay)
         w_next = penalty.prox(w - eta * grad, eta * lam)
         dnorm = float(np.linalg.norm(w_next - w))
-        trace.append((i, F0, eta, dnorm, "current", w.copy()))
+        trace.append((i, F0, eta, dnorm, "current", snap(w)))
         w = w_next
         if dnorm < tol:
             status = "converged"
@@ -279,6 +295,7 @@ def accelerated_proximal(
     n_iter: int = 2000,
     tol: float = 1e-6,
     momentum: str = "published",
+    keep_path: bool | None = None,
 ) -> FitResult:
     """Proximal step at an extrapolated point with momentum.
 
@@ -292,6 +309,7 @@ def accelerated_proximal(
         raise ValueError("momentum must be 'published' or 'sqrt'")
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
+    snap = _snapshot(keep_path, w.size)
     obj = _Objective(ev, penalty, lam, w.shape)
     tmp = w.copy()
     co = 1.0
@@ -308,7 +326,7 @@ def accelerated_proximal(
         co = (base + math.sqrt(1.0 + 4.0 * co * co)) / 2.0
         tmp = w + (w - w_old) * ((co_old - 1.0) / co)
         dnorm = float(np.linalg.norm(w - w_old))
-        trace.append((i, Ft, eta, dnorm, "extrapolated", w_old.copy()))
+        trace.append((i, Ft, eta, dnorm, "extrapolated", snap(w_old)))
         if dnorm < tol:
             status = "converged"
             break
@@ -325,10 +343,12 @@ def projected_gradient(
     lr_decay: bool = True,
     n_iter: int = 2000,
     tol: float = 1e-6,
+    keep_path: bool | None = None,
 ) -> FitResult:
     """E5: w ← project(w − η∇f(w)); no penalty; logs the data loss."""
     _check_args(n_iter, tol, lr)
     w = np.asarray(w0, dtype=float).copy()
+    snap = _snapshot(keep_path, w.size)
     obj = _Objective(ev, NoPenalty(), 0.0, w.shape)
     trace = []
     status = "max_iter"
@@ -337,7 +357,7 @@ def projected_gradient(
         eta = step_size(lr, i + 1, lr_decay)
         w_next = projector.project(w - eta * grad)
         dnorm = float(np.linalg.norm(w_next - w))
-        trace.append((i, loss, eta, dnorm, "current", w.copy()))
+        trace.append((i, loss, eta, dnorm, "current", snap(w)))
         w = w_next
         if dnorm < tol:
             status = "converged"
@@ -358,6 +378,7 @@ def custom_optimizer(
     lam: float = 0.0,
     n_iter: int = 2000,
     tol: float = 1e-6,
+    keep_path: bool | None = None,
 ) -> FitResult:
     """Run a user step function ``step(w, state, data_fn) -> (w_next, state)``.
 
@@ -366,6 +387,7 @@ def custom_optimizer(
     """
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
+    snap = _snapshot(keep_path, w.size)
     obj = _Objective(ev, penalty, lam, w.shape)
     state: dict = {}
     trace = []
@@ -375,7 +397,7 @@ def custom_optimizer(
         w_next, state = step(w, state, obj.data)
         w_next = np.asarray(w_next, dtype=float)
         dnorm = float(np.linalg.norm(w_next - w))
-        trace.append((i, F0, state.get("eta"), dnorm, "current", w.copy()))
+        trace.append((i, F0, state.get("eta"), dnorm, "current", snap(w)))
         w = w_next
         if dnorm < tol:
             status = "converged"

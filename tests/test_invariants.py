@@ -398,3 +398,13 @@ def test_line_search_gives_up_after_max_shrinks():
     assert res.status == "line_search_failed"
     np.testing.assert_allclose(res.weights, [1.0, -2.0])
     assert len(res.trace) == 1
+
+
+def test_keep_path_false_drops_iterates_but_keeps_result(spark):
+    ev = mo.MomentsEvaluator.from_points(fx.reg2_points(spark, SF_SMALL))
+    res = tr.proximal_gradient(ev, np.zeros(2), pe.L2Penalty(), 0.1, lr=1.0, lr_decay=False, n_iter=5,
+                               keep_path=False)
+    assert res.trace[-1][5] is not None and all(r[5] is None for r in res.trace[:-1])
+    with pytest.raises(ValueError):
+        res.path
+    assert res.trace_frame(spark, "r").where(F.col("weights").isNull()).count() == len(res.trace) - 1
