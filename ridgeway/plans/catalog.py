@@ -1136,3 +1136,25 @@ def solver_comparison_ridge(spark, sf_dir):
     }
     rows = [(name, j + 1, float(res.weights[j])) for name, res in fits.items() for j in range(2)]
     return rounded(spark.createDataFrame(rows, "solver string, feature_id int, weight double"), 3)
+
+
+@register("solver_comparison_multiclass")
+def solver_comparison_multiclass(spark, sf_dir):
+    """F11 for the multiclass case: four solvers on MULTI softmax + L2 (λ=0.01, init ones(3,4), ≤10 steps)."""
+    ev = lg.SparkEvaluator(fx.multi_points(spark, sf_dir), "softmax")
+    W0 = np.ones((3, 4))
+    pen, lam = L2Penalty(), P.LAMBDA_L2
+    try:
+        fits = {
+            "gradient_descent": tr.gradient_descent(ev, W0, pen, lam, lr=1.0, n_iter=10),
+            "bfgs": tr.bfgs(ev, W0, pen, lam, lr=1.0, n_iter=10),
+            "proximal": tr.proximal_gradient(ev, W0, pen, lam, lr=1.0, lr_decay=False, n_iter=10),
+            "accelerated_proximal": tr.accelerated_proximal(ev, W0, pen, lam, lr=1.0, lr_decay=False, n_iter=10),
+        }
+    finally:
+        ev.close()
+    rows = [(name, c, j + 1, float(res.weights[c, j]), float(res.objective), res.iterations, res.status)
+            for name, res in fits.items() for c in range(3) for j in range(4)]
+    df = spark.createDataFrame(rows, "solver string, class_id int, feature_id int, weight double, "
+                                     "objective double, iterations int, status string")
+    return rounded(df)

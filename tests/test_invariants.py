@@ -408,3 +408,18 @@ def test_keep_path_false_drops_iterates_but_keeps_result(spark):
     with pytest.raises(ValueError):
         res.path
     assert res.trace_frame(spark, "r").where(F.col("weights").isNull()).count() == len(res.trace) - 1
+
+
+def test_matrix_solvers_lower_the_objective(spark):
+    ev = lg.SparkEvaluator(fx.multi_points(spark, SF_SMALL), "softmax")
+    W0 = np.ones((3, 4))
+    try:
+        F0 = tr.proximal_gradient(ev, W0, pe.L2Penalty(), 0.01, n_iter=1).trace[0][1]
+        for f in (tr.gradient_descent, tr.bfgs):
+            res = f(ev, W0, pe.L2Penalty(), 0.01, lr=1.0, n_iter=4)
+            assert res.weights.shape == (3, 4)
+            assert res.objective < F0
+            losses = [r[1] for r in res.trace]
+            assert all(a >= b - 1e-12 for a, b in zip(losses, losses[1:]))
+    finally:
+        ev.close()
