@@ -5,11 +5,13 @@ Two strategies give the same sums:
 * ``column``: margins, pointwise loss and ``dloss_c * x_j`` are Column
   expressions; one global aggregate (partial per task, final on one
   partition) returns ``n``, the loss sum and all C*d gradient sums. Nothing
-  leaves the JVM. Used by one-shot queries and by fits with small C*d.
+  leaves the JVM. Used by one-shot queries, by fits with small C*d and by
+  small model batches (line-search candidates, short λ lists); in a fit the
+  weight-independent Columns are built once and only the margins change.
 * ``arrow``: ``mapInArrow`` computes ``X @ W.T`` and ``D.T @ X`` per Arrow
-  batch with NumPy and emits one partial per task as (slot, value) rows, which
-  a ``groupBy(slot)`` sums. Used in fit loops when C*d is wide, where a Column
-  aggregate would need hundreds of fields.
+  batch with NumPy and emits one partial per task as (model, slot, value)
+  rows, which a ``groupBy`` sums. Used when the sums outgrow codegen: wide
+  C*d, large model stacks (loss grids, SVM histories) and batch losses.
 
 Either way, the only data that reaches the driver is parameter-sized.
 """

@@ -1,6 +1,7 @@
 """Every catalogue query against its DuckDB oracle on the smallest tables."""
 
 import math
+import re
 
 import pytest
 
@@ -10,6 +11,10 @@ from conftest import SF_SMALL
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
+# Scale rules every plan must keep: no cross products or nested-loop joins, and no
+# row-at-a-time Python UDFs (Arrow batches via MapInArrow are allowed).
+FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython")
+
 
 def _norm(v):
     if isinstance(v, float):
@@ -29,6 +34,8 @@ def test_only_solver_comparisons_lack_sql():
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not FORBIDDEN.search(plan), f"{name}: {FORBIDDEN.search(plan).group(0)} in the plan"
     res = duck.execute(SQL[name])
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
