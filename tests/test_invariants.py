@@ -423,3 +423,28 @@ def test_matrix_solvers_lower_the_objective(spark):
             assert all(a >= b - 1e-12 for a, b in zip(losses, losses[1:]))
     finally:
         ev.close()
+
+
+def test_survey_check_values(spark):
+    """Numbers recorded independently in FIXTURES.md (sf0.01)."""
+    from ridgeway.plans import params as P
+
+    pts = fx.bin_points(spark, SF_MID)
+    pts = pts.with_df(pts.df.withColumn("x4", F.lit(1.0)))
+    rows = lg.loss_grad_long(pts, "logistic", list(P.W_BIN)).orderBy("feature_id").collect()
+    assert rows[0]["loss"] == pytest.approx(0.721168264, abs=1e-9)
+    np.testing.assert_allclose([r["grad"] for r in rows], [0.104809301, 0.102260978, 0.106559570, 0.201843390],
+                               atol=1e-9)
+    ev = mo.MomentsEvaluator.from_points(fx.reg2_points(spark, SF_MID))
+    # the exact lasso solution; the stop rule ‖Δw‖ < 1e-6 leaves the accelerated method ~2e-5 away
+    lasso = tr.accelerated_proximal(ev, np.zeros(2), pe.L1Penalty(), 0.05, lr=1.0, lr_decay=False, n_iter=2000)
+    np.testing.assert_allclose(lasso.weights, [0.377330, 0.359071], atol=5e-5)
+    step = 1.0 / mo.lipschitz_constant(ev.m)
+    ista = tr.proximal_gradient(ev, np.zeros(2), pe.L1Penalty(), 0.05, lr=step, lr_decay=False, n_iter=5000)
+    np.testing.assert_allclose(ista.weights, [0.377330, 0.359071], atol=1e-5)
+    ev2 = lg.SparkEvaluator(fx.bin2_points(spark, SF_MID), "logistic")
+    try:
+        ridge = tr.bfgs(ev2, np.zeros(2), pe.L2Penalty(), 0.01)
+    finally:
+        ev2.close()
+    np.testing.assert_allclose(ridge.weights, [-0.56938, -0.53215], atol=1e-5)
