@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.losses import Loss, get_loss, linear_margin
+from ..session import spread_if_few_splits
 from ..sources.points import PointSet
 
 COLUMN_FORM_MAX_OUTPUTS = 96  # C*d above this switches fits to Arrow partials
@@ -342,9 +343,8 @@ def _models_parts(points: PointSet, loss: str | Loss, Ws, with_grad: bool) -> Da
         # large per-task partials: one task per core (narrow coalesce) keeps the shuffle small
         src = src.coalesce(src.sparkSession.sparkContext.defaultParallelism)
     elif Ws.shape[0] >= REBALANCE_MIN_MODELS:
-        # Per-row work grows with the number of models while this shuffle moves only
-        # d+1 columns once: spread the rows evenly over every core of the cluster.
-        src = src.repartition(src.sparkSession.sparkContext.defaultParallelism)
+        # per-row work grows with the number of models: make sure every core gets rows
+        src = spread_if_few_splits(src)
     return src.mapInArrow(fn, _SLOT_SCHEMA)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.losses import linear_margin
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, spread_if_few_splits
 from ..sources.points import PointSet
 from .loss_grad import collect_models, margin_expr
 from .penalties import box_clip
@@ -138,9 +138,8 @@ def fit_svm_dual(
     feats = list(points.features)
     y = F.col(points.label)
     state = points.df.select(points.id, *feats, y.alias("label"), F.lit(0.0).alias("a"), F.lit(0.0).alias("a_prev"))
-    # balanced once before the first checkpoint; every step then scans even partitions
-    parts = max(state.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    state = state.repartition(parts).checkpoint(eager=True)
+    # spread before the first checkpoint when the input has few splits; every step then scans even partitions
+    state = spread_if_few_splits(state).checkpoint(eager=True)
     ypts = PointSet(state, tuple(feats), "label", points.id)
     dual_hist, path, etas, norms = [], [], [], []
     status = "max_iter"

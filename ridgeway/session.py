@@ -59,6 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def spread_if_few_splits(df):
+    """Round-robin the rows over all cores when the input has few splits.
+
+    With fewer splits than twice the cluster's cores, some cores would idle (and
+    a small file set is cheap to shuffle once); with many splits, as on a large
+    input, the data is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < 2 * cores:
+        return df.repartition(cores)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written tables, inside the shared checkpoint folder."""
     import uuid
