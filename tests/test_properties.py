@@ -70,3 +70,18 @@ def test_table_operators_agree_with_driver_penalties(spark, threshold):
         assert gsc[m] == pytest.approx(pe.GroupL1Penalty(drv_groups).score(w), rel=1e-12)
         assert l2s[m] == pytest.approx(pe.L2Penalty().score(w), rel=1e-12)
         assert inside[m] == pe.BoxProjector().contains(w)
+
+
+def test_group_prox_with_a_hot_group(spark):
+    rng = np.random.default_rng(7)
+    hot = [(0, 0, j + 1, float(v)) for j, v in enumerate(rng.normal(scale=0.01, size=20_000))]
+    small = [(m, 0, j + 1, float(rng.normal(scale=0.3))) for m in range(1, 1001) for j in range(8)]
+    coef = spark.createDataFrame(hot + small, "model_id bigint, class_id int, feature_id int, weight double")
+    groups = {**{j + 1: 1 for j in range(20_000)}}  # model 0: one group of 20k; models 1..: features 1..8 in it too
+    gdf = pe.groups_frame(spark, groups)
+    out = _by_model(pe.group_l1_prox(coef, gdf, 0.5).collect())
+    w_hot = np.array([r[3] for r in hot])
+    np.testing.assert_allclose(out[0], pe.GroupL1Penalty([list(range(20_000))]).prox(w_hot, 0.5), atol=1e-12)
+    for m in (1, 500, 1000):
+        w = np.array([r[3] for r in small if r[0] == m])
+        np.testing.assert_allclose(out[m], pe.GroupL1Penalty([list(range(8))]).prox(w, 0.5), atol=1e-12)
