@@ -68,5 +68,6 @@ def line_search_table(
         (F.col("mean_loss") + pen[F.col("m")]).alias("objective"),
         bound[F.col("m")].alias("bound"),
     ).withColumn("armijo", F.col("objective") <= F.col("bound"))
+    # a global window, but over the `candidates` rows only (a parameter, not data)
     first = F.min(F.when(F.col("armijo"), F.col("m"))).over(Window.partitionBy())
     return out.withColumn("chosen", F.coalesce(F.col("m") == first, F.lit(False)))
