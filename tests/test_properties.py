@@ -85,3 +85,30 @@ def test_group_prox_with_a_hot_group(spark):
     for m in (1, 500, 1000):
         w = np.array([r[3] for r in small if r[0] == m])
         np.testing.assert_allclose(out[m], pe.GroupL1Penalty([list(range(8))]).prox(w, 0.5), atol=1e-12)
+
+
+def test_row_form_matches_long_form_without_a_shuffle(spark):
+    from ridgeway.operators import row_penalties as rp
+    from ridgeway.sources.tables import table
+
+    groups = [list(range(8 * g + 1, 8 * g + 9)) for g in range(6)]
+    rows = rp.coefficient_rows(table(spark, SF_SMALL, "embeddings"), "vec_id", "embedding")
+    long = embedding_coefficients(spark, SF_SMALL)
+    gdf = pe.groups_frame(spark, groups)
+    pairs = [
+        (rp.l2_score_rows(rows), pe.l2_score(long), "score"),
+        (rp.l2_score_rows(rows, d=64), pe.l2_score(long), "score"),
+        (rp.group_l1_score_rows(rows, groups), pe.group_l1_score(long, gdf), "score"),
+    ]
+    for a, b, col in pairs:
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        got = {r["model_id"]: r[col] for r in a.collect()}
+        want = {r["model_id"]: r[col] for r in b.collect()}
+        assert got.keys() == want.keys()
+        for k in got:
+            assert got[k] == pytest.approx(want[k], rel=1e-12)
+    prox = _by_model(rp.to_long(rp.group_l1_prox_rows(rows, groups, 0.2, "sqrt_size")).collect())
+    ref = _by_model(pe.group_l1_prox(long, gdf, 0.2, "sqrt_size").collect())
+    for m in ref:
+        np.testing.assert_allclose(prox[m], ref[m], atol=1e-12)
