@@ -95,20 +95,32 @@ def test_row_form_matches_long_form_without_a_shuffle(spark):
     rows = rp.coefficient_rows(table(spark, SF_SMALL, "embeddings"), "vec_id", "embedding")
     long = embedding_coefficients(spark, SF_SMALL)
     gdf = pe.groups_frame(spark, groups)
+    assert rows.d == 64
     pairs = [
         (rp.l2_score_rows(rows), pe.l2_score(long), "score"),
-        (rp.l2_score_rows(rows, d=64), pe.l2_score(long), "score"),
+        (rp.l1_score_rows(rows), pe.l1_score(long), "score"),
         (rp.group_l1_score_rows(rows, groups), pe.group_l1_score(long, gdf), "score"),
     ]
     for a, b, col in pairs:
         plan = a._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan
+        assert "Exchange" not in plan and "Generate" not in plan
         got = {r["model_id"]: r[col] for r in a.collect()}
         want = {r["model_id"]: r[col] for r in b.collect()}
         assert got.keys() == want.keys()
         for k in got:
             assert got[k] == pytest.approx(want[k], rel=1e-12)
-    prox = _by_model(rp.to_long(rp.group_l1_prox_rows(rows, groups, 0.2, "sqrt_size")).collect())
+    prox_rows = rp.group_l1_prox_rows(rows, groups, 0.2, "sqrt_size")
+    assert "Exchange" not in prox_rows.df._jdf.queryExecution().executedPlan().toString()
+    prox = _by_model(rp.to_long(prox_rows).collect())
     ref = _by_model(pe.group_l1_prox(long, gdf, 0.2, "sqrt_size").collect())
     for m in ref:
         np.testing.assert_allclose(prox[m], ref[m], atol=1e-12)
+
+
+def test_row_form_rejects_ragged_arrays(spark):
+    from ridgeway.operators import row_penalties as rp
+
+    df = spark.createDataFrame([(1, [0.1, 0.2]), (2, [0.3])], "id bigint, w array<double>")
+    rows = rp.coefficient_rows(df, "id", "w", d=2)
+    with pytest.raises(Exception, match="must hold 2 weights"):
+        rp.l2_score_rows(rows).collect()
