@@ -413,21 +413,32 @@ class SparkEvaluator(Evaluator):
     ``rebalance=True`` spreads the cached points round-robin once before the
     first step: worth one shuffle when the input splits are uneven (an
     unsplittable file holding a large share of the rows), since every step
-    would otherwise wait on that one task. Parquet inputs are split by row
-    group, so it is off by default.
+    would otherwise wait on that one task. The default (``None``) spreads only
+    for the Arrow strategy, and only an input with fewer splits than twice the
+    cores; large inputs are left in place.
     """
 
     def __init__(self, points: PointSet, loss: str | Loss, strategy: str = "auto", persist: bool = True,
-                 rebalance: bool = False):
+                 rebalance: bool | None = None):
         self.loss = get_loss(loss)
-        self.points = points.persist(rebalance) if persist else points.projected()
-        self._owned = persist
         self.n_margins = self.loss.n_margins(points.n_classes)
         self.d = points.d
         if strategy == "auto":
             narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS
             strategy = "column" if narrow and not hasattr(self.loss, "batch_fn") else "arrow"
         self.strategy = strategy
+        if persist:
+            if rebalance is None:
+                # Python per-row work (Arrow) gains from every core; JVM steps measured faster in place
+                pts = points.projected()
+                if strategy == "arrow":
+                    pts = pts.with_df(spread_if_few_splits(pts.df))
+                self.points = pts.persist(rebalance=False)
+            else:
+                self.points = points.persist(rebalance)
+        else:
+            self.points = points.projected()
+        self._owned = persist
         self.jobs = 0
         self._plans: dict[tuple[int, bool], _StepPlan] = {}
 
