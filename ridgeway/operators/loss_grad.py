@@ -404,6 +404,12 @@ class Evaluator:
     def close(self) -> None:
         pass
 
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
 
 class SparkEvaluator(Evaluator):
     """Evaluates on a (persisted) point table; one Spark job per call.

@@ -448,3 +448,11 @@ def test_survey_check_values(spark):
     finally:
         ev2.close()
     np.testing.assert_allclose(ridge.weights, [-0.56938, -0.53215], atol=1e-5)
+
+
+def test_evaluator_context_manager_releases_cache(spark):
+    pts = fx.bin2_points(spark, SF_SMALL)
+    with lg.SparkEvaluator(pts, "logistic") as ev:
+        ev.evaluate(np.zeros(2))
+        assert ev.points.df.storageLevel.useMemory
+    assert not ev.points.df.storageLevel.useMemory
