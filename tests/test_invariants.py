@@ -456,3 +456,21 @@ def test_evaluator_context_manager_releases_cache(spark):
         ev.evaluate(np.zeros(2))
         assert ev.points.df.storageLevel.useMemory
     assert not ev.points.df.storageLevel.useMemory
+
+
+def test_model_and_trace_sinks_round_trip(spark):
+    from ridgeway.session import scratch_path
+    from ridgeway.sources import sinks
+
+    ev = mo.MomentsEvaluator.from_points(fx.reg2_points(spark, SF_SMALL))
+    res = tr.proximal_gradient(ev, np.zeros(2), pe.L2Penalty(), 0.1, lr=1.0, lr_decay=False, n_iter=4)
+    mpath = sinks.write_model(res.model_frame(spark, 7), scratch_path(spark, "model"))
+    back = sinks.read_model(spark, mpath).orderBy("feature_id").collect()
+    assert [r["model_id"] for r in back] == [7, 7]
+    np.testing.assert_allclose([r["weight"] for r in back], res.weights)
+    tpath = scratch_path(spark, "trace")
+    sinks.write_trace(res.trace_frame(spark, "a"), tpath)
+    sinks.write_trace(res.trace_frame(spark, "b"), tpath)  # appends
+    t = sinks.read_trace(spark, tpath)
+    assert t.count() == 2 * len(res.trace)
+    assert sorted(r["run_id"] for r in t.select("run_id").distinct().collect()) == ["a", "b"]
