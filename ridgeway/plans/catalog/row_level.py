@@ -43,6 +43,8 @@ register("points_regression", _rows_sql_dbl("REG", 4))(_rows("REG"))
 register("label_linear_threshold", _rows_sql_dbl("RBIN", 4))(_rows("RBIN"))
 register("label_argmax_rule", _rows_sql("RMULTI", 2))(_rows("RMULTI"))
 QUERIES["points_binary"].__doc__ = "A1: BIN labelled points from lineitem."
+QUERIES["points_multiclass"].__doc__ = "A1: MULTI labelled points from lineitem (class 0..2 by return flag)."
+QUERIES["points_regression"].__doc__ = "A1: REG labelled points from lineitem (three features, bias, scaled price)."
 QUERIES["label_linear_threshold"].__doc__ = "A2: ±1 labels by the noisy linear rule (RBIN)."
 QUERIES["label_argmax_rule"].__doc__ = "A3: class labels by the argmax of three noisy scores (RMULTI)."
 
