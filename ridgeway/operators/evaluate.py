@@ -1,4 +1,4 @@
-"""Scoring and evaluation (F1-F7, F11) over point, coefficient and trace tables."""
+"""Scoring and trace analysis (F1-F6) over point, coefficient and trace tables."""
 
 from __future__ import annotations
 

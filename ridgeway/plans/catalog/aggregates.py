@@ -28,7 +28,9 @@ def _loss_grad_query(case: str, reduce: str):
         pts = fx.FIXTURES[fixture](spark, sf_dir)
         return rounded(lg.loss_grad_long(pts, loss, W, reduce=reduce))
 
-    run.__doc__ = f"{'mean' if reduce == 'mean' else 'sum'} {loss} loss and gradient over {fixture} (C2/C3)"
+    wide = " (C·d = 160 sums, Arrow partials)" if case.endswith("_wide") else ""
+    run.__doc__ = (f"{'C2' if reduce == 'mean' else 'C3'}: {'mean' if reduce == 'mean' else 'summed'} {loss} "
+                   f"loss and gradient over {fixture}{wide}")
     return run
 
 

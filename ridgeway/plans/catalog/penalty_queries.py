@@ -91,7 +91,7 @@ def _group_prox_sql(threshold):
 
 @register("group_l1_prox", _group_prox_sql("exact"))
 def group_l1_prox(spark, sf_dir):
-    """Group soft threshold at t = 0.2 (exact prox), window norm per (model, group)."""
+    """Group soft threshold at t = 0.2 (exact prox); group norms by a partial groupBy, joined back."""
     return rounded(pe.group_l1_prox(_coef(spark, sf_dir), _groups(spark), GROUP_T, "exact"))
 
 

@@ -72,7 +72,7 @@ def dual_to_weights(spark, sf_dir):
 
 @register("primal_history", f"{_SVM_CTE} SELECT CAST(k AS INTEGER) AS iter, {o.R('primal')} AS primal FROM pr")
 def primal_history(spark, sf_dir):
-    """F8: Σ hinge + λ‖w‖² at every iterate of the dual fit (all iterates in one job)."""
+    """F8: Σ hinge + λ‖w‖² at every iterate of the dual fit (up to 500 iterates scored per job)."""
     pts, fit = _svm_fit(spark, sf_dir)
     hist = sv.primal_history(pts, fit)
     return rounded(spark.createDataFrame(list(enumerate(hist)), "iter int, primal double"))

@@ -1,4 +1,4 @@
-"""Labelled-point tables (A1) and the row-level builders around them.
+"""Labelled-point tables (A1) and the row-level builders around them.
 
 A point table is an ordinary DataFrame with one double column per feature
 (``x1 .. xd``), a label column and, where the source has one, a unique row
