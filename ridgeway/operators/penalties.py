@@ -51,12 +51,24 @@ class NoPenalty(Penalty):
 
 
 class L2Penalty(Penalty):
-    """½‖w‖² (Frobenius for matrices), gradient w, prox v/(1+t)."""
+    """½‖w‖² (Frobenius for matrices), gradient w, prox v/(1+t).
+
+    ``matrix_score='column_sums'`` scores a (C, d) matrix as ½ Σ_c (Σ_j w_cj)², the
+    value the modelled library reports (its gradient stays W, so the two
+    disagree); vectors score the same either way.
+    """
 
     name = "l2"
 
+    def __init__(self, matrix_score: str = "frobenius"):
+        if matrix_score not in ("frobenius", "column_sums"):
+            raise ValueError("matrix_score must be 'frobenius' or 'column_sums'")
+        self.matrix_score = matrix_score
+
     def score(self, w):
         w = np.asarray(w, dtype=float)
+        if w.ndim == 2 and self.matrix_score == "column_sums":
+            return float((w.sum(axis=1) ** 2).sum() / 2.0)
         return float((w * w).sum() / 2.0)
 
     def grad(self, w):

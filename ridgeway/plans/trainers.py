@@ -134,8 +134,19 @@ class _Objective:
         return lsums / n, np.asarray(G).reshape((len(Ws),) + tuple(self.shape)) / n
 
 
+def armijo_slope(g, direction, slope: str = "frobenius") -> float:
+    """gᵀd for the Armijo bound: the Frobenius inner product, or for ``'sum_of_products'``
+    the sum of all entries of Gᵀ D (= Σ_c (Σ_j g_cj)(Σ_j d_cj)), as the modelled library
+    computes it for matrices."""
+    g, d = np.asarray(g, dtype=float), np.asarray(direction, dtype=float)
+    if slope == "sum_of_products" and g.ndim == 2:
+        return float((g.T @ d).sum())
+    return float(np.sum(g * d))
+
+
 def batched_line_search(
-    obj: _Objective, w, F0: float, g, direction, eta: float, c1: float, rho: float, batch: int, max_shrinks: int
+    obj: _Objective, w, F0: float, g, direction, eta: float, c1: float, rho: float, batch: int, max_shrinks: int,
+    slope: str = "frobenius",
 ):
     """First Armijo-accepted step among η ρ^m, m = 0, 1, ..., in batches.
 
@@ -144,7 +155,7 @@ def batched_line_search(
     would find. Returns
     (eta, w_next, data_loss, data_grad) or None after ``max_shrinks``.
     """
-    slope = float(np.sum(g * direction))  # Frobenius inner product
+    slope = armijo_slope(g, direction, slope)
     m0 = 0
     size = batch
     while m0 <= max_shrinks:
@@ -179,9 +190,15 @@ def gradient_descent(
     batch: int = 2,
     max_shrinks: int = 100,
     keep_path: bool | None = None,
+    slope: str = "frobenius",
 ) -> FitResult:
-    """Steepest descent with Armijo backtracking; η carries over between steps."""
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, False, keep_path)
+    """Steepest descent with Armijo backtracking; η carries over between steps.
+
+    ``slope='sum_of_products'`` reproduces the modelled library's Armijo slope for
+    matrix weights (see ``armijo_slope``).
+    """
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, False, keep_path,
+                    slope=slope)
 
 
 def bfgs(
@@ -198,18 +215,25 @@ def bfgs(
     max_shrinks: int = 100,
     keep_path: bool | None = None,
     max_params: int = 2000,
+    slope: str = "frobenius",
+    curvature: str = "regularised",
 ) -> FitResult:
     """Inverse-BFGS over the flattened weights with the same Armijo search.
 
-    The curvature pair uses the regularised gradient difference; the update is
-    skipped when sᵀy ≤ 1e-12 ‖s‖‖y‖.
+    The curvature pair uses the regularised gradient difference
+    (``curvature='data'`` uses the data term's only, as the modelled library
+    does); the update is skipped when sᵀy ≤ 1e-12 ‖s‖‖y‖.
     """
+    if curvature not in ("regularised", "data"):
+        raise ValueError("curvature must be 'regularised' or 'data'")
     if np.asarray(w0).size > max_params:
         raise ValueError(f"BFGS keeps a dense {np.asarray(w0).size}² matrix; limit is {max_params} weights")
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, True, keep_path)
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, True, keep_path,
+                    slope=slope, curvature=curvature)
 
 
-def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=None):
+def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=None,
+             slope="frobenius", curvature="regularised"):
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
     require_differentiable(penalty)
@@ -230,7 +254,7 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
             status = "converged"
             break
         direction = -(Binv @ g.reshape(-1)).reshape(shape) if bfgs else -g
-        found = batched_line_search(obj, w, F0, g, direction, eta, c1, rho, batch, max_shrinks)
+        found = batched_line_search(obj, w, F0, g, direction, eta, c1, rho, batch, max_shrinks, slope)
         if found is None:
             status = "line_search_failed"
             break
@@ -238,7 +262,10 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
         trace.append((i, F0, eta, gnorm, "current", snap(w)))
         if bfgs:
             s = (w_next - w).reshape(-1)
-            y = (obj.smooth_grad(w_next, grad_n) - g).reshape(-1)
+            if curvature == "data":
+                y = (np.asarray(grad_n) - np.asarray(grad)).reshape(-1)
+            else:
+                y = (obj.smooth_grad(w_next, grad_n) - g).reshape(-1)
             sy = float(s @ y)
             if sy > 1e-12 * np.linalg.norm(s) * np.linalg.norm(y):
                 By = Binv @ y

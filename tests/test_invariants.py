@@ -474,3 +474,24 @@ def test_model_and_trace_sinks_round_trip(spark):
     t = sinks.read_trace(spark, tpath)
     assert t.count() == 2 * len(res.trace)
     assert sorted(r["run_id"] for r in t.select("run_id").distinct().collect()) == ["a", "b"]
+
+
+def test_reference_quirk_flags_q1_q2_q4(spark):
+    W = np.array([[1.0, -2.0], [0.5, 0.5]])
+    assert pe.L2Penalty().score(W) == pytest.approx(0.5 * (1 + 4 + 0.25 + 0.25))
+    assert pe.L2Penalty("column_sums").score(W) == pytest.approx(0.5 * ((-1.0) ** 2 + 1.0 ** 2))
+    assert pe.L2Penalty("column_sums").score(W[0]) == pe.L2Penalty().score(W[0])  # vectors agree
+    G = np.array([[1.0, 2.0], [3.0, -1.0]])
+    assert tr.armijo_slope(G, -G) == pytest.approx(-(1 + 4 + 9 + 1))
+    assert tr.armijo_slope(G, -G, "sum_of_products") == pytest.approx(-((G.T @ G).sum()))
+    ev = lg.SparkEvaluator(fx.multi_points(spark, SF_SMALL), "softmax")
+    try:
+        a = tr.bfgs(ev, np.ones((3, 4)), pe.L2Penalty(), 0.01, n_iter=3)
+        b = tr.bfgs(ev, np.ones((3, 4)), pe.L2Penalty(), 0.01, n_iter=3, curvature="data")
+        c = tr.gradient_descent(ev, np.ones((3, 4)), pe.L2Penalty("column_sums"), 0.01, n_iter=3,
+                                slope="sum_of_products")
+    finally:
+        ev.close()
+    assert not np.allclose(a.weights, b.weights)  # the flag changes the iterates
+    # at W = ones(3, 4): ½Σ_c(Σ_j w)² = 24 against ½‖W‖² = 6, so the logged objectives differ by λ·18
+    assert c.trace[0][1] - a.trace[0][1] == pytest.approx(0.01 * 18)
