@@ -131,3 +131,17 @@ def signed_kernel_product(spark, sf_dir):
     """C6 (re-aimed): (K a)_i = y_i x_i·Σ a y x for every row at a = 0.5, O(n d), no pair table."""
     pts = _svm_at_half(spark, sf_dir)
     return rounded(sv.signed_kernel_product(pts).select(F.col("id"), "ka"))
+
+
+@register(
+    "trace_table_svm",
+    f"{_SVM_CTE}, dn AS (SELECT o.k, sqrt(sum((n.a - o.a) * (n.a - o.a))) AS norm FROM st o JOIN st n "
+    f"ON n.id = o.id AND n.k = o.k + 1 GROUP BY o.k) "
+    f"SELECT 'svm' AS run_id, CAST(wh.k AS INTEGER) AS iter, {o.R('wh.dual')} AS loss, "
+    f"CASE WHEN wh.k < {SVM_STEPS} THEN {o.R(o.D(SVM_LR))} END AS eta, {o.R('dn.norm')} AS norm "
+    f"FROM wh LEFT JOIN dn ON dn.k = wh.k",
+)
+def trace_table_svm(spark, sf_dir):
+    """A6 for the dual SVM: D(a_t), η_t and ‖a_{t+1} − a_t‖ per iterate (the norm is the next step's aggregate)."""
+    _, fit = _svm_fit(spark, sf_dir)
+    return rounded(fit.trace_frame(spark, "svm").select("run_id", "iter", "loss", "eta", "norm"))
