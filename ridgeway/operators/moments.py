@@ -52,7 +52,7 @@ def moments_frame(points: PointSet) -> DataFrame:
     return _arrow_moments(points)
 
 
-def _arrow_moments(points: PointSet) -> DataFrame:
+def _arrow_moments(points: PointSet, both_triangles: bool = True) -> DataFrame:
     cols = [points.label] + list(points.features)
     k = len(cols)
     iu, ju = np.triu_indices(k)
@@ -100,6 +100,8 @@ def _arrow_moments(points: PointSet) -> DataFrame:
         .groupBy("i", "j")
         .agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
     )
+    if not both_triangles:
+        return upper
     lower = upper.where(F.col("i") != F.col("j")).select(
         F.col("j").alias("i"), F.col("i").alias("j"), "value", "n"
     )
@@ -125,8 +127,10 @@ def collect_moments(points: PointSet) -> Moments:
     k = points.d + 1
     M = np.zeros((k, k))
     n = 0.0
-    for r in moments_frame(points).collect():
-        M[r["i"], r["j"]] = r["value"]
+    # wide tables: only the upper triangle travels to the driver, which mirrors it
+    frame = moments_frame(points) if points.d <= COLUMN_FORM_MAX_D else _arrow_moments(points, both_triangles=False)
+    for r in frame.collect():
+        M[r["i"], r["j"]] = M[r["j"], r["i"]] = r["value"]
         n = float(r["n"])
     if n == 0:
         raise ValueError("empty point table")
