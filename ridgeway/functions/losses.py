@@ -215,14 +215,17 @@ class BatchLoss(Loss):
     ``batch_fn(X, y, W) -> (loss_sum, grad_sum)`` receives one Arrow batch as a
     NumPy matrix X (rows × d), the labels y and the weights W (C × d) and returns
     the batch's loss sum and gradient sum (C × d). It runs inside ``mapInArrow``
-    tasks; Spark sums the per-task partials.
+    tasks; Spark sums the per-task partials. A ``column_fn`` giving the same
+    per-row loss and gradient as Columns lets the evaluator stay in the JVM.
     """
 
-    def __init__(self, name: str, batch_fn, n_margins: int = 1, differentiable: bool = True):
+    def __init__(self, name: str, batch_fn, n_margins: int = 1, differentiable: bool = True, column_fn=None):
         self.name = name
         self.batch_fn = batch_fn
         self._C = n_margins
         self.differentiable = differentiable
+        # optional JVM form: column_fn(W, features, label) -> (loss Column, [C*d gradient Columns])
+        self.column_fn = column_fn
 
     def n_margins(self, n_classes):
         return self._C

@@ -431,7 +431,9 @@ class SparkEvaluator(Evaluator):
         self.d = points.d
         if strategy == "auto":
             narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS
-            strategy = "column" if narrow and not hasattr(self.loss, "batch_fn") else "arrow"
+            batch = hasattr(self.loss, "batch_fn")
+            has_columns = not batch or getattr(self.loss, "column_fn", None) is not None
+            strategy = "column" if narrow and has_columns else "arrow"
         self.strategy = strategy
         if persist:
             if rebalance is None:
@@ -448,9 +450,29 @@ class SparkEvaluator(Evaluator):
         self.jobs = 0
         self._plans: dict[tuple[int, bool], _StepPlan] = {}
 
+    def _batch_columns_row(self, Ws: np.ndarray):
+        """One aggregate over the Column form of a batch loss for M weight matrices."""
+        feats = [F.col(x) for x in self.points.features]
+        y = F.col(self.points.label)
+        aggs = [F.count(F.lit(1)).alias("n")]
+        for m, Wm in enumerate(Ws):
+            lcol, gcols = self.loss.column_fn(Wm, feats, y)
+            aggs.append(F.sum(lcol).alias(f"loss_{m}"))
+            aggs += [F.sum(g).alias(f"g_{m}_{k}") for k, g in enumerate(gcols)]
+        r = self.points.df.agg(*aggs).collect()[0]
+        M = len(Ws)
+        G = np.array([[r[f"g_{m}_{k}"] for k in range(self.n_margins * self.d)] for m in range(M)], dtype=float)
+        return float(r["n"]), np.array([r[f"loss_{m}"] for m in range(M)], dtype=float), G.reshape(
+            M, self.n_margins, self.d)
+
     def evaluate(self, W):
         Wm = as_matrix(W, self.n_margins, self.d)
         self.jobs += 1
+        if self.strategy == "column" and hasattr(self.loss, "batch_fn"):
+            n, losses, grads = self._batch_columns_row(Wm[None])
+            if n == 0:
+                raise ValueError("empty point table")
+            return n, float(losses[0]), grads[0]
         if self.strategy == "column":
             r = self._plan(1, True).row(self.points.df, Wm[None]).collect()[0]
             n = float(r["n"])
@@ -469,6 +491,9 @@ class SparkEvaluator(Evaluator):
         Ws = np.asarray(Ws, dtype=float).reshape(-1, self.n_margins, self.d)
         M, C, d = Ws.shape
         width = M * (1 + (C * d if with_grad else 0))
+        if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS and hasattr(self.loss, "batch_fn"):
+            self.jobs += 1
+            return self._batch_columns_row(Ws)
         if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS:
             self.jobs += 1
             r = self._plan(M, with_grad).row(self.points.df, Ws).collect()[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ...functions.losses import BatchLoss, quadratic_bowl
 from ...operators import loss_grad as lg
@@ -32,7 +33,15 @@ def _bowl_batch(X, y, W):
     return n * float(r @ (A @ r)), n * ((A + A.T) @ r)[None, :]
 
 
-BOWL = BatchLoss("quadratic_bowl", _bowl_batch)
+def _bowl_columns(W, feats, label):
+    """The same per-row loss and gradient as Column literals (the bowl does not read the row)."""
+    A = np.array(BOWL_A)
+    r = W[0] - np.array(BOWL_MU)
+    g = (A + A.T) @ r
+    return F.lit(float(r @ (A @ r))), [F.lit(float(v)) for v in g]
+
+
+BOWL = BatchLoss("quadratic_bowl", _bowl_batch, column_fn=_bowl_columns)
 BOWL_LR = 1.0 / float(np.linalg.eigvalsh(2.0 * np.array(BOWL_A)).max())
 
 

@@ -319,13 +319,18 @@ def test_bowl_lasso_batch_loss_meets_kkt(spark):
     from ridgeway.plans import catalog
 
     pts = fx.bin2_points(spark, SF_SMALL)
-    ev = lg.SparkEvaluator(pts, catalog.BOWL)
-    assert ev.strategy == "arrow"
-    try:
-        fits = tr.proximal_path(ev, np.zeros(2), pe.L1Penalty(), catalog.BOWL_LAMBDAS, lr=catalog.BOWL_LR,
-                                lr_decay=False)
-    finally:
-        ev.close()
+    runs = {}
+    for strategy in ("auto", "arrow"):  # the Column form (JVM) and the per-batch Python form
+        ev = lg.SparkEvaluator(pts, catalog.BOWL, strategy=strategy)
+        try:
+            runs[ev.strategy] = tr.proximal_path(ev, np.zeros(2), pe.L1Penalty(), catalog.BOWL_LAMBDAS,
+                                                 lr=catalog.BOWL_LR, lr_decay=False)
+        finally:
+            ev.close()
+    assert set(runs) == {"column", "arrow"}
+    for a, b in zip(runs["column"], runs["arrow"]):
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12)
+    fits = runs["column"]
     A, mu = np.array(catalog.BOWL_A), np.array(catalog.BOWL_MU)
     for lam, f in zip(catalog.BOWL_LAMBDAS, fits):
         g = 2 * A @ (f.weights - mu)
