@@ -500,3 +500,15 @@ def test_reference_quirk_flags_q1_q2_q4(spark):
     assert not np.allclose(a.weights, b.weights)  # the flag changes the iterates
     # at W = ones(3, 4): ½Σ_c(Σ_j w)² = 24 against ½‖W‖² = 6, so the logged objectives differ by λ·18
     assert c.trace[0][1] - a.trace[0][1] == pytest.approx(0.01 * 18)
+
+
+def test_spread_only_when_splits_are_few(spark):
+    from ridgeway.session import spread_if_few_splits
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(1000).coalesce(1)
+    many = spark.range(0, 1000, 1, 4 * cores)
+    spread = spread_if_few_splits(few)
+    assert spread.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))  # whole: nothing dropped
+    assert spread_if_few_splits(many) is many
