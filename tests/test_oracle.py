@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from ridgeway.plans import catalog
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = catalog.ORACLE
 
 # Scale rules every plan must keep: no cross products or nested-loop joins, and no
 # row-at-a-time Python UDFs (Arrow batches via MapInArrow are allowed).
