@@ -23,6 +23,8 @@ FANOUT = 16
 
 def text_fingerprint(text: str | None, shingle_words: int = 4) -> int:
     """Unsigned 64-bit SimHash of one text (XXH64, seed 42, repeats included); 0 without words."""
+    from itertools import islice
+
     import numpy as np
     import xxhash
 
@@ -37,7 +39,7 @@ def text_fingerprint(text: str | None, shingle_words: int = 4) -> int:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words))))
     digest, ones, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0
     while True:
-        h = np.fromiter((digest(s, 42) for s, _ in zip(shingles, range(1 << 16))), np.uint64)
+        h = np.fromiter((digest(s, 42) for s in islice(shingles, 1 << 16)), np.uint64)
         if not len(h):
             break
         total += len(h)
@@ -97,9 +99,9 @@ def gray_blocks(fps: DataFrame, max_bits: int, block: int = 2048) -> DataFrame:
     rows = rows.repartitionByRange("band", "rank").sortWithinPartitions("band", "rank")
 
     def pack(band, key, arr):
-        diff = np.bitwise_or.reduce(arr ^ arr[0])
-        return band, key, int(arr[:1].view(np.int64)[0]), len(arr), int(arr[:1].view(np.int64)[0]), \
-            int((~diff[None]).view(np.int64)[0]) if diff.ndim else int(np.array([~diff]).view(np.int64)[0]), arr.tobytes()
+        first = int(arr.view(np.int64)[0])
+        mask = int((~np.bitwise_or.reduce(arr ^ arr[0], keepdims=True)).view(np.int64)[0])
+        return band, key, first, len(arr), first, mask, arr.tobytes()
 
     schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("first", pa.int64()), ("n", pa.int32()),
                         ("pattern", pa.int64()), ("mask", pa.int64()), ("fps", pa.binary())])
