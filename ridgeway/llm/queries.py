@@ -7,9 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, packing, simhash
 from .common import read
 
+CAPACITY = 2048
+
+
+def vocabulary() -> str:
+    """Path of the byte-level BPE vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -24,3 +34,17 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's 4-word SimHash and its component of fingerprints linked at 4 or fewer bits."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents not held out."""
+    return langid.fit_and_predict(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces and their places in sequences of 2048 tokens."""
+    pieces = packing.tokenized_pieces(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(narrow, CAPACITY)
