@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash
+from . import langid, packing, simhash, substring_dedup
 from .common import read
 
 CAPACITY = 2048
@@ -48,3 +48,34 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenized_pieces(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY)
     narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(narrow, CAPACITY)
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document once passages of 50 words that an earlier document has are cut out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substring_dedup.remove_repeats(docs.select("doc_id", "text"), window=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), p AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS win
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM w)
+), m AS (
+  SELECT win, min(doc_id) AS least FROM p GROUP BY win
+), r AS (
+  SELECT DISTINCT p.doc_id, p.i + k.k AS pos FROM p JOIN m USING (win), (SELECT unnest(range(50)) AS k) k
+  WHERE m.least < p.doc_id
+), x AS (
+  SELECT doc_id, pos, word FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w)
+), k AS (
+  SELECT x.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY x.pos) AS kept
+  FROM x LEFT JOIN r ON r.doc_id = x.doc_id AND r.pos = x.pos WHERE r.pos IS NULL GROUP BY x.doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+"""
