@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash, substring_dedup
+from . import decontaminate, langid, packing, simhash, substring_dedup
 from .common import read
 
 CAPACITY = 2048
@@ -79,3 +79,10 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k ON k.doc_id = w.doc_id
 """
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item of which it holds question and answer, with the BM25 share and the overlaps."""
+    found = decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap", "from_word", "to_word")
