@@ -66,3 +66,8 @@ def sum_vectors(parts: DataFrame, size: int, mergers: int = 32):
     for row in parts.select("v").repartition(mergers).mapInArrow(merge, "v binary").collect():
         total += np.frombuffer(bytes(row.v), dtype="<f8")
     return total
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The whole input row as one struct ``row`` beside the given columns, so that names cannot clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in columns.items()))

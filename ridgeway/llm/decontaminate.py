@@ -188,7 +188,7 @@ def find_leaks(
     entry_words: int = 64,
     shard_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap, from_word, to_word) of verified leaks.
+    """(doc_id, version, item_id, score, question_overlap, answer_overlap, from_word, to_word) of verified leaks.
 
     Every passage (``2 * entry_words`` words, beginning every ``entry_words``) of
     every whole document is a query against every item. Document frequencies and
@@ -198,6 +198,7 @@ def find_leaks(
     One row per document row and item; null, empty and very short items and
     texts match nothing; repeated documents and items each give their rows; a
     null id is carried along; empty tables give no rows. No other columns are read.
+    ``version`` is the text's XXH64, which tells rows with the same id apart.
     """
     import pyarrow as pa
 
@@ -208,9 +209,10 @@ def find_leaks(
     shards = max(1, -(-int(total) // shard_bytes) * 2 if total > shard_bytes else 1)
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
     n_items, avg = _item_sizes(items)
-    names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "from_word", "to_word"]
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, from_word long, to_word long"
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    names = ["doc_id", "version", "item_id", "score", "question_overlap", "answer_overlap", "from_word", "to_word"]
+    schema = "doc_id long, version long, item_id long, score double, question_overlap double, answer_overlap double, from_word long, to_word long"
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     out = None
     for shard in range(shards):
         part = [(r.item_id, *split_item(text_words(r.text), text_words(r.answer))) for r in dealt.where(F.col("shard") == shard).collect()]
@@ -233,23 +235,23 @@ def find_leaks(
                         lo, hi = np.searchsorted(p, [start, start + n])
                         if hi > lo:
                             for hit in verify(index, ids, p[lo:hi] - start, e[lo:hi], s[lo:hi], overlap, words, step):
-                                found.append((doc, *hit))
+                                found.append((*doc, *hit))
                     held.clear()
 
                 get = index.terms.get
                 base = total_terms = 0
-                for doc, text in zip(b.column(0), b.column(1)):
+                for doc, version, text in zip(b.column(0), b.column(1), b.column(2)):
                     ids = _term_ids(text.as_py(), get)
                     p, t, n = passage_terms(ids, words, step)
-                    held.append((doc.as_py(), ids, p, t, base, n))
+                    held.append(((doc.as_py(), version.as_py()), ids, p, t, base, n))
                     base += n
                     total_terms += len(p)
                     if total_terms > 1 << 18:
                         flush()
                         base = total_terms = 0
                 flush()
-                types = [pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.int64(), pa.int64()]
-                cols = list(zip(*found)) if found else [()] * 7
+                types = [*[pa.int64()] * 3, *[pa.float64()] * 3, pa.int64(), pa.int64()]
+                cols = list(zip(*found)) if found else [()] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], names=names)
 
         hits = rows.mapInArrow(scan, schema)

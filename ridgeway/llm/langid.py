@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import held_out, sum_vectors, worker_cache
+from .common import carried, held_out, sum_vectors, worker_cache
 
 BITS = 15
 SIZE = 1 << BITS
@@ -220,21 +221,27 @@ def fit(
     return model
 
 
-def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) for every row's whole text; ``und`` and 0 for a null text or one without a letter."""
+def predict(
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+) -> DataFrame:
+    """(doc_id, lang_pred, score) for every row's whole text; ``und`` and 0 for a null text or one without a letter.
+
+    With ``carry`` the whole input row comes along as the struct ``row``.
+    """
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column(1)]
+            got = [model.predict(t.as_py()) for t in b.column("text")]
             lang, score = zip(*got) if got else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            kept = [c for c in b.schema.names if c != "text"]
+            cols = [*(b.column(c) for c in kept), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*kept, "lang_pred", "score"])
+
+    own = {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string")}
+    rows = carried(docs, **own) if carry else docs.select(*(c.alias(k) for k, c in own.items()))
+    schema = T.StructType([f for f in rows.schema if f.name != "text"])
+    return rows.mapInArrow(run, schema.add("lang_pred", "string").add("score", "double"))
 
 
 def fit_and_predict(

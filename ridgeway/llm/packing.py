@@ -15,8 +15,9 @@ from bisect import bisect_left, insort
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize, worker_cache
+from .common import carried, materialize, worker_cache
 
 
 def encoder(vocab_path: str):
@@ -223,34 +224,33 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
     import numpy as np
     import pyarrow as pa
 
-    own = materialize(pieces.withColumn("__at", F.monotonically_increasing_id()))
-    keyed = own.withColumn("__task", F.shiftright("__at", 33)).withColumn("__length", F.col(length_col).cast("long"))
-    counts = materialize(keyed.groupBy("__task", "__length").agg(F.count("*").alias("__n")))
-    histogram = {r[0]: r[1] for r in counts.groupBy("__length").agg(F.sum("__n")).collect()}
+    rows = carried(pieces, length=F.col(f"`{length_col}`").cast("long"), at=F.monotonically_increasing_id())
+    rows = materialize(rows).withColumn("task", F.shiftright("at", 33))
+    counts = materialize(rows.groupBy("task", "length").agg(F.count("*").alias("n")))
+    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
     if any(k is None or not 1 <= k <= capacity for k in histogram):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     places, _ = plan(histogram, capacity)
     table = np.array(sorted(places), np.int64).reshape(-1, 6)
-    order = Window.partitionBy("__length").orderBy("__task")
-    base = counts.select("__task", "__length", (F.sum("__n").over(order) - F.col("__n")).alias("__base"))
-    local = F.row_number().over(Window.partitionBy("__task", "__length").orderBy("__at"))
-    ranked = keyed.withColumn("__local", local - 1).join(base, ["__task", "__length"])
-    ranked = ranked.select(*pieces.columns, "__length", (F.col("__base") + F.col("__local")).alias("__rank"))
-    names, n = [*pieces.columns, "sequence_id", "offset"], len(pieces.columns)
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")
+    base = counts.select("task", "length", before.alias("base"))
+    local = F.row_number().over(Window.partitionBy("task", "length").orderBy("at")) - 1
+    ranked = rows.withColumn("local", local).join(base, ["task", "length"])
+    ranked = ranked.select("row", "length", (F.col("base") + F.col("local")).alias("rank"))
 
     def run(batches):
+        # places are sorted by (length, first rank); every rank lies in exactly one
+        key = table[:, 0] * (1 << 45) + table[:, 1]
         for b in batches:
-            length, rank = (b.column(n + i).to_numpy() for i in (0, 1))
-            # places are sorted by (length, first rank); every rank lies in exactly one
-            key = table[:, 0] * (1 << 45) + table[:, 1]
-            row = table[np.searchsorted(key, length * (1 << 45) + rank, side="right") - 1]
-            nth = rank - row[:, 1]
-            seq = row[:, 3] + nth // row[:, 4]
-            offset = row[:, 5] + nth % row[:, 4] * length
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(seq), pa.array(offset)], names=names)
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(run, f"{fields}, sequence_id long, offset long")
+            length, rank = (b.column(i).to_numpy() for i in (1, 2))
+            place = table[np.searchsorted(key, length * (1 << 45) + rank, side="right") - 1]
+            nth = rank - place[:, 1]
+            seq = place[:, 3] + nth // place[:, 4]
+            offset = place[:, 5] + nth % place[:, 4] * length
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seq), pa.array(offset)], names=["row", "sequence_id", "offset"])
+
+    schema = T.StructType([ranked.schema["row"]]).add("sequence_id", "long").add("offset", "long")
+    return ranked.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

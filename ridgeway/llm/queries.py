@@ -86,3 +86,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """Every document and test item of which it holds question and answer, with the BM25 share and the overlaps."""
     found = decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap", "from_word", "to_word")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline``, one after the other, over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import carried, materialize
 from .graph import connected_components
 
 FANOUT = 16
@@ -52,17 +52,22 @@ def text_fingerprint(text: str | None, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4) -> DataFrame:
-    """(doc_id, fp long) for every row; fp holds the unsigned 64 bits. Null and word-less texts get 0."""
+    """(doc_id, version, fp) for every row; fp holds the unsigned 64 bits, version is the text's XXH64.
+
+    Null and word-less texts have fingerprint 0; a null text's version is that of the empty text.
+    """
     import numpy as np
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
-            fps = np.array([text_fingerprint(t.as_py(), shingle_words) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([text_fingerprint(t.as_py(), shingle_words) for t in b.column(2)], np.uint64)
+            cols = [b.column(0), b.column(1), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "version", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, version long, fp long")
 
 
 def _gray_rank(c: Column) -> Column:
@@ -257,9 +262,9 @@ def linked(fps: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, max_bits: int = 4
 ) -> DataFrame:
-    """(doc_id, fp, component_id): documents linked, over any number of hops, by fingerprints within max_bits.
+    """(doc_id, version, fp, root, component_id): documents linked, over any number of hops, by fingerprints within max_bits.
 
-    component_id is the smallest doc_id reachable. Exact copies share a
+    component_id is the smallest doc_id reachable; root, a fingerprint, names the component too. Exact copies share a
     fingerprint and meet as one node. Null texts and texts without words have
     fingerprint 0 and link like any other; repeated rows give repeated rows; a
     null doc_id is never a component_id unless its component has no other.
@@ -275,5 +280,19 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = named.join(least, "root").select("fp", "component_id")
-    return each.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = named.join(least, "root").select("fp", "root", "component_id")
+    return each.join(of_fp, "fp").select("doc_id", "version", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component of ``found``: the smallest non-null id, then the smallest text hash.
+
+    Whole rows come back, repeated rows once.
+    """
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "version")).alias("b"))
+    best = best.select(F.coalesce("b.doc_id", F.lit(0)).alias("id"), F.col("b.no").alias("no"), F.col("b.version").alias("version"))
+    own = F.col(id_col).cast("long")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keys = ["id", "no", "version"]
+    rows = carried(docs, id=F.coalesce(own, F.lit(0)), no=own.isNull(), version=F.xxhash64(text))
+    return rows.join(best.distinct(), keys, "left_semi").groupBy(*keys).agg(F.first("row").alias("row")).select("row.*")

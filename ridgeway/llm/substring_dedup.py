@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import carried, stored
 from .fmindex import FMIndex
 
 SHINGLE = 16
@@ -323,11 +323,8 @@ def remove_repeats(
     import pyarrow as pa
 
     spans = repeated_spans(docs, id_col, text_col, window, **sizes)
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("version", F.xxhash64("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = carried(docs, doc_id=F.col(id_col).cast("long"), text=text, version=F.xxhash64(text))
     joined = rows.join(spans, ["doc_id", "version"], "left").select("row", "doc_id", "text", "spans")
 
     def run(batches):
