@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, simhash, substring_dedup
+from . import decontaminate, fingerprints, langid, packing, simhash, substring_dedup
 from .common import read
 
 CAPACITY = 2048
@@ -94,3 +94,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and how alike they and the next document's are."""
+    return fingerprints.compare_with_edits(read(spark, sf_dir, "documents"))
