@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, langid, packing, simhash, substring_dedup
-from .common import read
+from . import chat, decontaminate, fingerprints, langid, packing, simhash, substring_dedup
+from .common import read, stored
 
 CAPACITY = 2048
 
@@ -100,3 +100,29 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and how alike they and the next document's are."""
     return fingerprints.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1 formatted as prefix trees, written, and read back from what was written."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    shards = stored(chat.format_conversations(rows.unionByName(more), vocabulary()), "chat")
+    return chat.read_back(shards, vocabulary())
+
+
+ORACLE["op10_chat_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT)
+         AS formatted_chars
+FROM c GROUP BY conv_id
+"""
