@@ -54,9 +54,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of every document and their places in sequences."""
-    pieces = packing.tokenized_pieces(docs, vocabulary(), CAPACITY)
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(narrow, CAPACITY)
+    pieces = packing.tokenized_pieces(docs, vocabulary(), CAPACITY, with_ids=False)
+    return packing.pack(pieces, CAPACITY)
 
 
 STAGES = [

@@ -41,18 +41,27 @@ def encoder(vocab_path: str):
 
 
 def tokenized_pieces(
-    docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocab_path: str,
+    capacity: int = 2048,
+    end_id: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids): each text's ids and ``end_id``, cut only where longer than ``capacity``.
+    """(doc_id, piece, start, length, ids_crc32, ids): each text's ids and ``end_id``, cut only where longer than ``capacity``.
 
-    ``ids`` holds little-endian unsigned 32-bit ids. Of a long document all
-    pieces but the first are full. A null or empty text is the end id alone.
-    Control strings in a text are ordinary text.
+    ``ids`` holds little-endian unsigned 32-bit ids; without ``with_ids`` only
+    their CRC-32 leaves the task. Of a long document all pieces but the first
+    are full. A null or empty text is the end id alone. Control strings in a
+    text are ordinary text.
     """
+    from zlib import crc32
+
     import pyarrow as pa
 
-    names = ["doc_id", "piece", "start", "length", "ids"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 5 + with_ids]
 
     def run(batches):
         import numpy as np
@@ -65,7 +74,8 @@ def tokenized_pieces(
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((doc.as_py(), i, lo, hi - lo, ids[lo:hi].tobytes()))
+                    own = ids[lo:hi].tobytes()
+                    rows.append((doc.as_py(), i, lo, hi - lo, crc32(own), own)[: len(names)])
                 held += len(ids)
                 if held > 1 << 21:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -74,7 +84,8 @@ def tokenized_pieces(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    return rows.mapInArrow(run, schema + (", ids binary" if with_ids else ""))
 
 
 class _Counts:
@@ -226,7 +237,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
 
     rows = carried(pieces, length=F.col(f"`{length_col}`").cast("long"), at=F.monotonically_increasing_id())
     rows = materialize(rows).withColumn("task", F.shiftright("at", 33))
-    counts = materialize(rows.groupBy("task", "length").agg(F.count("*").alias("n")))
+    counts = rows.groupBy("task", "length").agg(F.count("*").alias("n"))
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
     if any(k is None or not 1 <= k <= capacity for k in histogram):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
