@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, packing, simhash, substring_dedup
+from . import chat, decontaminate, fingerprints, langid, packing, quality, simhash, substring_dedup
 from .common import read, stored
 
 CAPACITY = 2048
@@ -45,9 +45,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces and their places in sequences of 2048 tokens."""
-    pieces = packing.tokenized_pieces(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY)
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(narrow, CAPACITY)
+    pieces = packing.tokenized_pieces(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY, with_ids=False)
+    return packing.pack(pieces, CAPACITY)
 
 
 @query
@@ -126,3 +125,10 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labelled documents not held out."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.fit(docs, read(spark, sf_dir, "labels")), threshold=0.3)
