@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, packing, quality, simhash, substring_dedup
+from . import chat, decontaminate, fingerprints, langid, license_scan, packing, quality, simhash, substring_dedup
 from .common import read, stored
 
 CAPACITY = 2048
@@ -132,3 +132,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labelled documents not held out."""
     docs = read(spark, sf_dir, "documents")
     return quality.predict(docs, quality.fit(docs, read(spark, sf_dir, "labels")), threshold=0.3)
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's canonical digest, the licence that it is, and the licences whose notices it holds."""
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_license_scan"] = license_scan.scan_sql()
