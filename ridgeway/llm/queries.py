@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, license_scan, packing, quality, simhash, substring_dedup
+from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, quality, simhash, substring_dedup
 from .common import read, stored
 
 CAPACITY = 2048
@@ -141,3 +141,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op1_license_scan"] = license_scan.scan_sql()
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The laid-out visible text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
