@@ -122,18 +122,17 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("key"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
+    ).withColumn("v", F.xxhash64("text"))  # both uses below read (key, text, v), so they share one exchange
     third = F.floor(F.length("text") / 3).cast("int")
     need = rows.groupBy("key").agg(F.max(third).alias("want"))
     ring = next_ids(rows.select("key"))
     wanted = ring.join(need, "key").select(F.col("key").alias("prev_key"), F.col("next_key").alias("key"), "want")
-    heads = rows.join(wanted, "key").select("prev_key", F.xxhash64("text").alias("v"), F.left("text", F.col("want")).alias("head"))
+    heads = rows.join(wanted, "key").select("prev_key", "v", F.left("text", F.col("want")).alias("head"))
     heads = heads.groupBy("prev_key").agg(F.min_by("head", "v").alias("head")).withColumnRenamed("prev_key", "key")
     before = ring.select(F.col("key").alias("prev_key"), F.col("next_key").alias("key"))
     made = F.concat(F.left("text", F.length("text") - third), F.left("head", third))
     nth = F.row_number().over(Window.partitionBy("key").orderBy("v"))
-    numbered = rows.withColumn("v", F.xxhash64("text")).withColumn("nth", nth)
-    return numbered.join(heads, "key").join(before, "key").select("key", "nth", "prev_key", "text", made.alias("edited"))
+    return rows.withColumn("nth", nth).join(heads, "key").join(before, "key").select("key", "nth", "prev_key", "text", made.alias("edited"))
 
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
