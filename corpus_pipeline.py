@@ -12,13 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.llm import decontaminate, langid, packing, simhash, substring_dedup
-from ridgeway.llm.common import carried, read, stored
+from ridgeway.llm.common import carried, read, small_batches, stored
 from ridgeway.llm.queries import CAPACITY, vocabulary
 
 #: A document is rejected if its language can't be told at all or its probability is below this.
 MIN_LANGUAGE_SCORE = 0.3
 
 
+def _stage(function):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    run.__name__, run.__doc__ = function.__name__, function.__doc__
+    return run
+
+
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model can tell; the model learns from the documents' own labels."""
     model = langid.fit(docs)
@@ -26,11 +36,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by SimHash at 4 or fewer bits."""
     return simhash.keep_one(docs, simhash.near_duplicates(docs, shingle_words=4, max_bits=4))
 
 
+@_stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of passages of 50 words that an earlier document has; n_chars follows the text."""
     left = substring_dedup.remove_repeats(docs, window=50, layout=True)
@@ -42,6 +54,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(row.alias("row")).select("row.*")
 
 
+@_stage
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item's question and answer."""
     leaks = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark")).select("doc_id", "version").distinct()
@@ -52,6 +65,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(leaks, ["id", "no", "version"], "left_anti").select("row.*")
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of every document and their places in sequences."""
     pieces = packing.tokenized_pieces(docs, vocabulary(), CAPACITY, with_ids=False)

@@ -15,6 +15,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows per Arrow batch where the session has Spark's default: the rows here are whole texts.
+
+    A batch is held by the JVM and by the Python worker at once, so its size
+    bounds what a task needs beside the heap.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives lost executors and cuts lineage."""
     checkpoint_dir(df.sparkSession)

@@ -232,14 +232,15 @@ def predict(
 
     def run(batches):
         for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column("text")]
+            texts = (row[text_col] for row in b.column("row")) if carry else b.column("text")
+            got = [model.predict(t.as_py()) for t in texts]
             lang, score = zip(*got) if got else ((), ())
             kept = [c for c in b.schema.names if c != "text"]
             cols = [*(b.column(c) for c in kept), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, "lang_pred", "score"])
 
-    own = {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string")}
-    rows = carried(docs, **own) if carry else docs.select(*(c.alias(k) for k, c in own.items()))
+    doc = F.col(id_col).cast("long").alias("doc_id")
+    rows = carried(docs, doc_id=doc) if carry else docs.select(doc, F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([f for f in rows.schema if f.name != "text"])
     return rows.mapInArrow(run, schema.add("lang_pred", "string").add("score", "double"))
 

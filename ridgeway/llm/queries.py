@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, quality, simhash, substring_dedup
-from .common import read, stored
+from .common import read, small_batches, stored
 
 CAPACITY = 2048
 
@@ -25,7 +25,12 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    run.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = run
     return fn
 
 

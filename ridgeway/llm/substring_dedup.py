@@ -324,12 +324,13 @@ def remove_repeats(
 
     spans = repeated_spans(docs, id_col, text_col, window, **sizes)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = carried(docs, doc_id=F.col(id_col).cast("long"), text=text, version=F.xxhash64(text))
-    joined = rows.join(spans, ["doc_id", "version"], "left").select("row", "doc_id", "text", "spans")
+    rows = carried(docs, doc_id=F.col(id_col).cast("long"), version=F.xxhash64(text))  # the text moves once, in its row
+    joined = rows.join(spans, ["doc_id", "version"], "left").select("row", "doc_id", "spans")
 
     def run(batches):
         for b in batches:
-            done = [_kept(t.as_py(), s.as_py(), layout) for t, s in zip(b.column(2), b.column(3))]
+            texts = (row[text_col] for row in b.column(0))
+            done = [_kept(str(t.as_py() or ""), s.as_py(), layout) for t, s in zip(texts, b.column(2))]
             n, gone, kept = zip(*done) if done else ((), (), ())
             cols = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["row", "doc_id", "n_words", "n_removed", "kept"])
