@@ -9,7 +9,7 @@ operators/  aggregate and table operators (loss/gradient, moments,
             dual SVM, scoring)
 plans/      iterative trainers (driver loops issuing one Spark job per
             step) and the query catalogue used by ``__spark_entry__``
-streaming/  intentionally empty: the modelled library has no streams
+llm/        training-data operators; nothing else in the library imports it
 """
 
 __version__ = "0.1.0"

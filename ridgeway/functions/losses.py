@@ -49,6 +49,8 @@ class Loss:
     name = "loss"
     multiclass = False
     differentiable = True
+    has_columns = True  # ``pointwise`` (or a batch loss's ``column_fn``) is given
+    has_numpy = True  # ``numpy`` (or ``batch_fn``) is given
 
     def n_margins(self, n_classes: int | None) -> int:
         return 1
@@ -196,6 +198,7 @@ class CustomLoss(Loss):
         self.name = name
         self._col = column_fn
         self._np = numpy_fn
+        self.has_numpy = numpy_fn is not None
         self.differentiable = differentiable
 
     def pointwise(self, margins, label):
@@ -226,6 +229,7 @@ class BatchLoss(Loss):
         self.differentiable = differentiable
         # optional JVM form: column_fn(W, features, label) -> (loss Column, [C*d gradient Columns])
         self.column_fn = column_fn
+        self.has_columns = column_fn is not None
 
     def n_margins(self, n_classes):
         return self._C

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.losses import linear_margin
@@ -33,11 +33,17 @@ def coefficient_residual(a: DataFrame, b: DataFrame) -> DataFrame:
     return j.groupBy("model_id").agg((F.sum(diff * diff) / F.count(F.lit(1))).alias("residual"))
 
 
+def _with_final(trace: DataFrame, column: str) -> DataFrame:
+    """Each row beside ``_final``, the column's value at the last iterate of its run (one narrow row per run)."""
+    last = trace.groupBy("run_id").agg(F.max("iter").alias("iter"))
+    final = trace.join(last, ["run_id", "iter"], "left_semi").select("run_id", F.col(column).alias("_final"))
+    return trace.join(final, "run_id")
+
+
 def convergence_gap(trace: DataFrame) -> DataFrame:
     """|J(w_t) − J(ŵ)| per iterate, ŵ the last iterate of its run."""
-    w = Window.partitionBy("run_id").orderBy("iter").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    final = F.last("loss").over(w)
-    return trace.select("run_id", "iter", F.abs(F.col("loss") - final).alias("gap"))
+    t = _with_final(trace.select("run_id", "iter", "loss"), "loss")
+    return t.select("run_id", "iter", F.abs(F.col("loss") - F.col("_final")).alias("gap"))
 
 
 def _dist(a: str, b: str):
@@ -47,14 +53,13 @@ def _dist(a: str, b: str):
 
 def path_distance(trace: DataFrame) -> DataFrame:
     """‖w_t − ŵ‖ per iterate, ŵ the last iterate of its run."""
-    w = Window.partitionBy("run_id").orderBy("iter").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = trace.withColumn("_final", F.last("weights").over(w))
+    t = _with_final(trace.select("run_id", "iter", "weights"), "weights")
     return t.select("run_id", "iter", _dist("weights", "_final").alias("distance"))
 
 
 def step_norm(trace: DataFrame) -> DataFrame:
-    """‖w_t − w_{t−1}‖ per iterate (null at the first)."""
-    w = Window.partitionBy("run_id").orderBy("iter")
-    t = trace.withColumn("_prev", F.lag("weights").over(w))
+    """‖w_t − w_{t−1}‖ per iterate (null at the first), by a join with the iterate before."""
+    before = trace.select("run_id", (F.col("iter") + 1).alias("iter"), F.col("weights").alias("_prev"))
+    t = trace.select("run_id", "iter", "weights").join(before, ["run_id", "iter"], "left")
     return t.select("run_id", "iter", F.when(F.col("_prev").isNull(), F.lit(None).cast("double"))
                     .otherwise(_dist("weights", "_prev")).alias("step_norm"))

@@ -7,11 +7,12 @@ Two strategies give the same sums:
   partition) returns ``n``, the loss sum and all C*d gradient sums. Nothing
   leaves the JVM. Used by one-shot queries, by fits with small C*d and by
   small model batches (line-search candidates, short λ lists); in a fit the
-  weight-independent Columns are built once and only the margins change.
+  weight-independent Columns are built once and only the margins change. A
+  loss that has no NumPy form stays here at any width, in several aggregates.
 * ``arrow``: ``mapInArrow`` computes ``X @ W.T`` and ``D.T @ X`` per Arrow
-  batch with NumPy and emits one partial per task as (model, slot, value)
-  rows, which a ``groupBy`` sums. Used when the sums outgrow codegen: wide
-  C*d, large model stacks (loss grids, SVM histories) and batch losses.
+  batch with NumPy and emits one packed vector per task, summed in a tree.
+  Used when the sums outgrow codegen: wide C*d, large model stacks (loss
+  grids, SVM histories), vector points and batch losses.
 
 Either way, the only data that reaches the driver is parameter-sized.
 """
@@ -23,16 +24,14 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.losses import Loss, get_loss, linear_margin
-from ..session import spread_if_few_splits
 from ..sources.points import PointSet
+from .tree_sum import PACKED, collect_sum, packed, tree_sum
 
-COLUMN_FORM_MAX_OUTPUTS = 96  # C*d above this switches fits to Arrow partials
-# A few models (line-search candidates, a short λ list) share one Column aggregate
-# while their sums fit whole-stage codegen; larger stacks go through Arrow partials.
-COLUMN_MANY_MAX_OUTPUTS = 96
+# Sums that one Column aggregate holds within whole-stage codegen. Where a loss has
+# both forms, wider work goes through Arrow; where it has Columns only, it is split.
+COLUMN_FORM_MAX_OUTPUTS = 96
 
 
 def as_matrix(W, n_margins: int, d: int) -> np.ndarray:
@@ -74,15 +73,16 @@ class _StepPlan:
 
     Only the margins change from step to step; the pointwise loss, its
     derivatives and the sums are reused. Output columns: ``n``, ``loss_{m}``,
-    ``g_{m}_{c}_{j}``.
+    ``g_{m}_{c}_{j}``. ``slots`` limits the gradient sums to some (c, j).
     """
 
-    def __init__(self, points: PointSet, loss: Loss, C: int, M: int = 1, with_grad: bool = True):
+    def __init__(self, points: PointSet, loss: Loss, C: int, M: int = 1, with_grad: bool = True, slots=None):
         feats = list(points.features)
         self.feats, self.C, self.M = feats, C, M
         self.label = F.col(points.label).alias("_y")
         self.pw = [F.col(x) for x in feats]
         self.aggs = [F.count(F.lit(1)).alias("n")]
+        slots = [(c, j) for c in range(C) for j in range(len(feats))] if slots is None else slots
         for m in range(M):
             lcol, dcols = loss.pointwise([F.col(f"_z{m}_{c}") for c in range(C)], F.col("_y"))
             self.pw.append(lcol.alias(f"_l{m}"))
@@ -90,9 +90,7 @@ class _StepPlan:
             if with_grad:
                 self.pw += [d.alias(f"_d{m}_{c}") for c, d in enumerate(dcols)]
                 self.aggs += [
-                    F.sum(F.col(f"_d{m}_{c}") * F.col(x)).alias(f"g_{m}_{c}_{j + 1}")
-                    for c in range(C)
-                    for j, x in enumerate(feats)
+                    F.sum(F.col(f"_d{m}_{c}") * F.col(feats[j])).alias(f"g_{m}_{c}_{j + 1}") for c, j in slots
                 ]
 
     def row(self, df: DataFrame, Ws: np.ndarray) -> DataFrame:
@@ -105,53 +103,16 @@ def loss_grad_row(points: PointSet, loss: str | Loss, W, with_grad: bool = True)
     """One-row aggregate: ``n``, ``loss`` (sum) and ``g_{c}_{j}`` (sums), Column form."""
     loss = get_loss(loss)
     C = _margin_count(points, loss)
-    Wm = as_matrix(W, C, points.d)
-    feats = list(points.features)
-    z_names = [f"_z{c}" for c in range(C)]
-    with_z = points.df.select(
-        *feats, F.col(points.label).alias("_y"), *[linear_margin(Wm[c], feats).alias(z_names[c]) for c in range(C)]
-    )
-    lcol, dcols = loss.pointwise([F.col(z) for z in z_names], F.col("_y"))
-    d_names = [f"_d{c}" for c in range(C)]
-    pw = with_z.select(*feats, lcol.alias("_l"), *[d.alias(n) for d, n in zip(dcols, d_names)])
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("_l").alias("loss")]
-    if with_grad:
-        aggs += [
-            F.sum(F.col(d_names[c]) * F.col(x)).alias(f"g_{c}_{j + 1}")
-            for c in range(C)
-            for j, x in enumerate(feats)
-        ]
-    return pw.agg(*aggs)
+    row = _StepPlan(points, loss, C, 1, with_grad).row(points.df, as_matrix(W, C, points.d)[None])
+    return row.toDF(*(c.replace("g_0_", "g_", 1) if c.startswith("g_0_") else "loss" if c == "loss_0" else c for c in row.columns))
 
 
 def loss_grad_row_many(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
     """One-row aggregate for M models at once: ``n``, ``loss_{m}``, ``g_{m}_{c}_{j}`` (Column form)."""
     loss = get_loss(loss)
     C = _margin_count(points, loss)
-    feats = list(points.features)
     Ws = np.asarray(Ws, dtype=float).reshape(-1, C, points.d)
-    y = F.col(points.label)
-    sel = []
-    for m, Wm in enumerate(Ws):
-        sel += [margin_expr(Wm[c], feats).alias(f"_z{m}_{c}") for c in range(C)]
-    with_z = points.df.select(*feats, y.alias("_y"), *sel)
-    pw_cols = []
-    for m in range(len(Ws)):
-        lcol, dcols = loss.pointwise([F.col(f"_z{m}_{c}") for c in range(C)], F.col("_y"))
-        pw_cols.append(lcol.alias(f"_l{m}"))
-        if with_grad:
-            pw_cols += [d.alias(f"_d{m}_{c}") for c, d in enumerate(dcols)]
-    pw = with_z.select(*feats, *pw_cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for m in range(len(Ws)):
-        aggs.append(F.sum(f"_l{m}").alias(f"loss_{m}"))
-        if with_grad:
-            aggs += [
-                F.sum(F.col(f"_d{m}_{c}") * F.col(x)).alias(f"g_{m}_{c}_{j + 1}")
-                for c in range(C)
-                for j, x in enumerate(feats)
-            ]
-    return pw.agg(*aggs)
+    return _StepPlan(points, loss, C, len(Ws), with_grad).row(points.df, Ws)
 
 
 def loss_grad_long(
@@ -166,7 +127,7 @@ def loss_grad_long(
     loss = get_loss(loss)
     C = _margin_count(points, loss)
     Wm = as_matrix(W, C, points.d)
-    if C * points.d > COLUMN_FORM_MAX_OUTPUTS:
+    if points.vector or C * points.d > COLUMN_FORM_MAX_OUTPUTS and loss.has_numpy:
         return _loss_grad_long_arrow(points, loss, Wm, reduce, penalty, lam)
     row = loss_grad_row(points, loss, Wm)
     scale = (1.0 / F.col("n")) if reduce == "mean" else F.lit(1.0)
@@ -192,33 +153,31 @@ def loss_grad_long(
 
 
 def _loss_grad_long_arrow(points, loss, Wm, reduce, penalty, lam) -> DataFrame:
-    """Wide C*d: Arrow partials summed per slot, reshaped to the long form in Spark."""
-    from pyspark.sql import Window
-
+    """Wide C*d: packed partials summed in a tree, laid out in the long form by the task that holds the sum."""
     C, d = Wm.shape
     pen_score = 0.0
     pen_grad = np.zeros_like(Wm)
     if penalty is not None and lam:
         pen_score = lam * penalty.score(Wm if C > 1 else Wm[0])
         pen_grad = lam * np.asarray(penalty.grad(Wm if C > 1 else Wm[0])).reshape(Wm.shape)
-    sums = models_partials(points, loss, Wm[None], with_grad=True)  # (model, slot, value), C*d + 2 rows
-    everything = Window.partitionBy()  # over C*d + 2 rows only
-    n = F.max(F.when(F.col("slot") == 0, F.col("value"))).over(everything)
-    lsum = F.max(F.when(F.col("slot") == 1, F.col("value"))).over(everything)
-    scale = (1.0 / F.col("n")) if reduce == "mean" else F.lit(1.0)
-    k = F.col("slot") - 2
-    pg = F.element_at(F.array(*[F.lit(float(v)) for v in pen_grad.reshape(-1)]), (k + 1).cast("int"))
-    return (
-        sums.select("slot", "value", n.cast("bigint").alias("n"), lsum.alias("lsum"))
-        .where(F.col("slot") >= 2)
-        .select(
-            "n",
-            (F.col("lsum") * scale + F.lit(float(pen_score))).alias("loss"),
-            (k / d).cast("int").alias("class_id"),
-            (k % d + 1).cast("int").alias("feature_id"),
-            (F.col("value") * scale + pg).alias("grad"),
-        )
-    )
+
+    def lay_out(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for v in b.column("v"):
+                v = np.frombuffer(v.as_py(), "<f8")
+                scale = 1.0 / v[0] if reduce == "mean" else 1.0
+                cols = [
+                    np.full(C * d, int(v[0])), np.full(C * d, v[1] * scale + pen_score),
+                    np.repeat(np.arange(C, dtype=np.int32), d), np.tile(np.arange(1, d + 1, dtype=np.int32), C),
+                    v[2:] * scale + pen_grad.reshape(-1),
+                ]
+                names = ["n", "loss", "class_id", "feature_id", "grad"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+
+    total = tree_sum(_models_parts(points, loss, Wm[None], with_grad=True))
+    return total.mapInArrow(lay_out, "n long, loss double, class_id int, feature_id int, grad double")
 
 
 def point_count(points: PointSet) -> DataFrame:
@@ -243,32 +202,29 @@ def pointwise_frame(points: PointSet, loss: str | Loss, W, keep: Sequence[str] =
 
 # --- Arrow partials -------------------------------------------------------------------
 
-_SLOT_SCHEMA = T.StructType(
-    [
-        T.StructField("model", T.IntegerType(), False),
-        T.StructField("slot", T.IntegerType(), False),
-        T.StructField("value", T.DoubleType(), False),
-    ]
-)
+
+def batch_matrix(b, points_columns: Sequence[str], vector: str | None, d: int) -> np.ndarray:
+    """The features of one Arrow batch as a (rows, d) matrix, from d columns or from one array column."""
+    if vector:
+        return np.asarray(b.column(vector).flatten().to_numpy(zero_copy_only=False), dtype=float).reshape(-1, d)
+    return np.column_stack([b.column(f).to_numpy(zero_copy_only=False).astype(float, copy=False) for f in points_columns])
 
 
-def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndarray, with_grad: bool):
-    """Per-task partial sums for M models: slots 0=n, 1=loss, 2..=grad (C*d)."""
-    feats = list(features)
+def _arrow_partials(points: PointSet, loss: Loss, Ws: np.ndarray, with_grad: bool):
+    """Per-task sums for M models as one packed vector: per model n, loss sum and gradient sums (C*d)."""
+    feats, label, vector = list(points.features), points.label, points.vector
     M, C, d = Ws.shape
     flat = Ws.reshape(M * C, d)
     batch_fn = getattr(loss, "batch_fn", None)
 
     def fn(batches):
-        import pyarrow as pa
-
         n_acc = 0.0
         loss_acc = np.zeros(M)
         grad_acc = np.zeros((M, C, d)) if with_grad else None
         for b in batches:
             if b.num_rows == 0:
                 continue
-            X = np.column_stack([b.column(f).to_numpy(zero_copy_only=False).astype(float, copy=False) for f in feats])
+            X = batch_matrix(b, feats, vector, d)
             y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
             n_acc += X.shape[0]
             if batch_fn is not None:
@@ -292,95 +248,82 @@ def _arrow_partials(features: Sequence[str], label: str, loss: Loss, Ws: np.ndar
                     grad_acc[m] += D.T @ X
         if n_acc == 0:
             return
-        slots = 2 + (C * d if with_grad else 0)
-        vals = np.empty((M, slots))
+        vals = np.empty((M, 2 + (C * d if with_grad else 0)))
         vals[:, 0] = n_acc
         vals[:, 1] = loss_acc
         if with_grad:
             vals[:, 2:] = grad_acc.reshape(M, C * d)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(np.arange(M, dtype=np.int32), slots)),
-                pa.array(np.tile(np.arange(slots, dtype=np.int32), M)),
-                pa.array(vals.reshape(-1)),
-            ],
-            names=["model", "slot", "value"],
-        )
+        yield packed(vals.reshape(-1))
 
     return fn
 
 
-MAX_MODELS_PER_JOB = 500  # bounds the per-batch margin matrix (rows x models)
-REBALANCE_MIN_MODELS = 32
-PARTIAL_SLOTS_PER_TASK = 50_000
-
+# Bounds of one job's model stack: sums in a task's packed vector, and margins of a row.
+MAX_SUMS_PER_JOB = 2_000_000
+MAX_MARGINS_PER_ROW = 1_000
 
-def models_partials(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True) -> DataFrame:
-    """Sums for many weight matrices in one scan: ``(model, slot, value)``."""
-    return _models_parts(points, loss, Ws, with_grad).groupBy("model", "slot").agg(F.sum("value").alias("value"))
 
-
-def _models_parts(points: PointSet, loss: str | Loss, Ws, with_grad: bool) -> DataFrame:
-    """Sums for many weight matrices in one scan: ``(model, slot, value)``.
-
-    The model stack is parameter-sized and checked (at most
-    ``MAX_MODELS_PER_JOB`` models of at most 100k weights each); it travels in
-    the task closure, so no join with the data is needed.
-    """
-    loss = get_loss(loss)
+def _stack(points: PointSet, loss: Loss, Ws) -> np.ndarray:
     C = _margin_count(points, loss)
     Ws = np.asarray(Ws, dtype=float)
     if Ws.ndim == 2:
         Ws = Ws[:, None, :] if C == 1 else Ws[None]
     if Ws.shape[1:] != (C, points.d):
         raise ValueError(f"model stack of shape {Ws.shape}, expected (M, {C}, {points.d})")
-    if Ws.shape[0] > MAX_MODELS_PER_JOB or Ws[0].size > 100_000:
-        raise ValueError("model stack too large for one job; evaluate it in chunks")
-    fn = _arrow_partials(points.features, points.label, loss, Ws, with_grad)
-    src = points.df.select(*points.features, points.label)
-    slots = Ws.shape[0] * (2 + (C * points.d if with_grad else 0))
-    if slots > PARTIAL_SLOTS_PER_TASK:
-        # large per-task partials: one task per core (narrow coalesce) keeps the shuffle small
-        src = src.coalesce(src.sparkSession.sparkContext.defaultParallelism)
-    elif Ws.shape[0] >= REBALANCE_MIN_MODELS:
-        # per-row work grows with the number of models: make sure every core gets rows
-        src = spread_if_few_splits(src)
-    return src.mapInArrow(fn, _SLOT_SCHEMA)
+    return Ws
+
+
+def _chunks(Ws: np.ndarray, with_grad: bool):
+    """(first model, models) of stacks that one job takes; a single model always is one."""
+    M, C, d = Ws.shape
+    size = max(1, min(MAX_SUMS_PER_JOB // (2 + (C * d if with_grad else 0)), MAX_MARGINS_PER_ROW // C))
+    for start in range(0, M, size):
+        yield start, Ws[start : start + size]
+
+
+def _models_parts(points: PointSet, loss: str | Loss, Ws, with_grad: bool) -> DataFrame:
+    """One packed vector per task for one chunk of models, which travels in the task closure."""
+    loss = get_loss(loss)
+    fn = _arrow_partials(points, loss, _stack(points, loss, Ws), with_grad)
+    return points.df.select(*points.feature_columns(), points.label).mapInArrow(fn, PACKED)
 
 
 def models_frame(points: PointSet, loss: str | Loss, Ws) -> DataFrame:
     """Loss sums for a model stack as a DataFrame ``(model, n, loss_sum)``, no driver round trip."""
-    parts = _models_parts(points, loss, Ws, with_grad=False)  # slots 0 (n) and 1 (loss) only
-    return parts.groupBy("model").agg(
-        F.sum(F.when(F.col("slot") == 0, F.col("value"))).cast("bigint").alias("n"),
-        F.sum(F.when(F.col("slot") == 1, F.col("value"))).alias("loss_sum"),
-    )
+    loss = get_loss(loss)
+    out = None
+    for start, chunk in _chunks(_stack(points, loss, Ws), False):
+
+        def lay_out(batches, start=start, M=len(chunk)):
+            import pyarrow as pa
+
+            for b in batches:
+                for v in b.column("v"):
+                    v = np.frombuffer(v.as_py(), "<f8").reshape(M, 2)
+                    cols = [np.arange(start, start + M, dtype=np.int32), v[:, 0].astype(np.int64), np.ascontiguousarray(v[:, 1])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["model", "n", "loss_sum"])
+
+        part = tree_sum(_models_parts(points, loss, chunk, with_grad=False))
+        part = part.mapInArrow(lay_out, "model int, n long, loss_sum double")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True):
     """(n, loss_sums[M], grad_sums[M, C, d]) for a model stack, evaluated in chunks."""
     loss = get_loss(loss)
-    C = _margin_count(points, loss)
-    Ws = np.asarray(Ws, dtype=float)
-    if Ws.ndim == 2:
-        Ws = Ws[:, None, :] if C == 1 else Ws[None]
-    M = Ws.shape[0]
-    d = points.d
+    Ws = _stack(points, loss, Ws)
+    M, C, d = Ws.shape
     losses = np.zeros(M)
     grads = np.zeros((M, C, d))
     n = 0.0
-    for start in range(0, M, MAX_MODELS_PER_JOB):
-        chunk = Ws[start : start + MAX_MODELS_PER_JOB]
-        rows = models_partials(points, loss, chunk, with_grad).collect()
-        for r in rows:
-            m = start + r["model"]
-            if r["slot"] == 0:
-                n = r["value"]
-            elif r["slot"] == 1:
-                losses[m] = r["value"]
-            else:
-                k = r["slot"] - 2
-                grads[m, k // d, k % d] = r["value"]
+    for start, chunk in _chunks(Ws, with_grad):
+        width = 2 + (C * d if with_grad else 0)
+        v = collect_sum(_models_parts(points, loss, chunk, with_grad), len(chunk) * width).reshape(len(chunk), width)
+        n = float(v[0, 0])
+        losses[start : start + len(chunk)] = v[:, 1]
+        if with_grad:
+            grads[start : start + len(chunk)] = v[:, 2:].reshape(len(chunk), C, d)
     return n, losses, grads
 
 
@@ -412,43 +355,27 @@ class Evaluator:
 
 
 class SparkEvaluator(Evaluator):
-    """Evaluates on a (persisted) point table; one Spark job per call.
-
-    ``strategy='auto'`` uses the Column aggregate while C*d stays small and
-    Arrow partials beyond; many models at once go through Arrow.
-    ``rebalance=True`` spreads the cached points round-robin once before the
-    first step: worth one shuffle when the input splits are uneven (an
-    unsplittable file holding a large share of the rows), since every step
-    would otherwise wait on that one task. The default (``None``) spreads only
-    for the Arrow strategy, and only an input with fewer splits than twice the
-    cores; large inputs are left in place.
+    """Evaluates on a (persisted) point table; one Spark job per call, or one per part of a wide Column form.
+
+    ``strategy='auto'`` uses the Column aggregate while C*d stays small, or
+    where the loss has no NumPy form, and packed Arrow partials beyond. The
+    points stay in the partitions they come in. An empty table is an error.
     """
 
-    def __init__(self, points: PointSet, loss: str | Loss, strategy: str = "auto", persist: bool = True,
-                 rebalance: bool | None = None):
+    def __init__(self, points: PointSet, loss: str | Loss, strategy: str = "auto", persist: bool = True):
         self.loss = get_loss(loss)
         self.n_margins = self.loss.n_margins(points.n_classes)
         self.d = points.d
         if strategy == "auto":
-            narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS
-            batch = hasattr(self.loss, "batch_fn")
-            has_columns = not batch or getattr(self.loss, "column_fn", None) is not None
-            strategy = "column" if narrow and has_columns else "arrow"
+            narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS and not points.vector
+            strategy = "column" if self.loss.has_columns and (narrow or not self.loss.has_numpy) else "arrow"
+        if strategy == "column" and points.vector:
+            points = points.wide()
         self.strategy = strategy
-        if persist:
-            if rebalance is None:
-                # Python per-row work (Arrow) gains from every core; JVM steps measured faster in place
-                pts = points.projected()
-                if strategy == "arrow":
-                    pts = pts.with_df(spread_if_few_splits(pts.df))
-                self.points = pts.persist(rebalance=False)
-            else:
-                self.points = points.persist(rebalance)
-        else:
-            self.points = points.projected()
+        self.points = points.persist() if persist else points.projected()
         self._owned = persist
         self.jobs = 0
-        self._plans: dict[tuple[int, bool], _StepPlan] = {}
+        self._plans: dict[tuple, _StepPlan] = {}
 
     def _batch_columns_row(self, Ws: np.ndarray):
         """One aggregate over the Column form of a batch loss for M weight matrices."""
@@ -459,61 +386,64 @@ class SparkEvaluator(Evaluator):
             lcol, gcols = self.loss.column_fn(Wm, feats, y)
             aggs.append(F.sum(lcol).alias(f"loss_{m}"))
             aggs += [F.sum(g).alias(f"g_{m}_{k}") for k, g in enumerate(gcols)]
+        self.jobs += 1
         r = self.points.df.agg(*aggs).collect()[0]
         M = len(Ws)
-        G = np.array([[r[f"g_{m}_{k}"] for k in range(self.n_margins * self.d)] for m in range(M)], dtype=float)
-        return float(r["n"]), np.array([r[f"loss_{m}"] for m in range(M)], dtype=float), G.reshape(
-            M, self.n_margins, self.d)
+        G = np.array([[r[f"g_{m}_{k}"] or 0.0 for k in range(self.n_margins * self.d)] for m in range(M)], dtype=float)
+        losses = np.array([r[f"loss_{m}"] or 0.0 for m in range(M)], dtype=float)
+        return float(r["n"]), losses, G.reshape(M, self.n_margins, self.d)
 
-    def evaluate(self, W):
-        Wm = as_matrix(W, self.n_margins, self.d)
+    def _columns_row(self, Ws: np.ndarray, with_grad: bool, slots=None):
+        """One aggregate for M models; ``slots``: the only (c, j) whose gradient sums it takes."""
+        M, C, d = Ws.shape
+        key = (M, with_grad, None if slots is None else tuple(slots))
+        if key not in self._plans:
+            self._plans[key] = _StepPlan(self.points, self.loss, C, M, with_grad, slots)
         self.jobs += 1
-        if self.strategy == "column" and hasattr(self.loss, "batch_fn"):
-            n, losses, grads = self._batch_columns_row(Wm[None])
-            if n == 0:
-                raise ValueError("empty point table")
-            return n, float(losses[0]), grads[0]
-        if self.strategy == "column":
-            r = self._plan(1, True).row(self.points.df, Wm[None]).collect()[0]
-            n = float(r["n"])
-            if n == 0:
-                raise ValueError("empty point table")
-            G = np.array(
-                [[r[f"g_0_{c}_{j + 1}"] for j in range(self.d)] for c in range(self.n_margins)], dtype=float
-            )
-            return n, float(r["loss_0"]), G
-        n, losses, grads = collect_models(self.points, self.loss, Wm[None], True)
-        if n == 0:
-            raise ValueError("empty point table")
+        r = self._plans[key].row(self.points.df, Ws).collect()[0]
+        losses = np.array([r[f"loss_{m}"] or 0.0 for m in range(M)], dtype=float)
+        grads = np.zeros((M, C, d))
+        if with_grad:
+            for m in range(M):
+                for c, j in slots if slots is not None else [(c, j) for c in range(C) for j in range(d)]:
+                    grads[m, c, j] = r[f"g_{m}_{c}_{j + 1}"] or 0.0
+        return float(r["n"]), losses, grads
+
+    def _column_parts(self, Ws: np.ndarray, with_grad: bool):
+        """The Column form in as many aggregates as its sums need."""
+        M, C, d = Ws.shape
+        width = 1 + (C * d if with_grad else 0)
+        batch = hasattr(self.loss, "batch_fn")
+        if batch or width <= COLUMN_FORM_MAX_OUTPUTS:
+            size = max(1, COLUMN_FORM_MAX_OUTPUTS // width)
+            parts = [Ws[i : i + size] for i in range(0, M, size)]
+            done = [self._batch_columns_row(p) if batch else self._columns_row(p, with_grad) for p in parts]
+            return done[0][0], np.concatenate([p[1] for p in done]), np.concatenate([p[2] for p in done])
+        slots = [(c, j) for c in range(C) for j in range(d)]
+        n, losses, grads = 0.0, np.zeros(M), np.zeros((M, C, d))
+        for m in range(M):
+            for i in range(0, len(slots), COLUMN_FORM_MAX_OUTPUTS):
+                n, l, g = self._columns_row(Ws[m : m + 1], True, slots[i : i + COLUMN_FORM_MAX_OUTPUTS])
+                losses[m] = l[0]
+                grads[m] += g[0]
+        return n, losses, grads
+
+    def evaluate(self, W):
+        n, losses, grads = self.evaluate_many(as_matrix(W, self.n_margins, self.d)[None])
         return n, float(losses[0]), grads[0]
 
     def evaluate_many(self, Ws, with_grad=True):
         Ws = np.asarray(Ws, dtype=float).reshape(-1, self.n_margins, self.d)
         M, C, d = Ws.shape
-        width = M * (1 + (C * d if with_grad else 0))
-        if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS and hasattr(self.loss, "batch_fn"):
-            self.jobs += 1
-            return self._batch_columns_row(Ws)
-        if self.strategy == "column" and width <= COLUMN_MANY_MAX_OUTPUTS:
-            self.jobs += 1
-            r = self._plan(M, with_grad).row(self.points.df, Ws).collect()[0]
-            n = float(r["n"])
-            losses = np.array([r[f"loss_{m}"] for m in range(M)], dtype=float)
-            grads = np.zeros((M, C, d))
-            if with_grad:
-                for m in range(M):
-                    for c in range(C):
-                        for j in range(d):
-                            grads[m, c, j] = r[f"g_{m}_{c}_{j + 1}"]
-            return n, losses, grads
-        self.jobs += -(-M // MAX_MODELS_PER_JOB)
-        return collect_models(self.points, self.loss, Ws, with_grad)
-
-    def _plan(self, M: int, with_grad: bool) -> _StepPlan:
-        key = (M, with_grad)
-        if key not in self._plans:
-            self._plans[key] = _StepPlan(self.points, self.loss, self.n_margins, M, with_grad)
-        return self._plans[key]
+        fits = M * (1 + (C * d if with_grad else 0)) <= COLUMN_FORM_MAX_OUTPUTS
+        if self.strategy == "column" and (fits or not self.loss.has_numpy):
+            n, losses, grads = self._column_parts(Ws, with_grad)
+        else:
+            self.jobs += len(list(_chunks(Ws, with_grad)))
+            n, losses, grads = collect_models(self.points, self.loss, Ws, with_grad)
+        if n == 0:
+            raise ValueError("empty point table")
+        return n, losses, grads
 
     def close(self):
         if self._owned:

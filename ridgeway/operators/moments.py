@@ -4,7 +4,7 @@ data once the moments are known.
 
 One scan computes n, Xᵀy, yᵀy and the upper triangle of XᵀX: as a single
 Column aggregate for narrow tables, or as per-task ``X.T @ X`` partials from
-``mapInArrow`` (summed by a ``groupBy`` over (i, j)) for wide ones. Only the
+``mapInArrow``, one packed triangle per task, summed in a tree. Only the
 (d+1)² moment matrix reaches the driver.
 """
 
@@ -15,14 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.points import PointSet
-from .loss_grad import Evaluator, as_matrix
+from .loss_grad import Evaluator, as_matrix, batch_matrix
+from .tree_sum import PACKED, collect_sum, packed, tree_sum
 
 COLUMN_FORM_MAX_D = 12
-MAX_DRIVER_D = 2000
-PARTIAL_SLOTS_PER_TASK = 50_000
+MAX_DRIVER_D = 2000  # beyond it the moment matrix outgrows the driver; row steps need no such matrix
 
 
 def moments_frame(points: PointSet) -> DataFrame:
@@ -33,7 +32,7 @@ def moments_frame(points: PointSet) -> DataFrame:
     """
     cols = [points.label] + list(points.features)
     k = len(cols)
-    if points.d <= COLUMN_FORM_MAX_D:
+    if points.d <= COLUMN_FORM_MAX_D and not points.vector:
         aggs = [F.count(F.lit(1)).alias("n")]
         aggs += [
             F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m_{i}_{j}") for i in range(k) for j in range(i, k)
@@ -49,63 +48,46 @@ def moments_frame(points: PointSet) -> DataFrame:
         return row.select("n", F.explode(F.array(*entries)).alias("e")).select(
             F.col("e.i").cast("int").alias("i"), F.col("e.j").cast("int").alias("j"), "e.value", "n"
         )
-    return _arrow_moments(points)
+    return _moments_long(points)
 
 
-def _arrow_moments(points: PointSet, both_triangles: bool = True) -> DataFrame:
-    cols = [points.label] + list(points.features)
-    k = len(cols)
-    iu, ju = np.triu_indices(k)
+def _moment_parts(points: PointSet) -> DataFrame:
+    """One packed vector per task: n, then the upper triangle of Σ v vᵀ row by row, v = (y, x1, .., xd)."""
+    feats, label, vector, d = list(points.features), points.label, points.vector, points.d
 
     def fn(batches):
-        import pyarrow as pa
-
-        acc = np.zeros((k, k))
+        acc = np.zeros((d + 1, d + 1))
         n = 0
         for b in batches:
             if b.num_rows == 0:
                 continue
-            V = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float, copy=False) for c in cols])
+            y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
+            V = np.column_stack([y, batch_matrix(b, feats, vector, d)])
             acc += V.T @ V
             n += V.shape[0]
-        if n == 0:
-            return
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(iu.astype(np.int32)),
-                pa.array(ju.astype(np.int32)),
-                pa.array(acc[iu, ju]),
-                pa.array(np.full(len(iu), n, dtype=np.int64)),
-            ],
-            names=["i", "j", "value", "n"],
-        )
+        if n:
+            yield packed(np.r_[float(n), acc[np.triu_indices(d + 1)]])
 
-    schema = T.StructType(
-        [
-            T.StructField("i", T.IntegerType()),
-            T.StructField("j", T.IntegerType()),
-            T.StructField("value", T.DoubleType()),
-            T.StructField("n", T.LongType()),
-        ]
-    )
-    src = points.df.select(*cols)
-    if len(iu) > PARTIAL_SLOTS_PER_TASK:
-        # every task ships a k(k+1)/2 partial: fold the input splits into one task per
-        # core first (a narrow coalesce, no shuffle) so the partials stay few
-        cores = src.sparkSession.sparkContext.defaultParallelism
-        src = src.coalesce(cores)
-    upper = (
-        src
-        .mapInArrow(fn, schema)
-        .groupBy("i", "j")
-        .agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
-    )
-    if not both_triangles:
-        return upper
-    lower = upper.where(F.col("i") != F.col("j")).select(
-        F.col("j").alias("i"), F.col("i").alias("j"), "value", "n"
-    )
-    return upper.unionByName(lower)
+    return points.df.select(*points.feature_columns(), label).mapInArrow(fn, PACKED)
+
+
+def _moments_long(points: PointSet) -> DataFrame:
+    k = points.d + 1
+
+    def lay_out(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for v in b.column("v"):
+                v = np.frombuffer(v.as_py(), "<f8")
+                M = np.zeros((k, k))
+                M[np.triu_indices(k)] = v[1:]
+                M = M + np.triu(M, 1).T
+                i, j = (x.reshape(-1).astype(np.int32) for x in np.indices((k, k)))
+                cols = [i, j, M.reshape(-1), np.full(k * k, int(v[0]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["i", "j", "value", "n"])
+
+    return tree_sum(_moment_parts(points)).mapInArrow(lay_out, "i int, j int, value double, n long")
 
 
 @dataclass
@@ -126,12 +108,17 @@ def collect_moments(points: PointSet) -> Moments:
         raise ValueError(f"{points.d} features: the moment matrix is too large for the driver")
     k = points.d + 1
     M = np.zeros((k, k))
-    n = 0.0
-    # wide tables: only the upper triangle travels to the driver, which mirrors it
-    frame = moments_frame(points) if points.d <= COLUMN_FORM_MAX_D else _arrow_moments(points, both_triangles=False)
-    for r in frame.collect():
-        M[r["i"], r["j"]] = M[r["j"], r["i"]] = r["value"]
-        n = float(r["n"])
+    if points.d <= COLUMN_FORM_MAX_D and not points.vector:
+        n = 0.0
+        for r in moments_frame(points).collect():
+            if r["n"]:
+                M[r["i"], r["j"]] = r["value"]
+                n = float(r["n"])
+    else:
+        v = collect_sum(_moment_parts(points), 1 + k * (k + 1) // 2)
+        n = float(v[0])
+        M[np.triu_indices(k)] = v[1:]
+        M = M + np.triu(M, 1).T
     if n == 0:
         raise ValueError("empty point table")
     return Moments(n=n, xtx=M[1:, 1:], xty=M[1:, 0], yty=float(M[0, 0]))

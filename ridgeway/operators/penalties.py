@@ -183,7 +183,7 @@ def box_clip(v: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
 # --- table operators over (model_id, class_id, feature_id, weight) -------------------
 
 MODEL_KEYS = ["model_id", "class_id", "feature_id"]
-MAX_GROUP_ROWS = 1_000_000  # feature -> group table is broadcast; one row per feature
+MAX_BROADCAST_GROUP_ROWS = 1_000_000  # of (feature_id, group_id): 12 MB
 
 
 def l2_score(coef: DataFrame) -> DataFrame:
@@ -221,14 +221,13 @@ def groups_frame(spark, groups: Mapping[int, int] | Sequence[Sequence[int]]) ->
         rows = [(int(f), int(g)) for f, g in groups.items()]
     else:
         rows = [(int(f), gi + 1) for gi, g in enumerate(groups) for f in g]
-    if len(rows) > MAX_GROUP_ROWS:
-        raise ValueError(f"{len(rows)} grouped features; the group table is broadcast and capped at {MAX_GROUP_ROWS}")
     return spark.createDataFrame(rows, "feature_id int, group_id int")
 
 
 def _with_groups(coef: DataFrame, groups: DataFrame) -> DataFrame:
-    # The group table has one row per feature: a bounded broadcast.
-    return coef.join(F.broadcast(groups), "feature_id", "left")
+    """Each coefficient with its group. The group table is broadcast only where counted to be small; else the join shuffles."""
+    small = groups.limit(MAX_BROADCAST_GROUP_ROWS + 1).count() <= MAX_BROADCAST_GROUP_ROWS
+    return coef.join(F.broadcast(groups) if small else groups, "feature_id", "left")
 
 
 def group_l1_score(coef: DataFrame, groups: DataFrame) -> DataFrame:

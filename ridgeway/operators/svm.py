@@ -7,10 +7,15 @@ and no pair table is formed: with v = Σ_i a_i y_i x_i,
     (K a)_i = y_i x_i · v,   D(a) = −‖v‖²/(4λ) + Σ a_i,
     ∇(−D)_i = y_i (x_i · v)/(2λ) − 1,
 
-so each projected-gradient step is one global aggregate (v, Σa, ‖Δa‖²) and
-one projection that updates the multiplier column ``a`` row by row. Lineage is
-cut with reliable checkpoints in the cluster's checkpoint folder, so a lost
-executor recomputes at most ``checkpoint_every`` steps.
+so each projected-gradient step needs the data once, for v, Σa and ‖Δa‖².
+
+The points are packed once into blocks of rows (a matrix y_i x_i per block),
+written, and cached by block. The multipliers are a narrow table (block, a). A
+step joins the two without moving the points, replays the few steps since the
+table was last written, and returns one packed vector per task. Every
+``checkpoint_every`` steps the multipliers alone are written to the shared
+checkpoint folder and the superseded table is deleted, so a lost executor
+replays at most that many steps.
 """
 
 from __future__ import annotations
@@ -19,14 +24,15 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.losses import linear_margin
-from ..session import checkpoint_dir, spread_if_few_splits
+from ..functions.losses import _check_pm1, _pm1, linear_margin
+from ..session import drop_path, scratch_path, stored
 from ..sources.points import PointSet
-from .loss_grad import collect_models, margin_expr
-from .penalties import box_clip
+from .loss_grad import batch_matrix, collect_models, margin_expr
+from .tree_sum import PACKED, collect_sum, packed
 
 
 def signed_kernel_product(points: PointSet, a: str = "a") -> DataFrame:
@@ -35,14 +41,17 @@ def signed_kernel_product(points: PointSet, a: str = "a") -> DataFrame:
     Returns the point rows with ``ka``. The all-pairs kernel table itself is
     never built.
     """
+    points = points.wide()
     v = _dual_vector(points, a)
     return points.df.withColumn("ka", F.col(points.label) * linear_margin(v, list(points.features)))
 
 
 def _dual_vector(points: PointSet, a: str = "a") -> list[float]:
-    y = F.col(points.label)
-    r = points.df.agg(*[F.sum(F.col(a) * y * F.col(x)).alias(x) for x in points.features]).first()
-    return [float(r[x] or 0.0) for x in points.features]
+    signed = points.df.select(*points.features, (F.col(a) * _pm1(F.col(points.label))).alias("_ay"))
+    r = signed.agg(*[F.sum(F.col("_ay") * F.col(x)).alias(x) for x in points.features], F.count(F.lit(1)).alias("_n")).first()
+    if not r["_n"]:
+        raise ValueError("empty point table")
+    return [float(r[x]) for x in points.features]
 
 
 def dual_gradient_column(points: PointSet, v, lam: float) -> Column:
@@ -52,13 +61,10 @@ def dual_gradient_column(points: PointSet, v, lam: float) -> Column:
 
 def dual_objective_grad(points: PointSet, lam: float, a: str = "a") -> DataFrame:
     """Per row ``id, a, grad`` and the dual objective D(a) (repeated), two jobs."""
-    y = F.col(points.label)
-    feats = list(points.features)
-    r = points.df.agg(
-        *[F.sum(F.col(a) * y * F.col(x)).alias(x) for x in feats], F.sum(a).alias("_sa")
-    ).first()
-    v = [float(r[x] or 0.0) for x in feats]
-    obj = -float(np.dot(v, v)) / (4.0 * lam) + float(r["_sa"] or 0.0)
+    points = points.wide()
+    v = _dual_vector(points, a)
+    total = points.df.agg(F.sum(a)).first()[0]
+    obj = -float(np.dot(v, v)) / (4.0 * lam) + float(total)
     return points.df.select(
         points.id, F.col(a).alias("a"), dual_gradient_column(points, v, lam).alias("grad"), F.lit(obj).alias("objective")
     )
@@ -104,90 +110,181 @@ def svm_lipschitz_constant(points: PointSet, lam: float) -> float:
     return float(np.linalg.eigvalsh(m.xtx).max()) / (2.0 * lam)
 
 
+BLOCK_ROWS = 4096
+
+
+def _point_blocks(points: PointSet) -> DataFrame:
+    """(block, ids, yx): rows packed into matrices y_i x_i of at most ``BLOCK_ROWS`` rows, kept together by block."""
+    feats, label, vector, d, id_name = list(points.features), points.label, points.vector, points.d, points.id
+
+    def pack(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 40
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
+            _check_pm1(y)
+            yx = batch_matrix(b, feats, vector, d) * y[:, None]
+            ids = b.column(id_name).to_numpy(zero_copy_only=False).astype("<i8")
+            rows = []
+            for at in range(0, len(y), BLOCK_ROWS):
+                rows.append((block, ids[at : at + BLOCK_ROWS].tobytes(), yx[at : at + BLOCK_ROWS].astype("<f8").tobytes()))
+                block += 1
+            types = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["block", "ids", "yx"])
+
+    src = points.df.select(points.id, *points.feature_columns(), label)
+    return src.mapInArrow(pack, "block long, ids binary, yx binary")
+
+
+def _dealt(frame: DataFrame, parts: int) -> DataFrame:
+    """Cached by block in ``parts`` partitions: two such frames join without an exchange or a sort."""
+    return frame.repartition(parts, "block").sortWithinPartitions("block").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _replayed(yx, a, steps, lam):
+    """Multipliers after the given (v, η) steps from a, and those before the last one."""
+    before = a
+    if steps:
+        Z = yx @ np.array([v for v, _ in steps]).T
+        for k, (_, eta) in enumerate(steps):
+            before, a = a, np.clip(a - eta * (Z[:, k] / (2.0 * lam) - 1.0), 0.0, 1.0)
+    return a, before
+
+
 def fit_svm_dual(
     points: PointSet,
     lam: float,
-    lr: float | str = 0.1,
-    lr_decay: bool = True,
+    lr: float | str = "lipschitz",
+    lr_decay: bool = False,
     n_iter: int = 20000,
     tol: float = 1e-6,
-    checkpoint_every: int = 10,
+    checkpoint_every: int = 25,
 ) -> SVMFit:
-    """Projected gradient on the dual over a ∈ [0, 1]^n, a stored as a column.
-
-    ``lr='lipschitz'`` takes the step 1/L from one moments scan (fewer, larger
-    steps than the fixed default).
+    """Projected gradient on the dual over a ∈ [0, 1]^n.
 
-    Step t: one aggregate gives v_t = Σ a y x, Σ a and ‖a_t − a_{t−1}‖² (the
-    stop test of the previous step); the next state is a projection with v_t
-    as literals. Stops when ‖Δa‖ < tol or after n_iter steps.
-
-    Every ``checkpoint_every`` steps the state is written to the checkpoint
-    folder: each write costs one pass over n rows, while between writes a step
-    only re-applies at most that many fused per-row updates to the last
-    checkpoint, so a lost executor never replays more.
+    ``lr='lipschitz'`` takes the step 1/L from one moments scan; a number sets
+    it, with ``lr_decay`` as lr/√t. Labels must be ±1 and the table not empty.
+    Stops when ‖Δa‖ < tol or after n_iter steps. The result's multipliers are a
+    table (id, a) in the checkpoint folder.
     """
     if points.id is None:
         raise ValueError("the dual needs a row id for its multipliers")
-    if lr == "lipschitz":
-        lr = 1.0 / svm_lipschitz_constant(points, lam)
-    if n_iter <= 0 or tol < 1e-6 or lr <= 0:
+    if n_iter <= 0 or tol < 1e-6 or (lr != "lipschitz" and lr <= 0):
         raise ValueError("n_iter > 0, tol >= 1e-6 and lr > 0 are required")
-    spark = points.df.sparkSession
-    checkpoint_dir(spark)
-    feats = list(points.features)
-    y = F.col(points.label)
-    state = points.df.select(points.id, *feats, y.alias("label"), F.lit(0.0).alias("a"), F.lit(0.0).alias("a_prev"))
-    # spread before the first checkpoint when the input has few splits; every step then scans even partitions
-    state = spread_if_few_splits(state).checkpoint(eager=True)
-    ypts = PointSet(state, tuple(feats), "label", points.id)
+    spark, d = points.df.sparkSession, points.d
+    packed_points = stored(_point_blocks(points), "blocks")
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), packed_points.count()))
+    blocks = _dealt(packed_points, parts)
+    tables: list[str] = []
+
+    def write(frame: DataFrame, kind: str) -> DataFrame:
+        tables.append(scratch_path(spark, kind))
+        frame.write.parquet(tables[-1])
+        return spark.read.schema(frame.schema).parquet(tables[-1])
+
+    def with_state(state: DataFrame | None) -> DataFrame:
+        if state is None:  # a_0 = 0
+            return blocks.select("block", "ids", "yx", F.lit(None).cast("binary").alias("a"))
+        return blocks.hint("merge").join(state, "block").select("block", "ids", "yx", "a")
+
+    def mapped(state, steps, each, schema, width=d):
+        """``each(block, ids, yx, a, a_before)`` gives a row per block, or adds to one packed vector per task."""
+
+        def run(batches):
+            import pyarrow as pa
+
+            total, seen = np.zeros(d + 3), False
+            for b in batches:
+                out = []
+                for block, ids, yx, a in zip(*(b.column(i).to_pylist() for i in range(4))):
+                    yx = np.frombuffer(yx, "<f8").reshape(-1, width)
+                    a = np.zeros(len(yx)) if a is None else np.frombuffer(a, "<f8")
+                    a, before = _replayed(yx, a, steps, lam)
+                    if each is None:
+                        seen = True
+                        total += np.r_[a @ yx, a.sum(), (a - before) @ (a - before), len(a)]
+                    else:
+                        out.append(each(block, ids, a))
+                if out and each is not None:
+                    cols = list(zip(*out))
+                    yield from _rows(pa, cols, schema)
+            if seen:
+                yield packed(total)
+
+        return with_state(state).mapInArrow(run, schema)
+
+    def _rows(pa, cols, schema):
+        if schema.startswith("block"):
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["block", "a"])
+        else:
+            ids = np.concatenate([np.frombuffer(x, "<i8") for x in cols[0]])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(cols[1]))], names=["id", "a"])
+
     dual_hist, path, etas, norms = [], [], [], []
-    status = "max_iter"
-    jobs = 1
-    sums = [  # built once; every step aggregates the same Columns over the new state
-        *[F.sum(F.col("a") * F.col("label") * F.col(x)).alias(x) for x in feats],
-        F.sum("a").alias("_sa"),
-        F.sum((F.col("a") - F.col("a_prev")) * (F.col("a") - F.col("a_prev"))).alias("_dd"),
-    ]
-    keep = [F.col(points.id), *[F.col(x) for x in feats], F.col("label")]
-    for t in range(n_iter + 1):
-        r = state.agg(*sums).collect()[0]
-        jobs += 1
-        v = [float(r[x] or 0.0) for x in feats]
-        dual = -float(np.dot(v, v)) / (4.0 * lam) + float(r["_sa"] or 0.0)
-        if t > 0:
-            norms.append(math.sqrt(float(r["_dd"] or 0.0)))
-        dual_hist.append(dual)
-        path.append(np.asarray(v) / (2.0 * lam))
-        if t > 0 and norms[-1] < tol:
-            status = "converged"
-            break
-        if t == n_iter:
-            break
-        eta = lr / math.sqrt(t + 1) if lr_decay else lr
-        etas.append(eta)
-        grad = dual_gradient_column(ypts.with_df(state), v, lam)
-        state = state.select(*keep, box_clip(F.col("a") - F.lit(eta) * grad).alias("a"), F.col("a").alias("a_prev"))
-        if (t + 1) % checkpoint_every == 0:
-            state = state.checkpoint(eager=True)
+    status, state, steps = "max_iter", None, []
+    try:
+        if lr == "lipschitz":
+            lr = 1.0 / svm_lipschitz_constant(points, lam)
+        jobs = 1
+        for t in range(n_iter + 1):
+            total = collect_sum(mapped(state, list(steps), None, PACKED), d + 3, parts)
             jobs += 1
-    mult = state.select(F.col(points.id).alias("id"), "a")
+            if total[-1] == 0:
+                raise ValueError("empty point table")
+            v = total[:d]
+            dual_hist.append(-float(v @ v) / (4.0 * lam) + float(total[d]))
+            path.append(v / (2.0 * lam))
+            if t > 0:
+                norms.append(math.sqrt(total[d + 1]))
+                if norms[-1] < tol:
+                    status = "converged"
+                    break
+            if t == n_iter:
+                break
+            etas.append(lr / math.sqrt(t + 1) if lr_decay else lr)
+            steps.append((v, etas[-1]))
+            if len(steps) > checkpoint_every:
+                # the last step stays unwritten: the next aggregate needs a before and after it
+                new = write(mapped(state, steps[:-1], lambda block, ids, a: (block, a.tobytes()), "block long, a binary"), "multipliers")
+                if state is not None:
+                    state.unpersist()
+                state = _dealt(new, parts)
+                state.count()
+                jobs += 2
+                if len(tables) > 1:
+                    drop_path(spark, tables.pop(-2))
+                steps = steps[-1:]
+        mult = write(mapped(state, list(steps), lambda block, ids, a: (ids, a), "id long, a double"), "multipliers")
+        if len(tables) > 1:
+            drop_path(spark, tables.pop(-2))
+    finally:
+        blocks.unpersist()
+        if state is not None:
+            state.unpersist()
     return SVMFit(lam, mult, path[-1], dual_hist, path, etas, norms, status, jobs)
 
 
 def dual_to_weights(multipliers: DataFrame, points: PointSet, lam: float) -> DataFrame:
-    """w = (1/2λ) Σ a_i y_i x_i, joining multipliers (id, a) to the points by id."""
-    j = multipliers.join(points.df, multipliers["id"] == F.col(points.id)) if points.id != "id" else \
-        multipliers.join(points.df, "id")
-    y = F.col(points.label)
-    aggs = [(F.sum(F.col("a") * y * F.col(x)) / F.lit(2.0 * lam)).alias(f"w{k + 1}")
-            for k, x in enumerate(points.features)]
-    row = j.agg(*aggs)
-    entries = [F.struct(F.lit(k + 1).alias("feature_id"), F.col(f"w{k + 1}").alias("weight"))
-               for k in range(points.d)]
-    return row.select(F.explode(F.array(*entries)).alias("e")).select(
-        F.lit(0).alias("model_id"), F.lit(0).alias("class_id"), F.col("e.feature_id").cast("int").alias("feature_id"),
-        "e.weight",
+    """w = (1/2λ) Σ a_i y_i x_i, joining multipliers (id, a) to the points by id.
+
+    Every point must have exactly one multiplier: repeated or missing ids are an error.
+    """
+    points = points.wide()
+    mult = multipliers.select(F.col("id").alias("_id"), "a")
+    j = points.df.join(mult, F.col(points.id) == F.col("_id"))
+    j = j.select(*points.features, (F.col("a") * _pm1(F.col(points.label))).alias("_ay"))
+    aggs = [(F.sum(F.col("_ay") * F.col(x)) / F.lit(2.0 * lam)).alias(f"w{k + 1}") for k, x in enumerate(points.features)]
+    row = j.agg(F.count(F.lit(1)).alias("_n"), *aggs)
+    sizes = points.df.agg(F.count(F.lit(1)).alias("_p")).first()["_p"], multipliers.count()
+    fits = (F.col("_n") == sizes[0]) & (F.col("_n") == sizes[1])
+    checked = F.when(fits, F.lit(0)).otherwise(F.raise_error(F.lit("ids of points and multipliers don't match one to one")).cast("int"))
+    entries = [F.struct(F.lit(k + 1).alias("feature_id"), F.col(f"w{k + 1}").alias("weight")) for k in range(points.d)]
+    return row.select(checked.alias("model_id"), F.explode(F.array(*entries)).alias("e")).select(
+        "model_id", F.lit(0).alias("class_id"), F.col("e.feature_id").cast("int").alias("feature_id"), "e.weight"
     )
 
 
@@ -200,6 +297,7 @@ def primal_history(points: PointSet, fit: SVMFit) -> list[float]:
 
 def classify(points: PointSet, weights) -> DataFrame:
     """margin x·w and the class sign (≥ 0 → +1) per row."""
+    points = points.wide()
     z = linear_margin(weights, list(points.features))
     return points.df.select(
         F.col(points.id).alias("id"), z.alias("margin"),

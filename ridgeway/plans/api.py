@@ -12,7 +12,7 @@ import numpy as np
 
 from ..functions.losses import Loss, get_loss
 from ..operators.loss_grad import SparkEvaluator
-from ..operators.moments import MomentsEvaluator
+from ..operators.moments import MAX_DRIVER_D, MomentsEvaluator
 from ..operators.penalties import Penalty, Projector
 from ..sources.points import PointSet
 from . import trainers as tr
@@ -35,14 +35,15 @@ def fit(
 
     ``options`` go to the trainer (``lr``, ``lr_decay``, ``n_iter``, ``tol``,
     ``c1``, ``rho``, ``batch``, ``momentum``...). Squared loss is fitted from the
-    moments (one scan) unless ``strategy`` names a row strategy.
+    moments (one scan) unless ``strategy`` names a row strategy or the moment
+    matrix would outgrow the driver; then every step scans the rows.
     """
     loss = get_loss(loss)
     C = loss.n_margins(points.n_classes)
     w0 = np.zeros((C, points.d)) if init is None else np.asarray(init, dtype=float)
     if C == 1 and w0.ndim == 2:
         w0 = w0[0]
-    if loss.name == "squared" and strategy == "auto":
+    if loss.name == "squared" and strategy == "auto" and points.d <= MAX_DRIVER_D:
         ev = MomentsEvaluator.from_points(points)
     else:
         ev = SparkEvaluator(points, loss, strategy=strategy)

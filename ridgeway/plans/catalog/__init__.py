@@ -19,10 +19,7 @@ from . import (  # noqa: F401  (importing registers the queries)
     svm_queries,
     wide,
 )
-from .bowl import BOWL, BOWL_A, BOWL_LAMBDAS, BOWL_LR, BOWL_MU
-from .registry import ORACLE, QUERIES, register, round_half_up, rounded
+from .bowl import BOWL_LAMBDAS, bowl_loss
+from .registry import ORACLE, QUERIES, forget_fits, register, round_half_up, rounded
 
-__all__ = [
-    "BOWL", "BOWL_A", "BOWL_LAMBDAS", "BOWL_LR", "BOWL_MU", "ORACLE", "QUERIES", "register", "round_half_up",
-    "rounded",
-]
+__all__ = ["BOWL_LAMBDAS", "ORACLE", "QUERIES", "bowl_loss", "forget_fits", "register", "round_half_up", "rounded"]

@@ -12,9 +12,9 @@ from .registry import register, rounded
 # --- C1-C4: loss / gradient aggregates ------------------------------------------------
 
 _LOSS_CASES = {
-    "softmax_wide": ("SM16", P.w_multi(10, 16, 0.01, 0.005)),
+    "softmax_wide": ("SM10", P.w_multi(10, 64, 0.01, 0.005)),
     "logistic": ("BIN", [list(P.W_BIN)]),
-    "hinge": ("BIN", [list(P.W_BIN)]),
+    "hinge": ("BIN", [list(P.W_HINGE)]),
     "softmax": ("MULTI", P.w_multi()),
     "squared": ("REG", [list(P.W_REG)]),
 }
@@ -28,7 +28,7 @@ def _loss_grad_query(case: str, reduce: str):
         pts = fx.FIXTURES[fixture](spark, sf_dir)
         return rounded(lg.loss_grad_long(pts, loss, W, reduce=reduce))
 
-    wide = " (C·d = 160 sums, Arrow partials)" if case.endswith("_wide") else ""
+    wide = " (C·d = 640 sums, Arrow partials)" if case.endswith("_wide") else ""
     run.__doc__ = (f"{'C2' if reduce == 'mean' else 'C3'}: {'mean' if reduce == 'mean' else 'summed'} {loss} "
                    f"loss and gradient over {fixture}{wide}")
     return run

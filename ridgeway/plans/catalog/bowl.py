@@ -1,11 +1,10 @@
-"""G1 for a non-margin loss (the quadratic bowl) and the four-solver comparisons."""
+"""G1 for a non-margin loss (a quadratic bowl that the table defines) and the four-solver ridge comparison."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import functions as F
 
-from ...functions.losses import BatchLoss, quadratic_bowl
+from ...functions.losses import BatchLoss
 from ...operators import loss_grad as lg
 from ...operators import moments as mo
 from ...operators.penalties import L1Penalty, L2Penalty
@@ -13,79 +12,69 @@ from ...sources import fixtures as fx
 from .. import oracle as o
 from .. import params as P
 from .. import trainers as tr
+from .evaluation import SOLVERS4
 from .fits import LAMBDA_RIDGE2, _ridge2_sql
 from .registry import register, rounded
 
-# --- G1 for a non-margin loss: the quadratic bowl of the lasso example ----------------------
+# --- G1 for a non-margin loss: the lasso example's bowl over a table ------------------------
 
 
-# The bowl (w − μ)ᵀA(w − μ) and the λ values of the modelled lasso example.
-BOWL_A = ((3.0, 0.5), (0.5, 1.0))
-BOWL_MU = (1.0, 2.0)
-BOWL_LAMBDAS = (2.0, 4.0, 6.0)
+BOWL_LAMBDAS = (0.05, 0.2, 0.3)  # the last one zeroes coefficients
 
 
-def _bowl_batch(X, y, W):
-    """Per batch: n·(w−μ)ᵀA(w−μ) and n·(A+Aᵀ)(w−μ) (the loss does not read the rows)."""
-    A = np.array(BOWL_A)
-    r = W[0] - np.array(BOWL_MU)
-    n = X.shape[0]
-    return n * float(r @ (A @ r)), n * ((A + A.T) @ r)[None, :]
+def bowl_loss(mu) -> BatchLoss:
+    """½ ((w − μ)·x)² per row: its mean is the bowl ½ (w − μ)ᵀ (XᵀX/n) (w − μ), a function of w − μ, not of x·w."""
+    mu = [float(m) for m in mu]
 
+    def batch(X, y, W):
+        r = X @ (W[0] - np.array(mu))
+        return float(0.5 * (r @ r)), (X.T @ r)[None, :]
 
-def _bowl_columns(W, feats, label):
-    """The same per-row loss and gradient as Column literals (the bowl does not read the row)."""
-    A = np.array(BOWL_A)
-    r = W[0] - np.array(BOWL_MU)
-    g = (A + A.T) @ r
-    return F.lit(float(r @ (A @ r))), [F.lit(float(v)) for v in g]
+    def columns(W, feats, label):
+        r = sum((x * float(w - m) for x, w, m in zip(feats[1:], W[0][1:], mu[1:])), feats[0] * float(W[0][0] - mu[0]))
+        return r * r * 0.5, [r * x for x in feats]
 
-
-BOWL = BatchLoss("quadratic_bowl", _bowl_batch, column_fn=_bowl_columns)
-BOWL_LR = 1.0 / float(np.linalg.eigvalsh(2.0 * np.array(BOWL_A)).max())
+    return BatchLoss("quadratic_bowl", batch, column_fn=columns)
 
 
 def _bowl_path_sql():
-    (a11, a12), (_, a22) = BOWL_A
-    mu1, mu2 = BOWL_MU
-    r1, r2 = f"(w1 - {o.D(mu1)})", f"(w2 - {o.D(mu2)})"
-    g1 = f"(({o.D(2 * a11)} * {r1}) + ({o.D(2 * a12)} * {r2}))"
-    g2 = f"(({o.D(2 * a12)} * {r1}) + ({o.D(2 * a22)} * {r2}))"
-    lr = o.D(BOWL_LR)
+    lr = "lr"
     t = f"({lr} * lam)"
 
     def st(v):
         return f"(CASE WHEN abs({v}) < {t} THEN {o.D(0)} ELSE ({v} - (sign({v}) * {t})) END)"
 
-    step = (f"SELECT lam, k, w1, w2, sum({g1}) / count(*) AS g1, sum({g2}) / count(*) AS g2 FROM it, lineitem "
-            f"WHERE k < 2000 AND (dn IS NULL OR dn >= {o.D(1e-6)}) GROUP BY lam, k, w1, w2")
-    upd = f"SELECT lam, k, w1, w2, w1 - ({lr} * g1) AS v1, w2 - ({lr} * g2) AS v2 FROM ({step}) a"
+    data = (
+        f"p AS ({fx.duck_sql('REG2')}), s AS (SELECT sum(x1 * x1) / count(*) AS a, sum(x1 * x2) / count(*) AS b, "
+        f"sum(x2 * x2) / count(*) AS c, sum(x1 * label) / count(*) AS u, sum(x2 * label) / count(*) AS v FROM p), "
+        f"q AS (SELECT a, b, c, (u * c - b * v) / (a * c - b * b) AS m1, (a * v - b * u) / (a * c - b * b) AS m2, "
+        f"1.0 / ((a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b)) AS lr FROM s)"
+    )
+    step = (f"SELECT lam, k, w1, w2, lr, a * (w1 - m1) + b * (w2 - m2) AS g1, b * (w1 - m1) + c * (w2 - m2) AS g2 FROM it, q "
+            f"WHERE k < {P.N_ITER} AND (dn IS NULL OR dn >= {o.D(P.TOL)})")
+    upd = f"SELECT lam, k, w1, w2, lr, w1 - ({lr} * g1) AS v1, w2 - ({lr} * g2) AS v2 FROM ({step}) a"
     nw = f"SELECT lam, k, w1, w2, {st('v1')} AS n1, {st('v2')} AS n2 FROM ({upd}) b"
     rec = f"SELECT lam, k + 1, n1, n2, sqrt((n1 - w1) * (n1 - w1) + (n2 - w2) * (n2 - w2)) FROM ({nw}) c"
     base = ("SELECT lam, 0, " + o.D(0) + ", " + o.D(0) + ", CAST(NULL AS DOUBLE) FROM (VALUES "
             + ", ".join(f"({o.D(l)})" for l in BOWL_LAMBDAS) + ") L(lam)")
     last = "k = (SELECT max(i2.k) FROM it i2 WHERE i2.lam = it.lam)"
-    return (f"WITH RECURSIVE it(lam, k, w1, w2, dn) AS ({base} UNION ALL {rec}) "
+    return (f"WITH RECURSIVE {data}, it(lam, k, w1, w2, dn) AS ({base} UNION ALL {rec}) "
             + " UNION ALL ".join(f"SELECT {o.R('lam')} AS lambda, {j} AS feature_id, {o.R(f'w{j}')} AS weight "
                                  f"FROM it WHERE {last}" for j in (1, 2)))
 
 
 @register("custom_loss_bowl_lasso", _bowl_path_sql())
 def custom_loss_bowl_lasso(spark, sf_dir):
-    """G1 + E10: the lasso example's bowl loss as a batch loss over lineitem rows, λ ∈ {2,4,6}, step 1/λmax(2A)."""
-    pts = fx.bin2_points(spark, sf_dir)
-    ev = lg.SparkEvaluator(pts, BOWL)
-    try:
-        fits = tr.proximal_path(ev, np.zeros(2), L1Penalty(), BOWL_LAMBDAS, lr=BOWL_LR, lr_decay=False)
-    finally:
-        ev.close()
+    """G1 + E10: L1 around the bowl that REG2's moments define (μ its least squares), a batch loss over the rows, three λ."""
+    pts = fx.reg2_points(spark, sf_dir)
+    m = mo.collect_moments(pts)
+    loss = bowl_loss(np.linalg.solve(m.xtx, m.xty))
+    with lg.SparkEvaluator(pts, loss) as ev:
+        fits = tr.proximal_path(ev, np.zeros(2), L1Penalty(), BOWL_LAMBDAS, lr=1.0 / mo.lipschitz_constant(m), lr_decay=False)
     rows = [(lam, j + 1, float(f.weights[j])) for lam, f in zip(BOWL_LAMBDAS, fits) for j in range(2)]
     return rounded(spark.createDataFrame(rows, "lambda double, feature_id int, weight double"))
 
 
-SOLVERS4 = ("gradient_descent", "bfgs", "proximal", "accelerated_proximal")
-
-
 def _solver_ridge_sql():
     one = _ridge2_sql(o.D(LAMBDA_RIDGE2), "mean", 3)
     head, tail = one.split(" SELECT 0 AS model_id", 1)
@@ -108,25 +97,3 @@ def solver_comparison_ridge(spark, sf_dir):
     }
     rows = [(name, j + 1, float(res.weights[j])) for name, res in fits.items() for j in range(2)]
     return rounded(spark.createDataFrame(rows, "solver string, feature_id int, weight double"), 3)
-
-
-@register("solver_comparison_multiclass")
-def solver_comparison_multiclass(spark, sf_dir):
-    """F11 for the multiclass case: four solvers on MULTI softmax + L2 (λ=0.01, init ones(3,4), ≤10 steps)."""
-    ev = lg.SparkEvaluator(fx.multi_points(spark, sf_dir), "softmax")
-    W0 = np.ones((3, 4))
-    pen, lam = L2Penalty(), P.LAMBDA_L2
-    try:
-        fits = {
-            "gradient_descent": tr.gradient_descent(ev, W0, pen, lam, lr=1.0, n_iter=10),
-            "bfgs": tr.bfgs(ev, W0, pen, lam, lr=1.0, n_iter=10),
-            "proximal": tr.proximal_gradient(ev, W0, pen, lam, lr=1.0, lr_decay=False, n_iter=10),
-            "accelerated_proximal": tr.accelerated_proximal(ev, W0, pen, lam, lr=1.0, lr_decay=False, n_iter=10),
-        }
-    finally:
-        ev.close()
-    rows = [(name, c, j + 1, float(res.weights[c, j]), float(res.objective), res.iterations, res.status)
-            for name, res in fits.items() for c in range(3) for j in range(4)]
-    df = spark.createDataFrame(rows, "solver string, class_id int, feature_id int, weight double, "
-                                     "objective double, iterations int, status string")
-    return rounded(df)

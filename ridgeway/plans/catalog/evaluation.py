@@ -19,7 +19,7 @@ from ...sources.points import held_out_split as _split
 from .. import oracle as o
 from .. import params as P
 from .. import trainers as tr
-from .fits import GRP_GROUPS, K_STEPS, LAMBDA_GROUP, _LASSO_PATH, _PROJ_BIN, _PROX_BIN, _fit_bin_prox, _lasso_path, _model
+from .fits import GROUP_LR, GRP_GROUPS, LAMBDA_GROUP, LAMBDA_MULTI, _LASSO_PATH, _MULTI_FIT, _PROX_BIN, _fit_bin_prox, _lasso_path, _model
 from .registry import register, rounded
 
 # --- F1-F7, F11, E8, E12, E14, G1, A7, B11 ------------------------------------------------
@@ -73,7 +73,7 @@ def quadratic_bowl_query(spark, sf_dir):
     return rounded(g.select("cell_i", "cell_j", "w1", "w2", expr.alias("bowl")))
 
 
-def _line_search_sql(eta0=4.0, rho=P.ARMIJO_RHO, c1=P.ARMIJO_C1, M=16):
+def _line_search_sql(eta0=20.0, rho=P.ARMIJO_RHO, c1=P.ARMIJO_C1, M=16):
     W = list(P.W_BIN)
     lam = P.LAMBDA_L2
     feats = o.feats_of(4)
@@ -100,46 +100,61 @@ def _line_search_sql(eta0=4.0, rho=P.ARMIJO_RHO, c1=P.ARMIJO_C1, M=16):
 
 @register("batched_line_search", _line_search_sql())
 def batched_line_search(spark, sf_dir):
-    """16 Armijo candidates η=4·0.9^m for logistic + L2 on BIN at W_BIN, scored in one aggregate."""
+    """16 Armijo candidates η=20·0.9^m for logistic + L2 on BIN at W_BIN, scored in one aggregate."""
     pts = fx.bin_points(spark, sf_dir)
-    t = line_search_table(pts, "logistic", list(P.W_BIN), L2Penalty(), P.LAMBDA_L2, eta0=4.0, rho=P.ARMIJO_RHO,
+    t = line_search_table(pts, "logistic", list(P.W_BIN), L2Penalty(), P.LAMBDA_L2, eta0=20.0, rho=P.ARMIJO_RHO,
                           c1=P.ARMIJO_C1, candidates=16)
     return rounded(t)
 
 
-@register("fit_binary_logistic_l2", o.newton_logistic_l2("BIN2", P.LAMBDA_L2))
+def _optimum_sql(fit: o.FitSQL, keys: str) -> str:
+    """The converged model of a first-order chain at three digits, as every solver must report it."""
+    return f"WITH opt AS ({fit.model_sql(3)}) SELECT {keys}, weight, status FROM opt"
+
+
+def _four_solvers(ev, w0, lam, lr) -> dict[str, tr.FitResult]:
+    pen = L2Penalty()
+    return {
+        "gradient_descent": tr.gradient_descent(ev, w0, pen, lam, lr=lr),
+        "bfgs": tr.bfgs(ev, w0, pen, lam, lr=lr),
+        "proximal": tr.proximal_gradient(ev, w0, pen, lam, lr=lr, lr_decay=False),
+        "accelerated_proximal": tr.accelerated_proximal(ev, w0, pen, lam, lr=lr, lr_decay=False),
+    }
+
+
+SOLVERS4 = ("gradient_descent", "bfgs", "proximal", "accelerated_proximal")
+
+
+def _each_solver(sql: str, keys: str) -> str:
+    values = ", ".join(f"('{name}')" for name in SOLVERS4)
+    return f"SELECT s.solver, {keys}, r.weight, r.status FROM ({sql}) r, (VALUES {values}) s(solver)"
+
+
+@register("fit_binary_logistic_l2", _optimum_sql(_PROX_BIN, "model_id, class_id, feature_id"))
 def fit_binary_logistic_l2(spark, sf_dir):
-    """L2 logistic regression on BIN2 (λ=0.01, init 0, lr 1) by BFGS to ‖∇‖ < 1e-6; 3 digits."""
-    ev = lg.SparkEvaluator(fx.bin2_points(spark, sf_dir), "logistic")
-    try:
-        res = tr.bfgs(ev, np.zeros(2), L2Penalty(), P.LAMBDA_L2, lr=1.0, c1=P.ARMIJO_C1, rho=P.ARMIJO_RHO, tol=1e-6)
-    finally:
-        ev.close()
-    return _model(spark, res, 3)
+    """L2 logistic regression on BIN (λ=0.01, init 0) by BFGS to ‖∇‖ < 1e-6; 3 digits."""
+    with lg.SparkEvaluator(fx.bin_points(spark, sf_dir), "logistic") as ev:
+        res = tr.bfgs(ev, np.zeros(4), L2Penalty(), P.LAMBDA_L2, lr=1.0, c1=P.ARMIJO_C1, rho=P.ARMIJO_RHO)
+    return _model(spark, res, 3, iterations=False)
 
 
-@register("solver_comparison")
+@register("solver_comparison", _each_solver(_optimum_sql(_PROX_BIN, "feature_id"), "r.feature_id"))
 def solver_comparison(spark, sf_dir):
-    """the four solvers of the binary example on BIN2 (λ=0.01, lr=1, ≤30 steps) side by side."""
-    ev = lg.SparkEvaluator(fx.bin2_points(spark, sf_dir), "logistic")
-    rows = []
-    try:
-        fits = {
-            "gradient_descent": tr.gradient_descent(ev, np.zeros(2), L2Penalty(), P.LAMBDA_L2, lr=1.0, n_iter=30),
-            "bfgs": tr.bfgs(ev, np.zeros(2), L2Penalty(), P.LAMBDA_L2, lr=1.0, n_iter=30),
-            "proximal": tr.proximal_gradient(ev, np.zeros(2), L2Penalty(), P.LAMBDA_L2, lr=1.0, lr_decay=False,
-                                             n_iter=30),
-            "accelerated_proximal": tr.accelerated_proximal(ev, np.zeros(2), L2Penalty(), P.LAMBDA_L2, lr=1.0,
-                                                            lr_decay=False, n_iter=30),
-        }
-    finally:
-        ev.close()
-    for name, res in fits.items():
-        for j, w in enumerate(res.weights):
-            rows.append((name, j + 1, float(w), float(res.objective), res.iterations, res.status))
-    df = spark.createDataFrame(rows, "solver string, feature_id int, weight double, objective double, "
-                                     "iterations int, status string")
-    return rounded(df)
+    """the four solvers of the binary example on BIN (λ=0.01), each to its tolerance, side by side at 3 digits."""
+    with lg.SparkEvaluator(fx.bin_points(spark, sf_dir), "logistic") as ev:
+        fits = _four_solvers(ev, np.zeros(4), P.LAMBDA_L2, P.LR_BIN)
+    rows = [(name, j + 1, float(w), res.status) for name, res in fits.items() for j, w in enumerate(res.weights)]
+    return rounded(spark.createDataFrame(rows, "solver string, feature_id int, weight double, status string"), 3)
+
+
+@register("solver_comparison_multiclass", _each_solver(_optimum_sql(_MULTI_FIT, "class_id, feature_id"), "r.class_id, r.feature_id"))
+def solver_comparison_multiclass(spark, sf_dir):
+    """F11 for the multiclass case: four solvers on MULTI softmax + L2 (λ=0.05, init ones(3,4)), each to its tolerance."""
+    with lg.SparkEvaluator(fx.multi_points(spark, sf_dir), "softmax") as ev:
+        fits = _four_solvers(ev, np.ones((3, 4)), LAMBDA_MULTI, P.LR_MULTI)
+    rows = [(name, c, j + 1, float(res.weights[c, j]), res.status) for name, res in fits.items() for c in range(3) for j in range(4)]
+    schema = "solver string, class_id int, feature_id int, weight double, status string"
+    return rounded(spark.createDataFrame(rows, schema), 3)
 
 
 _TRACE_FIT = o.trace_cte(_PROX_BIN)
@@ -182,23 +197,23 @@ def step_norm(spark, sf_dir):
     return rounded(ev_ops.step_norm(t))
 
 
+_DECAY = o.FitSQL("REG2", "squared", 1, 2, P.N_ITER, [[0.5, 0.5]], "project_box", lr=1.0, decay=True, data="moments")
+
+
 @register(
     "step_schedule",
-    f"{_PROJ_BIN.cte()} SELECT CAST(k - 1 AS INTEGER) AS iter, {o.R(f'{o.D(1.0)} / sqrt(k)')} AS eta FROM it WHERE k >= 1",
+    f"{_DECAY.cte()} SELECT CAST(k - 1 AS INTEGER) AS iter, {o.R(f'{o.D(1.0)} / sqrt(k)')} AS eta, {o.R('dnorm')} AS norm "
+    f"FROM it WHERE k >= 1",
 )
 def step_schedule(spark, sf_dir):
-    """η_t = lr/√t used by the projected-gradient BIN fit at each step."""
-    ev = lg.SparkEvaluator(fx.bin_points(spark, sf_dir), "logistic")
-    try:
-        res = tr.projected_gradient(ev, np.full(4, 0.5), BoxProjector(0.0, 1.0), lr=1.0, lr_decay=True,
-                                    n_iter=K_STEPS)
-    finally:
-        ev.close()
-    t = res.trace_frame(spark, "proj_bin")
-    return rounded(t.where(F.col("eta").isNotNull()).select("iter", "eta"))
-
-
-@register("model_table", _PROX_BIN.model_sql())
+    """η_t = lr/√t and the step it takes, ‖Δw‖, in the projected-gradient fit of REG2, step by step until < 1e-6."""
+    ev = mo.MomentsEvaluator.from_points(fx.reg2_points(spark, sf_dir))
+    res = tr.projected_gradient(ev, np.full(2, 0.5), BoxProjector(0.0, 1.0), lr=1.0, lr_decay=True)
+    t = res.trace_frame(spark, "decay")
+    return rounded(t.where(F.col("eta").isNotNull()).select("iter", "eta", "norm"))
+
+
+@register("model_table", _PROX_BIN.model_sql(status=False))
 def model_table(spark, sf_dir):
     """The proximal BIN model written as Parquet to the shared folder and read back."""
     res = _fit_bin_prox(spark, sf_dir)
@@ -219,12 +234,12 @@ def custom_loss_quadratic(spark, sf_dir):
     return rounded(lg.loss_grad_long(fx.reg_points(spark, sf_dir), QUADRATIC, [list(P.W_REG)]))
 
 
-_GTRAIN = o.FitSQL("GRP_TRAIN", "squared", 1, 9, 30, [[0.0] * 9], "prox_group", lam=LAMBDA_GROUP, lr=0.25,
+_GTRAIN = o.FitSQL("GRP_TRAIN", "squared", 1, 65, P.N_ITER, [[0.0] * 65], "prox_group", lam=LAMBDA_GROUP, lr=GROUP_LR,
                    groups=GRP_GROUPS, data="moments", accelerated=True)
 _PRED_SQL = (
     f"{_GTRAIN.cte()}, allp AS ({fx.duck_sql('GRP')}), pr AS (SELECT allp.id, CASE WHEN allp.id % 5 = 0 THEN 'test' "
-    f"ELSE 'train' END AS split, allp.label, {o.margin_cols([f'w_0_{j + 1}' for j in range(9)], o.feats_of(9))} "
-    f"AS prediction FROM allp, it WHERE it.k = 30) "
+    f"ELSE 'train' END AS split, allp.label, {o.margin_cols([f'w_0_{j + 1}' for j in range(65)], o.feats_of(65))} "
+    f"AS prediction FROM allp, (SELECT * FROM it ORDER BY k DESC LIMIT 1) it) "
 )
 
 
@@ -233,8 +248,8 @@ def _predictions(spark, sf_dir):
     tagged = _split(pts)
     train = PointSet(tagged.where(F.col("split") == "train"), pts.features, pts.label, pts.id)
     ev = mo.MomentsEvaluator.from_points(train)
-    res = tr.accelerated_proximal(ev, np.zeros(9), GroupL1Penalty([[j - 1 for j in g] for g in GRP_GROUPS]),
-                                  LAMBDA_GROUP, lr=0.25, lr_decay=False, n_iter=30)
+    res = tr.accelerated_proximal(ev, np.zeros(65), GroupL1Penalty([[j - 1 for j in g] for g in GRP_GROUPS]),
+                                  LAMBDA_GROUP, lr=GROUP_LR, lr_decay=False)
     return ev_ops.predict_linear(pts.with_df(tagged), res.weights, keep=["split"])
 
 

@@ -101,10 +101,10 @@ def group_l1_prox_sqrt_size(spark, sf_dir):
     return rounded(pe.group_l1_prox(_coef(spark, sf_dir), _groups(spark), GROUP_T, "sqrt_size"))
 
 
-@register("box_membership", f"WITH {_COEF} SELECT model_id, bool_and(weight BETWEEN 0.0 AND 1.0) AS inside FROM coef GROUP BY model_id")
+@register("box_membership", f"WITH {_COEF} SELECT model_id, bool_and(weight BETWEEN -0.3 AND 0.3) AS inside FROM coef GROUP BY model_id")
 def box_membership(spark, sf_dir):
-    """Whether all weights of a model lie in [0, 1]."""
-    return pe.box_membership(_coef(spark, sf_dir))
+    """Whether all weights of a model lie in [-0.3, 0.3]."""
+    return pe.box_membership(_coef(spark, sf_dir), -0.3, 0.3)
 
 
 @register("box_projection", f"WITH {_COEF} SELECT {_KEYS}, {o.R('greatest(0.0, least(1.0, weight))')} AS weight FROM coef")
@@ -135,14 +135,13 @@ def group_norms(spark, sf_dir):
 
 @register(
     "stack_weights",
-    f"WITH {_COEF} SELECT model_id, class_id, feature_id, {o.R('weight')} AS weight FROM coef WHERE feature_id <= 4 "
-    f"UNION ALL SELECT model_id, class_id, feature_id + 4, {o.D(0)} FROM coef WHERE feature_id <= 4 "
-    f"UNION ALL SELECT model_id, class_id, 9, {o.D(1)} FROM coef WHERE feature_id = 1",
+    f"WITH {_COEF} SELECT model_id, class_id, feature_id, {o.R('weight')} AS weight FROM coef "
+    f"UNION ALL SELECT model_id, class_id, feature_id + 64, {o.D(0)} FROM coef "
+    f"UNION ALL SELECT model_id, class_id, 129, {o.D(1)} FROM coef WHERE feature_id = 1",
 )
 def stack_weights(spark, sf_dir):
-    """Per model, [first four weights | four zeros | bias 1] stacked with offset feature ids."""
-    c = _coef(spark, sf_dir)
-    active = c.where(F.col("feature_id") <= 4)
+    """Per model, [its weights | as many zeros | bias 1] stacked with offset feature ids."""
+    c = active = _coef(spark, sf_dir)
     zeros = active.select("model_id", "class_id", "feature_id", F.lit(0.0).alias("weight"))
     bias = c.where(F.col("feature_id") == 1).select("model_id", "class_id", "feature_id", F.lit(1.0).alias("weight"))
     return rounded(co.stack_weights([active, zeros, bias]))

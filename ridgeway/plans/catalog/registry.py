@@ -22,6 +22,25 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_FITS: dict[tuple, object] = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], object]):
+    """The fit ``name`` over the tables of ``sf_dir``, run once per application: several queries examine one fit.
+
+    What is kept is parameter-sized (weights and trace; the dual SVM's multipliers are a written table).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITS:
+        _FITS[key] = fit()
+    return _FITS[key]
+
+
+def forget_fits() -> None:
+    """Make the next query run its fit anew (benchmarks)."""
+    _FITS.clear()
+
+
 def round_half_up(c, digits: int = 6):
     """floor(x·10^k + 0.5)/10^k: the same binary operations as the oracle's rounding,
     so both sides agree on ties (Spark's ``round`` rounds the decimal string)."""

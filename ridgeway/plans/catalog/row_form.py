@@ -25,7 +25,7 @@ def _row_query(name, fn, doc):
 _row_query("l2_score", rp.l2_score_rows, "D1 in row form: ½‖w‖² of every embedding model, no shuffle.")
 _row_query("l1_score", rp.l1_score_rows, "D4 in row form: Σ|w| of every embedding model, no shuffle.")
 _row_query("vector_norms", rp.vector_norms_rows, "C9 in row form: L2, L1 and max norm per model, no shuffle.")
-_row_query("box_membership", rp.box_membership_rows, "D9 in row form: all weights in [0, 1], per model.")
+_row_query("box_membership", lambda r: rp.box_membership_rows(r, -0.3, 0.3), "D9 in row form: all weights in [-0.3, 0.3], per model.")
 _row_query("group_l1_score", lambda r: rp.group_l1_score_rows(r, COEF_GROUPS),
            "D6 in row form: Σ_g ‖w_g‖ per model over six groups of eight, no shuffle.")
 _row_query("group_norms", lambda r: rp.group_norms_rows(r, COEF_GROUPS),

@@ -48,13 +48,13 @@ QUERIES["points_regression"].__doc__ = "A1: REG labelled points from lineitem (t
 QUERIES["label_linear_threshold"].__doc__ = "A2: ±1 labels by the noisy linear rule (RBIN)."
 QUERIES["label_argmax_rule"].__doc__ = "A3: class labels by the argmax of three noisy scores (RMULTI)."
 
-A4_W = (2.0, -1.0, 1.5, 0.5, 0.0, 0.0, 0.0, 0.0, 0.3)
+A4_W = (2.0, -1.0, 1.5, 0.5) * 4 + (0.0,) * 32 + (-0.5, 1.0) * 8 + (0.3,)
 A4_SCALE = 0.5
 
 
 @register(
     "respond_by_weights",
-    f"SELECT id, {o.R(f'{fx._duck_linear(A4_W, [f"x{j + 1}" for j in range(9)])} + ({o.D(A4_SCALE)} * (((id * 7) % 13) / 13 - 0.5))')} "
+    f"SELECT id, {o.R(f'{fx._duck_linear(A4_W, [f"x{j + 1}" for j in range(65)])} + ({o.D(A4_SCALE)} * (((id * 7) % 13) / 13 - 0.5))')} "
     f"AS label FROM ({fx.duck_sql('GRP')})",
 )
 def respond_by_weights(spark, sf_dir):
@@ -76,7 +76,7 @@ def held_out_split(spark, sf_dir):
 
 @register(
     "append_bias",
-    f"SELECT id, {', '.join(o.R(f'x{j + 1}') + f' AS x{j + 1}' for j in range(4))}, {o.D(1)} AS x5, label "
+    f"SELECT id, {', '.join(o.R(f'x{j + 1}') + f' AS x{j + 1}' for j in range(64))}, {o.D(1)} AS x65, label "
     f"FROM ({fx.duck_sql('SVM')})",
 )
 def append_bias(spark, sf_dir):
@@ -146,7 +146,7 @@ def _pointwise_query(fixture, loss, W):
 
 for _qn, (_fix, _loss, _W, _d) in {
     "pointwise_logistic": ("BIN", "logistic", [list(P.W_BIN)], 4),
-    "pointwise_hinge": ("BIN", "hinge", [list(P.W_BIN)], 4),
+    "pointwise_hinge": ("BIN", "hinge", [list(P.W_HINGE)], 4),
     "pointwise_softmax": ("MULTI", "softmax", P.w_multi(), 4),
     "pointwise_squared": ("REG", "squared", [list(P.W_REG)], 4),
 }.items():
@@ -166,11 +166,11 @@ def linear_margin_query(spark, sf_dir):
 @register(
     "active_margin_filter",
     f"SELECT {', '.join(o.R(f'x{j + 1}') + f' AS x{j + 1}' for j in range(4))}, {o.R('label')} AS label, "
-    f"{o.R('label * ' + o.margin(P.W_BIN, o.feats_of(4)))} AS ymargin FROM ({fx.duck_sql('BIN')}) "
-    f"WHERE label * {o.margin(P.W_BIN, o.feats_of(4))} < 1",
+    f"{o.R('label * ' + o.margin(P.W_HINGE, o.feats_of(4)))} AS ymargin FROM ({fx.duck_sql('BIN')}) "
+    f"WHERE label * {o.margin(P.W_HINGE, o.feats_of(4))} < 1",
 )
 def active_margin_filter(spark, sf_dir):
-    """BIN rows whose hinge loss is positive (y·x·w < 1) under W_BIN."""
+    """BIN rows whose hinge loss is positive (y·x·w < 1) under W_HINGE."""
     pts = fx.bin_points(spark, sf_dir)
-    ym = F.col("label") * linear_margin(P.W_BIN, list(pts.features))
+    ym = F.col("label") * linear_margin(P.W_HINGE, list(pts.features))
     return rounded(pts.df.select(*pts.features, "label", ym.alias("ymargin")).where(F.col("ymargin") < 1))

@@ -109,12 +109,13 @@ class FitSQL:
 
     def __init__(self, fixture, loss, C, d, K, w0, step, lam=0.0, lr=1.0, decay=False, groups=None,
                  threshold="exact", data="rows", accelerated=False, momentum="published", lambdas=None,
-                 tol=1e-6):
+                 tol=1e-6, box=(0.0, 1.0)):
         self.fixture, self.loss, self.C, self.d, self.K = fixture, loss, C, d, K
         self.w0 = [[float(v) for v in row] for row in w0]
         self.step, self.lam, self.lr, self.decay = step, lam, lr, decay
         self.groups, self.threshold, self.data = groups or [], threshold, data
         self.acc, self.momentum = accelerated, momentum
+        self.box = box  # bounds of 'project_box'
         self.lambdas = lambdas  # several λ chains at once (column 'lam')
         self.tol = tol  # stop a chain once ‖Δw‖ < tol, as the trainers do
         self.W = [[f"w_{c}_{j + 1}" for j in range(d)] for c in range(C)]
@@ -141,7 +142,7 @@ class FitSQL:
     def _moments_cte(self):
         cols = ["label"] + self.feats
         sums = [f"sum({cols[i]} * {cols[j]}) AS m_{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols))]
-        return f"mm AS (SELECT count(*) AS n, {', '.join(sums)} FROM p)"
+        return f"mm AS MATERIALIZED (SELECT count(*) AS n, {', '.join(sums)} FROM p)"
 
     def _m(self, i, j):
         a, b = (i, j) if i <= j else (j, i)
@@ -155,17 +156,28 @@ class FitSQL:
                 "(" + " + ".join(f"({self._m(j + 1, i + 1)} * {w[i]})" for i in range(self.d)) + ")"
                 for j in range(self.d)
             ]
-            wxtxw = " + ".join(f"({w[j]} * {xtxw[j]})" for j in range(self.d))
+            y = [f"y_{j + 1}" for j in range(self.d)]
+            wxtxw = " + ".join(f"({w[j]} * {y[j]})" for j in range(self.d))
             wxty = " + ".join(f"({w[j]} * {self._m(j + 1, 0)})" for j in range(self.d))
             ls = f"({D(0.5)} * ((({wxtxw}) - (2.0 * ({wxty}))) + m_0_0))"
-            grads = ", ".join(f"({xtxw[j]} - {self._m(j + 1, 0)}) AS g_0_{j + 1}" for j in range(self.d))
-            return f"SELECT it.*, n, {ls} AS ls, {grads} FROM it, mm WHERE {where}"
+            grads = ", ".join(f"({y[j]} - {self._m(j + 1, 0)}) AS g_0_{j + 1}" for j in range(self.d))
+            heads = ", ".join(self._m(j, 0) for j in range(self.d + 1))
+            state = ", ".join(self._state_cols())
+            inner = (f"SELECT {', '.join(f'it.{c}' for c in self._state_cols())}, n, {heads}, "
+                     f"{', '.join(f'{e} AS {a}' for e, a in zip(xtxw, y))} FROM it, mm WHERE {where}")
+            return f"SELECT {state}, n, {ls} AS ls, {grads} FROM ({inner}) q"
         rows = [point_cols[c * self.d:(c + 1) * self.d] for c in range(self.C)]
         zs = [margin_cols(rows[c], self.feats) for c in range(self.C)]
-        l, dl = pointwise(self.loss, zs, "label")
-        grads = ", ".join(f"sum({dl[c]} * x{j + 1}) AS g_{c}_{j + 1}" for c in range(self.C) for j in range(self.d))
-        keys = ", ".join(f"it.{c}" for c in self._state_cols())
-        return f"SELECT {keys}, count(*) AS n, sum({l}) AS ls, {grads} FROM it, p WHERE {where} GROUP BY {keys}"
+        l, dl = pointwise(self.loss, [f"z_{c}" for c in range(self.C)], "label")
+        own = [f"it.{c}" for c in self._state_cols()]
+        x = ", ".join(self.feats)
+        z = ", ".join(f"{e} AS z_{c}" for c, e in enumerate(zs))
+        inner = f"SELECT {', '.join(own)}, {x}, label, {z} FROM it, p WHERE {where}"
+        inner = f"SELECT *, {l} AS l_, {', '.join(f'{e} AS d_{c}' for c, e in enumerate(dl))} FROM ({inner}) q1"
+        grads = ", ".join(f"sum(d_{c} * x{j + 1}) AS g_{c}_{j + 1}" for c in range(self.C) for j in range(self.d))
+        keys = ["k"] + (["lam"] if self.lambdas else [])
+        rest = ", ".join(f"any_value({c}) AS {c}" for c in self._state_cols() if c not in keys)
+        return f"SELECT {', '.join(keys)}, {rest}, count(*) AS n, sum(l_) AS ls, {grads} FROM ({inner}) q2 GROUP BY {', '.join(keys)}"
 
     def _state_cols(self):
         cols = ["k"] + (["lam"] if self.lambdas else []) + self.flat
@@ -180,7 +192,7 @@ class FitSQL:
         if self.step == "prox_l1":
             return [f"(CASE WHEN abs({x}) < {t} THEN {D(0)} ELSE ({x} - (sign({x}) * {t})) END)" for x in v]
         if self.step == "project_box":
-            return [f"greatest({D(0)}, least({D(1)}, {x}))" for x in v]
+            return [f"greatest({D(self.box[0])}, least({D(self.box[1])}, {x}))" for x in v]
         if self.step == "prox_group":
             out = list(v)
             for gi, g in enumerate(self.groups):
@@ -230,7 +242,7 @@ class FitSQL:
         rec = f"SELECT {', '.join(out)} FROM ({lvl3}) c3"
         cols = ", ".join(self._state_cols())
         mm = f", {self._moments_cte()}" if self.data == "moments" else ""
-        return f"WITH RECURSIVE p AS ({duck_sql(self.fixture)}){mm}, it({cols}) AS ({base} UNION ALL {rec})"
+        return f"WITH RECURSIVE p AS MATERIALIZED ({duck_sql(self.fixture)}){mm}, it({cols}) AS ({base} UNION ALL {rec})"
 
     def last(self) -> str:
         """Predicate selecting the last iterate of each chain."""
@@ -246,16 +258,18 @@ class FitSQL:
         return (f"{self.cte()}, fin AS (SELECT {'lam, ' if self.lambdas else ''}"
                 f"((ls / n) + ({self._lam()} * {self._score(self.flat)})) AS f FROM ({agg}) a)")
 
-    def model_sql(self, digits=6, model_col=None) -> str:
-        parts = []
-        mid = model_col or "0"
-        for c in range(self.C):
-            for j in range(self.d):
-                parts.append(
-                    f"SELECT {mid} AS model_id, {c} AS class_id, {j + 1} AS feature_id, "
-                    f"{R(self.W[c][j], digits)} AS weight FROM it WHERE {self.last()}"
-                )
-        return self.cte() + " " + " UNION ALL ".join(parts)
+    def model_sql(self, digits=6, status=True) -> str:
+        """The model table at the last iterate, with the number of iterations and the status."""
+        entries = ", ".join(
+            f"{{'c': {c}, 'j': {j + 1}, 'w': {R(self.W[c][j], digits)}}}" for c in range(self.C) for j in range(self.d)
+        )
+        extra = (f", CAST(k AS INTEGER) AS iterations, CASE WHEN dnorm < {D(self.tol)} THEN 'converged' ELSE 'max_iter' END "
+                 f"AS status") if status else ""
+        return (
+            f"{self.cte()} SELECT 0 AS model_id, CAST(e.c AS INTEGER) AS class_id, CAST(e.j AS INTEGER) AS feature_id, "
+            f"e.w AS weight{', iterations, status' if status else ''} "
+            f"FROM (SELECT unnest([{entries}]) AS e{extra} FROM (SELECT * FROM it ORDER BY k DESC LIMIT 1) f) u"
+        )
 
     def trace_sql(self, run_id: str, with_eval_point: bool = False) -> str:
         eta = f"({D(self.lr)} / sqrt(k))" if self.decay else D(self.lr)
@@ -283,26 +297,3 @@ def trace_cte(fit: FitSQL) -> str:
         f"{fit.final_cte()}, tr AS (SELECT CAST(it.k AS INTEGER) AS iter, "
         f"COALESCE(nx.fprev, (SELECT f FROM fin)) AS loss, {ws} FROM it LEFT JOIN it nx ON nx.k = it.k + 1)"
     )
-
-
-def newton_logistic_l2(fixture: str, lam: float, iters: int = 12, digits: int = 3) -> str:
-    """Two-feature L2 logistic regression solved by Newton's method (oracle for converged fits)."""
-    z = "((w1 * x1) + (w2 * x2))"
-    s = f"(1.0 / (1.0 + exp(-{z})))"
-    l, dl = pointwise("logistic", [z], "label")
-    agg = (
-        f"SELECT k, w1, w2, sum({dl[0]} * x1) / count(*) + {D(lam)} * w1 AS g1, "
-        f"sum({dl[0]} * x2) / count(*) + {D(lam)} * w2 AS g2, "
-        f"sum({s} * (1.0 - {s}) * x1 * x1) / count(*) + {D(lam)} AS h11, "
-        f"sum({s} * (1.0 - {s}) * x1 * x2) / count(*) AS h12, "
-        f"sum({s} * (1.0 - {s}) * x2 * x2) / count(*) + {D(lam)} AS h22 FROM it, p WHERE k < {iters} GROUP BY k, w1, w2"
-    )
-    step = (
-        f"SELECT k + 1, w1 - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), "
-        f"w2 - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12) FROM ({agg}) a"
-    )
-    return (
-        f"WITH RECURSIVE p AS ({duck_sql(fixture)}), it(k, w1, w2) AS (SELECT 0, {D(0)}, {D(0)} UNION ALL {step}) "
-        f"SELECT 0 AS model_id, 0 AS class_id, 1 AS feature_id, {R('w1', digits)} AS weight FROM it WHERE k = {iters} "
-        f"UNION ALL SELECT 0, 0, 2, {R('w2', digits)} FROM it WHERE k = {iters}"
-    )

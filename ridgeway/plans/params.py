@@ -11,8 +11,13 @@ import numpy as np
 # Starting weights and penalty levels used by the queries.
 W_BIN = (0.1, -0.2, 0.3, 0.05)
 W_REG = (0.2, -0.1, 0.05, 0.3)
+W_HINGE = (3.0, -4.0, 1.5, 2.0)  # margins on both sides of 1
 LAMBDA_L2 = 0.01
-LAMBDAS_REG2 = (0.01, 0.05, 0.1)
+LAMBDAS_REG2 = (0.01, 0.1, 0.25, 0.3)  # the last one zeroes coefficients
+N_ITER = 2000
+TOL = 1e-6
+LR_BIN = 3.5  # below 1/L of the mean logistic loss on BIN
+LR_MULTI = 1.9  # below 1/L of the mean softmax loss on MULTI
 GRID_POINTS = 22
 GRID_W1 = (-2.0, 2.0)
 GRID_W2 = (-1.0, 3.0)

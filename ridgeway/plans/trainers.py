@@ -42,7 +42,7 @@ class FitResult:
     def path(self) -> np.ndarray:
         """Iterates w_0 .. w_T (T+1 entries, the first is the initial point)."""
         if any(row[5] is None for row in self.trace):
-            raise ValueError("this fit did not keep its path (keep_path=False or a large model)")
+            raise ValueError("this fit did not keep its path (keep_path=False)")
         return np.array([row[5] for row in self.trace])
 
     @property
@@ -71,13 +71,9 @@ def model_rows(W, model_id: int = 0) -> list[tuple]:
     return [(int(model_id), c, j + 1, float(M[c, j])) for c in range(M.shape[0]) for j in range(M.shape[1])]
 
 
-PATH_MAX_WEIGHTS = 10_000  # beyond this, traces keep the objective but not every iterate
-
-
-def _snapshot(keep_path: bool | None, size: int):
-    """Copy of the iterate for the trace, or None when the path is not kept."""
-    keep = size <= PATH_MAX_WEIGHTS if keep_path is None else keep_path
-    return (lambda w: np.asarray(w, dtype=float).copy()) if keep else (lambda w: None)
+def _snapshot(keep_path: bool):
+    """Copy of the iterate for the trace, or None when the caller doesn't want the path."""
+    return (lambda w: np.asarray(w, dtype=float).copy()) if keep_path else (lambda w: None)
 
 
 def step_size(lr: float, t: int, decay: bool) -> float:
@@ -170,7 +166,7 @@ def batched_line_search(
             losses, grads = obj.many(cands)
         for k, e in enumerate(etas):
             Fk = losses[k] + obj.lam * obj.pen.score(cands[k])
-            if not Fk > F0 + c1 * e * slope:
+            if Fk <= F0 + c1 * e * slope:  # a NaN candidate is never accepted
                 obj.remember(cands[k], losses[k], grads[k])
                 return e, cands[k], losses[k], grads[k]
         m0 += len(ms)
@@ -189,7 +185,7 @@ def gradient_descent(
     tol: float = 1e-6,
     batch: int = 2,
     max_shrinks: int = 100,
-    keep_path: bool | None = None,
+    keep_path: bool = True,
     slope: str = "frobenius",
 ) -> FitResult:
     """Steepest descent with Armijo backtracking; η carries over between steps.
@@ -213,7 +209,7 @@ def bfgs(
     tol: float = 1e-6,
     batch: int = 2,
     max_shrinks: int = 100,
-    keep_path: bool | None = None,
+    keep_path: bool = True,
     max_params: int = 2000,
     slope: str = "frobenius",
     curvature: str = "regularised",
@@ -232,14 +228,14 @@ def bfgs(
                     slope=slope, curvature=curvature)
 
 
-def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=None,
+def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=True,
              slope="frobenius", curvature="regularised"):
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
     require_differentiable(penalty)
     w = np.asarray(w0, dtype=float).copy()
     shape = w.shape
-    snap = _snapshot(keep_path, w.size)
+    snap = _snapshot(keep_path)
     obj = _Objective(ev, penalty, lam, shape)
     eta = lr
     trace = []
@@ -250,6 +246,9 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
         F0, loss, grad = obj.full(w)
         g = obj.smooth_grad(w, grad)
         gnorm = float(np.linalg.norm(g))
+        if not (math.isfinite(F0) and math.isfinite(gnorm)):
+            status = "not_finite"
+            break
         if gnorm < tol:
             status = "converged"
             break
@@ -287,13 +286,13 @@ def proximal_gradient(
     lr_decay: bool = True,
     n_iter: int = 2000,
     tol: float = 1e-6,
-    keep_path: bool | None = None,
+    keep_path: bool = True,
 ) -> FitResult:
     """W ← prox(w − η∇f(w), ηλ); stops when ‖Δw‖ < tol."""
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
-    snap = _snapshot(keep_path, w.size)
+    snap = _snapshot(keep_path)
     obj = _Objective(ev, penalty, lam, w.shape)
     trace = []
     status = "max_iter"
@@ -304,6 +303,9 @@ def proximal_gradient(
         dnorm = float(np.linalg.norm(w_next - w))
         trace.append((i, F0, eta, dnorm, "current", snap(w)))
         w = w_next
+        if not math.isfinite(dnorm):
+            status = "not_finite"
+            break
         if dnorm < tol:
             status = "converged"
             break
@@ -322,7 +324,7 @@ def accelerated_proximal(
     n_iter: int = 2000,
     tol: float = 1e-6,
     momentum: str = "published",
-    keep_path: bool | None = None,
+    keep_path: bool = True,
 ) -> FitResult:
     """Proximal step at an extrapolated point with momentum.
 
@@ -336,24 +338,26 @@ def accelerated_proximal(
         raise ValueError("momentum must be 'published' or 'sqrt'")
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
-    snap = _snapshot(keep_path, w.size)
+    snap = _snapshot(keep_path)
     obj = _Objective(ev, penalty, lam, w.shape)
-    tmp = w.copy()
-    co = 1.0
+    # x_k = prox(y_k − η∇f(y_k)), y_{k+1} = x_k + β_k (x_k − x_{k−1}), β_k = (θ_k − 1)/θ_{k+1}
+    shift = 1.0 if momentum == "published" else 0.0
+    thetas = [1.0]
+    point = w.copy()
     trace = []
     status = "max_iter"
-    eta = lr
     for i in range(n_iter):
-        w_old, co_old = w, co
-        Ft, _, grad = obj.full(tmp)
-        if lr_decay:
-            eta = step_size(lr, i + 1, True)
-        w = penalty.prox(tmp - eta * grad, eta * lam)
-        base = 1.0 if momentum == "published" else 0.0
-        co = (base + math.sqrt(1.0 + 4.0 * co * co)) / 2.0
-        tmp = w + (w - w_old) * ((co_old - 1.0) / co)
-        dnorm = float(np.linalg.norm(w - w_old))
-        trace.append((i, Ft, eta, dnorm, "extrapolated", snap(w_old)))
+        F_point, _, grad = obj.full(point)
+        eta = step_size(lr, i + 1, lr_decay)
+        x = penalty.prox(point - eta * grad, eta * lam)
+        thetas.append((shift + math.sqrt(1.0 + 4.0 * thetas[-1] ** 2)) / 2.0)
+        move = x - w
+        dnorm = float(np.linalg.norm(move))
+        trace.append((i, F_point, eta, dnorm, "extrapolated", snap(w)))
+        point, w = x + move * ((thetas[-2] - 1.0) / thetas[-1]), x
+        if not math.isfinite(dnorm):
+            status = "not_finite"
+            break
         if dnorm < tol:
             status = "converged"
             break
@@ -370,12 +374,12 @@ def projected_gradient(
     lr_decay: bool = True,
     n_iter: int = 2000,
     tol: float = 1e-6,
-    keep_path: bool | None = None,
+    keep_path: bool = True,
 ) -> FitResult:
     """E5: w ← project(w − η∇f(w)); no penalty; logs the data loss."""
     _check_args(n_iter, tol, lr)
     w = np.asarray(w0, dtype=float).copy()
-    snap = _snapshot(keep_path, w.size)
+    snap = _snapshot(keep_path)
     obj = _Objective(ev, NoPenalty(), 0.0, w.shape)
     trace = []
     status = "max_iter"
@@ -386,6 +390,9 @@ def projected_gradient(
         dnorm = float(np.linalg.norm(w_next - w))
         trace.append((i, loss, eta, dnorm, "current", snap(w)))
         w = w_next
+        if not math.isfinite(dnorm):
+            status = "not_finite"
+            break
         if dnorm < tol:
             status = "converged"
             break
@@ -405,7 +412,7 @@ def custom_optimizer(
     lam: float = 0.0,
     n_iter: int = 2000,
     tol: float = 1e-6,
-    keep_path: bool | None = None,
+    keep_path: bool = True,
 ) -> FitResult:
     """Run a user step function ``step(w, state, data_fn) -> (w_next, state)``.
 
@@ -414,7 +421,7 @@ def custom_optimizer(
     """
     penalty = penalty or NoPenalty()
     w = np.asarray(w0, dtype=float).copy()
-    snap = _snapshot(keep_path, w.size)
+    snap = _snapshot(keep_path)
     obj = _Objective(ev, penalty, lam, w.shape)
     state: dict = {}
     trace = []

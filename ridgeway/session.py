@@ -26,7 +26,7 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -59,22 +59,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def spread_if_few_splits(df):
-    """Round-robin the rows over all cores when the input has few splits.
-
-    With fewer splits than twice the cluster's cores, some cores would idle (and
-    a small file set is cheap to shuffle once); with many splits, as on a large
-    input, the data is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(cores)
-    return df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written tables, inside the shared checkpoint folder."""
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, name: str):
+    """The frame written as Parquet in the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote under ``scratch_path`` and that nothing reads any more."""
+    if "/tables/" not in path:
+        raise ValueError(f"{path} isn't a scratch table")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -16,7 +16,9 @@ from .points import (
     encode_binary_label,
     label_argmax_rule,
     label_linear_threshold,
+    points_from_array,
     points_from_columns,
+    points_from_vectors,
 )
 from .tables import table
 
@@ -96,27 +98,25 @@ def reg2_points(spark: SparkSession, sf_dir: str) -> PointSet:
     return points_from_columns(li, [x["q"], x["disc"]], x["p"])
 
 
-def _emb(j: int):
-    return F.col("embedding")[j].cast("double")
+EMBEDDING = 64
 
 
 def svm_points(spark: SparkSession, sf_dir: str) -> PointSet:
-    """SVM: first four embedding elements, +1 for labels below 5."""
+    """SVM: all embedding elements, +1 for labels below 5."""
     em = table(spark, sf_dir, "embeddings")
-    return points_from_columns(em, [_emb(j) for j in range(4)], encode_binary_label(_c("label") < 5), id="vec_id")
+    return points_from_array(em, "embedding", encode_binary_label(_c("label") < 5), EMBEDDING, id="vec_id")
 
 
-def grp_points(spark: SparkSession, sf_dir: str, width: int = 8) -> PointSet:
-    """GRP / GRP64: the first ``width`` embedding elements plus a bias; real label."""
+def grp_points(spark: SparkSession, sf_dir: str) -> PointSet:
+    """GRP: all embedding elements plus a bias; real label."""
     em = table(spark, sf_dir, "embeddings")
-    pts = points_from_columns(em, [_emb(j) for j in range(width)], _c("label").cast("double"), id="vec_id")
-    return append_bias(pts)
+    return append_bias(points_from_array(em, "embedding", _c("label").cast("double"), EMBEDDING, id="vec_id"))
 
 
-def sm10_points(spark: SparkSession, sf_dir: str, width: int = 8) -> PointSet:
-    """SM10 / SM16: first eight (or ``width``) embedding elements, ten classes."""
+def sm10_points(spark: SparkSession, sf_dir: str) -> PointSet:
+    """SM10: all embedding elements as one vector column, ten classes."""
     em = table(spark, sf_dir, "embeddings")
-    return points_from_columns(em, [_emb(j) for j in range(width)], _c("label"), id="vec_id", n_classes=10)
+    return points_from_vectors(em, "embedding", _c("label"), EMBEDDING, id="vec_id", n_classes=10)
 
 
 FIXTURES = {
@@ -129,9 +129,7 @@ FIXTURES = {
     "REG2": reg2_points,
     "SVM": svm_points,
     "GRP": grp_points,
-    "GRP64": lambda s, d: grp_points(s, d, 64),
     "SM10": sm10_points,
-    "SM16": lambda s, d: sm10_points(s, d, 16),
 }
 
 
@@ -196,17 +194,13 @@ def duck_sql(name: str) -> str:
         )
     if name == "REG2":
         return f"SELECT {x['q']} AS x1, {x['disc']} AS x2, {x['p']} AS label FROM lineitem"
+    feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(EMBEDDING))
     if name == "SVM":
-        feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(4))
         return f"SELECT vec_id AS id, {feats}, CASE WHEN label < 5 THEN {_D1} ELSE -{_D1} END AS label FROM embeddings"
     if name == "GRP_TRAIN":
         return f"SELECT * FROM ({duck_sql('GRP')}) WHERE id % 5 <> 0"
-    if name in ("GRP", "GRP64"):
-        width = 8 if name == "GRP" else 64
-        feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(width))
-        return f"SELECT vec_id AS id, {feats}, {_D1} AS x{width + 1}, CAST(label AS DOUBLE) AS label FROM embeddings"
-    if name in ("SM10", "SM16"):
-        width = 8 if name == "SM10" else 16
-        feats = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j + 1}" for j in range(width))
+    if name == "GRP":
+        return f"SELECT vec_id AS id, {feats}, {_D1} AS x{EMBEDDING + 1}, CAST(label AS DOUBLE) AS label FROM embeddings"
+    if name == "SM10":
         return f"SELECT vec_id AS id, {feats}, label FROM embeddings"
     raise KeyError(name)

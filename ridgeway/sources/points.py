@@ -25,33 +25,33 @@ class PointSet:
     label: str = "label"
     id: str | None = None
     n_classes: int | None = None  # set for class-index labels
+    vector: str | None = None  # one array<double> column that holds all features, in the order of their names
 
     @property
     def d(self) -> int:
         return len(self.features)
 
+    def feature_columns(self) -> list[str]:
+        return [self.vector] if self.vector else list(self.features)
+
     def columns(self) -> list[str]:
-        cols = ([self.id] if self.id else []) + list(self.features) + [self.label]
-        return cols
+        return ([self.id] if self.id else []) + self.feature_columns() + [self.label]
+
+    def wide(self) -> "PointSet":
+        """The same points with one column per feature."""
+        if not self.vector:
+            return self
+        cols = [F.col(self.vector)[j].alias(x) for j, x in enumerate(self.features)]
+        df = self.df.select(*([self.id] if self.id else []), *cols, self.label)
+        return replace(self, df=df, vector=None)
 
     def projected(self) -> "PointSet":
         """Only the columns a fit needs (column pruning reaches the scan)."""
         return replace(self, df=self.df.select(*self.columns()))
 
-    def persist(self, rebalance: bool = False) -> "PointSet":
-        """Project, optionally rebalance, and cache for an iterative job.
-
-        A fit scans this table once per step. Rebalancing once (round-robin into
-        max(current partitions, cluster cores) partitions) means no input split,
-        even one file holding a third of all rows, makes one task do that share of
-        the work in every step; partitions never get larger than the input splits.
-        """
-        df = self.projected().df
-        if rebalance:
-            spark = df.sparkSession
-            n = max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-            df = df.repartition(n)
-        return replace(self, df=df.persist(StorageLevel.MEMORY_AND_DISK))
+    def persist(self) -> "PointSet":
+        """Project and cache for an iterative job, which scans this table once per step."""
+        return replace(self, df=self.projected().df.persist(StorageLevel.MEMORY_AND_DISK))
 
     def unpersist(self) -> None:
         self.df.unpersist()
@@ -60,17 +60,40 @@ class PointSet:
         return replace(self, df=df)
 
 
+def _all_of(conditions: Sequence[Column]) -> Column:
+    """Conjunction as a balanced tree, so that thousands of terms stay shallow."""
+    level = list(conditions)
+    while len(level) > 1:
+        level = [level[i] & level[i + 1] if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    return level[0]
+
+
+def _usable(name: str, floating: bool = True) -> Column:
+    c = F.col(name)
+    return c.isNotNull() & ~F.isnan(c) if floating else c.isNotNull()
+
+
+def _keep_usable(df: DataFrame, usable: Column, bad: str) -> DataFrame:
+    if bad == "drop":
+        return df.where(usable)
+    if bad == "fail":
+        return df.where(F.when(usable, True).otherwise(F.raise_error(F.lit("null or NaN feature or label")).cast("boolean")))
+    raise ValueError("bad must be 'drop' or 'fail'")
+
+
 def points_from_columns(
     df: DataFrame,
     features: Sequence[Column] | dict[str, Column],
     label: Column,
     id: Column | str | None = None,
     n_classes: int | None = None,
+    bad: str = "drop",
 ) -> PointSet:
     """A1: build a point table from aligned feature and label expressions.
 
-    Rows with a null feature or label are dropped (nulls carry no meaning for
-    a labelled point); the null test is pushed to the Parquet scan.
+    Rows with a null or NaN feature or label carry no meaning for a labelled
+    point: they are dropped (``count_unusable`` tells how many), or with
+    ``bad='fail'`` the job fails. The null test is pushed to the Parquet scan.
     """
     if isinstance(features, dict):
         named = [c.cast("double").alias(n) for n, c in features.items()]
@@ -86,10 +109,32 @@ def points_from_columns(
         cols.append(id_col.cast("bigint").alias("id"))
     label_col = label.cast("int" if n_classes else "double").alias("label")
     out = df.select(*cols, *named, label_col)
-    keep = F.col("label").isNotNull()
-    for n in names:
-        keep = keep & F.col(n).isNotNull()
-    return PointSet(out.where(keep), names, "label", id_name, n_classes)
+    usable = _all_of([_usable("label", not n_classes), *(_usable(n) for n in names)])
+    return PointSet(_keep_usable(out, usable, bad), names, "label", id_name, n_classes)
+
+
+def count_unusable(df: DataFrame, features: Sequence[Column], label: Column) -> DataFrame:
+    """One row (rows, unusable): how many rows ``points_from_columns`` drops for a null or NaN."""
+    named = [c.cast("double").alias(f"x{j + 1}") for j, c in enumerate(features)]
+    out = df.select(*named, label.cast("double").alias("label"))
+    usable = _all_of([_usable(c) for c in out.columns])
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~usable, 1)).alias("unusable"))
+
+
+def _vector_source(df: DataFrame, features: str) -> Column:
+    src = F.col(features)
+    dtype = df.schema[features].dataType
+    if dtype.typeName() == "vector" or type(dtype).__name__ == "VectorUDT":
+        from pyspark.ml.functions import vector_to_array
+
+        src = vector_to_array(src)
+    return src
+
+
+def _exact_length(src: Column, d: int) -> Column:
+    return F.when(src.isNull() | (F.size(src) == d), src).otherwise(
+        F.raise_error(F.lit(f"feature vector not of length {d}")).cast("array<double>")
+    )
 
 
 def points_from_array(
@@ -99,24 +144,42 @@ def points_from_array(
     d: int,
     id: Column | str | None = None,
     n_classes: int | None = None,
+    bad: str = "drop",
 ) -> PointSet:
     """A1 for a vector column: ``array<float|double>`` or a Spark ML vector.
 
     Element j becomes the double column ``x{j+1}`` (d is fixed when the job is
-    built), so the wide, codegen-friendly aggregates apply unchanged. Rows
-    whose array is shorter than d fail the job instead of being silently padded.
+    built), so the wide, codegen-friendly aggregates apply unchanged. A vector
+    of any other length than d fails the job; a null one, or one with a null or
+    NaN element, is an unusable row (see ``points_from_columns``).
     """
-    src = F.col(features)
-    dtype = df.schema[features].dataType
-    if dtype.typeName() == "vector" or type(dtype).__name__ == "VectorUDT":
-        from pyspark.ml.functions import vector_to_array
+    return points_from_vectors(df, features, label, d, id, n_classes, bad).wide()
 
-        src = vector_to_array(src)
-    checked = F.when(F.size(src) >= d, src).otherwise(
-        F.raise_error(F.lit(f"feature vector shorter than {d}")).cast("array<double>")
-    )
+
+def points_from_vectors(
+    df: DataFrame,
+    features: str,
+    label: Column | str,
+    d: int,
+    id: Column | str | None = None,
+    n_classes: int | None = None,
+    bad: str = "drop",
+) -> PointSet:
+    """A1 for wide vectors: the features stay one ``array<double>`` column, whatever d.
+
+    The rules are those of ``points_from_array``; losses and moments are then
+    summed by the Arrow strategy.
+    """
     lab = F.col(label) if isinstance(label, str) else label
-    return points_from_columns(df, [checked[j] for j in range(d)], lab, id=id, n_classes=n_classes)
+    cols = []
+    if id is not None:
+        cols.append((F.col(id) if isinstance(id, str) else id).cast("bigint").alias("id"))
+    vec = _exact_length(_vector_source(df, features), d).cast("array<double>")
+    out = df.select(*cols, vec.alias("features"), lab.cast("int" if n_classes else "double").alias("label"))
+    fine = F.col("features").isNotNull() & ~F.exists("features", lambda v: v.isNull() | F.isnan(v))
+    usable = fine & _usable("label", not n_classes)
+    names = tuple(f"x{j + 1}" for j in range(d))
+    return PointSet(_keep_usable(out, usable, bad), names, "label", "id" if cols else None, n_classes, "features")
 
 
 # --- A2 / A3 / B3 / B4: labelling rules --------------------------------------------
