@@ -234,13 +234,19 @@ def _arrow_partials(points: PointSet, loss: Loss, Ws: np.ndarray, with_grad: boo
                     if with_grad:
                         grad_acc[m] += np.asarray(gsum, dtype=float).reshape(C, d)
                 continue
-            Z = X @ flat.T
             if C == 1 and M > 1:
-                L, D = loss.numpy_many(Z, y)  # all models in one vectorised call
-                loss_acc += L.sum(axis=0)
-                if with_grad:
-                    grad_acc[:, 0, :] += D.T @ X
+                rows = max(64, BLOCK_MARGINS // M)  # margins of one block stay in the processor's cache
+                for at in range(0, len(y), rows):
+                    x, t = X[at : at + rows], y[at : at + rows]
+                    Z = x @ flat.T
+                    if not with_grad:
+                        loss_acc += loss.numpy_many_sums(Z, t)
+                        continue
+                    L, D = loss.numpy_many(Z, t)  # all models in one vectorised call
+                    loss_acc += L.sum(axis=0)
+                    grad_acc[:, 0, :] += D.T @ x
                 continue
+            Z = X @ flat.T
             for m in range(M):
                 lm, D = loss.numpy(Z[:, m * C : (m + 1) * C], y)
                 loss_acc[m] += lm.sum()
@@ -258,6 +264,7 @@ def _arrow_partials(points: PointSet, loss: Loss, Ws: np.ndarray, with_grad: boo
     return fn
 
 
+BLOCK_MARGINS = 100_000
 # Bounds of one job's model stack: sums in a task's packed vector, and margins of a row.
 MAX_SUMS_PER_JOB = 2_000_000
 MAX_MARGINS_PER_ROW = 1_000
