@@ -51,6 +51,7 @@ SPELLINGS = [
 # A line that states who holds a copyright.
 COPYRIGHT_LINE = r"^[ \t]*[#*/;%-]*[ \t]*(copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9]{4}|<|\[)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+NOT_WORD_OR_LINE = r"[^\p{L}\p{N}\n]+"
 
 _WARRANTY_HEAD = "THE SOFTWARE IS PROVIDED \"AS IS\""
 # Licence texts, their copyright lines left out.
@@ -170,16 +171,39 @@ def notices() -> list[tuple[str, str]]:
     return [(key, f"{phrase} {name}") for key, names in NAMES.items() for phrase in PHRASES for name in names]
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text: words by single spaces, '' for null."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, "(?dm)" + COPYRIGHT_LINE, " ")
-    t = F.concat(F.lit("  "), F.regexp_replace(t, NOT_WORD, "  "), F.lit("  "))  # each word has spaces of its own
-    for a, b in SPELLINGS:
+def _unified(t: Column, spellings) -> Column:
+    for a, b in spellings:
         t = F.replace(t, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b} "))
+    return t
+
+
+def _words(t: Column) -> Column:
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
+def _spaced_lines(text: Column) -> Column:
+    """The text's words in lower case with spelling unified within lines; each word has spaces of its own, lines end in \\n."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    t = F.regexp_replace(t, "(?dm)" + COPYRIGHT_LINE, " ")
+    t = F.regexp_replace(t, NOT_WORD_OR_LINE, "  ")
+    return _unified(F.concat(F.lit("  "), F.replace(t, F.lit("\n"), F.lit("  \n  ")), F.lit("  ")), SPELLINGS)
+
+
+def canonical_lines(spaced: Column) -> Column:
+    """Canonical form of each line of a text in ``_spaced_lines`` form."""
+    return F.transform(F.split(spaced, "\n", -1), _words)
+
+
+def canonical_whole(spaced: Column) -> Column:
+    """Canonical form of the whole text: spellings of several words may also span lines."""
+    return _words(_unified(F.replace(spaced, F.lit("\n"), F.lit("")), [(a, b) for a, b in SPELLINGS if " " in a]))
+
+
+def canonical(text: Column) -> Column:
+    """Canonical form of a text: words by single spaces, '' for null."""
+    return canonical_whole(_spaced_lines(text))
+
+
 def digests(known: list[tuple[str, str]], spark: SparkSession) -> DataFrame:
     """(digest, license_id) of known texts; of ids with one canonical form the first by name stays."""
     rows = spark.createDataFrame(known, "license_id string, text string").select("license_id", canonical(F.col("text")).alias("c"))
@@ -207,15 +231,22 @@ def scan(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no"), F.xxhash64("text").alias("version"), "text")
-    keys = ["id", "no", "version"]
-    own = rows.select(*keys, F.sha2(canonical(F.col("text")), 256).alias("digest"))
-    each = rows.select(*keys, F.explode(F.split("text", "\n", -1)).alias("line"))
-    hits = each.select(*keys, F.sha2(canonical(F.col("line")), 256).alias("digest")).join(lines, "digest")
-    hits = hits.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notices"))
-    done = own.join(whole, "digest", "left").join(hits, keys, "left")
+    keys = ["id", "no", "version", "digest"]
+    spaced = rows.select("id", "no", "version", _spaced_lines(F.col("text")).alias("spaced"))
+    parts = spaced.select(
+        "id", "no", "version", F.sha2(canonical_whole(F.col("spaced")), 256).alias("digest"), canonical_lines(F.col("spaced")).alias("lines")
+    )
+    parts = parts.select(*keys, F.posexplode("lines").alias("at", "line"))
+    found = parts.select(*keys, "at", F.sha2("line", 256).alias("own")).join(
+        lines.select(F.col("digest").alias("own"), F.col("license_id").alias("notice")), "own", "left"
+    )
+    # equal rows are counted once and given back as often as they came
+    each = found.groupBy(*keys).agg(
+        F.array_join(F.sort_array(F.collect_set("notice")), ",").alias("notices"), F.count(F.when(F.col("at") == 0, 1)).alias("times")
+    )
+    done = each.join(whole, "digest", "left").withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return done.select(
-        F.when(~F.col("no"), F.col("id")).alias("doc_id"), F.col("digest").alias("canonical_sha256"), "license_id",
-        F.coalesce("notices", F.lit("")).alias("notices"),
+        F.when(~F.col("no"), F.col("id")).alias("doc_id"), F.col("digest").alias("canonical_sha256"), "license_id", "notices"
     )
 
 
