@@ -15,7 +15,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 250) -> None:
     """Fewer rows per Arrow batch where the session has Spark's default: the rows here are whole texts.
 
     A batch is held by the JVM and by the Python worker at once, so its size
