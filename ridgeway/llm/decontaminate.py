@@ -6,8 +6,10 @@ terms' bounds don't reach the threshold is dropped at once; of the rest only
 blocks whose own bounds reach it are scored (block-max WAND, rank-safe). All
 passages of a batch go through these steps together. Weights are divided by the
 item's score for itself, so the threshold is the share of an item's BM25 mass
-that a passage must hold. What is retrieved counts only when both the item's
-question and its answer are found in the passages' word shingles.
+that a passage must hold. What is retrieved counts only when the item's
+question is found in the passages and its answer in the document: by word
+shingles, or with one word edited where a part is too short for its shingles to
+outlast that.
 """
 
 from __future__ import annotations
@@ -39,6 +41,32 @@ def _shingle_set(ids, k):
     return {tuple(ids[i : i + k]) for i in range(len(ids) - k + 1)} if k else set()
 
 
+def _shingles_found(need, ids):
+    """Those of the shingles ``need`` that are in ``ids``."""
+    k = len(next(iter(need))) if need else 0
+    if not k or len(ids) < k:
+        return set()
+    known = np.isin(ids, list({t for s in need for t in s}))
+    whole = np.lib.stride_tricks.sliding_window_view(known, k).all(axis=1)
+    return need & {tuple(ids[i : i + k].tolist()) for i in np.flatnonzero(whole)}
+
+
+def edited_share(part, ids):
+    """Share of the part's words that ``ids`` have side by side in order but for one changed, added or missing; 0 if more differ.
+
+    Parts of one or two words allow no edit.
+    """
+    if len(part) < 3 or np.isin(part, ids).sum() < len(part) - 1:
+        return 0.0
+    at = np.arange(len(ids) + 1)
+    edits = np.zeros(len(ids) + 1, np.int64)  # the fewest that end at each word
+    for word in part:
+        best = edits + 1
+        best[1:] = np.minimum(best[1:], edits[:-1] + (ids != word))
+        edits = at + np.minimum.accumulate(best - at)
+    return (len(part) - 1) / len(part) if edits.min() <= 1 else 0.0
+
+
 class ItemIndex:
     """Block-max inverted index of test items.
 
@@ -49,8 +77,8 @@ class ItemIndex:
 
     def __init__(self, items, doc_freq, n_items, avg_words, entry_words=64, min_words=5, block=64, shingle=3):
         self.terms: dict[str, int] = {}
-        self.items, self.question, self.answer, entries = [], [], [], []
-        for item_id, question, answer in sorted(items, key=lambda x: (x[0] is None, x[0] or 0)):
+        self.items, self.question, self.answer, self.parts, entries = [], [], [], [], []
+        for item_id, question, answer, own in sorted(items, key=lambda x: (x[0] is None, x[0] or 0)):
             words = question + answer
             if len(words) < min_words:
                 continue
@@ -58,6 +86,7 @@ class ItemIndex:
             q, a = ids[: len(question)], ids[len(question) :]
             self.question.append(_shingle_set(q, shingle))
             self.answer.append(_shingle_set(a, shingle))
+            self.parts.append((q, a, own))
             parts = -(-len(ids) // entry_words)
             cuts = [len(ids) * i // parts for i in range(parts + 1)]
             entries += [(len(self.items), ids[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
@@ -139,15 +168,20 @@ def verify(index, ids, passage, entry, score, overlap, words, step):
     item_of = index.entry_item[entry]
     for item in np.unique(item_of).tolist():
         mine = item_of == item
-        found, lo, hi = set(), None, None
-        for p in np.unique(passage[mine]).tolist():
-            part = ids[p * step : p * step + words].tolist()
-            lo = p * step if lo is None else lo
-            hi = p * step + len(part)
-            for need in (index.question[item], index.answer[item]):
-                k = len(next(iter(need))) if need else 0
-                found.update(s for s in zip(*(part[i:] for i in range(k))) if s in need)
-        q, a = (len(need & found) / len(need) if need else 1.0 for need in (index.question[item], index.answer[item]))
+        held = [(p * step, ids[p * step : p * step + words]) for p in np.unique(passage[mine]).tolist()]
+        lo, hi = held[0][0], held[-1][0] + len(held[-1][1])
+        need_q, need_a = index.question[item], index.answer[item]
+        question, answer, own = index.parts[item]
+        share = lambda need, texts: len(set().union(*(_shingles_found(need, t) for t in texts))) / len(need) if need else 1.0
+        q, a = (share(need, [t for _, t in held]) for need in (need_q, need_a))
+        if q < overlap:
+            q = max(q, edited_share(question, ids[lo:hi]))
+        if q >= overlap and a < overlap:
+            # the answer may stand apart from the passages that hold the question
+            a = max(share(need_a, [ids]), edited_share(answer, ids))
+        if min(q, a) < overlap and not own and len(answer) < 3:
+            both = edited_share(question + answer, ids)
+            q, a = max(q, both), max(a, both)
         if q >= overlap and a >= overlap:
             out.append((index.items[item], float(score[mine].max()), q, a, lo, hi))
     return out
@@ -198,7 +232,8 @@ def find_leaks(
     One row per document row and item; null, empty and very short items and
     texts match nothing; repeated documents and items each give their rows; a
     null id is carried along; empty tables give no rows. No other columns are read.
-    ``version`` is the text's XXH64, which tells rows with the same id apart.
+    ``version`` is the text's XXH64, which tells rows with the same id apart;
+    the words from ``from_word`` to ``to_word`` are those of the retrieved passages.
     """
     import pyarrow as pa
 
@@ -215,10 +250,13 @@ def find_leaks(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     out = None
     for shard in range(shards):
-        part = [(r.item_id, *split_item(text_words(r.text), text_words(r.answer))) for r in dealt.where(F.col("shard") == shard).collect()]
+        part = [
+            (r.item_id, *split_item(text_words(r.text), own := text_words(r.answer)), bool(own))
+            for r in dealt.where(F.col("shard") == shard).collect()
+        ]
         if not part:
             continue
-        vocab = sorted({w for _, q, a in part for w in q + a})
+        vocab = sorted({w for _, q, a, _ in part for w in q + a})
         index = ItemIndex(part, _frequencies(spark, items, vocab, shards), n_items, avg, entry_words)
 
         def scan(batches, index=index):

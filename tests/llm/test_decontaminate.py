@@ -90,3 +90,23 @@ def test_edge_cases(spark):
     assert dc.find_leaks(d.limit(0), b).collect() == [] and dc.find_leaks(d, b.limit(0)).collect() == []
     own = spark.createDataFrame([(1, "which river runs through the old town", "the blue one")], "item_id long, text string, reply string")
     assert {r.doc_id for r in dc.find_leaks(d, own, answer_col="reply").collect()} == {3, 5, None}
+
+
+def test_one_edited_word_and_answers_apart(spark):
+    say = lambda n, seed: [f"{seed}{chr(97 + i)}" for i in range(n)]
+    filler = " ".join(f"pad{i}" for i in range(300))
+    items, docs, want = [], [], set()
+    for n in (5, 8, 12, 15, 17, 20, 23):
+        item = say(n, f"w{n}x")
+        items.append((n, " ".join(item)))
+        for at in range(n):
+            for kind, edited in enumerate((["changed"], [], [item[at], "added"])):
+                doc = n * 1000 + at * 10 + kind
+                docs.append((doc, f"{filler} {' '.join(item[:at] + edited + item[at + 1 :])} {filler}"))
+                want.add((doc, n))
+        docs.append((n * 1000 + 900, f"{filler} {' '.join(item[: n // 2])} {filler}"))
+    apart = say(15, "apart")
+    items.append((99, " ".join(apart)))
+    docs += [(99_001, f"{' '.join(apart[:10])} {filler} {' '.join(apart[10:])}"), (99_002, f"{' '.join(apart[:10])} {filler}")]
+    got = pairs(dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    assert got == want | {(99_001, 99)}
