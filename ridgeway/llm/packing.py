@@ -21,7 +21,10 @@ from .common import carried, materialize, worker_cache
 
 
 def encoder(vocab_path: str):
-    """Byte-level BPE of a ``tokenizers`` JSON file as a tiktoken encoding (the same ids, several times faster)."""
+    """Byte-level BPE of a ``tokenizers`` JSON file as a tiktoken encoding (the same ids, several times faster).
+
+    The file's added tokens are its special tokens: whoever encodes says whether they are allowed.
+    """
     import json
 
     import tiktoken
@@ -33,10 +36,10 @@ def encoder(vocab_path: str):
         # the printable stand-ins of byte-level BPE: printable bytes stand for themselves, the rest follow from 256
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         stand = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(stand[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        cache["bpe", vocab_path] = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        cache["bpe", vocab_path] = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return cache["bpe", vocab_path]
 
 
@@ -48,13 +51,15 @@ def tokenized_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, ids): each text's ids and ``end_id``, cut only where longer than ``capacity``.
 
     ``ids`` holds little-endian unsigned 32-bit ids; without ``with_ids`` only
     their CRC-32 leaves the task. Of a long document all pieces but the first
-    are full. A null or empty text is the end id alone. Control strings in a
-    text are ordinary text.
+    are full. A null or empty text is the end id alone. With ``special_tokens``
+    the file's added tokens have their own ids wherever a text holds them, as
+    ``tokenizers`` encodes by default; else they are ordinary text.
     """
     from zlib import crc32
 
@@ -67,10 +72,11 @@ def tokenized_pieces(
         import numpy as np
 
         enc = encoder(vocab_path)
+        allowed = "all" if special_tokens else set()
         for b in batches:
             rows, held = [], 0
             for doc, text in zip(b.column(0), b.column(1)):
-                ids = np.append(enc.encode_to_numpy(text.as_py() or "", disallowed_special=()).astype("<u4"), np.uint32(end_id))
+                ids = np.append(enc.encode_to_numpy(text.as_py() or "", allowed_special=allowed, disallowed_special=()).astype("<u4"), np.uint32(end_id))
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
@@ -264,10 +270,10 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
     return ranked.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0, special_tokens: bool = False) -> DataFrame:
     """Pieces with their ids, sequence_id and offset.
 
     Repeated rows are packed as often as they come; an empty table gives no
     rows; a null doc_id is carried along; other columns are not read.
     """
-    return pack(tokenized_pieces(docs, vocab_path, capacity, end_id), capacity)
+    return pack(tokenized_pieces(docs, vocab_path, capacity, end_id, special_tokens=special_tokens), capacity)

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from conftest import SF_SMALL
 from ridgeway.llm import packing
 
@@ -113,3 +114,19 @@ def test_edge_cases(spark):
     assert packing.pack_documents(df.limit(0), VOCAB).collect() == []
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(9,)], "length long"), 8)
+
+
+def test_special_tokens_have_their_own_ids(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "  <|endoftext|>  <|endoftext|", None, "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = Tokenizer.from_file(VOCAB)
+    want = {i: tok.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    got = packing.pack_documents(df, VOCAB, special_tokens=True).collect()
+    assert {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got} == want
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    crcs = {k: zlib.crc32(np.array(v, "<u4").tobytes()) for k, v in want.items()}
+    query = entry.queries()["op9_best_fit_packing"](spark, str(tmp_path)).collect()
+    stage = corpus_pipeline.pack(spark, df, str(tmp_path)).collect()
+    for rows in (query, stage):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {k: (len(v), crcs[k]) for k, v in want.items()}
