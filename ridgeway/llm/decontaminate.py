@@ -15,17 +15,32 @@ outlast that.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORDS = re.compile(r"\w+")
+#: Letters and marks of scripts that don't put spaces between words: Thai, Lao, Myanmar, Khmer, Yi, kana, Bopomofo, Han and others.
+UNSPACED = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ebd\u0ec0-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u109a-\u109d\u1780-\u17d3"
+    "\u1950-\u19cf\u1a20-\u1a7c\u1b05-\u1b4b\u3005-\u3007\u3041-\u3096\u3099\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff"
+    "\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua48c\ua980-\ua9c0\ua9e0-\ua9ef\uaa60-\uaa7f"
+    "\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff"
+)
+UNSPACED_LETTER = re.compile(f"[{UNSPACED}]")
+TERMS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 K1, B = 1.2, 0.75
 
 
+def _terms_of(text: str):
+    """Pattern of the text's terms: words, and single letters of scripts without spaces."""
+    return WORDS if text.isascii() or not UNSPACED_LETTER.search(text) else TERMS
+
+
 def text_words(text: str | None) -> list[str]:
-    return WORDS.findall((text or "").lower())
+    return _terms_of(text or "").findall((text or "").lower())
 
 
 def split_item(words: list[str], answer: list[str] | None) -> tuple[list[str], list[str]]:
@@ -72,18 +87,22 @@ class ItemIndex:
 
     Items longer than ``entry_words`` are indexed in several entries, so that a
     passage of twice as many words always holds some entry whole. Items of fewer
-    than ``min_words`` words can't be told from chance and are not indexed.
+    than ``min_words`` words can't be told from chance by shares: they are kept
+    apart, to be found as exact sequences.
     """
 
     def __init__(self, items, doc_freq, n_items, avg_words, entry_words=64, min_words=5, block=64, shingle=3):
         self.terms: dict[str, int] = {}
         self.items, self.question, self.answer, self.parts, entries = [], [], [], [], []
+        self.short: dict[tuple[int, ...], list] = {}
         for item_id, question, answer, own in sorted(items, key=lambda x: (x[0] is None, x[0] or 0)):
             words = question + answer
-            if len(words) < min_words:
-                continue
             ids = [self.terms.setdefault(w, len(self.terms)) for w in words]
             q, a = ids[: len(question)], ids[len(question) :]
+            if len(words) < min_words:
+                if words:
+                    self.short.setdefault(tuple(q if own and q else ids), []).append((item_id, a if own and q else []))
+                continue
             self.question.append(_shingle_set(q, shingle))
             self.answer.append(_shingle_set(a, shingle))
             self.parts.append((q, a, own))
@@ -92,6 +111,7 @@ class ItemIndex:
             entries += [(len(self.items), ids[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
             self.items.append(item_id)
         self.shingle = shingle
+        self.short_keys = {k: np.unique([_sequence_keys(np.array(s), k)[0] for s in self.short if len(s) == k]) for k in {len(s) for s in self.short}}
         df = np.array([doc_freq[w] for w in self.terms], float)
         idf = np.log(1 + (n_items - df + 0.5) / (df + 0.5))
         post = []
@@ -142,6 +162,49 @@ class ItemIndex:
         return cell[hit] // len(self.entry_item), cell[hit] % len(self.entry_item), score[hit]
 
 
+def _sequence_keys(ids, k):
+    """A hash of every ``k`` terms in a row."""
+    key = np.zeros(len(ids) - k + 1, np.int64)
+    for i in range(k):
+        key = key * np.int64(0x9E3779B97F4A7C1) + ids[i : i + len(key)]
+    return key
+
+
+def _breaks(text):
+    """For each term and for the text's end, whether punctuation, a line's end or the text's own edge stands before it."""
+    out, gap = [], ""
+    for part in _slices(text):
+        part, last = part.lower(), 0
+        for m in _terms_of(part).finditer(part):
+            gap += part[last : m.start()]
+            out.append(not out or any(c in "\n\r\x0b\x0c\x85\u2028\u2029" or not (c.isspace() or unicodedata.category(c)[0] == "M") for c in gap))
+            gap, last = "", m.end()
+        gap += part[last:]
+    return [*out, True]
+
+
+def scan_short(index, ids, text):
+    """The same as ``verify`` for short items: their terms as a sentence or line of their own, and an own answer anywhere."""
+    first, breaks = {}, None
+    for k, keys in index.short_keys.items():
+        if len(ids) < k:
+            continue
+        key = _sequence_keys(ids, k)
+        for i in np.flatnonzero(keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key).tolist():
+            sequence = tuple(ids[i : i + k].tolist())
+            if sequence not in index.short or sequence in first:
+                continue
+            breaks = breaks or _breaks(text)
+            if breaks[i] and breaks[i + k]:
+                first[sequence] = i
+    return [
+        (item_id, 1.0, 1.0, 1.0, i, i + len(sequence))
+        for sequence, i in first.items()
+        for item_id, answer in index.short[sequence]
+        if not answer or _shingles_found({tuple(answer)}, ids)
+    ]
+
+
 def passage_terms(ids, words, step):
     """Distinct (passage, term) pairs of passages of ``words`` words that begin every ``step`` words."""
     at = np.flatnonzero(ids >= 0)
@@ -229,8 +292,9 @@ def find_leaks(
     the mean length come from all items. The index travels with the tasks, so
     it is built in shards of at most ``shard_bytes`` of item text (a single
     larger item has a shard of its own), each scanning all documents.
-    One row per document row and item; null, empty and very short items and
-    texts match nothing; repeated documents and items each give their rows; a
+    One row per document row and item; null and empty items and texts match
+    nothing; items of one to four terms match where a sentence or line is the
+    whole item; repeated documents and items each give their rows; a
     null id is carried along; empty tables give no rows. No other columns are read.
     ``version`` is the text's XXH64, which tells rows with the same id apart;
     the words from ``from_word`` to ``to_word`` are those of the retrieved passages.
@@ -280,6 +344,8 @@ def find_leaks(
                 base = total_terms = 0
                 for doc, version, text in zip(b.column(0), b.column(1), b.column(2)):
                     ids = _term_ids(text.as_py(), get)
+                    if index.short:
+                        found += [(doc.as_py(), version.as_py(), *hit) for hit in scan_short(index, ids, text.as_py())]
                     p, t, n = passage_terms(ids, words, step)
                     held.append(((doc.as_py(), version.as_py()), ids, p, t, base, n))
                     base += n
@@ -297,19 +363,24 @@ def find_leaks(
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def _term_ids(text: str | None, get):
-    """Index term of each word, -1 for others; the text is read in slices cut at white space."""
-    if not text:
-        return np.zeros(0, np.int64)
-    parts, at, step = [], 0, 1 << 20
+def _slices(text: str):
+    """The text in slices cut at white space."""
+    at, step = 0, 1 << 20
     while at < len(text):
         end = len(text)
         if end - at > step:
             m = re.compile(r"\s").search(text, at + step)
             end = m.start() if m else end
-        words = WORDS.findall(text[at:end].lower())
-        parts.append(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
+        yield text[at:end]
         at = end
+
+
+def _term_ids(text: str | None, get):
+    """Index term of each word, -1 for others."""
+    parts = [np.zeros(0, np.int64)]
+    for part in _slices(text or ""):
+        words = text_words(part)
+        parts.append(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
     return np.concatenate(parts)
 
 

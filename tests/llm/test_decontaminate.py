@@ -110,3 +110,16 @@ def test_one_edited_word_and_answers_apart(spark):
     docs += [(99_001, f"{' '.join(apart[:10])} {filler} {' '.join(apart[10:])}"), (99_002, f"{' '.join(apart[:10])} {filler}")]
     got = pairs(dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
     assert got == want | {(99_001, 99)}
+
+
+def test_unspaced_scripts_and_short_items(spark):
+    filler = " ".join(f"pad{i}" for i in range(200))
+    items = [(1, "日本で一番高い山は何ですか。それは富士山です。"), (2, "What is 2+2?"), (3, "ภูเขาที่สูงที่สุดคืออะไร"), (4, "Why?"), (5, "富士山"), (6, " ?! ")]
+    docs = [(1, f"{filler} 次の問い「日本で一番高い山は何ですか、それは富士山です」と答える {filler}"), (2, f"{filler}.\nwhat is 2+2? {filler}"),
+            (3, f"{filler} คำถามภูเขาที่สูงที่สุดคืออะไรครับ {filler}"), (4, f"{filler}. WHY! {filler}"), (5, f"山は「富士山」。{filler}"),
+            (6, f"{filler} what is {filler} 2+2? {filler}"), (7, "why not, and 富士山頂"), (8, "?!"), (9, "x " * 600_000 + "\nwhy")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    assert pairs(dc.find_leaks(d, spark.createDataFrame(items, "item_id long, text string"))) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (9, 4)}
+    own = spark.createDataFrame([(1, "capital of France", "Paris"), (2, "", "Paris")], "item_id long, text string, reply string")
+    d = spark.createDataFrame([(1, "Paris it is. Capital of France?"), (2, "Capital of France? Rome"), (3, "Where? Paris.")], "doc_id long, text string")
+    assert pairs(dc.find_leaks(d, own, answer_col="reply")) == {(1, 1), (3, 2)}
