@@ -8,6 +8,9 @@ texts. Single lines are looked up the same way among licence notices.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +53,12 @@ SPELLINGS = [
 ]
 # A line that states who holds a copyright.
 COPYRIGHT_LINE = r"^[ \t]*[#*/;%-]*[ \t]*(copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9]{4}|<|\[)[^\n]*"
+# The same in a text that still has its capitals, wider: also "Copyright, 2020", and a holder's name without a year.
+HOLDER_LINE = (
+    r"^[ \t]*[#*/;%-]*[ \t]*(?:(?i:copyright|\(c\)|©)[ \t]*(?:(?i:\(c\))|©|[0-9]{4}|<|\[)|(?i:copyright)[ \t]*[,:][ \t]*[0-9]{4}"
+    r"|(?:Copyright|©)[ \t]*[,:]?[ \t]+(?:by[ \t]+|the[ \t]+)*"
+    r"(?!(?:Licen[cs]es?|Acts?|Laws?|Notices?|Holders?|Owners?|Statements?|Office|Rights?|Interests?)\b)\p{Lu})[^\n]*"
+)
 NOT_WORD = r"[^\p{L}\p{N}]+"
 NOT_WORD_OR_LINE = r"[^\p{L}\p{N}\n]+"
 
@@ -140,6 +149,19 @@ software.
 
 3. This notice may not be removed or altered from any source distribution.""",
 }
+# Usual headings of the texts above, beside none at all.
+HEADINGS = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC License (ISCL)"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License", "BSD Zero-Clause License (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "The BSD 2-Clause License"],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "The BSD 3-Clause License",
+        "Modified BSD License", "BSD License", "The BSD License",
+    ],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"],
+}
 # Names under which notices call a licence.
 NAMES = {
     "MIT": ["the MIT License", "MIT"],
@@ -171,6 +193,43 @@ def notices() -> list[tuple[str, str]]:
     return [(key, f"{phrase} {name}") for key, names in NAMES.items() for phrase in PHRASES for name in names]
 
 
+def longer_notices() -> list[tuple[str, str]]:
+    """The notices as the head of a licence header: they also define "the License"."""
+    heads = ['(the "License")', '(the "License"); you may not use this file except in compliance with the License.']
+    return [(key, f"{notice} {head}") for key, notice in notices() for head in heads]
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(licence id, text) of the licence table: ``LICENSES``, BSD-3-Clause and the files beside this module, in their usual forms.
+
+    Short texts come under each of ``HEADINGS`` and under none, BSD clauses with and without numbers; long ones with
+    and without what follows their terms, and those of the FSF with its former address too. A file's name is its
+    licence id, a part that tells wordings apart, and ``.txt``.
+    """
+    rows = list(LICENSES.items())
+    body = {k: t if k == "Unlicense" else t.split("\n", 1)[1].strip() for k, t in LICENSES.items()}
+    third = (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."
+    )
+    head, tail = body["BSD-2-Clause"].split("THIS SOFTWARE IS PROVIDED", 1)
+    bodies = [*body.items(), ("BSD-3-Clause", f"{head}{third}\n\nTHIS SOFTWARE IS PROVIDED{tail}")]
+    files = [(f.name, f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    for name, text in files:
+        key = re.match(r"(.+?)(\.[a-z]+)?\.txt$", name).group(1)
+        if key in HEADINGS:
+            bodies.append((key, text))
+            continue
+        ends = re.search(r"END OF TERMS AND CONDITIONS", text)
+        forms = [text, *([text[: ends.end()], text[: ends.start()]] if ends else [])]
+        moved = [re.sub(r"51 Franklin Street, Fifth Floor, Boston, MA\s+02110-1301,?\s+USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", t) for t in forms]
+        rows += [(key, t) for t in dict.fromkeys([*forms, *moved])]
+    for key, text in bodies:
+        plain = re.sub(r"(?m)^[123]\. ", "", text) if key.startswith("BSD") else text
+        rows += [(key, f"{title}\n\n{t}") for t in dict.fromkeys([text, plain]) for title in ["", *HEADINGS[key]]]
+    return rows
+
+
 def _unified(t: Column, spellings) -> Column:
     for a, b in spellings:
         t = F.replace(t, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b} "))
@@ -183,8 +242,7 @@ def _words(t: Column) -> Column:
 
 def _spaced_lines(text: Column) -> Column:
     """The text's words in lower case with spelling unified within lines; each word has spaces of its own, lines end in \\n."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, "(?dm)" + COPYRIGHT_LINE, " ")
+    t = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "(?dm)" + HOLDER_LINE, " "))
     t = F.regexp_replace(t, NOT_WORD_OR_LINE, "  ")
     return _unified(F.concat(F.lit("  "), F.replace(t, F.lit("\n"), F.lit("  \n  ")), F.lit("  ")), SPELLINGS)
 
@@ -204,9 +262,10 @@ def canonical(text: Column) -> Column:
     return canonical_whole(_spaced_lines(text))
 
 
-def digests(known: list[tuple[str, str]], spark: SparkSession) -> DataFrame:
-    """(digest, license_id) of known texts; of ids with one canonical form the first by name stays."""
-    rows = spark.createDataFrame(known, "license_id string, text string").select("license_id", canonical(F.col("text")).alias("c"))
+def digests(known: list[tuple[str, str]] | DataFrame, spark: SparkSession) -> DataFrame:
+    """(digest, license_id) of known texts (license_id, text); of ids with one canonical form the first by name stays."""
+    table = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license_id string, text string")
+    rows = table.select("license_id", canonical(F.col("text")).alias("c"))
     return rows.where("c <> ''").groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
@@ -214,11 +273,13 @@ def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    known: list[tuple[str, str]] | None = None,
-    known_notices: list[tuple[str, str]] | None = None,
+    known: list[tuple[str, str]] | DataFrame | None = None,
+    known_notices: list[tuple[str, str]] | DataFrame | None = None,
 ) -> DataFrame:
     """(doc_id, canonical_sha256, license_id, notices) for every row.
 
+    ``known`` and ``known_notices`` are tables of (license_id, text); without
+    them ``known_texts`` and all notices of this module are used.
     license_id names the known licence whose canonical text the whole text is,
     else null. notices lists, by comma and in order, the licences of which some
     line of the text is a notice; '' for none. A null text counts as empty and
@@ -226,8 +287,8 @@ def scan(
     Only ids, hashes and digests are joined, never texts.
     """
     spark = docs.sparkSession
-    whole = digests(list(LICENSES.items()) if known is None else known, spark)
-    lines = digests(notices() if known_notices is None else known_notices, spark)
+    whole = digests(known_texts() if known is None else known, spark)
+    lines = digests(notices() + longer_notices() if known_notices is None else known_notices, spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no"), F.xxhash64("text").alias("version"), "text")

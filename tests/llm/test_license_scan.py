@@ -1,5 +1,7 @@
 """Licence scan: SQL oracle, variants of known texts, notices, and edge cases."""
 
+from pathlib import Path
+
 import duckdb
 
 import __spark_entry__ as entry
@@ -49,3 +51,28 @@ def test_notices_and_edge_cases(spark):
     assert ls.scan(df.limit(0)).collect() == []
     own = ls.scan(df, known=[("x", "UENI ünï, 漢字: X"), ("y", "Ünï 漢字 x!"), ("z", "")], known_notices=[]).where(F.col("license_id").isNotNull())
     assert [(r.doc_id, r.license_id) for r in own.collect()] == [(9, "y")]
+
+
+def test_whole_licences_headings_and_holders(spark):
+    body = ls.LICENSES["MIT"].split("\n", 1)[1].strip()
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in (Path(ls.__file__).parent / "licenses").glob("*.txt")}
+    rows = [(k.removesuffix(".spdx").removesuffix(".web").removesuffix(".regents"), t) for k, t in texts.items()]
+    want = {"Apache-2.0", "BSD-3-Clause", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "CC0-1.0", "CC-BY-SA-4.0"}
+    assert {k for k, _ in rows} == want
+    rows += [(k, " ".join(t.split()).replace("Copyright (C)", "\nCopyright (C)")) for k, t in rows if k == "MPL-2.0"]
+    rows += [("GPL-3.0", texts["GPL-3.0"].split("END OF TERMS")[0]), ("Apache-2.0", texts["Apache-2.0"].split("APPENDIX")[0])]
+    bsd = ls.LICENSES["BSD-2-Clause"].split("\n", 1)[1].replace("1. R", "* R").replace("2. R", "* R")
+    third = "* Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived\n"
+    third += "from this software without specific prior written permission.\n\nTHIS SOFTWARE IS PROVIDED"
+    rows += [("BSD-2-Clause", bsd), ("BSD-3-Clause", "Copyright 2020 X\n" + bsd.replace("THIS SOFTWARE IS PROVIDED", third))]
+    for head in ("", "The MIT License (MIT)\n", "Copyright Jane Doe\n", "Copyright, 2020\n", "COPYRIGHT: 2020 J\n", "Copyright by the Foo Authors\n", "© Jane Doe\n"):
+        rows.append(("MIT", head + body))
+    rows.append((None, "Copyright Holders and others\n" + body))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    assert [r.license_id for r in ls.scan(df).orderBy("doc_id").collect()] == [k for k, _ in rows]
+    header = 'x\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except\n'
+    one = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    df = spark.createDataFrame([(1, header), (2, one), (3, "own text")], "doc_id long, text string")
+    assert [r.notices for r in ls.scan(df).orderBy("doc_id").collect()] == ["Apache-2.0", "Apache-2.0", ""]
+    table = spark.createDataFrame([("own", "Own text!", 1)], "license_id string, text string, more long")
+    assert [r.license_id for r in ls.scan(df, known=table).orderBy("doc_id").collect()] == [None, None, "own"]
