@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, quality, simhash, substring_dedup
+from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, pieces, quality, simhash, substring_dedup
 from .common import read, small_batches, stored
 
 CAPACITY = 2048
@@ -152,3 +152,18 @@ ORACLE["op1_license_scan"] = license_scan.scan_sql()
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The laid-out visible text of every page."""
     return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def piece_model() -> str:
+    """Path of the SentencePiece model file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SentencePiece ids with begin and end ids, and the text that they read as."""
+    done = pieces.encode_and_decode(read(spark, sf_dir, "documents"), piece_model())
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return done.select("doc_id", "n_tokens", sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
