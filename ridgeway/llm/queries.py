@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, pieces, quality, simhash, substring_dedup
+from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, pieces, quality, simhash, substring_dedup, whitening
 from .common import read, small_batches, stored
 
 CAPACITY = 2048
@@ -167,3 +167,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pieces.encode_and_decode(read(spark, sf_dir, "documents"), piece_model())
     sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
     return done.select("doc_id", "n_tokens", sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four components of its integer form, fitted on all distinct ones."""
+    rows = read(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
