@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, pieces, quality, simhash, substring_dedup, whitening
+from . import chat, decontaminate, fingerprints, html_text, langid, license_scan, packing, phrases, pieces, quality, simhash, substring_dedup, whitening
 from .common import read, small_batches, stored
 
 CAPACITY = 2048
@@ -174,3 +174,12 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the first four components of its integer form, fitted on all distinct ones."""
     rows = read(spark, sf_dir, "embeddings")
     return whitening.whiten(rows, whitening.fit(rows))
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 to 4 words."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_phrase_collocations"] = phrases.collocations_sql()
