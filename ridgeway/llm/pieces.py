@@ -95,17 +95,20 @@ class Pieces:
         self._index()
 
     def _index(self) -> None:
+        """The automaton over the pieces that merging reaches; characters without a piece are numbered after the vocabulary."""
         import ahocorasick
 
-        reached = [p for p in self.ids if self.merged(p) == [p]]
-        own = set(reached)
+        self.count = len(self.kinds)
+        reached = {p: i for p, i in self.ids.items() if self.merged(p) == [p]}
         self.automaton = ahocorasick.Automaton()
-        for p in reached:
-            self.automaton.add_word(p, len(p))
+        for p, i in reached.items():
+            self.automaton.add_word(p, i)
         self.automaton.make_automaton()
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in own), p[0]) for p in reached if len(p) > 1}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, list[int]] = {}
+        self.names = dict(zip(reached.values(), reached))
+        self.sizes = [len(self.names.get(i, "")) for i in range(self.count)]
+        self.shorter = {i: next((reached[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in reached), self.count + ord(p[0])) for p, i in reached.items() if len(p) > 1}
+        self.pairs: dict[int, bool] = {}
+        self.known: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging: the best score first, the leftmost of equal ones."""
@@ -120,55 +123,67 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def goes(self, left: str, right: str) -> bool:
+    def name(self, i: int) -> str:
+        return self.names[i] if i < self.count else chr(i - self.count)
+
+    def goes(self, left: int, right: int) -> bool:
         """Whether merging both together leaves exactly the two; the answer is kept in ``pairs``."""
         if len(self.pairs) >= REMEMBERED:
             self.pairs.clear()
-        answer = self.pairs[left, right] = self.merged(left + right) == [left, right]
+        a, b = self.name(left), self.name(right)
+        answer = self.pairs[left << 32 | right] = self.merged(a + b) == [a, b]
         return answer
 
-    def walk(self, text: str) -> list[str]:
-        """The pieces of a segment of any length."""
-        size, pairs = len(text), self.pairs
-        longest = array("H", [1]) * size
-        for end, length in self.automaton.iter(text):  # of one start, longer matches come later
-            longest[end - length + 1] = length
-        failed = bytearray((size >> 3) + 1)
-        path: list[str] = []
-        at, last, piece = 0, None, text[: longest[0]] if size else ""
-        while at < size:
-            stop = at + len(piece)
-            if not failed[stop >> 3] >> (stop & 7) & 1 and (last is None or (pairs[last, piece] if (last, piece) in pairs else self.goes(last, piece))):
-                path.append(piece)
-                at, last = stop, piece
-                if at < size:
-                    piece = text[at : at + longest[at]]
-            elif len(piece) > 1:
-                piece = self.shorter[piece]
-            else:
+    def walk(self, text: str) -> list[int]:
+        """The pieces of a segment of any length, by number."""
+        end, count, sizes, pairs = len(text), self.count, self.sizes, self.pairs
+        longest = array("i", [-1]) * end
+        for last, i in self.automaton.iter(text):  # of one start, longer matches come later
+            longest[last - sizes[i] + 1] = i
+        failed = None  # one bit for each place, once there is any
+        path: list[int] = []
+        at, before, i = 0, -1, -1
+        while at < end:
+            if i < 0:
+                i = longest[at]
+                if i < 0:
+                    i = count + ord(text[at])
+            stop = at + (sizes[i] if i < count else 1)
+            if failed is None or not failed[stop >> 3] >> (stop & 7) & 1:
+                fits = before < 0 or pairs.get(before << 32 | i)
+                if fits is None:
+                    fits = self.goes(before, i)
+                if fits:
+                    path.append(i)
+                    at, before, i = stop, i, -1
+                    continue
+            shorter = self.shorter.get(i)
+            if shorter is None:
+                if failed is None:
+                    failed = bytearray((end >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = path.pop()
-                at -= len(piece)
-                last = path[-1] if path else None
+                i = path.pop()
+                at -= sizes[i] if i < count else 1
+                before = path[-1] if path else -1
+            else:
+                i = shorter
         return path
 
-    def segment(self, text: str) -> list[int]:
-        """Ids of a segment; characters without a piece become their bytes, or the unknown id."""
-        found = self.known.get(text)
-        if found is None:
-            found = []
-            for p in self.walk(text):
-                i = self.ids.get(p)
-                if i is not None:
-                    found.append(i)
-                elif self.bytes:
-                    found += [self.bytes[b] for b in p.encode()]
-                else:
-                    found.append(self.unknown)
-            if len(text) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = found
+    def segment(self, text: str) -> bytes:
+        """Ids of a segment, 32 bits each; characters without a piece become their bytes, or the unknown id."""
+        ids: list[int] = []
+        for i in self.walk(text):
+            if i < self.count:
+                ids.append(i)
+            elif self.bytes:
+                ids += [self.bytes[b] for b in chr(i - self.count).encode()]
+            else:
+                ids.append(self.unknown)
+        found = array("I", ids).tobytes()
+        if len(text) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[text] = found
         return found
 
     def normal(self, text: str) -> str:
@@ -190,12 +205,15 @@ class Pieces:
                 here = re.compile(f"[^{SPACE}]{SPACE}").search(text, at + SLICE)
                 stop = here.start() + 1 if here else stop
             part = text[at:stop]
-            ids: list[int] = []
-            for s in re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", part) if self.cuts else [part]:
-                ids += self.known.get(s) or self.segment(s)
-            if not self.bytes:  # neighbouring unknown characters are one id
-                ids = [i for n, i in enumerate(ids) if i != self.unknown or not n or ids[n - 1] != i]
-            out.extend(ids)
+            segments = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", part) if self.cuts else [part]
+            known = self.known
+            ids = b"".join([known.get(s) or self.segment(s) for s in segments])
+            if self.bytes:
+                out.frombytes(ids)
+            else:  # neighbouring unknown characters are one id
+                for i in memoryview(ids).cast("I"):
+                    if i != self.unknown or not out or out[-1] != i:
+                        out.append(i)
             at = stop
         if ends:
             out.append(self.eos)
