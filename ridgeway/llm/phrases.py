@@ -1,16 +1,17 @@
 """Phrase collocations from stripes: each prefix keys an associative counter of the words that follow it.
 
 One round for each phrase length counts, in every task, a stripe for each prefix
-(the empty one first): how often each next word follows, and how often no word
-that can matter does. Stripes of one prefix are merged elementwise. A merged stripe
-holds all that a prefix is asked for: the phrases that extend it with their counts,
-its own count (the sum of the whole stripe), and the largest count among its
-extensions, which tells whether a longer phrase takes its place.
+(the empty one first): how often each next word follows. Stripes of one prefix are
+merged elementwise. A merged stripe
+holds the phrases that extend its prefix with their counts, which are the prefixes
+of the next round with their totals, and the largest count among them, which tells
+whether a longer phrase takes the prefix's place; the whole sum of the empty
+prefix's stripe is the number of words.
 
 A phrase can't be more frequent than its parts. From the second round on, stripes
-are kept for frequent prefixes only, and next words that don't end a frequent
-phrase of the round before are one sum. Tasks know frequent phrases from a bitmap of
-bounded size with false positives: these cost work, but change no count.
+are kept for frequent prefixes only, and hold the next words that end a frequent
+phrase of the round before. Tasks know frequent phrases from a bitmap of bounded size
+with false positives: these cost work, but change no count.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from .common import stored
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLOCK = 1 << 21  # words whose stripes a task holds at once
 SLICE = 1 << 20  # bytes of a text cut into words at a time
-SEGMENTS = 256  # a stripe's next words are dealt to so many keys, so that no stripe is one row or one task
+HOT_SHARE = 4096  # a prefix with more than one of so many words of the corpus has its stripe dealt to as many keys as it has such shares
+SEGMENTS = 512  # keys of the empty prefix's stripe
+ROWS = 1 << 15  # stripes in an Arrow batch
 BITS_EACH, MOST_BITS, BITMAP_SLICES = 16, 1 << 28, 64
-SALTS = 16
+SHARES = 64
 
 
 class _Numbers(dict):
@@ -85,8 +88,8 @@ def _places(h, bits: int):
     return h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)
 
 
-def _stripes_of_block(n: int, langs, lang_of, ids, words, bitmap, bits: int):
-    """One batch: the stripes of all prefixes of ``n`` - 1 words that start in the block, but for its last ``n`` - 1 places."""
+def _stripes_of_block(n: int, langs, lang_of, ids, words, bitmap, bits: int, hot):
+    """The stripes of all prefixes of ``n`` - 1 words that start in the block, but for its last ``n`` - 1 places, in batches."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -96,68 +99,70 @@ def _stripes_of_block(n: int, langs, lang_of, ids, words, bitmap, bits: int):
     size = len(words)
     if n == 1:
         at = np.flatnonzero(ids)
-        follows = np.ones(len(at), bool)
+        spread = np.full(len(at), SEGMENTS, np.uint64)
     else:
         h = _hashes([x.encode() for x in langs])[lang_of[: m + 1]]
-        whole = np.ones(m + 1, bool)
+        known = np.ones(m + 1, bool)
         for j in range(n - 1):
             part = ids[j : j + m + 1]
             h = _extended(h, hashes[part])
-            whole &= part != 0
-        one, two = _places(h, bits)
-        known = whole
-        for place in (one, two):
-            known = known & (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        at = np.flatnonzero(known[:m])
-        follows = known[at + 1] & (ids[at + n - 1] != 0)
+            known &= part != 0
+        for place in _places(h, bits):
+            known &= (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        at = np.flatnonzero(known[:m] & known[1:])  # both the prefix and the phrase that the next word ends
+        spread = np.ones(len(at), np.uint64)
+        if len(hot):
+            near = np.minimum(np.searchsorted(hot[:, 0], h[at]), len(hot) - 1)
+            spread = np.where(hot[near, 0] == h[at], hot[near, 1], spread)
     if not len(at):
-        return None
+        return
     code = lang_of[at].astype(np.int64)
     for j in range(n - 1):
         code = np.unique(code * size + ids[at + j], return_inverse=True)[1]
     _, first, prefix = np.unique(code, return_index=True, return_inverse=True)
-    first = at[first]
-    pairs, count = np.unique(prefix[follows] * size + ids[at[follows] + n - 1], return_counts=True)
+    pairs, count = np.unique(prefix * size + ids[at + n - 1], return_counts=True)
     key, word = pairs // size, pairs % size
-    other = np.bincount(prefix[~follows], minlength=len(first))
-    segment = (hashes[word] % np.uint64(SEGMENTS)).astype(np.int64)
-    order = np.argsort(key * SEGMENTS + segment, kind="stable")
+    segment = (hashes[word] % spread[first][key]).astype(np.int64)
+    first = at[first]
+    most = max(HOT_SHARE, SEGMENTS) + 1
+    order = np.argsort(key * most + segment, kind="stable")
     key, word, count, segment = key[order], word[order], count[order], segment[order]
-    starts = np.flatnonzero(np.r_[True, np.diff(key * SEGMENTS + segment) != 0]) if len(key) else np.zeros(0, np.int64)
-    # one row for each prefix and segment; what isn't counted by word goes with the prefix's first row, or has one of its own
-    row_key, row_segment = key[starts], segment[starts]
-    lead = np.r_[True, np.diff(row_key) != 0] if len(row_key) else np.zeros(0, bool)
-    row_other = np.where(lead, other[row_key], 0)
-    alone = np.setdiff1d(np.flatnonzero(other), row_key)
-    row_key, row_segment = np.r_[row_key, alone], np.r_[row_segment, np.full(len(alone), -1)]
-    row_other = np.r_[row_other, other[alone]]
-    offsets = np.r_[starts, np.full(len(alone) + 1, len(key))].astype(np.int32)
+    starts = np.flatnonzero(np.r_[True, np.diff(key * most + segment) != 0])
+    offsets = np.r_[starts, len(key)].astype(np.int32)
     names = pa.array(words, pa.binary()).cast(pa.string())
-    where = first[row_key]
+    where = first[key[starts]]
     parts = [names.take(pa.array(ids[where + j])) for j in range(n - 1)]
     prefixes = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(where), pa.string())
-    return pa.RecordBatch.from_arrays(
+    batch = pa.RecordBatch.from_arrays(
         [
             pa.array(langs, pa.string()).take(pa.array(lang_of[where])),
             prefixes,
-            pa.array(row_segment, pa.int32()),
-            pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(word))),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(count, pa.int64())),
-            pa.array(row_other, pa.int64()),
+            pa.array(segment[starts], pa.int32()),
+            pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(word))), " "),
+            pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(4 * offsets), pa.py_buffer(count.astype("<u4"))]),
         ],
-        names=["lang", "prefix", "segment", "next", "count", "other"],
+        names=["lang", "prefix", "segment", "next", "count"],
     )
+    for i in range(0, batch.num_rows, ROWS):
+        yield batch.slice(i, ROWS)
+
 
+#: A stripe as it is shuffled: the next words, joined by spaces, and their counts in a block as unsigned 32-bit numbers.
+STRIPE = "lang string, prefix string, segment int, next string, count binary"
 
-STRIPE = "lang string, prefix string, segment int, next array<string>, count array<long>, other long"
 
+def stripes(rows: DataFrame, n: int, bitmap=None, bits: int = 0, hot: tuple[tuple[int, int], ...] = ()) -> DataFrame:
+    """Stripes of the prefixes of ``n`` - 1 words of rows (lang, text), summed within blocks of words.
 
-def stripes(rows: DataFrame, n: int, bitmap=None, bits: int = 0) -> DataFrame:
-    """Stripes of the prefixes of ``n`` - 1 words of rows (lang, text), summed within blocks of words."""
+    ``bitmap``: broadcast bitmap of the frequent phrases of ``n`` - 1 words;
+    ``hot``: hashes of those whose stripes are dealt out, and to how many keys.
+    """
 
     def run(batches):
         import numpy as np
 
+        dealt = np.array(sorted(hot), np.uint64).reshape(-1, 2)
+
         filter_ = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         numbers, lang_numbers, parts, runs, held = _Numbers(), {}, [], [], 0
 
@@ -169,14 +174,14 @@ def stripes(rows: DataFrame, n: int, bitmap=None, bits: int = 0) -> DataFrame:
             if last:
                 ids = np.r_[ids, np.zeros(n - 1, np.int32)]
                 lang_of = np.r_[lang_of, np.zeros(n - 1, np.int64)]
-            batch = _stripes_of_block(n, langs, lang_of, ids, words, filter_, bits) if len(ids) >= n else None
+            if len(ids) >= n:
+                yield from _stripes_of_block(n, langs, lang_of, ids, words, filter_, bits, dealt)
             # the last places start phrases that the next block ends
             numbers, lang_numbers, parts, runs, held = _Numbers(), {}, [], [], 0
             if not last:
                 for i, lang in zip(ids[len(ids) - (n - 1) :], lang_of[len(ids) - (n - 1) :]):
                     parts.append(np.array([numbers[words[i]]], np.int32))
                     runs.append((lang_numbers.setdefault(langs[lang], len(lang_numbers)), 1))
-            return batch
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -185,14 +190,10 @@ def stripes(rows: DataFrame, n: int, bitmap=None, bits: int = 0) -> DataFrame:
                     runs.append((lang_numbers.setdefault(lang, len(lang_numbers)), len(words)))
                     held += len(words)
                     if held >= BLOCK:
-                        batch = flush(False)
-                        if batch is not None:
-                            yield batch
+                        yield from flush(False)
                 parts.append(np.zeros(1, np.int32))  # a text's end is a piece's end
                 runs.append((lang_numbers.setdefault(lang, len(lang_numbers)), 1))
-        batch = flush(True)
-        if batch is not None:
-            yield batch
+        yield from flush(True)
 
     return rows.mapInArrow(run, STRIPE)
 
@@ -222,13 +223,12 @@ def merge_stripes(parts: DataFrame, least: int) -> DataFrame:
             return np.flatnonzero(change)
 
         def added(t, first):
-            """(key number, word, count) of the stripes' sums, and what each has besides."""
+            """(key number, word, count) of the stripes' sums."""
             row_key = np.repeat(np.arange(len(first)), np.diff(np.r_[first, t.num_rows]))
             lists, counts = t.column("next").combine_chunks(), t.column("count").combine_chunks()
             each = np.asarray(lists.value_lengths())
             flat = pa.table({"k": pa.array(np.repeat(row_key, each)), "w": lists.flatten(), "c": counts.flatten()})
-            flat = flat.group_by(["k", "w"], use_threads=False).aggregate([("c", "sum")]).sort_by("k")
-            return flat, np.add.reduceat(t.column("other").to_numpy(), first)
+            return flat.group_by(["k", "w"], use_threads=False).aggregate([("c", "sum")]).sort_by("k")
 
         def lists_of(flat, size):
             k = flat.column("k").to_numpy()
@@ -237,26 +237,31 @@ def merge_stripes(parts: DataFrame, least: int) -> DataFrame:
             return pa.ListArray.from_arrays(offsets, word), pa.ListArray.from_arrays(offsets, count)
 
         def compact(t):
-            flat, other = added(t, np.zeros(1, np.int64))
-            nexts, counts = lists_of(flat, 1)
-            return pa.table([*(t.column(c).slice(0, 1) for c in key), nexts, counts, pa.array(other)], names=t.column_names)
+            nexts, counts = lists_of(added(t, np.zeros(1, np.int64)), 1)
+            return pa.table([*(t.column(c).slice(0, 1) for c in key), nexts, counts], names=t.column_names)
 
         def finished(t, first):
-            flat, other = added(t, first)
+            flat = added(t, first)
             k, c = flat.column("k").to_numpy(), flat.column("c_sum").to_numpy()
-            total, top = other.copy(), np.zeros(len(first), np.int64)
+            total, top = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
             np.add.at(total, k, c)
             np.maximum.at(top, k, c)
             nexts, counts = lists_of(flat.filter(pa.array(c >= least)), len(first))
             head = [t.column(x).combine_chunks().take(pa.array(first)) for x in key]
             return pa.RecordBatch.from_arrays([*head, pa.array(total), pa.array(top), nexts, counts], names=[*key, "total", "top", "next", "count"])
 
+        def unpacked(b):
+            lists = pc.split_pattern(b.column(3), " ")
+            counts = np.frombuffer(b"".join(b.column(4).to_pylist()), "<u4").astype(np.int64)
+            offsets = pa.array(np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))].astype(np.int32))
+            return pa.table([*b.columns[:3], lists, pa.ListArray.from_arrays(offsets, pa.array(counts))], names=[*key, "next", "count"])
+
         held, size = [], 0
         for b in batches:
             if not b.num_rows:
                 continue
-            held.append(pa.Table.from_batches([b]))
-            size += b.num_rows + len(b.column(3).flatten())
+            held.append(unpacked(b))
+            size += b.num_rows + len(held[-1].column(3).combine_chunks().flatten())
             if size > 200_000:
                 t = pa.concat_tables(held).combine_chunks()
                 first = edges(t)
@@ -329,15 +334,36 @@ def strength(a: str, l: str, r: str) -> Column:
     return F.expr(f"cast((cast({a} AS decimal(20,0)) * 2000000) div (cast({l} AS decimal(20,0)) + cast({r} AS decimal(20,0))) AS long)")
 
 
+def hot_hashes(phrases: DataFrame, words: int) -> tuple[tuple[int, int], ...]:
+    """(hash, shares) of the phrases (lang, phrase, f) with more than one of ``HOT_SHARE`` of all words: fewer than ``HOT_SHARE``."""
+    found = []
+    for r in phrases.where(F.col("f") * HOT_SHARE > words).collect():
+        h = _hashes([r.lang.encode()])
+        for word in r.phrase.encode().split(b" "):
+            h = _extended(h, _hashes([word]))
+        found.append((int(h[0]), -(-r.f * HOT_SHARE // words)))
+    return tuple(found)
+
+
 def _top(rows: DataFrame, most: int) -> DataFrame:
-    """Each lang's first rows with their rank: of ``SALTS`` shares first, then of what these leave."""
+    """Each lang's first rows with their rank: of ``SHARES`` shares first, then of what these leave."""
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    share = F.pmod(F.xxhash64("phrase"), F.lit(SALTS * 4))
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
     rows = rows.withColumn("share", share).withColumn("nth", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)))
     rows = rows.where(F.col("nth") <= most)
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= most)
 
 
+def _looked_up(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """``asked`` with f by (lang, part): parts that more than one of ``HOT_SHARE`` rows ask for are broadcast, the rest are joined."""
+    rows = asked.count()
+    often = asked.groupBy("lang", "part").count().where(F.col("count") * HOT_SHARE > rows).join(known, ["lang", "part"])
+    often = stored(often.select("lang", "part", F.col("f").alias("often")), "often")  # fewer than HOT_SHARE rows
+    marked = asked.join(F.broadcast(often), ["lang", "part"], "left")
+    hot = marked.where("often IS NOT NULL").withColumnRenamed("often", "f")
+    return hot.unionByName(marked.where("often IS NULL").drop("often").join(known, ["lang", "part"]))
+
+
 def collocations(
     docs: DataFrame,
     least: int = 30,
@@ -367,34 +393,44 @@ def collocations(
         F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"),
     ).where("text IS NOT NULL")
     merged: list[DataFrame] = []
-    bitmap, bits = None, 0
+    bitmap, bits, hot, n_words = None, 0, (), 0
     for n in range(1, longest + 1):
-        merged.append(stored(merge_stripes(stripes(rows, n, bitmap, bits), least), f"stripes{n}"))
+        merged.append(stored(merge_stripes(stripes(rows, n, bitmap, bits, hot), least), f"stripes{n}"))
         if bitmap is not None:
             bitmap.unpersist()
+        if n == 1:
+            words = merged[0].groupBy("lang").agg(F.sum("total").alias("n"))
+            n_words = words.agg(F.sum("n")).head()[0] or 0
         if n < longest:
-            data, bits = phrase_bitmap(extensions(merged[-1]))
-            bitmap = spark.sparkContext.broadcast(data)
-    words = merged[0].groupBy("lang").agg(F.sum("total").alias("n"))
+            frequent = extensions(merged[-1])
+            data, bits = phrase_bitmap(frequent)
+            bitmap, hot = spark.sparkContext.broadcast(data), hot_hashes(frequent, n_words)
     found = reduce(DataFrame.unionAll, (extensions(m) for m in merged[1:]))
-    # what the stripes say of their prefixes, and the phrases that end in a phrase
-    prefixes = reduce(DataFrame.unionAll, (m.select("lang", F.col("prefix").alias("phrase"), "total", "top") for m in merged[1:]))
-    ends = found.select("lang", F.expr("substring(phrase, locate(' ', phrase) + 1)").alias("phrase"), F.lit(0).cast("long").alias("total"), F.col("f").alias("top"))
-    parts = prefixes.unionAll(ends).groupBy("lang", "phrase").agg(F.sum("total").alias("f"), F.max(F.when(F.col("top") >= least, F.col("top"))).alias("longer"))
+    none = F.lit(None).cast("long")
+    # of each phrase its count, and the largest counts of the phrases that it starts (its stripe's top) and that it ends
+    facts = [extensions(m).select("lang", "phrase", "f", none.alias("longer")) for m in merged[:-1]]
+    for m in merged[2:]:
+        top = m.where(F.col("top") >= least)
+        facts.append(top.select("lang", F.col("prefix").alias("phrase"), none.alias("f"), F.col("top").alias("longer")))
+        end = F.expr("substring(phrase, locate(' ', phrase) + 1)")
+        facts.append(extensions(m).select("lang", end.alias("phrase"), none.alias("f"), F.col("f").alias("longer")))
+    parts = reduce(DataFrame.unionAll, facts).groupBy("lang", "phrase").agg(F.max("f").alias("f"), F.max("longer").alias("longer"))
     parts = stored(parts, "phrases")
     big = lambda c: F.col(c).cast("decimal(20,0)")
     kept = found.withColumnRenamed("f", "a").join(parts.select("lang", "phrase", "longer"), ["lang", "phrase"], "left")
     kept = kept.where(F.col("longer").isNull() | (big("longer") * 100 < big("a") * subsumed_percent)).select("lang", "phrase", "a")
-    # every cut asks for the counts of its two parts; a part that very many phrases have is asked for under several salts
+    # every cut asks for the counts of its two parts
     cuts = kept.select("lang", "phrase", "a", F.size(F.split("phrase", " ")).alias("k_all")).select(
         "*", F.explode(F.sequence(F.lit(1), F.col("k_all") - 1)).alias("k")
     )
-    sides = F.explode(F.array(F.struct(F.lit("l").alias("side"), F.expr("substring_index(phrase, ' ', k)").alias("part")),
-                              F.struct(F.lit("r").alias("side"), F.expr("substring_index(phrase, ' ', k - k_all)").alias("part"))))
-    asked = cuts.select("lang", "phrase", "a", "k", sides.alias("s")).select("lang", "phrase", "a", "k", "s.side", "s.part")
-    asked = asked.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
-    known = parts.where(F.col("f") >= least).select("lang", F.col("phrase").alias("part"), "f", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
-    told = asked.join(known, ["lang", "part", "salt"])
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit("l").alias("side"), F.expr("substring_index(phrase, ' ', k)").alias("part")),
+            F.struct(F.lit("r").alias("side"), F.expr("substring_index(phrase, ' ', k - k_all)").alias("part")),
+        )
+    )
+    asked = stored(cuts.select("lang", "phrase", "a", "k", sides.alias("s")).select("lang", "phrase", "a", "k", "s.side", "s.part"), "cuts")
+    told = _looked_up(asked, parts.select("lang", F.col("phrase").alias("part"), "f"))
     count = lambda side, k: F.max(F.when((F.col("side") == side) & (F.col("k") == k), F.col("f")))
     ks = range(1, longest)
     scored = told.groupBy("lang", "phrase", "a").agg(*(count(s, k).alias(f"{s}{k}") for k in ks for s in "lr"))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -98,13 +99,13 @@ def list_of_counts(rows, n, whole=False):
     block, slice_ = phrases.BLOCK, phrases.SLICE
     if whole:
         phrases.BLOCK, phrases.SLICE = 1 << 21, 1 << 20
-    total, other = Counter(), Counter()
+    total = Counter()
     for b in phrases.stripes(Frame(), n, Full, 1 << 16):
         for r in b.to_pylist():
-            other[r["prefix"]] += r["other"]
-            total.update({(r["prefix"], w): c for w, c in zip(r["next"], r["count"])})
+            for w, c in zip(r["next"].split(" "), np.frombuffer(r["count"], "<u4")):
+                total[r["prefix"], w] += int(c)
     phrases.BLOCK, phrases.SLICE = block, slice_
-    return total, {k: v for k, v in other.items() if v}
+    return total
 
 
 def test_saturated_bitmap_changes_no_count(spark, monkeypatch):
@@ -114,6 +115,13 @@ def test_saturated_bitmap_changes_no_count(spark, monkeypatch):
     assert rows_of(spark, rows, least=5) == want
     monkeypatch.setattr(phrases, "phrase_bitmap", lambda p: (b"\xff" * 8192, 1 << 16))
     assert rows_of(spark, rows, least=5) == want
+    monkeypatch.setattr(phrases, "HOT_SHARE", 1)  # no phrase is hot
+    assert rows_of(spark, rows, least=5) == want
+
+
+def test_only_pairs(spark):
+    rows = [("en", "a b c d. " * 5 + "a b")] * 4
+    assert rows_of(spark, rows, least=4, longest=2) == brute(rows, 4, 2)
 
 
 def test_hot_word_and_pair(spark):
