@@ -36,10 +36,11 @@ def shingles(paragraph: Column) -> Column:
 
 
 def paragraph_sums(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """Per ``keys`` the sums of all paragraphs' vectors: n (shingles), b0.. (pairs of likeness lanes), e0.. (exact lanes).
+    """Per ``keys`` the sums of all paragraphs' vectors: n (shingles), b0.. (pairs of likeness lanes), e0.. (halves of exact lanes).
 
-    The sums are not yet reduced, so groups may be added up further. A text
-    without a paragraph has zeros.
+    The sums are not yet reduced, so groups may be added up further. Exact lanes
+    are summed in halves of 24 bits, high half first: 2**39 paragraphs fit a sum.
+    A text without a paragraph has zeros.
     """
     lines = texts.select(*keys, F.explode_outer(paragraphs(F.col(text_col))).alias("p"))
     lines = lines.select(*keys, F.sha2("p", 512).alias("digest"), F.coalesce(shingles(F.col("p")), F.array()).alias("s"))
@@ -47,20 +48,22 @@ def paragraph_sums(texts: DataFrame, keys: list[str], text_col: str = "text") ->
     parts = parts.select(
         *keys, "digest", "at", F.when(F.col("at").isNotNull(), F.xxhash64("s.a", "s.b", "s.c")).alias("h")
     )
-    step = EXACT_BITS // 4
+    step = EXACT_BITS // 8
     lane = lambda i: F.conv(F.substring("digest", 1 + i * step, step), 16, 10).cast("long")
     pair = F.lit(1 | 1 << LANE_BITS)
     return parts.groupBy(*keys).agg(
         F.count("h").alias("n"),
         *(F.coalesce(F.sum(F.shiftrightunsigned("h", j).bitwiseAND(pair)), F.lit(0)).alias(f"b{j}") for j in range(LANES // 2)),
-        *(F.sum(F.when(F.col("at") == 0, lane(i)).otherwise(0)).alias(f"e{i}") for i in range(EXACT)),
+        *(F.sum(F.when(F.col("at") == 0, lane(i)).otherwise(0)).alias(f"e{i}") for i in range(2 * EXACT)),
     )
 
 
 def exact_hex() -> Column:
     """The exact lanes as lower-case hex digits."""
-    lanes = (F.col(f"e{i}").bitwiseAND(F.lit((1 << EXACT_BITS) - 1)) for i in range(EXACT))
-    return F.lower(F.concat(*(F.lpad(F.hex(c), EXACT_BITS // 4, "0") for c in lanes)))
+    half = EXACT_BITS // 2
+    digits = lambda c: F.lpad(F.hex(c.bitwiseAND(F.lit((1 << half) - 1))), half // 4, "0")
+    halves = ((F.col(f"e{2 * i}") + F.shiftright(f"e{2 * i + 1}", half), F.col(f"e{2 * i + 1}")) for i in range(EXACT))
+    return F.lower(F.concat(*(digits(c) for pair in halves for c in pair)))
 
 
 def lane_counts() -> Column:
@@ -141,7 +144,8 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Fingerprints are hex digits of the exact lanes, a dash, and the likeness
     lanes; equal texts have equal ones whatever the order of their paragraphs.
     Repeated rows give repeated rows, null ids come back as null, an empty table
-    gives none. Only the id and the text are read.
+    gives none. Only the id and the text are read. Of a very long text the
+    paragraphs are spread as rows and summed; no sum can overflow.
     """
     two = F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))

@@ -93,3 +93,9 @@ def test_edge_cases(spark):
     assert fp.compare_with_edits(df.limit(0)).collect() == []
     one = df.where(F.col("text") == "null id here")
     assert rows_of(fp.compare_with_edits(one)) == plain_rows([(None, "null id here")])
+
+
+def test_very_many_paragraphs(spark):
+    rows = [(1, "".join(f"p{i % 977} q\n" for i in range(200_000))), (2, "a b\n" * 200_000), (3, "c d e\n" * 70_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(fp.compare_with_edits(df)) == plain_rows(rows)
