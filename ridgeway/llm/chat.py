@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .packing import encoder
+from .packing import encoder, token_ids
 
 TURN, SAYS, DONE = "<|turn|>", "<|says|>", "<|done|>"
 _PLAIN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
@@ -88,7 +88,7 @@ def format_conversations(
 
     def run(batches):
         enc = encoder(vocab_path)
-        code = lambda s: enc.encode_to_numpy(s, disallowed_special=()).astype("<u4")
+        code = lambda s: token_ids(enc, s)
         says, done, turn_mark = code(SAYS), code(DONE), code(TURN)
         out: list = []
         shard = at = conv = None

@@ -11,13 +11,15 @@ needs one prefix sum over (input task, length) counts.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carried, materialize, worker_cache
+from .common import carried, materialize, stored, worker_cache
 
 
 def encoder(vocab_path: str):
@@ -43,6 +45,31 @@ def encoder(vocab_path: str):
     return cache["bpe", vocab_path]
 
 
+#: White space as the vocabulary's pattern means it, in runs long enough to be cut out: the pattern steps back through a run
+#: character by character, and gives up on very long ones.
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
+
+
+def _plain_ids(enc, text: str) -> list[np.ndarray]:
+    """Ids of a text without special tokens. The pattern takes a run of white space as one word, but for its last
+    character where more text follows; long runs are encoded as that word without the pattern."""
+    parts, at = [], 0
+    for run in _RUN.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        parts += [enc.encode_to_numpy(text[at : run.start()], disallowed_special=()), enc._encode_single_piece(text[run.start() : stop])]
+        at = stop
+    return [*parts, enc.encode_to_numpy(text[at:], disallowed_special=())]
+
+
+def token_ids(enc, text: str, special_tokens: bool = False) -> np.ndarray:
+    """Little-endian unsigned 32-bit ids of a text of any length; added tokens have their own ids if ``special_tokens``."""
+    names = sorted(enc.special_tokens_set, key=len, reverse=True) if special_tokens else []
+    parts: list = []
+    for i, piece in enumerate(re.split(f"({'|'.join(map(re.escape, names))})", text) if names else [text]):
+        parts += [[enc.encode_single_token(piece)]] if i % 2 else _plain_ids(enc, piece)
+    return np.concatenate([np.asarray(p, "<u4") for p in parts])
+
+
 def tokenized_pieces(
     docs: DataFrame,
     vocab_path: str,
@@ -50,38 +77,37 @@ def tokenized_pieces(
     end_id: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
-    with_ids: bool = True,
     special_tokens: bool = False,
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, ids): each text's ids and ``end_id``, cut only where longer than ``capacity``.
-
-    ``ids`` holds little-endian unsigned 32-bit ids; without ``with_ids`` only
-    their CRC-32 leaves the task. Of a long document all pieces but the first
-    are full. A null or empty text is the end id alone. With ``special_tokens``
-    the file's added tokens have their own ids wherever a text holds them, as
-    ``tokenizers`` encodes by default; else they are ordinary text.
+    """(doc_id, piece, start, length, ids, at, nth): each text's ids and ``end_id``, cut only where longer than ``capacity``.
+
+    ``ids`` holds little-endian unsigned 32-bit ids. Of a long document all
+    pieces but the first are full. A null or empty text is the end id alone.
+    With ``special_tokens`` the file's added tokens have their own ids wherever a
+    text holds them, as ``tokenizers`` encodes by default; else they are ordinary
+    text. ``at`` numbers the pieces (the task's number above 33 bits), ``nth``
+    those of one length within a task, from 0.
     """
-    from zlib import crc32
-
     import pyarrow as pa
 
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 5 + with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids", "at", "nth"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches):
-        import numpy as np
+        from pyspark import TaskContext
 
         enc = encoder(vocab_path)
-        allowed = "all" if special_tokens else set()
+        at, seen = TaskContext.get().partitionId() << 33, [0] * (capacity + 1)
         for b in batches:
             rows, held = [], 0
             for doc, text in zip(b.column(0), b.column(1)):
-                ids = np.append(enc.encode_to_numpy(text.as_py() or "", allowed_special=allowed, disallowed_special=()).astype("<u4"), np.uint32(end_id))
+                ids = np.append(token_ids(enc, text.as_py() or "", special_tokens), np.uint32(end_id))
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-                    own = ids[lo:hi].tobytes()
-                    rows.append((doc.as_py(), i, lo, hi - lo, crc32(own), own)[: len(names)])
+                    rows.append((doc.as_py(), i, lo, hi - lo, ids[lo:hi].tobytes(), at, seen[hi - lo]))
+                    seen[hi - lo] += 1
+                    at += 1
                 held += len(ids)
                 if held > 1 << 21:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -90,8 +116,7 @@ def tokenized_pieces(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return rows.mapInArrow(run, schema + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, at long, nth long")
 
 
 class _Counts:
@@ -230,30 +255,27 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
     return places, sequences
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") -> DataFrame:
-    """``pieces`` with sequence_id and offset, in as few sequences of ``capacity`` as the method finds.
+def places(rows: DataFrame, capacity: int) -> DataFrame:
+    """(at, sequence_id, offset) of rows (at, length, nth): ``at`` numbers the rows, its bits above 33 the groups within which
+    ``nth`` numbers those of one length.
 
-    The rows are checkpointed with their input task's number; per length, tasks'
-    counts give each task's first rank. Only the histogram (``capacity``
-    numbers at most) reaches the driver, and the plan made of it (a few rows for
-    each length) returns with the tasks. Every length must lie in 1..capacity.
+    Per length, the groups' counts give each group's first rank. Only the
+    histogram (``capacity`` numbers at most) reaches the driver, and the plan made
+    of it (a few rows for each length) returns with the tasks. Every length must
+    lie in 1..capacity. Rows of equal length take their places in the order of ``at``.
     """
-    import numpy as np
     import pyarrow as pa
 
-    rows = carried(pieces, length=F.col(f"`{length_col}`").cast("long"), at=F.monotonically_increasing_id())
-    rows = materialize(rows).withColumn("task", F.shiftright("at", 33))
+    rows = rows.select("at", "length", "nth", F.shiftright("at", 33).alias("task"))
     counts = rows.groupBy("task", "length").agg(F.count("*").alias("n"))
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
     if any(k is None or not 1 <= k <= capacity for k in histogram):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    places, _ = plan(histogram, capacity)
-    table = np.array(sorted(places), np.int64).reshape(-1, 6)
+    planned, _ = plan(histogram, capacity)
+    table = np.array(sorted(planned), np.int64).reshape(-1, 6)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")
     base = counts.select("task", "length", before.alias("base"))
-    local = F.row_number().over(Window.partitionBy("task", "length").orderBy("at")) - 1
-    ranked = rows.withColumn("local", local).join(base, ["task", "length"])
-    ranked = ranked.select("row", "length", (F.col("base") + F.col("local")).alias("rank"))
+    ranked = rows.join(base, ["task", "length"]).select("at", "length", (F.col("base") + F.col("nth")).alias("rank"))
 
     def run(batches):
         # places are sorted by (length, first rank); every rank lies in exactly one
@@ -264,16 +286,37 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
             nth = rank - place[:, 1]
             seq = place[:, 3] + nth // place[:, 4]
             offset = place[:, 5] + nth % place[:, 4] * length
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seq), pa.array(offset)], names=["row", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seq), pa.array(offset)], names=["at", "sequence_id", "offset"])
+
+    return ranked.mapInArrow(run, "at long, sequence_id long, offset long")
+
+
+def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") -> DataFrame:
+    """``pieces`` with sequence_id and offset, in as few sequences of ``capacity`` as the method finds.
 
-    schema = T.StructType([ranked.schema["row"]]).add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
+    The rows are checkpointed with their input task's number and order; see
+    ``places``. An empty table gives no rows.
+    """
+    rows = materialize(carried(pieces, length=F.col(f"`{length_col}`").cast("long"), at=F.monotonically_increasing_id()))
+    local = F.row_number().over(Window.partitionBy(F.shiftright("at", 33), "length").orderBy("at")) - 1
+    found = places(rows.select("at", "length", local.cast("long").alias("nth")), capacity)
+    return rows.join(found, "at").select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0, special_tokens: bool = False) -> DataFrame:
-    """Pieces with their ids, sequence_id and offset.
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids) of every piece.
+
+    The pieces are written once to the shared folder; places are found from
+    their lengths alone, and the ids are joined to them at the end. Sequences are
+    rebuilt by putting each sequence's ids together in the order of offset.
 
     Repeated rows are packed as often as they come; an empty table gives no
-    rows; a null doc_id is carried along; other columns are not read.
+    rows; a null doc_id is carried along; other columns are not read. Pieces of
+    equal length take their places in the order in which they were written. A
+    very long text is cut into pieces; runs of white space of any length have the
+    ids that the ``tokenizers`` library gives them.
     """
-    return pack(tokenized_pieces(docs, vocab_path, capacity, end_id, special_tokens=special_tokens), capacity)
+    pieces = stored(tokenized_pieces(docs, vocab_path, capacity, end_id, special_tokens=special_tokens), "pieces")
+    done = pieces.join(places(pieces, capacity), "at")
+    crc = F.crc32("ids").alias("ids_crc32")
+    return done.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset", "ids")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
-BLOCK = 1 << 21  # words whose stripes a task holds at once
+BLOCK = 1 << 20  # words whose stripes a task holds at once
 SLICE = 1 << 20  # bytes of a text cut into words at a time
 HOT_SHARE = 4096  # a prefix with more than one of so many words of the corpus has its stripe dealt to as many keys as it has such shares
 SEGMENTS = 512  # keys of the empty prefix's stripe
@@ -120,6 +120,7 @@ def _stripes_of_block(n: int, langs, lang_of, ids, words, bitmap, bits: int, hot
     for j in range(n - 1):
         code = np.unique(code * size + ids[at + j], return_inverse=True)[1]
     _, first, prefix = np.unique(code, return_index=True, return_inverse=True)
+    del code
     pairs, count = np.unique(prefix * size + ids[at + n - 1], return_counts=True)
     key, word = pairs // size, pairs % size
     segment = (hashes[word] % spread[first][key]).astype(np.int64)
@@ -170,10 +171,11 @@ def stripes(rows: DataFrame, n: int, bitmap=None, bits: int = 0, hot: tuple[tupl
             nonlocal numbers, lang_numbers, parts, runs, held
             words, langs = list(numbers), list(lang_numbers)
             ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            lang_of = np.repeat(*np.array(runs, np.int64).reshape(-1, 2).T)
+            of, many = np.array(runs, np.int64).reshape(-1, 2).T
+            lang_of = np.repeat(of.astype(np.int32), many)
             if last:
                 ids = np.r_[ids, np.zeros(n - 1, np.int32)]
-                lang_of = np.r_[lang_of, np.zeros(n - 1, np.int64)]
+                lang_of = np.r_[lang_of, np.zeros(n - 1, np.int32)]
             if len(ids) >= n:
                 yield from _stripes_of_block(n, langs, lang_of, ids, words, filter_, bits, dealt)
             # the last places start phrases that the next block ends

@@ -50,8 +50,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces and their places in sequences of 2048 tokens."""
-    pieces = packing.tokenized_pieces(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY, with_ids=False, special_tokens=True)
-    return packing.pack(pieces, CAPACITY)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary(), CAPACITY, special_tokens=True)
 
 
 @query

@@ -100,3 +100,10 @@ def test_edge_cases(spark):
     got = sorted((tuple(r) for r in chat.read_back(chat.format_conversations(wide, VOCAB), VOCAB).collect()), key=str)
     assert got == plain(rows)
     assert chat.read_back(chat.format_conversations(df.limit(0), VOCAB), VOCAB).collect() == []
+
+
+def test_long_white_space(spark):
+    rows = [(1, 0, "user", " " * 1_500_000 + "x"), (1, 1, "assistant", "\n" * 1_500_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.read_back(chat.format_conversations(df, VOCAB), VOCAB).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(rows)

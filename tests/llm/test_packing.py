@@ -34,7 +34,6 @@ def check_places(rows, capacity):
 def test_query_ids_and_places(spark):
     got = entry.queries()["op9_best_fit_packing"](spark, SF_SMALL).toPandas()
     tok = Tokenizer.from_file(VOCAB)
-    tok.encode_special_tokens = True
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     want = {}
     for d, t in docs.items():
@@ -130,3 +129,55 @@ def test_special_tokens_have_their_own_ids(spark, tmp_path):
     stage = corpus_pipeline.pack(spark, df, str(tmp_path)).collect()
     for rows in (query, stage):
         assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {k: (len(v), crcs[k]) for k, v in want.items()}
+
+
+def rebuilt(rows):
+    """Every sequence's ids, put together from the rows."""
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, np.frombuffer(bytes(r.ids), "<u4").tolist()))
+    out = {}
+    for seq, parts in by.items():
+        out[seq] = []
+        for offset, ids in sorted(parts):
+            assert offset == len(out[seq])
+            out[seq] += ids
+    return out
+
+
+def test_sequences_can_be_rebuilt(spark):
+    rows = entry.queries()["op9_best_fit_packing"](spark, SF_SMALL).collect()
+    tok = Tokenizer.from_file(VOCAB)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    sequences = rebuilt(rows)
+    assert max(map(len, sequences.values())) <= 2048
+    found = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        assert r.start == len(found.setdefault(r.doc_id, []))
+        own = sequences[r.sequence_id][r.offset : r.offset + r.length]
+        assert zlib.crc32(np.array(own, "<u4").tobytes()) == r.ids_crc32
+        found[r.doc_id] += own
+    assert found == {d: tok.encode(t or "", add_special_tokens=False).ids + [0] for d, t in docs.items()}
+
+
+LONG = [" " * 2_000_000, "\n" * 2_000_000, "a" + " " * 2_000_000 + "b", " \n\t" * 500_000 + "x" + "\u3000" * 5000, "<|endoftext|>" + " " * 3000 + "<|endoftext|> " + "\n" * 400]
+
+
+@pytest.mark.parametrize("text", LONG + ["x" + " " * n + "y" for n in (255, 256, 257, 1000)] + ["\x1c" * 600 + " \x1d" * 300, "\x85" * 300 + " z"])
+def test_long_white_space(text):
+    tok, plain = Tokenizer.from_file(VOCAB), Tokenizer.from_file(VOCAB)
+    plain.encode_special_tokens = True
+    enc = packing.encoder(VOCAB)
+    assert packing.token_ids(enc, text, True).tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(enc, text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_in_operator_and_stage(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    tok = Tokenizer.from_file(VOCAB)
+    want = {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(LONG)}
+    for rows in (packing.pack_documents(df, VOCAB, special_tokens=True).collect(), corpus_pipeline.pack(spark, df, str(tmp_path)).collect()):
+        got = {}
+        for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+            got.setdefault(r.doc_id, []).extend(np.frombuffer(bytes(r.ids), "<u4").tolist())
+        assert got == want
