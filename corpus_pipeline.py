@@ -67,9 +67,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of every document and their places in sequences."""
-    pieces = packing.tokenized_pieces(docs, vocabulary(), CAPACITY, with_ids=False, special_tokens=True)
-    return packing.pack(pieces, CAPACITY)
+    """Token pieces of every document with their ids and their places in sequences."""
+    return packing.pack_documents(docs, vocabulary(), CAPACITY, special_tokens=True)
 
 
 STAGES = [
