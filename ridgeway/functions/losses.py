@@ -21,15 +21,46 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Products that one margin writes out as a sum. Both forms add from left to right, so they give the same
+# number; the written-out one is compiled, the one over arrays keeps the plan flat whatever the width.
+WRITTEN_OUT = 128
+
+
+def sql_double(v: float) -> str:
+    """A double as SQL, digit for digit."""
+    v = float(v)
+    if v != v or v in (float("inf"), float("-inf")):
+        return f"CAST('{v}' AS DOUBLE)"
+    return f"{v!r}D"
+
+
+def weights_array(weights: Sequence[float]) -> str:
+    """The weights as one SQL array, digit for digit. Spark folds it to a single literal; until then it is one string,
+    so that the plan is as small for ten thousand weights as for ten."""
+    return f"CAST(split('{','.join(repr(float(w)) for w in weights)}', ',') AS ARRAY<DOUBLE>)"
+
+
+def _sum_of_products(pairs: Column) -> Column:
+    return F.aggregate(pairs, F.lit(0.0), lambda total, term: total + term)
+
+
+def vector_margin(weights: Sequence[float], vector: str | Column) -> Column:
+    """B6 on one array column: x . w as a left-to-right sum, for any length."""
+    x = F.col(vector) if isinstance(vector, str) else vector
+    return _sum_of_products(F.zip_with(x, F.expr(weights_array(weights)), lambda x, w: w * x))
+
+
 def linear_margin(weights: Sequence[float], features: Sequence[str | Column]) -> Column:
-    """X . w as a left-to-right sum of literal products."""
+    """X . w as a left-to-right sum of products, for any number of columns."""
+    columns = [F.col(x) if isinstance(x, str) else x for x in features]
+    if not columns or not len(weights):
+        raise ValueError("no features")
+    if len(columns) > WRITTEN_OUT:
+        return vector_margin(weights, F.array(*columns))
     acc: Column | None = None
-    for w, x in zip(weights, features):
-        xc = F.col(x) if isinstance(x, str) else x
-        term = F.lit(float(w)) * xc
+    for w, x in zip(weights, columns):
+        term = F.lit(float(w)) * x
         acc = term if acc is None else acc + term
-    if acc is None:
-        raise ValueError("no features")
     return acc
 
 

@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.losses import linear_margin
 from ..sources.points import PointSet
+from .loss_grad import point_margin
 
 
 def predict_linear(points: PointSet, weights: Sequence[float], keep: Sequence[str] = ()) -> DataFrame:
-    """ŷ = x·w per row (weights are parameter-sized literals)."""
+    """ŷ = x·w per row of wide or vector points (weights are a parameter-sized literal)."""
     cols = ([points.id] if points.id else []) + list(keep)
     return points.df.select(*cols, F.col(points.label).alias("label"),
-                            linear_margin(weights, list(points.features)).alias("prediction"))
+                            point_margin(points, weights).alias("prediction"))
 
 
 def mean_squared_error(pred: DataFrame, by: Sequence[str] = ()) -> DataFrame:

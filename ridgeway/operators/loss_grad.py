@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.losses import Loss, get_loss, linear_margin
+from ..functions.losses import WRITTEN_OUT, Loss, get_loss, sql_double, vector_margin, weights_array
 from ..sources.points import PointSet
 from .tree_sum import PACKED, collect_sum, packed, tree_sum
 
@@ -48,26 +48,29 @@ def _margin_count(points: PointSet, loss: Loss) -> int:
     return loss.n_margins(points.n_classes)
 
 
-def _sql_double(v: float) -> str:
-    v = float(v)
-    if v != v or v in (float("inf"), float("-inf")):
-        return f"CAST('{v}' AS DOUBLE)"
-    return f"{v!r}D"
-
-
 def margin_expr(weights, features) -> "F.Column":
     """x·w as one parsed expression (same left-to-right sum as ``linear_margin``).
 
     One call instead of 3·d Column calls: the cheap way to rebuild a margin on
     every step of a fit.
     """
-    terms = [f"({_sql_double(w)} * `{x}`)" for w, x in zip(weights, features)]
+    if len(features) > WRITTEN_OUT:
+        names = ", ".join(f"`{x}`" for x in features)
+        return F.expr(f"aggregate(zip_with(array({names}), {weights_array(weights)}, (x, w) -> w * x), 0D, (s, t) -> s + t)")
+    terms = [f"({sql_double(w)} * `{x}`)" for w, x in zip(weights, features)]
     acc = terms[0]
     for t in terms[1:]:
         acc = f"({acc} + {t})"
     return F.expr(acc)
 
 
+def point_margin(points: PointSet, weights) -> "F.Column":
+    """B6 for a point table of either form: over its columns, or over its vector column."""
+    if len(weights) != points.d:
+        raise ValueError("one weight per feature is required")
+    return vector_margin(weights, points.vector) if points.vector else margin_expr(weights, list(points.features))
+
+
 class _StepPlan:
     """The weight-independent part of the Column aggregate for M models, built once.
 
@@ -186,18 +189,26 @@ def point_count(points: PointSet) -> DataFrame:
 
 
 def pointwise_frame(points: PointSet, loss: str | Loss, W, keep: Sequence[str] = ()) -> DataFrame:
-    """B7-B10 per row: margin(s), loss and gradient columns ``g_{c}_{j}``."""
+    """B7-B10 per row: margin(s), loss and gradient, for any width.
+
+    The gradient is in columns ``g_{c}_{j}``; of vector points in one array
+    column ``g_{c}`` per margin.
+    """
     loss = get_loss(loss)
     C = _margin_count(points, loss)
     Wm = as_matrix(W, C, points.d)
-    feats = list(points.features)
-    z = [linear_margin(Wm[c], feats).alias(f"margin_{c}") for c in range(C)]
-    base = points.df.select(*keep, *feats, F.col(points.label).alias("label"), *z)
+    z = [point_margin(points, Wm[c]).alias(f"margin_{c}") for c in range(C)]
+    base = points.df.select(*keep, *points.feature_columns(), F.col(points.label).alias("label"), *z)
     lcol, dcols = loss.pointwise([F.col(f"margin_{c}") for c in range(C)], F.col("label"))
-    grads = [
-        (dcols[c] * F.col(x)).alias(f"g_{c}_{j + 1}") for c in range(C) for j, x in enumerate(feats)
-    ]
-    return base.select(*keep, "label", *[f"margin_{c}" for c in range(C)], lcol.alias("loss"), *grads)
+    head = [*keep, "label", *[f"margin_{c}" for c in range(C)], lcol.alias("loss")]
+    if points.vector:
+        x = F.col(points.vector)
+        # the derivative is an argument of zip_with, not part of its function, which would work it out for every element
+        grads = [F.zip_with(x, F.array_repeat(d, points.d), lambda v, g: g * v).alias(f"g_{c}") for c, d in enumerate(dcols)]
+        return base.select(*head, *grads)
+    feats = list(points.features)
+    grads = [(dcols[c] * F.col(x)).alias(f"g_{c}_{j + 1}") for c in range(C) for j, x in enumerate(feats)]
+    return base.select(*head, *grads)
 
 
 # --- Arrow partials -------------------------------------------------------------------

@@ -28,10 +28,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.losses import _check_pm1, _pm1, linear_margin
+from ..functions.losses import _check_pm1
 from ..session import drop_path, scratch_path, stored
 from ..sources.points import PointSet
-from .loss_grad import batch_matrix, collect_models, margin_expr
+from .loss_grad import batch_matrix, collect_models, point_margin
 from .tree_sum import PACKED, collect_sum, packed
 
 
@@ -41,29 +41,41 @@ def signed_kernel_product(points: PointSet, a: str = "a") -> DataFrame:
     Returns the point rows with ``ka``. The all-pairs kernel table itself is
     never built.
     """
-    points = points.wide()
-    v = _dual_vector(points, a)
-    return points.df.withColumn("ka", F.col(points.label) * linear_margin(v, list(points.features)))
+    v = _dual_sums(points, a)[1:]
+    return points.df.withColumn("ka", F.col(points.label) * point_margin(points, v))
 
 
-def _dual_vector(points: PointSet, a: str = "a") -> list[float]:
-    signed = points.df.select(*points.features, (F.col(a) * _pm1(F.col(points.label))).alias("_ay"))
-    r = signed.agg(*[F.sum(F.col("_ay") * F.col(x)).alias(x) for x in points.features], F.count(F.lit(1)).alias("_n")).first()
-    if not r["_n"]:
+def _dual_sums(points: PointSet, a: str = "a") -> np.ndarray:
+    """Σ a and Σ a_i y_i x_i in one scan, summed in a tree."""
+    d, feats, label, vector = points.d, list(points.features), points.label, points.vector
+
+    def run(batches):
+        total, seen = np.zeros(d + 2), False
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            seen = True
+            y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
+            _check_pm1(y)
+            m = b.column(a).to_numpy(zero_copy_only=False).astype(float, copy=False)
+            total += np.r_[len(y), m.sum(), (m * y) @ batch_matrix(b, feats, vector, d)]
+        if seen:
+            yield packed(total)
+
+    total = collect_sum(points.df.select(*points.feature_columns(), label, a).mapInArrow(run, PACKED), d + 2)
+    if not total[0]:
         raise ValueError("empty point table")
-    return [float(r[x]) for x in points.features]
+    return total[1:]
 
 
 def dual_gradient_column(points: PointSet, v, lam: float) -> Column:
     """∇(−D)_i = y_i (x_i · v)/(2λ) − 1 with v given (parameter-sized)."""
-    return (F.col(points.label) * margin_expr(v, list(points.features))) / F.lit(2.0 * lam) - 1.0
+    return (F.col(points.label) * point_margin(points, v)) / F.lit(2.0 * lam) - 1.0
 
 
 def dual_objective_grad(points: PointSet, lam: float, a: str = "a") -> DataFrame:
-    """Per row ``id, a, grad`` and the dual objective D(a) (repeated), two jobs."""
-    points = points.wide()
-    v = _dual_vector(points, a)
-    total = points.df.agg(F.sum(a)).first()[0]
+    """Per row ``id, a, grad`` and the dual objective D(a) (repeated); one job besides the rows'."""
+    total, *v = _dual_sums(points, a)
     obj = -float(np.dot(v, v)) / (4.0 * lam) + float(total)
     return points.df.select(
         points.id, F.col(a).alias("a"), dual_gradient_column(points, v, lam).alias("grad"), F.lit(obj).alias("objective")
@@ -273,19 +285,14 @@ def dual_to_weights(multipliers: DataFrame, points: PointSet, lam: float) -> Dat
 
     Every point must have exactly one multiplier: repeated or missing ids are an error.
     """
-    points = points.wide()
-    mult = multipliers.select(F.col("id").alias("_id"), "a")
-    j = points.df.join(mult, F.col(points.id) == F.col("_id"))
-    j = j.select(*points.features, (F.col("a") * _pm1(F.col(points.label))).alias("_ay"))
-    aggs = [(F.sum(F.col("_ay") * F.col(x)) / F.lit(2.0 * lam)).alias(f"w{k + 1}") for k, x in enumerate(points.features)]
-    row = j.agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    sizes = points.df.agg(F.count(F.lit(1)).alias("_p")).first()["_p"], multipliers.count()
-    fits = (F.col("_n") == sizes[0]) & (F.col("_n") == sizes[1])
-    checked = F.when(fits, F.lit(0)).otherwise(F.raise_error(F.lit("ids of points and multipliers don't match one to one")).cast("int"))
-    entries = [F.struct(F.lit(k + 1).alias("feature_id"), F.col(f"w{k + 1}").alias("weight")) for k in range(points.d)]
-    return row.select(checked.alias("model_id"), F.explode(F.array(*entries)).alias("e")).select(
-        "model_id", F.lit(0).alias("class_id"), F.col("e.feature_id").cast("int").alias("feature_id"), "e.weight"
-    )
+    mult = multipliers.select(F.col("id").alias("_id"), F.col("a").alias("_a"))
+    joined = points.df.join(mult, F.col(points.id) == F.col("_id"))
+    sizes = {points.df.count(), multipliers.count(), joined.count()}
+    if len(sizes) > 1:
+        raise ValueError("ids of points and multipliers don't match one to one")
+    w = _dual_sums(points.with_df(joined), "_a")[1:] / (2.0 * lam)
+    rows = [(0, 0, k + 1, float(x)) for k, x in enumerate(w)]
+    return points.df.sparkSession.createDataFrame(rows, "model_id int, class_id int, feature_id int, weight double")
 
 
 def primal_history(points: PointSet, fit: SVMFit) -> list[float]:
@@ -296,10 +303,7 @@ def primal_history(points: PointSet, fit: SVMFit) -> list[float]:
 
 
 def classify(points: PointSet, weights) -> DataFrame:
-    """margin x·w and the class sign (≥ 0 → +1) per row."""
-    points = points.wide()
-    z = linear_margin(weights, list(points.features))
-    return points.df.select(
-        F.col(points.id).alias("id"), z.alias("margin"),
-        F.when(z >= 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("prediction"),
-    )
+    """margin x·w and the class sign (≥ 0 → +1) per row of wide or vector points."""
+    z = point_margin(points, weights)
+    rows = points.df.select(F.col(points.id).alias("id"), z.alias("margin"))
+    return rows.select("id", "margin", F.when(F.col("margin") >= 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("prediction"))

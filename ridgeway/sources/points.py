@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.losses import linear_margin, vector_margin
+
 
 @dataclass(frozen=True)
 class PointSet:
@@ -228,17 +230,21 @@ def label_argmax_rule(
 
 
 def append_bias(points: PointSet, name: str | None = None) -> PointSet:
-    """B1: add a constant-1 feature as the last column."""
+    """B1: add a constant-1 feature as the last one."""
     name = name or f"x{points.d + 1}"
-    df = points.df.withColumn(name, F.lit(1.0))
+    if points.vector:
+        df = points.df.withColumn(points.vector, F.concat(points.vector, F.array(F.lit(1.0))))
+    else:
+        df = points.df.withColumn(name, F.lit(1.0))
     return replace(points, df=df, features=points.features + (name,))
 
 
 def slice_features(points: PointSet, k: int) -> PointSet:
     """B2: keep the first k features."""
     keep = points.features[:k]
-    cols = ([points.id] if points.id else []) + list(keep) + [points.label]
-    return replace(points, df=points.df.select(*cols), features=keep)
+    own = [F.slice(points.vector, 1, k).alias(points.vector)] if points.vector else list(keep)
+    df = points.df.select(*([points.id] if points.id else []), *own, points.label)
+    return replace(points, df=df, features=keep)
 
 
 # --- A4 / A5: response and split -----------------------------------------------------
@@ -248,7 +254,8 @@ def respond_by_weights(points: PointSet, weights: Sequence[float], noise: Column
     """A4: replace the label by X.w + scale*noise for a given weight vector."""
     if len(weights) != points.d:
         raise ValueError("one weight per feature is required")
-    y = linear_score(weights, [F.col(c) for c in points.features]) + F.lit(float(noise_scale)) * noise
+    z = vector_margin(weights, points.vector) if points.vector else linear_margin(weights, points.features)
+    y = z + F.lit(float(noise_scale)) * noise
     return replace(points, df=points.df.withColumn(points.label, y), n_classes=None)
 
 
