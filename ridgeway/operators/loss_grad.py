@@ -221,9 +221,19 @@ def batch_matrix(b, points_columns: Sequence[str], vector: str | None, d: int) -
     return np.column_stack([b.column(f).to_numpy(zero_copy_only=False).astype(float, copy=False) for f in points_columns])
 
 
-def _arrow_partials(points: PointSet, loss: Loss, Ws: np.ndarray, with_grad: bool):
+def _batches_of(points: PointSet):
+    """A function that reads (X, y) from an Arrow batch of points."""
+    feats, label, vector, d = list(points.features), points.label, points.vector, points.d
+
+    def read(b):
+        if b.num_rows:
+            yield batch_matrix(b, feats, vector, d), b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
+
+    return read
+
+
+def _arrow_partials(read, loss: Loss, Ws: np.ndarray, with_grad: bool):
     """Per-task sums for M models as one packed vector: per model n, loss sum and gradient sums (C*d)."""
-    feats, label, vector = list(points.features), points.label, points.vector
     M, C, d = Ws.shape
     flat = Ws.reshape(M * C, d)
     batch_fn = getattr(loss, "batch_fn", None)
@@ -232,11 +242,7 @@ def _arrow_partials(points: PointSet, loss: Loss, Ws: np.ndarray, with_grad: boo
         n_acc = 0.0
         loss_acc = np.zeros(M)
         grad_acc = np.zeros((M, C, d)) if with_grad else None
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            X = batch_matrix(b, feats, vector, d)
-            y = b.column(label).to_numpy(zero_copy_only=False).astype(float, copy=False)
+        for X, y in (pair for b in batches for pair in read(b)):
             n_acc += X.shape[0]
             if batch_fn is not None:
                 for m in range(M):
@@ -302,7 +308,7 @@ def _chunks(Ws: np.ndarray, with_grad: bool):
 def _models_parts(points: PointSet, loss: str | Loss, Ws, with_grad: bool) -> DataFrame:
     """One packed vector per task for one chunk of models, which travels in the task closure."""
     loss = get_loss(loss)
-    fn = _arrow_partials(points, loss, _stack(points, loss, Ws), with_grad)
+    fn = _arrow_partials(_batches_of(points), loss, _stack(points, loss, Ws), with_grad)
     return points.df.select(*points.feature_columns(), points.label).mapInArrow(fn, PACKED)
 
 
@@ -327,8 +333,8 @@ def models_frame(points: PointSet, loss: str | Loss, Ws) -> DataFrame:
     return out
 
 
-def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True):
-    """(n, loss_sums[M], grad_sums[M, C, d]) for a model stack, evaluated in chunks."""
+def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = True, blocks=None):
+    """(n, loss_sums[M], grad_sums[M, C, d]) for a model stack, evaluated in chunks; over cached ``blocks`` where given."""
     loss = get_loss(loss)
     Ws = _stack(points, loss, Ws)
     M, C, d = Ws.shape
@@ -337,7 +343,12 @@ def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tru
     n = 0.0
     for start, chunk in _chunks(Ws, with_grad):
         width = 2 + (C * d if with_grad else 0)
-        v = collect_sum(_models_parts(points, loss, chunk, with_grad), len(chunk) * width).reshape(len(chunk), width)
+        if blocks is None:
+            v = collect_sum(_models_parts(points, loss, chunk, with_grad), len(chunk) * width)
+        else:
+            parts = blocks.df.mapInArrow(_arrow_partials(blocks.matrices(), loss, chunk, with_grad), PACKED)
+            v = collect_sum(parts, len(chunk) * width, blocks.tasks)
+        v = v.reshape(len(chunk), width)
         n = float(v[0, 0])
         losses[start : start + len(chunk)] = v[:, 1]
         if with_grad:
@@ -375,9 +386,12 @@ class Evaluator:
 class SparkEvaluator(Evaluator):
     """Evaluates on a (persisted) point table; one Spark job per call, or one per part of a wide Column form.
 
-    ``strategy='auto'`` uses the Column aggregate while C*d stays small, or
-    where the loss has no NumPy form, and packed Arrow partials beyond. The
-    points stay in the partitions they come in. An empty table is an error.
+    ``strategy='auto'`` packs the points of a fit into cached blocks, over which
+    a step is matrix products with the weights in the closure: no step plans or
+    compiles anything for new weights. Losses without a NumPy form use the
+    Column aggregate, and so do single evaluations (``persist=False``) while
+    C*d stays small. The points stay in the partitions they come in. An empty
+    table is an error.
     """
 
     def __init__(self, points: PointSet, loss: str | Loss, strategy: str = "auto", persist: bool = True):
@@ -387,9 +401,16 @@ class SparkEvaluator(Evaluator):
         if strategy == "auto":
             narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS and not points.vector
             strategy = "column" if self.loss.has_columns and (narrow or not self.loss.has_numpy) else "arrow"
+            if persist and self.loss.has_numpy:
+                strategy = "blocks"
         if strategy == "column" and points.vector:
             points = points.wide()
         self.strategy = strategy
+        self.blocks = None
+        if strategy == "blocks":
+            from .blocks import PointBlocks
+
+            self.blocks, persist = PointBlocks(points), False
         self.points = points.persist() if persist else points.projected()
         self._owned = persist
         self.jobs = 0
@@ -458,11 +479,13 @@ class SparkEvaluator(Evaluator):
             n, losses, grads = self._column_parts(Ws, with_grad)
         else:
             self.jobs += len(list(_chunks(Ws, with_grad)))
-            n, losses, grads = collect_models(self.points, self.loss, Ws, with_grad)
+            n, losses, grads = collect_models(self.points, self.loss, Ws, with_grad, self.blocks)
         if n == 0:
             raise ValueError("empty point table")
         return n, losses, grads
 
     def close(self):
+        if self.blocks is not None:
+            self.blocks.close()
         if self._owned:
             self.points.unpersist()

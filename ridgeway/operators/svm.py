@@ -114,12 +114,12 @@ def svm_lipschitz_constant(points: PointSet, lam: float) -> float:
     """C8 for the dual: λmax(K)/(2λ) with K = D X Xᵀ D (D = diag(y), y² = 1).
 
     The nonzero eigenvalues of X Xᵀ are those of XᵀX, so one moments scan
-    (d×d on the driver) replaces the n×n kernel.
+    (d×d on the driver), or Lanczos steps over the points where that matrix
+    would be too large, replace the n×n kernel.
     """
-    from .moments import collect_moments
+    from .moments import largest_eigenvalue
 
-    m = collect_moments(points)
-    return float(np.linalg.eigvalsh(m.xtx).max()) / (2.0 * lam)
+    return largest_eigenvalue(points, "sum") / (2.0 * lam)
 
 
 BLOCK_ROWS = 4096
@@ -188,8 +188,12 @@ def fit_svm_dual(
     if n_iter <= 0 or tol < 1e-6 or (lr != "lipschitz" and lr <= 0):
         raise ValueError("n_iter > 0, tol >= 1e-6 and lr > 0 are required")
     spark, d = points.df.sparkSession, points.d
-    packed_points = stored(_point_blocks(points), "blocks")
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), packed_points.count()))
+    blocks_path = scratch_path(spark, "blocks")
+    source = _point_blocks(points)
+    source.write.parquet(blocks_path)
+    packed_points = spark.read.schema(source.schema).parquet(blocks_path)
+    size = packed_points.agg(F.sum(F.length("yx"))).first()[0] or 0
+    parts = max(1, -(-size // PARTITION_BYTES))
     blocks = _dealt(packed_points, parts)
     tables: list[str] = []
 
@@ -277,9 +281,164 @@ def fit_svm_dual(
         blocks.unpersist()
         if state is not None:
             state.unpersist()
+        drop_path(spark, blocks_path)
     return SVMFit(lam, mult, path[-1], dual_hist, path, etas, norms, status, jobs)
 
 
+PARTITION_BYTES = 64 << 20
+
+
+def fit_svm_ascent(
+    points: PointSet,
+    lam: float,
+    gap_tol: float = 1e-6,
+    max_rounds: int = 200,
+    sweeps: int = 30,
+    partition_bytes: int = PARTITION_BYTES,
+) -> SVMFit:
+    """E6 by dual coordinate ascent inside the partitions, their changes added up once a round.
+
+    Every task sweeps its own rows, about ``partition_bytes`` of them, which it holds: coordinate i moves to the best of its box
+    given v and σ' times the change its task has made so far, σ' being the
+    number of partitions, so that adding all tasks' changes never lowers the
+    dual objective. A round returns one d-vector per task and writes the narrow
+    multiplier table (its predecessor is deleted), which is where a lost executor
+    starts again. Rounds stop when the duality gap at their start is at most
+    ``gap_tol`` times the primal objective (at least 1); ``dual_hist`` and
+    ``norm_hist`` hold the dual objective and the gap of every round. The number of
+    partitions follows from the bytes of the points. Rows of zeros have their
+    multiplier at 1. All working tables but the multipliers are deleted at the end.
+    """
+    if points.id is None:
+        raise ValueError("the dual needs a row id for its multipliers")
+    if gap_tol <= 0 or max_rounds <= 0 or sweeps <= 0 or lam <= 0:
+        raise ValueError("lam, gap_tol, max_rounds and sweeps must be positive")
+    spark, d = points.df.sparkSession, points.d
+    tables: list[str] = []
+
+    def write(frame: DataFrame, kind: str) -> DataFrame:
+        tables.append(scratch_path(spark, kind))
+        frame.write.parquet(tables[-1])
+        return spark.read.schema(frame.schema).parquet(tables[-1])
+
+    packed_points = write(_point_blocks(points), "blocks")
+    size = packed_points.agg(F.sum(F.length("yx"))).first()[0]
+    if not size:
+        drop_path(spark, tables.pop())
+        raise ValueError("empty point table")
+    parts = -(-size // partition_bytes)
+    blocks = _dealt(packed_points, parts)
+    state, v, sum_a, n, jobs = None, np.zeros(d), 0.0, None, 3
+    dual_hist, gaps, path, status = [], [], [], "max_iter"
+
+    def round_(batches, v, number):
+        """Multipliers of every block after the task's sweeps; on its last row what the round adds to v, Σa, n and Σ hinge at v."""
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        held, mats, states = [], [], []
+        for b in batches:
+            for block, ids, yx, a in zip(*(b.column(i).to_pylist() for i in range(4))):
+                mats.append(np.frombuffer(yx, "<f8").reshape(-1, d))
+                states.append(np.zeros(len(mats[-1])) if a is None else np.frombuffer(a, "<f8"))
+                held.append((block, ids, len(mats[-1])))
+        if not held:
+            return
+        yx, a = np.concatenate(mats), np.concatenate(states)
+        del mats, states
+        hinge = np.maximum(0.0, 1.0 - yx @ (v / (2.0 * lam))).sum()
+        change = np.zeros(d) if number == max_rounds else _sweep(yx, a, v, float(parts), lam, sweeps, (number, TaskContext.get().partitionId()))
+        cuts = np.cumsum([0, *(n for _, _, n in held)])
+        rows = [(block, a[lo:hi].tobytes(), ids, None) for (block, ids, _), lo, hi in zip(held, cuts, cuts[1:])]
+        rows[-1] = (*rows[-1][:3], np.r_[change, hinge, a.sum(), len(a)].astype("<f8").tobytes())
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["block", "a", "ids", "told"])
+
+    try:
+        for t in range(max_rounds + 1):
+            joined = blocks.select("block", "ids", "yx", F.lit(None).cast("binary").alias("a"))
+            if state is not None:
+                joined = blocks.hint("merge").join(state.select("block", "a").repartition(parts, "block"), "block")
+            joined = joined.select("block", "ids", "yx", "a")
+            new = write(
+                joined.mapInArrow(lambda bs, v=v, t=t: round_(bs, v, t), "block long, a binary, ids binary, told binary"), "multipliers"
+            )
+            total = np.zeros(d + 3)
+            for r in new.where("told IS NOT NULL").select("told").toLocalIterator():
+                total += np.frombuffer(bytes(r.told), "<f8")
+            jobs += 2
+            n = int(total[d + 2])
+            dual = -float(v @ v) / (4.0 * lam) + sum_a
+            primal = float(total[d]) + float(v @ v) / (4.0 * lam)
+            dual_hist.append(dual)
+            gaps.append(primal - dual)
+            path.append(v / (2.0 * lam))
+            if gaps[-1] <= gap_tol * max(1.0, abs(primal)):
+                status = "converged"
+                drop_path(spark, tables.pop())
+                break
+            if t == max_rounds:
+                drop_path(spark, tables.pop())
+                break
+            if state is not None:
+                drop_path(spark, tables.pop(-2))
+            state, v, sum_a = new, v + total[:d], float(total[d + 1])
+        if state is None:  # the start was good enough: all multipliers are 0
+            state = blocks.select("block", F.lit(None).cast("binary").alias("a"), "ids")
+
+        def flat(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                for a, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    ids = np.frombuffer(ids, "<i8")
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids)) if a is None else np.frombuffer(a, "<f8"))], names=["id", "a"])
+
+        multipliers = stored(state.select("a", "ids").mapInArrow(flat, "id long, a double"), "multipliers")
+    finally:
+        blocks.unpersist()
+        for path_ in tables:
+            drop_path(spark, path_)
+    return SVMFit(lam, multipliers, path[-1], dual_hist, path, [], gaps, status, jobs)
+
+
+def _sweep(yx, a, v, sigma, lam, sweeps, seed) -> np.ndarray:
+    """Coordinate ascent over a task's rows in random order; moves ``a`` in place and returns the change of v.
+
+    After each sweep over all rows the few whose multiplier lies inside the box
+    are swept until they hardly move: they decide the model, the others stay put.
+    """
+    scale = sigma / (2.0 * lam)
+    norms = scale * np.einsum("ij,ij->i", yx, yx)
+    a[norms == 0] = 1.0  # such a row's multiplier has no effect on v
+    before = a.copy()
+    rows = np.flatnonzero(norms)
+    u = v / (2.0 * lam)
+    rng = np.random.default_rng(seed)
+
+    def visit(order):
+        most = 0.0
+        for i in order:
+            x, old = yx[i], a[i]
+            new = min(1.0, max(0.0, old + (1.0 - x @ u) / norms[i]))
+            if new != old:
+                a[i] = new
+                np.add(u, (scale * (new - old)) * x, out=u)
+                most = max(most, abs(new - old))
+        return most
+
+    for _ in range(sweeps):
+        most = visit(rng.permutation(rows))
+        if most < 1e-9:
+            break
+        free = rows[(a[rows] > 0.0) & (a[rows] < 1.0)]
+        # about as much work as the sweep over all rows
+        for _ in range(min(100, 1 + len(rows) // max(1, len(free)))):
+            if visit(rng.permutation(free)) < 1e-10:
+                break
+    return (a - before) @ yx
+
+
 def dual_to_weights(multipliers: DataFrame, points: PointSet, lam: float) -> DataFrame:
     """w = (1/2λ) Σ a_i y_i x_i, joining multipliers (id, a) to the points by id.
 

@@ -172,3 +172,16 @@ def trace_table_svm(spark, sf_dir):
     """A6 for the dual SVM: D(a_t), η_t and ‖a_{t+1} − a_t‖ per iterate (the norm is the next step's aggregate)."""
     _, fit = _svm_fit(spark, sf_dir)
     return rounded(fit.trace_frame(spark, "svm").select("run_id", "iter", "loss", "eta", "norm"))
+
+
+@register(
+    "fit_svm_ascent",
+    f"{_SVM_CTE} SELECT CAST(e.j AS INTEGER) AS feature_id, e.w AS weight, e.dual AS objective, true AS closed FROM (SELECT unnest(["
+    + ", ".join(f"{{'j': {j}, 'w': {o.R(f'w{j}', 3)}, 'dual': {o.R('dual', 3)}}}" for j in range(1, SVM_D + 1)) + "]) AS e FROM fin) u",
+)
+def fit_svm_ascent(spark, sf_dir):
+    """E6 by coordinate ascent inside partitions: the model on SVM, its dual objective, and whether the duality gap closed to 1e-6."""
+    fit = sv.fit_svm_ascent(fx.svm_points(spark, sf_dir), SVM_LAMBDA, gap_tol=1e-8)
+    closed = fit.norm_hist[-1] <= 1e-6 * max(1.0, abs(fit.dual_hist[-1]))
+    rows = [(j + 1, float(w), float(fit.dual_hist[-1]), closed) for j, w in enumerate(fit.weights)]
+    return rounded(spark.createDataFrame(rows, "feature_id int, weight double, objective double, closed boolean"), 3)

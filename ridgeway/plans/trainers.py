@@ -11,6 +11,7 @@ returned weights.
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -193,7 +194,7 @@ def gradient_descent(
     ``slope='sum_of_products'`` reproduces the modelled library's Armijo slope for
     matrix weights (see ``armijo_slope``).
     """
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, False, keep_path,
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, None, keep_path,
                     slope=slope)
 
 
@@ -213,22 +214,70 @@ def bfgs(
     max_params: int = 2000,
     slope: str = "frobenius",
     curvature: str = "regularised",
+    memory: int | None = None,
 ) -> FitResult:
     """Inverse-BFGS over the flattened weights with the same Armijo search.
 
+    Up to ``max_params`` weights the inverse matrix is kept whole. Beyond, or
+    with ``memory=m``, the direction comes from the last m pairs of steps and
+    gradient differences (20 by default) by the two-loop recursion, so the
+    driver holds 2m vectors and no matrix.
+
     The curvature pair uses the regularised gradient difference
     (``curvature='data'`` uses the data term's only, as the modelled library
     does); the update is skipped when sᵀy ≤ 1e-12 ‖s‖‖y‖.
     """
     if curvature not in ("regularised", "data"):
         raise ValueError("curvature must be 'regularised' or 'data'")
-    if np.asarray(w0).size > max_params:
-        raise ValueError(f"BFGS keeps a dense {np.asarray(w0).size}² matrix; limit is {max_params} weights")
-    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, True, keep_path,
+    if memory is None and np.asarray(w0).size > max_params:
+        memory = 20
+    if memory is not None and memory < 1:
+        raise ValueError("memory must be at least 1")
+    inverse = DenseInverse(np.asarray(w0).size) if memory is None else LimitedInverse(memory)
+    return _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, inverse, keep_path,
                     slope=slope, curvature=curvature)
 
 
-def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, bfgs, keep_path=True,
+class DenseInverse:
+    """Inverse Hessian approximation as a matrix."""
+
+    def __init__(self, size: int):
+        self.B = np.eye(size)
+
+    def times(self, g: np.ndarray) -> np.ndarray:
+        return self.B @ g
+
+    def update(self, s: np.ndarray, y: np.ndarray, sy: float) -> None:
+        By = self.B @ y
+        self.B = self.B + (sy + float(y @ By)) * np.outer(s, s) / (sy * sy) - (np.outer(By, s) + np.outer(s, By)) / sy
+
+
+class LimitedInverse:
+    """The same approximation from the last ``memory`` pairs (s, y), starting at the identity.
+
+    As long as no pair has been dropped it is the dense one's product.
+    """
+
+    def __init__(self, memory: int):
+        self.pairs: deque = deque(maxlen=memory)
+
+    def times(self, g: np.ndarray) -> np.ndarray:
+        q, along = np.array(g, float), []
+        for s, y, sy in reversed(self.pairs):
+            along.append(float(s @ q) / sy)
+            q -= along[-1] * y
+        if len(self.pairs) == self.pairs.maxlen:  # older curvature is gone: scale by the newest pair's
+            s, y, sy = self.pairs[-1]
+            q *= sy / float(y @ y)
+        for s, y, sy in self.pairs:
+            q += (along.pop() - float(y @ q) / sy) * s
+        return q
+
+    def update(self, s: np.ndarray, y: np.ndarray, sy: float) -> None:
+        self.pairs.append((s, y, sy))
+
+
+def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks, inverse=None, keep_path=True,
              slope="frobenius", curvature="regularised"):
     _check_args(n_iter, tol, lr)
     penalty = penalty or NoPenalty()
@@ -239,7 +288,6 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
     obj = _Objective(ev, penalty, lam, shape)
     eta = lr
     trace = []
-    Binv = np.eye(w.size) if bfgs else None
     status = "max_iter"
     gnorm = None
     for i in range(n_iter):
@@ -252,14 +300,14 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
         if gnorm < tol:
             status = "converged"
             break
-        direction = -(Binv @ g.reshape(-1)).reshape(shape) if bfgs else -g
+        direction = -inverse.times(g.reshape(-1)).reshape(shape) if inverse else -g
         found = batched_line_search(obj, w, F0, g, direction, eta, c1, rho, batch, max_shrinks, slope)
         if found is None:
             status = "line_search_failed"
             break
         eta, w_next, loss_n, grad_n = found
         trace.append((i, F0, eta, gnorm, "current", snap(w)))
-        if bfgs:
+        if inverse:
             s = (w_next - w).reshape(-1)
             if curvature == "data":
                 y = (np.asarray(grad_n) - np.asarray(grad)).reshape(-1)
@@ -267,9 +315,7 @@ def _descent(ev, w0, penalty, lam, lr, c1, rho, n_iter, tol, batch, max_shrinks,
                 y = (obj.smooth_grad(w_next, grad_n) - g).reshape(-1)
             sy = float(s @ y)
             if sy > 1e-12 * np.linalg.norm(s) * np.linalg.norm(y):
-                By = Binv @ y
-                yBy = float(y @ By)
-                Binv = Binv + (sy + yBy) * np.outer(s, s) / (sy * sy) - (np.outer(By, s) + np.outer(s, By)) / sy
+                inverse.update(s, y, sy)
         w = w_next
     Ffin, _, gfin = obj.full(w)
     fin_norm = float(np.linalg.norm(obj.smooth_grad(w, gfin)))
