@@ -316,7 +316,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_i
     very long text is cut into pieces; runs of white space of any length have the
     ids that the ``tokenizers`` library gives them.
     """
-    pieces = stored(tokenized_pieces(docs, vocab_path, capacity, end_id, special_tokens=special_tokens), "pieces")
+    pieces = stored(tokenized_pieces(docs, vocab_path, capacity, end_id, special_tokens=special_tokens), "pieces", "zstd")
     done = pieces.join(places(pieces, capacity), "at")
     crc = F.crc32("ids").alias("ids_crc32")
     return done.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset", "ids")
