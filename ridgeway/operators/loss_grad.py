@@ -388,8 +388,8 @@ class SparkEvaluator(Evaluator):
 
     ``strategy='auto'`` packs the points of a fit into cached blocks, over which
     a step is matrix products with the weights in the closure: no step plans or
-    compiles anything for new weights. Losses without a NumPy form use the
-    Column aggregate, and so do single evaluations (``persist=False``) while
+    compiles anything for new weights. Losses without a NumPy form and batch
+    losses with a Column form use the Column aggregate, and so do single evaluations (``persist=False``) while
     C*d stays small. The points stay in the partitions they come in. An empty
     table is an error.
     """
@@ -401,7 +401,7 @@ class SparkEvaluator(Evaluator):
         if strategy == "auto":
             narrow = self.n_margins * self.d <= COLUMN_FORM_MAX_OUTPUTS and not points.vector
             strategy = "column" if self.loss.has_columns and (narrow or not self.loss.has_numpy) else "arrow"
-            if persist and self.loss.has_numpy:
+            if persist and self.loss.has_numpy and not (hasattr(self.loss, "batch_fn") and strategy == "column"):
                 strategy = "blocks"
         if strategy == "column" and points.vector:
             points = points.wide()

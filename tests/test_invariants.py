@@ -464,8 +464,8 @@ def test_evaluator_context_manager_releases_cache(spark):
     pts = fx.bin2_points(spark, SF_SMALL)
     with lg.SparkEvaluator(pts, "logistic") as ev:
         ev.evaluate(np.zeros(2))
-        assert ev.points.df.storageLevel.useMemory
-    assert not ev.points.df.storageLevel.useMemory
+        assert (ev.blocks or ev.points).df.storageLevel.useMemory
+    assert not (ev.blocks or ev.points).df.storageLevel.useMemory
 
 
 def test_model_and_trace_sinks_round_trip(spark):
