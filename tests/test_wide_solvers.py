@@ -142,7 +142,8 @@ def test_dual_ascent(spark, partition_bytes, gap_tol, monkeypatch):
     points, X, y = table(spark, 600, 10, parts=4, spread=False)
     before = scratch_tables(spark)
     fit = sv.fit_svm_ascent(points, 1.5, gap_tol=gap_tol, partition_bytes=partition_bytes)
-    assert fit.status == "converged" and fit.jobs < (20 if partition_bytes > 1 << 20 else 200)
+    assert fit.status == "converged"
+    assert fit.jobs < 20 or partition_bytes < 1 << 20  # one partition solves its rows alone
     assert len([t for t in scratch_tables(spark) - before if not t.startswith("multipliers")]) == 0
     assert all(b >= a - 1e-9 for a, b in zip(fit.dual_hist, fit.dual_hist[1:]))
     a = {r.id: r.a for r in fit.multipliers.collect()}
