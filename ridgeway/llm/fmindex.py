@@ -19,7 +19,7 @@ class WaveletMatrix:
             padded = np.zeros(-(-(len(bit) + 1) // 64) * 64, np.uint8)
             padded[: len(bit)] = bit
             words = np.packbits(padded, bitorder="little").view("<u8")
-            before = np.r_[0, np.cumsum(np.bitwise_count(words), dtype=np.int64)][:-1]
+            before = np.r_[0, np.cumsum(np.bitwise_count(words), dtype=np.int64)][:-1].astype(np.uint32)
             zeros = int(len(bit) - bit.sum())
             self.levels.append((b, words, before, zeros))
             symbols = np.r_[symbols[bit == 0], symbols[bit == 1]]
@@ -32,105 +32,81 @@ class WaveletMatrix:
             at = np.where((symbol >> b) & 1, zeros + ones, at - ones)
         return at
 
+    @property
+    def nbytes(self) -> int:
+        return sum(words.nbytes + before.nbytes for _, words, before, _ in self.levels)
+
 
 class FMIndex:
-    """Index of several sequences of 64-bit symbols.
+    """Compressed index of several sequences of 64-bit symbols.
 
     Every sequence ends in a separator of its own, so suffixes are totally
-    ordered and no match crosses sequences. ``depth`` bounds the common prefixes
-    that are ever asked for and must be at least the longest sequence.
+    ordered and no match crosses sequences. Kept are the transformed text as a
+    wavelet matrix, the neighbours' common prefixes in the narrowest type with a
+    tree of their minima, and the alphabet. Sorting needs the suffix array and
+    ranks of doubled lengths; they are let go, since matches are only ever
+    counted and measured, not located.
     """
 
     def __init__(self, sequences: list[np.ndarray]):
         lengths = np.array([len(s) for s in sequences], np.int64)
-        self.ends = np.cumsum(lengths + 1)
-        n, k = int(self.ends[-1]) if len(sequences) else 0, len(sequences)
+        ends = np.cumsum(lengths + 1)
+        n, k = int(ends[-1]) if len(sequences) else 0, len(sequences)
         text = np.concatenate([x for s in sequences for x in (s, np.zeros(1, np.uint64))]) if k else np.zeros(0, np.uint64)
         sep = np.zeros(n, bool)
-        sep[self.ends - 1] = True
+        sep[ends - 1] = True
+        self.n = n
         self.alphabet, code = np.unique(text[~sep], return_inverse=True)
         rank = np.empty(n, np.int64)
         rank[sep] = np.arange(k)
         rank[~sep] = code + k
-        self.ranks, h = [(1, rank)], 1
         longest = int(lengths.max()) + 1 if k else 1
-        while True:
-            ahead = np.zeros(n, np.int64)
-            ahead[: n - h] = rank[h:] + 1
-            key = rank * (n + k + 1 + len(self.alphabet)) + ahead
-            order = np.argsort(key)
-            s = key[order]
-            new = np.empty(n, np.int64)
-            new[order] = np.cumsum(np.r_[0, s[1:] != s[:-1]]) if n else order
-            h *= 2
-            rank = new
-            if h >= longest or (n and rank.max() == n - 1):
-                break
-            self.ranks.append((h, rank))
-        self.suffixes = order
-        self.text_rank = rank
+        suffixes, ranks = _sorted_suffixes(rank, n + k + 1 + len(self.alphabet), longest)
         symbols = np.zeros(n, np.int64)
         symbols[~sep] = code + 1
-        bwt = symbols[self.suffixes - 1]  # before the first symbol stands the last separator
-        self.bits = max(1, int(len(self.alphabet)).bit_length())
-        self.wavelet = WaveletMatrix(bwt, self.bits)
+        bits = max(1, int(len(self.alphabet)).bit_length())
+        self.wavelet = WaveletMatrix(symbols[suffixes - 1], bits)  # before the first symbol stands the last separator
         every = np.arange(len(self.alphabet) + 1)
         counts = np.bincount(symbols, minlength=len(every))
         self.shift = np.cumsum(counts) - counts - self.wavelet.step(every, np.zeros(len(every), np.int64))
-        self.n = n
-        self._lcp = None
-
-    def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of suffixes a and b (text positions)."""
-        out = np.zeros(len(a), np.int64)
-        for h, rank in reversed(self.ranks):
-            inside = (a < self.n) & (b < self.n)
-            same = np.zeros(len(a), bool)
-            same[inside] = rank[a[inside]] == rank[b[inside]]
-            out += h * same
-            a, b = a + h * same, b + h * same
-        return out
-
-    def classes(self, length: int) -> np.ndarray:
-        """For each suffix in order, the number of its class of suffixes that share ``length`` symbols."""
-        a, b = self.suffixes[:-1], self.suffixes[1:]
-        return np.cumsum(np.r_[0, self._common(a, b) < length]) if self.n else np.zeros(0, np.int64)
-
-    def _lcp_table(self) -> list[np.ndarray]:
-        """Sparse table of minima over neighbours' common prefixes (position i: suffixes i-1 and i)."""
-        if self._lcp is None:
-            lcp = np.zeros(self.n + 1, np.int64)
-            lcp[1 : self.n] = self._common(self.suffixes[:-1], self.suffixes[1:])
-            table, h = [lcp], 1
-            while 2 * h <= len(lcp):
-                table.append(np.minimum(table[-1][:-h], table[-1][h:]))
-                h *= 2
-            self._lcp = table
-        return self._lcp
-
-    def _widen(self, lo: np.ndarray, hi: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of all suffixes that share ``length`` symbols with those of [lo, hi)."""
-        table = self._lcp_table()
-        lo, hi = lo.copy(), hi.copy()
-        for j in range(len(table) - 1, -1, -1):
-            t, h = table[j], 1 << j
-            can = lo - h >= 0
-            ok = can & (t[np.where(can, lo - h + 1, 0)] >= length)
-            lo = np.where(ok, lo - h, lo)
-            can = hi + h <= self.n
-            ok = can & (t[np.where(can, hi, 0)] >= length)
-            hi = np.where(ok, hi + h, hi)
-        return lo, hi
-
-    def matching_statistics(self, queries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Per query and position: the longest match starting there, and a suffix (rank in order) that has it.
+        low = np.zeros(1 << max(1, n.bit_length()), np.min_scalar_type(longest))
+        low[1:n] = _common(ranks, suffixes[:-1], suffixes[1:])
+        self.minima = [low]  # at i: the common prefix of suffixes i-1 and i; above it the minima of pairs
+        while len(self.minima[-1]) > 1:
+            self.minima.append(np.minimum(self.minima[-1][::2], self.minima[-1][1::2]))
+
+    @property
+    def nbytes(self) -> int:
+        return self.wavelet.nbytes + sum(t.nbytes for t in self.minima) + self.alphabet.nbytes + self.shift.nbytes
+
+    def _nearest(self, at: np.ndarray, length: np.ndarray, right: int) -> np.ndarray:
+        """The nearest place from ``at`` on, to the left or right, whose common prefix is below ``length`` (at least 1)."""
+        i = at.copy()
+        found = np.where(self.minima[0][i] < length, 0, -1)
+        for level, t in enumerate(self.minima):
+            left = np.flatnonzero(found < 0)
+            if not len(left):
+                break
+            node = i[left]
+            beside = node ^ 1
+            got = ((node & 1) != right) & (t[beside] < length[left])
+            i[left] = np.where(got, beside, node >> 1)
+            found[left[got]] = level
+        for level in range(int(found.max(initial=0)) - 1, -1, -1):
+            down = np.flatnonzero(found > level)
+            child = 2 * i[down] + 1 - right
+            i[down] = np.where(self.minima[level][child] < length[down], child, child ^ 1)
+        return i
+
+    def matching_statistics(self, queries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """Per query and position: the longest match that starts there, and its interval [from, to) of sorted suffixes.
 
         Backward search from the right end; where a symbol can't be added, the
-        match is shortened from its right end to the next longer interval.
+        match is shortened from its right end to the next wider interval.
         """
         size = np.array([len(q) for q in queries], np.int64)
         if not len(queries):
-            return [], []
+            return [], [], []
         flat = np.concatenate(queries) if size.sum() else np.zeros(0, np.uint64)
         first = np.cumsum(size) - size
         code = np.searchsorted(self.alphabet, flat)
@@ -138,32 +114,60 @@ class FMIndex:
         if len(self.alphabet):
             known &= self.alphabet[np.minimum(code, len(self.alphabet) - 1)] == flat
         code = np.where(known, code + 1, 0)
-        length, where = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+        length, begin, end = (np.zeros(len(flat), np.int64) for _ in range(3))
         lo, hi = np.zeros(len(size), np.int64), np.full(len(size), self.n, np.int64)
         matched = np.zeros(len(size), np.int64)
+        lcp = self.minima[0]
         for t in range(int(size.max())):
             q = np.flatnonzero(size > t)
             at = first[q] + size[q] - 1 - t
             c = code[at]
-            todo = np.arange(len(q))
             lost = c == 0
             lo[q[lost]], hi[q[lost]], matched[q[lost]] = 0, self.n, 0
-            todo = todo[~lost]
-            while len(todo):
-                i, s = q[todo], c[todo]
-                new_lo = self.shift[s] + self.wavelet.step(s, lo[i])
-                new_hi = self.shift[s] + self.wavelet.step(s, hi[i])
-                ok = new_hi > new_lo
+            i, s = q[~lost], c[~lost]
+            while len(i):
+                new = self.wavelet.step(np.r_[s, s], np.r_[lo[i], hi[i]]).reshape(2, -1) + self.shift[s]
+                ok = new[1] > new[0]
                 j = i[ok]
-                lo[j], hi[j] = new_lo[ok], new_hi[ok]
+                lo[j], hi[j] = new[0][ok], new[1][ok]
                 matched[j] += 1
-                todo = todo[~ok]
-                if len(todo):  # the symbol is in the index, so the empty match can always take it
-                    i = q[todo]
-                    lcp = self._lcp_table()[0]
-                    shorter = np.maximum(lcp[lo[i]], lcp[hi[i]])
-                    lo[i], hi[i] = self._widen(lo[i], hi[i], shorter)
-                    matched[i] = shorter
-            length[at], where[at] = matched[q], lo[q]
+                i, s = i[~ok], s[~ok]
+                if len(i):  # the symbol is in the index, so the empty match can always take it
+                    matched[i] = np.maximum(lcp[lo[i]], lcp[hi[i]])
+                    none = i[matched[i] == 0]
+                    lo[none], hi[none] = 0, self.n
+                    some = i[matched[i] > 0]
+                    lo[some] = self._nearest(lo[some], matched[some], 0)
+                    hi[some] = self._nearest(hi[some], matched[some], 1)
+            length[at], begin[at], end[at] = matched[q], lo[q], hi[q]
         cuts = first[1:]
-        return np.split(length, cuts), np.split(where, cuts)
+        return np.split(length, cuts), np.split(begin, cuts), np.split(end, cuts)
+
+
+def _sorted_suffixes(rank: np.ndarray, base: int, longest: int):
+    """Suffixes in order, and (length, rank of the prefix of that length) for doubled lengths up to the longest."""
+    n, h, ranks = len(rank), 1, [(1, rank)]
+    while True:
+        ahead = np.zeros(n, np.int64)
+        ahead[: n - h] = rank[h:] + 1
+        key = rank * base + ahead
+        order = np.argsort(key)
+        s = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.r_[0, s[1:] != s[:-1]]) if n else order
+        h *= 2
+        if h >= longest or (n and rank.max() == n - 1):
+            return order, ranks
+        ranks.append((h, rank))
+
+
+def _common(ranks, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of suffixes a and b (text positions)."""
+    n, out = len(ranks[0][1]), np.zeros(len(a), np.int64)
+    for h, rank in reversed(ranks):
+        inside = (a < n) & (b < n)
+        same = np.zeros(len(a), bool)
+        same[inside] = rank[a[inside]] == rank[b[inside]]
+        out += h * same
+        a, b = a + h * same, b + h * same
+    return out

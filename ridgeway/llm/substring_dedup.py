@@ -1,15 +1,16 @@
-"""Removal of repeated passages: FM-index shards and matching statistics of the passages streamed against them.
+"""Removal of repeated passages: compressed FM-index shards, and later documents streamed against earlier ones.
 
 Two equal windows of words have equal smallest word-shingle hashes, so a
 window's smallest shingle hash names the shard where all its copies meet.
 Consecutive windows of a document with the same name form one segment. Names
-seen in a single document hold no repeat; of the others, segments of equal
-content are merged before any text moves, each under its smallest document.
-A shard indexes its segments, streams them through backward search, and
-reports every window whose match is long enough together with the smallest
-document that has it. A name under which very many different segments meet
-(a common line inside different texts) is split further, by the windows' own
-hashes, so no shard grows with one passage.
+seen in a single document hold no repeat; of the others, a segment's text is
+carried from the smallest document that has it and, as a copy, from the
+largest: those between are answered as the copy is. In a shard the texts of a
+name are halved by document, again and again: the earlier half is indexed, the
+later half streamed through backward search, and windows whose matching
+statistic reaches the window length have an earlier source. A name under which
+very many different segments meet (a common line inside different texts) is
+split further, by the windows' own hashes, so no shard grows with one passage.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from .fmindex import FMIndex
 
 SHINGLE = 16
 BASE = 0x9E3779B97F4A7C15
-NONE = (1 << 63) - 1
+PIECE = 512  # windows searched as one query, so that steps do not follow the longest segment
 
 
 def _slices(data: bytes, step: int = 1 << 22):
@@ -120,8 +121,8 @@ def _contents(rows: DataFrame, picked: DataFrame, window: int) -> DataFrame:
     """The picked segments with their word hashes, cut out of the documents that own them."""
     import pyarrow as pa
 
-    names = ["name", "content", "n", "last", "doc_id", "hot", "words"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+    names = ["name", "content", "n", "copy", "doc_id", "last", "hot", "words"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
 
     def run(batches):
         for b in batches:
@@ -130,7 +131,7 @@ def _contents(rows: DataFrame, picked: DataFrame, window: int) -> DataFrame:
                 h, doc = word_hashes(text.as_py()), doc.as_py()
                 for p in parts.as_py():
                     words = h[p["start"] : p["start"] + p["n"] + window - 1].tobytes()
-                    out.append((p["name"], p["content"], p["n"], p["last"], doc, p["hot"], words))
+                    out.append((p["name"], p["content"], p["n"], p["copy"], doc, p["last"], p["hot"], words))
                     held += len(words)
                 if held > 1 << 23:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -138,65 +139,107 @@ def _contents(rows: DataFrame, picked: DataFrame, window: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    each = picked.groupBy("doc_id", "version").agg(F.collect_list(F.struct("name", "content", "n", "last", "start", "hot")).alias("parts"))
+    parts = F.collect_list(F.struct("name", "content", "n", "copy", "last", "start", "hot"))
+    each = picked.groupBy("doc_id", "version").agg(parts.alias("parts"))
     joined = rows.join(each, ["doc_id", "version"]).select("doc_id", "text", "parts")
-    return joined.mapInArrow(run, "name long, content long, n int, last long, doc_id long, hot boolean, words binary")
+    return joined.mapInArrow(
+        run, "name long, content long, n int, copy boolean, doc_id long, last long, hot boolean, words binary"
+    )
+
+
+def earlier_sources(words, owner, name, copy, window: int):
+    """Per text and window: whether a text of the same name from a smaller document has the window.
+
+    Equal windows must have equal names. Texts of a name are ranked by document.
+    At each level blocks of ranks are halved; all earlier halves make one index,
+    all later halves are its queries. Words are marked with their block's number,
+    so no match leaves its block. Copies are queries only: their text is indexed
+    from the smallest document.
+    """
+    import numpy as np
+    import pandas as pd
+
+    n = np.array([max(0, len(w) - window + 1) for w in words], np.int64)
+    rank = pd.Series(owner).groupby(name).rank("dense").to_numpy(np.int64) - 1
+    top = pd.Series(rank).groupby(name).transform("max").to_numpy(np.int64)
+    text = np.repeat(np.arange(len(words)), -(-n // PIECE))  # the pieces of each text
+    at = np.concatenate([np.arange(0, k, PIECE) for k in n]) if len(n) else n
+    found = [np.zeros(k, bool) for k in n]
+    for level in range(int(top.max(initial=0)).bit_length()):
+        block, later = rank >> (level + 1), (rank >> level) & 1 == 1
+        sources = ~later & ~copy & (top >= (2 * block + 1) << level)
+        mark = _mix(block.astype(np.uint64) + np.uint64(1))
+
+        def piece(p):
+            return words[text[p]][at[p] : at[p] + PIECE + window - 1] ^ mark[text[p]]
+
+        index = FMIndex([piece(p) for p in np.flatnonzero(sources[text])])
+        asked = [p for p in np.flatnonzero(later[text]) if not found[text[p]][at[p] : at[p] + PIECE].all()]
+        for p, length in zip(asked, index.matching_statistics([piece(p) for p in asked])[0]):
+            part = found[text[p]][at[p] : at[p] + PIECE]
+            part |= length[: len(part)] >= window
+    return found
+
+
+ANSWER = "name long, content long, n int, low long, own binary, later binary"
 
 
 def _search(contents: DataFrame, window: int, shards: int) -> DataFrame:
-    """(name, content, n, least): for each window of each segment the smallest document in the shard that has it."""
+    """Per segment text a byte for each window, 1 where an earlier document has it.
+
+    ``own`` holds for ``low``, the smallest document with the text, ``later``
+    for all others (null where there are none).
+    """
 
     def run(frame):
         import numpy as np
         import pandas as pd
 
         words = [np.frombuffer(w, np.uint64) for w in frame["words"]]
-        owner = frame["doc_id"].to_numpy()
-        index = FMIndex(words)
-        of = np.searchsorted(index.ends, index.suffixes, side="right")
-        kind = index.classes(window)
-        first = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]])
-        least_of = np.minimum.reduceat(owner[of], first)
-        least = []
-        for own, n, length, where in zip(owner, frame["n"], *index.matching_statistics(words)):
-            long = length[:n] >= window
-            least.append(np.where(long, least_of[kind[where[:n]]], own).astype("<i8").tobytes())
-        return pd.DataFrame({"name": frame["name"], "content": frame["content"], "n": frame["n"], "least": least})
+        found = earlier_sources(words, *(frame[c].to_numpy() for c in ("doc_id", "name", "copy")), window)
+        answers = frame[["name", "content", "n", "copy", "doc_id"]].assign(found=[f.tobytes() for f in found])
+        low = answers[~answers["copy"]].rename(columns={"doc_id": "low", "found": "own"})
+        later = answers[answers["copy"]].rename(columns={"found": "later"})
+        key = ["name", "content", "n"]
+        both = pd.merge(low[[*key, "low", "own"]], later[[*key, "later"]], on=key, how="left")
+        return both.assign(later=both["later"].astype(object).where(both["later"].notna(), None))
 
     dealt = contents.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(run, "name long, content long, n int, least binary")
+    return dealt.groupBy("shard").applyInPandas(run, ANSWER)
 
 
 def _split_hot(hot: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """Windows of hot segments under names of their own, and the distinct ones that several documents share."""
+    """Windows of hot segments under names of their own, and of each that several documents share the first and last text."""
     import numpy as np
     import pyarrow as pa
 
-    names = ["own", "name", "content", "n", "at", "last", "doc_id"]
+    names = ["own", "name", "content", "n", "at", "doc_id", "last"]
 
     def run(batches):
         for b in batches:
             out = []
-            for name, content, n, last, doc, words in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for name, content, n, doc, last, words in zip(*(b.column(i).to_pylist() for i in range(6))):
                 at = np.arange(n)
                 own = _runs_hash(np.frombuffer(words, np.uint64), at, at + window)
                 fixed = (np.full(n, v) for v in (name, content, n))
-                out.append((own.view(np.int64), *fixed, at, np.full(n, last), np.full(n, doc)))
+                out.append((own.view(np.int64), *fixed, at, np.full(n, doc), np.full(n, last)))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out)]
                 cols[3], cols[4] = cols[3].astype(np.int32), cols[4].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
-    flat = hot.select("name", "content", "n", "last", "doc_id", "words")
-    schema = "own long, name long, content long, n int, at int, last long, doc_id long"
+    flat = hot.where("not copy").select("name", "content", "n", "doc_id", "last", "words")
+    schema = "own long, name long, content long, n int, at int, doc_id long, last long"
     windows = stored(flat.mapInArrow(run, schema), "windows")
-    best = windows.groupBy("own").agg(
-        F.min(F.struct("doc_id", "name", "content", "n", "at")).alias("b"), F.max("last").alias("top")
+    ends = windows.groupBy("own").agg(
+        F.min(F.struct("doc_id", "name", "content", "n", "at", F.lit(False).alias("copy"))).alias("low"),
+        F.max(F.struct(F.col("last").alias("doc_id"), "name", "content", "n", "at", (F.col("last") > F.col("doc_id")).alias("copy"))).alias("high"),
     )
-    best = best.where("b.doc_id < top").select("own", "b.*").join(hot.select("name", "content", "n", "words"), ["name", "content", "n"])
+    ends = ends.where("low.doc_id < high.doc_id").select("own", F.posexplode(F.array("low", "high")).alias("later", "b"))
+    ends = ends.select("own", (F.col("later") == 1).alias("later"), "b.name", "b.content", "b.n", "b.at", "b.copy", "b.doc_id")
     cut = F.expr(f"substring(words, at * 8 + 1, {8 * window})")
-    singles = best.select(
-        F.col("own").alias("name"), F.col("own").alias("content"), F.lit(1).alias("n"), "doc_id", cut.alias("words")
+    singles = ends.join(hot.select("name", "content", "n", "copy", "words"), ["name", "content", "n", "copy"]).select(
+        F.col("own").alias("name"), F.col("own").alias("content"), F.lit(1).alias("n"), F.col("later").alias("copy"), "doc_id", cut.alias("words")
     )
     return windows, singles
 
@@ -220,40 +263,45 @@ def repeated_spans(
     every = stored(_segments(rows, window), "segments")
     shared = every.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name")
     places = stored(every.join(shared, "name"), "places")
-    kinds = places.groupBy("name", "content", "n").agg(
-        F.min(F.struct("doc_id", "version", "start")).alias("r"), F.max("doc_id").alias("last")
-    )
-    kinds = kinds.select("name", "content", "n", "last", "r.*")
+    place = F.struct("doc_id", "version", "start")
+    kinds = places.groupBy("name", "content", "n").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     sizes = kinds.groupBy("name").agg((F.count("*") > crowd).alias("hot"))
-    picked = stored(kinds.join(sizes, "name"), "picked")
+    both = F.when(F.col("low.doc_id") < F.col("high.doc_id"), F.array("low", "high")).otherwise(F.array("low"))
+    texts = kinds.join(sizes, "name").select(
+        "name", "content", "n", "hot", F.col("high.doc_id").alias("last"), F.posexplode(both).alias("copy", "r")
+    )
+    picked = stored(texts.select("name", "content", "n", "hot", "last", (F.col("copy") == 1).alias("copy"), "r.*"), "picked")
     words = picked.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     contents = stored(_contents(rows, picked, window), "contents")
     windows, singles = _split_hot(contents.where("hot"), window)
     shards = max(1, -(-int(words) // shard_words))
-    cold = _search(contents.where("not hot").select("name", "content", "n", "doc_id", "words"), window, shards)
-    single = _search(singles, window, shards).select(F.col("name").alias("own"), "least")
-    hot = windows.join(single, "own").groupBy("name", "content", "n").agg(
-        F.sort_array(F.collect_list(F.struct("at", "least"))).alias("found")
+    cold = _search(contents.where("not hot").select("name", "content", "n", "copy", "doc_id", "words"), window, shards)
+    single = _search(singles, window, shards)
+    source = single.where(F.col("later") == F.lit(b"\x01")).select(F.col("name").alias("own"), F.col("low").alias("least"))
+    hot = windows.join(source, "own").groupBy("name", "content", "n", "doc_id", "last").agg(
+        F.collect_list(F.struct("at", "least")).alias("found")
     )
 
     def fill(batches):
         for b in batches:
-            out = []
-            for n, found in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                least = np.full(n, NONE)
+            own, later = [], []
+            for n, doc, last, found in zip(*(b.column(i).to_pylist() for i in range(2, 6))):
+                least = np.full(n, last)
                 for f in found:
-                    least[f["at"]] = np.frombuffer(f["least"], "<i8")[0]
-                out.append(least.tobytes())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.binary())], names=["name", "content", "n", "least"])
+                    least[f["at"]] = f["least"]
+                own.append((least < doc).tobytes())
+                later.append((least < last).tobytes())
+            cols = [*b.columns[:4], pa.array(own, pa.binary()), pa.array(later, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["name", "content", "n", "low", "own", "later"])
 
-    verdict = cold.unionByName(hot.mapInArrow(fill, "name long, content long, n int, least binary"))
+    verdict = cold.unionByName(hot.mapInArrow(fill, ANSWER))
 
     def spans(batches):
         for b in batches:
             docs_, versions, outs = [], [], []
             cols = (b.column(i).to_pylist() for i in range(4))
-            for doc, version, start, least in zip(*cols):
-                hit = np.flatnonzero(np.frombuffer(least, "<i8") < doc)
+            for doc, version, start, found in zip(*cols):
+                hit = np.flatnonzero(np.frombuffer(found, bool))
                 if len(hit):
                     gap = np.flatnonzero(np.diff(hit) > window)
                     lo = hit[np.r_[0, gap + 1]] + start
@@ -264,7 +312,8 @@ def repeated_spans(
             cols = [pa.array(docs_, pa.int64()), pa.array(versions, pa.int64()), pa.array(outs, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "version", "span"])
 
-    hits = places.join(verdict, ["name", "content", "n"]).select("doc_id", "version", "start", "least")
+    answer = F.when(F.col("doc_id") > F.col("low"), F.col("later")).otherwise(F.col("own")).alias("found")
+    hits = places.join(verdict, ["name", "content", "n"]).select("doc_id", "version", "start", answer)
     found = hits.mapInArrow(spans, "doc_id long, version long, span binary")
     return found.groupBy("doc_id", "version").agg(F.collect_set("span").alias("spans"))
 
@@ -317,7 +366,8 @@ def remove_repeats(
     white space that follows each kept word. Windows are judged on the input,
     not on what is left. A null or empty text has no words; a row with a null
     id loses nothing and is no source; rows with the same id are never sources
-    for each other; an empty table gives no rows. The input row travels as a
+    for each other; an empty table gives no rows. Very long texts are read
+    whole, in slices; of equal windows the one in the smallest document stays. The input row travels as a
     struct, so its column names cannot clash.
     """
     import pyarrow as pa

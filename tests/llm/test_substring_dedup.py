@@ -97,3 +97,52 @@ def test_matching_statistics_against_plain_search():
                             k += 1
                         best = max(best, k)
                 assert length[i] == best
+
+
+def test_matching_statistics_decide(spark, monkeypatch):
+    """Texts indexed and texts streamed differ, and removals follow the statistics alone."""
+    rng = np.random.default_rng(3)
+    shared, asked = rng.integers(1, 1 << 40, 40).astype(np.uint64), []
+    words = [np.r_[rng.integers(1, 1 << 40, 20).astype(np.uint64), shared] for _ in range(5)]
+    args = (words, np.arange(5), np.zeros(5, int), np.zeros(5, bool), 30)
+    want = [np.array([i > 0 and k >= 20 for k in range(31)]) for i in range(5)]
+    real = FMIndex.matching_statistics
+    assert [f.tolist() for f in sd.earlier_sources(*args)] == [w.tolist() for w in want]
+
+    def look(index, queries):
+        asked.append((index.n, sum(map(len, queries))))
+        return real(index, queries)
+
+    monkeypatch.setattr(FMIndex, "matching_statistics", look)
+    sd.earlier_sources(*args)
+    assert all(n < 305 for n, _ in asked)
+    for constant in (0, 29, 30):
+        monkeypatch.setattr(FMIndex, "matching_statistics", lambda index, qs, c=constant: ([np.full(len(q), c) for q in qs],) * 3)
+        assert any(f.tolist() != w.tolist() for f, w in zip(sd.earlier_sources(*args), want))
+
+
+def test_sources_against_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        k, window = int(rng.integers(1, 12)), int(rng.integers(1, 6))
+        name = rng.integers(0, 2, k)  # equal windows have equal names
+        words = [rng.integers(5, 8, rng.integers(0, 30)).astype(np.uint64) + np.uint64(10 * m) for m in name]
+        owner, copy = rng.integers(0, 6, k), rng.random(k) < 0.2
+        got = sd.earlier_sources(words, owner, name, copy, window)
+        cut = lambda w: [tuple(w[i : i + window]) for i in range(len(w) - window + 1)]
+        for i in range(k):
+            have = {c for j in range(k) if name[j] == name[i] and owner[j] < owner[i] and not copy[j] for c in cut(words[j].tolist())}
+            assert got[i].tolist() == [c in have for c in cut(words[i].tolist())]
+
+
+def test_the_index_is_compressed():
+    rng = np.random.default_rng(1)
+    words = rng.zipf(1.3, 200_000).astype(np.uint64) % np.uint64(5000)
+    index = FMIndex(np.split(words, 2000))
+    assert index.nbytes < 10 * index.n
+
+
+def test_long_runs_of_one_word(spark):
+    rows = [(1, "word " * 1_000_000), (2, "tail " + "word " * 400_000 + "end"), (3, "word " * 49)]
+    got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=50).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == {1: (1_000_000, 0), 2: (400_002, 400_000), 3: (49, 0)}
