@@ -25,12 +25,20 @@ class WaveletMatrix:
             symbols = np.r_[symbols[bit == 0], symbols[bit == 1]]
 
     def step(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self.walk(symbol, at)[0]
+
+    def walk(self, symbol: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mapped positions, and whether the symbol itself stands at each position."""
+        other, one = np.zeros(len(at), np.uint64), np.uint64(1)
+        symbol = symbol.astype(np.uint64)
         for b, words, before, zeros in self.levels:
             w = at >> 6
-            low = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = before[w] + np.bitwise_count(words[w] & low)
-            at = np.where((symbol >> b) & 1, zeros + ones, at - ones)
-        return at
+            word, inside = words.take(w, mode="clip"), (at & 63).astype(np.uint64)
+            ones = before.take(w) + np.bitwise_count(word & ((one << inside) - one))
+            bit = (symbol >> np.uint64(b)) & one
+            other |= (word >> inside) ^ bit
+            at = np.where(bit, zeros + ones, at - ones)
+        return at, (other & one) == 0
 
     @property
     def nbytes(self) -> int:
@@ -79,8 +87,8 @@ class FMIndex:
     def nbytes(self) -> int:
         return self.wavelet.nbytes + sum(t.nbytes for t in self.minima) + self.alphabet.nbytes + self.shift.nbytes
 
-    def _nearest(self, at: np.ndarray, length: np.ndarray, right: int) -> np.ndarray:
-        """The nearest place from ``at`` on, to the left or right, whose common prefix is below ``length`` (at least 1)."""
+    def _nearest(self, at: np.ndarray, length: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The nearest place from ``at`` on, to the left (0) or right (1), whose common prefix is below ``length`` (at least 1)."""
         i = at.copy()
         found = np.where(self.minima[0][i] < length, 0, -1)
         for level, t in enumerate(self.minima):
@@ -89,12 +97,12 @@ class FMIndex:
                 break
             node = i[left]
             beside = node ^ 1
-            got = ((node & 1) != right) & (t[beside] < length[left])
+            got = ((node & 1) != right[left]) & (t[beside] < length[left])
             i[left] = np.where(got, beside, node >> 1)
             found[left[got]] = level
         for level in range(int(found.max(initial=0)) - 1, -1, -1):
             down = np.flatnonzero(found > level)
-            child = 2 * i[down] + 1 - right
+            child = 2 * i[down] + 1 - right[down]
             i[down] = np.where(self.minima[level][child] < length[down], child, child ^ 1)
         return i
 
@@ -116,30 +124,34 @@ class FMIndex:
         code = np.where(known, code + 1, 0)
         length, begin, end = (np.zeros(len(flat), np.int64) for _ in range(3))
         lo, hi = np.zeros(len(size), np.int64), np.full(len(size), self.n, np.int64)
-        matched = np.zeros(len(size), np.int64)
-        lcp = self.minima[0]
-        for t in range(int(size.max())):
-            q = np.flatnonzero(size > t)
-            at = first[q] + size[q] - 1 - t
-            c = code[at]
-            lost = c == 0
-            lo[q[lost]], hi[q[lost]], matched[q[lost]] = 0, self.n, 0
-            i, s = q[~lost], c[~lost]
-            while len(i):
-                new = self.wavelet.step(np.r_[s, s], np.r_[lo[i], hi[i]]).reshape(2, -1) + self.shift[s]
-                ok = new[1] > new[0]
-                j = i[ok]
-                lo[j], hi[j] = new[0][ok], new[1][ok]
-                matched[j] += 1
-                i, s = i[~ok], s[~ok]
-                if len(i):  # the symbol is in the index, so the empty match can always take it
-                    matched[i] = np.maximum(lcp[lo[i]], lcp[hi[i]])
-                    none = i[matched[i] == 0]
-                    lo[none], hi[none] = 0, self.n
-                    some = i[matched[i] > 0]
-                    lo[some] = self._nearest(lo[some], matched[some], 0)
-                    hi[some] = self._nearest(hi[some], matched[some], 1)
-            length[at], begin[at], end[at] = matched[q], lo[q], hi[q]
+        matched, at = np.zeros(len(size), np.int64), first + size - 1
+        lcp, q = self.minima[0], np.flatnonzero(size)
+        while len(q):  # each query takes a symbol or gives up a part of its match, at its own place
+            c = code[at[q]]
+            known = c > 0
+            lost, i, c = q[~known], q[known], c[known]
+            lo[lost], hi[lost], matched[lost] = 0, self.n, 0
+            low, high = lo[i], hi[i]
+            wide = np.flatnonzero(high - low > 1)
+            to, here = self.wavelet.walk(np.concatenate([c, c[wide]]), np.concatenate([low, high[wide]]))
+            low = to[: len(i)] + self.shift[c]
+            high = low + here[: len(i)]  # an interval of one holds the symbol or doesn't
+            high[wide] = to[len(i) :] + self.shift[c[wide]]
+            ok = high > low
+            j, short = i[ok], i[~ok]
+            lo[j], hi[j] = low[ok], high[ok]
+            matched[j] += 1
+            if len(short):  # the symbol is in the index, so the empty match can always take it
+                matched[short] = np.maximum(lcp[lo[short]], lcp[hi[short]])
+                none, some = short[matched[short] == 0], short[matched[short] > 0]
+                lo[none], hi[none] = 0, self.n
+                edges = self._nearest(np.concatenate([lo[some], hi[some]]), np.tile(matched[some], 2), np.repeat([0, 1], len(some)))
+                lo[some], hi[some] = edges[: len(some)], edges[len(some) :]
+            done = np.concatenate([lost, j])
+            place = at[done]
+            length[place], begin[place], end[place] = matched[done], lo[done], hi[done]
+            at[done] -= 1
+            q = q[at[q] >= first[q]]
         cuts = first[1:]
         return np.split(length, cuts), np.split(begin, cuts), np.split(end, cuts)
 

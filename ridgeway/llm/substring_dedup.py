@@ -24,7 +24,7 @@ from .fmindex import FMIndex
 
 SHINGLE = 16
 BASE = 0x9E3779B97F4A7C15
-PIECE = 512  # windows searched as one query, so that steps do not follow the longest segment
+PIECE = 64  # windows searched as one query, so that steps do not follow the longest segment
 
 
 def _slices(data: bytes, step: int = 1 << 22):
@@ -245,7 +245,7 @@ def _split_hot(hot: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str, text_col: str, window: int = 50, crowd: int = 256, shard_words: int = 250_000
+    docs: DataFrame, id_col: str, text_col: str, window: int = 50, crowd: int = 256, shard_words: int = 1_000_000
 ) -> DataFrame:
     """(doc_id, version, spans): per document the word ranges [from, to) to remove, as packed pairs of 64-bit numbers.
 
