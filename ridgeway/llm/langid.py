@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,19 +156,25 @@ def fit(
     label_col: str = "lang",
     rows_per_label: int = 1000,
     max_labels: int = 500,
+    id_col: str | None = None,
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` with a label and a letter.
 
     Document frequencies come from all these rows. The weights are fitted on a
     bounded sample, ``rows_per_label`` rows of each label on average and never
-    over twice that in all, chosen by the text's hash; a fifth of the sample sets
-    the temperature instead. Without any labelled row the model knows no
-    label and answers ``und``.
+    over twice that of any: those with the smallest hash of text and id, so that
+    copies of a text enter one by one and a rerun takes the same rows. Rows that
+    are equal in label, text and id count once there. A fifth of the texts sets
+    the temperature instead, copies of a text on the same side. Without any
+    labelled row the model knows no label and answers ``und``.
     """
     import numpy as np
     import pyarrow as pa
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
+    rows = docs.select(
+        F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"),
+        (F.col(id_col).cast("string") if id_col else F.lit(None).cast("string")).alias("id"),
+    )
     rows = rows.where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).limit(max_labels + 1).collect()}
     if len(sizes) > max_labels:
@@ -191,23 +197,27 @@ def fit(
     idf = (np.log((1 + total[SIZE]) / (1 + total[:SIZE])) + 1).astype(np.float32)
 
     share = F.create_map(*(F.lit(x) for k in labels for x in (k, rows_per_label / sizes[k])))[F.col("label")]
-    order = F.xxhash64("text")
-    sample = rows.withColumn("order", order).where((order.bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)) < share)
+    order = F.xxhash64("text", "id")
+    sample = rows.withColumn("order", order).withColumn("key", F.xxhash64("text")).where((order.bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)) < share)
 
     def features(batches):
         for b in batches:
             out = []
-            for label, text, key in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for label, text, order, key in zip(*(b.column(i).to_pylist() for i in range(4))):
                 got = ngram_counts(text)
                 if got is not None:
-                    out.append((label, key, got[0].astype("<u2").tobytes(), got[1].astype("<f4").tobytes()))
-            cols = list(zip(*out)) if out else [()] * 4
-            types = [pa.string(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["label", "key", "at", "n"])
-
-    found = sample.select("label", "text", "order").mapInArrow(features, "label string, key long, at binary, n binary")
-    found = found.limit(2 * rows_per_label * len(labels)).collect()
-    found = sorted(found, key=lambda r: (r.key, r.label))
+                    out.append((label, order, key, got[0].astype("<u2").tobytes(), got[1].astype("<f4").tobytes()))
+            cols = list(zip(*out)) if out else [()] * 5
+            types = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["label", "order", "key", "at", "n"])
+
+    found = sample.select("label", "text", "order", "key").mapInArrow(
+        features, "label string, order long, key long, at binary, n binary"
+    )
+    found = found.groupBy("label", "order", "key").agg(F.min(F.struct("at", "n")).alias("x")).select("label", "order", "key", "x.*")
+    first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("order").bitwiseAND(F.lit((1 << 53) - 1)), "order", "key"))
+    found = found.withColumn("nth", first).where(F.col("nth") <= 2 * rows_per_label).collect()
+    found = sorted(found, key=lambda r: (r.key, r.order, r.label))
     data = [
         (labels.index(r.label), np.frombuffer(bytes(r.at), "<u2").astype(np.int64), np.frombuffer(bytes(r.n), "<f4"))
         for r in found
@@ -259,6 +269,6 @@ def fit_and_predict(
     doc_id is held out, an empty table gives none; other columns are not read.
     """
     held = held_out(id_col) if held is None else held
-    model = fit(docs.where(~held), text_col, label_col, rows_per_label)
+    model = fit(docs.where(~held), text_col, label_col, rows_per_label, id_col=id_col)
     got = predict(docs, model, id_col, text_col)
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")

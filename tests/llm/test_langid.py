@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, sparsity, calibration, and edge cases."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_MID, SF_SMALL
@@ -32,6 +33,20 @@ def test_counts_do_not_depend_on_the_step():
     assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
 
 
+def test_sample_is_fixed_and_takes_copies_one_by_one(spark):
+    rows = [(i, "the one and the other", "en") for i in range(600)] + [(i, f"der eine und das andere {i}", "de") for i in range(600, 900)]
+    rows += [(900 + i, f"le premier et un autre {i}", "fr") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fits = [langid.fit(df.repartition(n, "doc_id"), rows_per_label=30, id_col="doc_id") for n in (1, 7)]
+    a, b = fits
+    assert a.labels == ["de", "en", "fr"] and a.stats == b.stats and a.temperature == b.temperature
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.bias, b.bias)
+    assert 40 < a.stats["fit_rows"] + a.stats["calibration_rows"] < 110  # neither none of the copies nor all 600
+    repeated = df.unionByName(df.where("doc_id = 1").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n"))
+    got = langid.fit(repeated, rows_per_label=30, id_col="doc_id").stats
+    assert got["fit_rows"] + got["calibration_rows"] < 110
+
+
 def test_edge_cases(spark):
     rows = [(i, "the one and the other " * (i % 3 + 1), "en") for i in range(40)]
     rows += [(i, "der eine und das andere " * (i % 3 + 1), "de") for i in range(40, 80)]
