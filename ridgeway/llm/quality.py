@@ -162,6 +162,18 @@ def _pieces(text: str | None, size: int = 1 << 20):
         at = end
 
 
+def sample_passages(slices, most: int, seed: int) -> np.ndarray:
+    """At most ``most`` rows of all the slices' features, in their order, each equally likely; holds one slice at a time."""
+    rng = np.random.default_rng(seed & ((1 << 64) - 1))
+    kept, rank = np.zeros((0, FEATURES), np.float32), np.zeros(0)
+    for x in slices:
+        kept, rank = np.concatenate([kept, x]), np.r_[rank, rng.random(len(x))]
+        if len(rank) > most:
+            pick = np.sort(np.argpartition(rank, most)[:most])
+            kept, rank = kept[pick], rank[pick]
+    return kept
+
+
 def score_texts(model: BagModel, texts) -> np.ndarray:
     """Scores of whole texts, worked through in groups of about a megabyte."""
     n, hidden = len(texts), len(model.w["s"])
@@ -206,13 +218,19 @@ def fit(
     label_id_col: str = "doc_id",
     label_col: str = "quality",
     docs_per_label: int = 1500,
+    passages_per_doc: int = 64,
 ) -> BagModel | None:
     """Learn from the labelled documents that are not held out; None without any.
 
     The fit takes a bounded sample, ``docs_per_label`` documents of each label on
-    average and never over twice that, chosen by the id's hash; losses are
-    weighted back to the labels' true shares. Only the sample's ids are
-    broadcast. Of several labels of one document the smallest counts.
+    average and never over twice that of either, those with the smallest hash of
+    the id; losses are weighted back to the labels' true shares. Only the
+    sample's ids are broadcast. Of several labels of one document the smallest
+    counts, of several texts of one id the one with the smallest features. Of a
+    document with more than ``passages_per_doc`` passages so many are drawn,
+    uniformly and by a seed of its id, from the whole text: what reaches the
+    driver is bounded by both parameters, whatever the texts' lengths. Scoring
+    takes every passage.
     """
     import pyarrow as pa
 
@@ -221,23 +239,26 @@ def fit(
     sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
-    share = F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, docs_per_label / n)))[F.col("label")]
     part = F.xxhash64("id").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-    sample = known.where(part < share).limit(2 * docs_per_label * len(sizes))
+    sample = None
+    for k, n in sorted(sizes.items()):
+        some = known.where((F.col("label") == k) & (part < docs_per_label / n)).orderBy(part, "id").limit(2 * docs_per_label)
+        sample = some if sample is None else sample.unionByName(some)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for b in batches:
             out = []
             for id_, text, label in zip(*(b.column(c).to_pylist() for c in ("id", "text", "label"))):
-                x = np.concatenate([passage_features([p])[0] for p in _pieces(text)])
+                x = sample_passages((passage_features([p])[0] for p in _pieces(text)), passages_per_doc, id_)
                 out.append((id_, label, x.astype("<f4").tobytes()))
             cols = list(zip(*out)) if out else [()] * 3
             types = [pa.int64(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "label", "x"])
 
     found = texts.join(F.broadcast(sample), "id").select("id", "text", "label").mapInArrow(run, "id long, label int, x binary")
-    found = sorted(found.collect(), key=lambda r: (r.id, bytes(r.x)))
+    found = found.groupBy("id", "label").agg(F.min("x").alias("x"))
+    found = sorted(found.collect(), key=lambda r: r.id)
     if not found:
         return None
     bags = [np.frombuffer(bytes(r.x), "<f4").reshape(-1, FEATURES).astype(float) for r in found]

@@ -66,6 +66,28 @@ def test_features():
     assert stat[:, -1].tolist() == [0, 1, 1, 0, 0, 0]
 
 
+def test_sampled_passages_are_bounded_and_in_order():
+    x = np.arange(1000, dtype=np.float32)[:, None] * np.ones((1, quality.FEATURES), np.float32)
+    got = quality.sample_passages((x[i : i + 90] for i in range(0, 1000, 90)), 64, -5)
+    assert got.shape == (64, quality.FEATURES) and (np.diff(got[:, 0]) > 0).all()
+    assert np.array_equal(got, quality.sample_passages((x[i : i + 30] for i in range(0, 1000, 30)), 64, -5))
+    assert np.array_equal(quality.sample_passages(iter([x[:50], x[50:64]]), 64, 1), x[:64])
+    mean = np.mean([quality.sample_passages(iter([x]), 64, s)[:, 0].mean() for s in range(60)])
+    assert abs(mean - 499.5) < 25
+
+
+def test_fit_takes_a_bounded_part_of_very_long_and_repeated_texts(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "fit_bags", lambda bags, labels, weights: seen.update(bags=bags, labels=labels))
+    rows = [(1, "a word of it. " * 60_000), (2, "JUNK!! " * 300)] + [(3, "short one. ")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    held = {r.id for r in marks.selectExpr("doc_id AS id").where(quality.held_out("id")).collect()}
+    quality.fit(docs, marks, passages_per_doc=16)
+    sizes = {1: 16, 2: 5, 3: 1}
+    assert sorted(len(b) for b in seen["bags"]) == sorted(n for k, n in sizes.items() if k not in held)
+
+
 def test_edge_cases(spark):
     good, bad = "a fine sentence of many words. ", "JUNK!! BUY!! NOW!! "
     rows = [(i, good * (i % 4 + 1)) for i in range(60)] + [(i, bad * (i % 4 + 1)) for i in range(60, 120)]
