@@ -31,7 +31,7 @@ def _stage(function):
 @_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model can tell; the model learns from the documents' own labels."""
-    model = langid.fit(docs)
+    model = langid.fit(docs, id_col="doc_id")
     told = langid.predict(docs, model, carry=True)
     return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
