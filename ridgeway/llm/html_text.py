@@ -6,13 +6,14 @@ each other, unclosed elements end with their parent), so that every page gives
 a balanced tree; its elements are laid out as they open and close. Hidden
 elements add nothing. Blocks stand on lines of their own, paragraphs and
 headings between empty lines, list items behind a mark and indented by depth,
-and table cells in columns of equal width.
+and table cells in columns of equal width, long cells wrapped within theirs.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import deque
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -57,13 +58,14 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
-INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden")
+NOT_SHOWN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|content-visibility\s*:\s*hidden)")
+VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible|initial)")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PREFORMATTED = frozenset("pre listing xmp textarea".split())
 IN_HEAD = frozenset("base link meta title style script noscript template head".split())
 TABLE_PARTS = ROW_GROUPS | {"tr", "td", "th", "caption", "col", "colgroup"}
-PAD_LIMIT, WIDE_TABLE, MAX_INDENT = 80, 2000, 40
+CELL_WIDTH, NARROW_CELL, WIDE_TABLE, MAX_INDENT = 80, 12, 2000, 40
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -76,7 +78,35 @@ def attributes(text: str) -> dict[str, str]:
 def _hidden(tag: str, attrs: dict[str, str]) -> bool:
     if "hidden" in attrs and attrs["hidden"].lower() != "until-found" or tag == "dialog" and "open" not in attrs:
         return True
-    return bool(INVISIBLE.search(attrs.get("style", "").lower()))
+    return bool(NOT_SHOWN.search(attrs.get("style", "").lower()))
+
+
+def _unseen(attrs: dict[str, str], inherited: bool) -> bool:
+    """Whether an element keeps its place without showing its text; its own visibility outranks its parent's."""
+    found = VISIBILITY.findall(attrs["style"].lower()) if "style" in attrs else ()
+    return found[-1] in ("hidden", "collapse") if found else inherited
+
+
+def _wrapped(line: str, width: int) -> list[str]:
+    """A line cut at spaces into lines of at most ``width``; a longer word is a line of its own. The indent is kept."""
+    if len(line) <= width or isinstance(line, _Fixed):
+        return [line]
+    indent = line[: len(line) - len(line.lstrip(" "))]
+    indent = indent if len(indent) < width // 2 else ""
+    out, parts, held = [], [], 0
+    for word in line.split(" "):
+        if not word:
+            continue
+        if parts and held + 1 + len(word) > width:
+            out.append(indent + " ".join(parts))
+            parts, held = [], 0
+        held = held + 1 + len(word) if parts else len(indent) + len(word)
+        parts.append(word)
+    return [*out, indent + " ".join(parts)]
+
+
+class _Fixed(str):
+    """A line that isn't wrapped."""
 
 
 class _Box:
@@ -111,7 +141,7 @@ class _Box:
             self.parts.clear()
         self.space = False
 
-    def put(self, line: str) -> None:
+    def put(self, line: str, fixed: bool = False) -> None:
         if self.gap and self.lines:
             self.lines.append("")
         self.gap = 0
@@ -119,7 +149,8 @@ class _Box:
         if self.mark:
             prefix = self.indent[: len(self.indent) - len(self.mark)] + self.mark
             self.mark = ""
-        self.lines.append((prefix + line).rstrip())
+        line = (prefix + line).rstrip()
+        self.lines.append(_Fixed(line) if fixed else line)
 
     def line_break(self) -> None:
         if self.parts:
@@ -153,25 +184,40 @@ class _Table:
             self.below.update(dict.fromkeys(range(at, at + span), down - 1))
 
     def layout(self) -> list[str]:
-        """Lines with cells in columns; a table wider than WIDE_TABLE in all has its cells two spaces apart."""
+        """Lines with cells in columns.
+
+        Cells wrap at CELL_WIDTH, and in tables of many columns at less, so that
+        all columns fit into WIDE_TABLE. Where a word is longer than its column,
+        and where a line of a nested table or of preformatted text is, which
+        aren't cut, the cells behind it go on below. A table whose columns
+        would have to be narrower than NARROW_CELL has its cells two spaces apart.
+        """
+        count = 1 + max((at for row in self.rows for at, *_ in row), default=0)
+        limit = min(CELL_WIDTH, WIDE_TABLE // count - 2)
+        aligned = limit >= NARROW_CELL
         width: dict[int, int] = {}
-        for row in self.rows:
-            for at, span, lines in row:
-                longest = max((len(x) for x in lines), default=0)
-                if span == 1:
-                    width[at] = max(width.get(at, 0), longest if longest <= PAD_LIMIT else 0)
-        if sum(width.values()) + 2 * len(width) > WIDE_TABLE:
-            width = {}
+        rows = self.rows
+        if aligned:
+            rows = [[(at, span, [x for line in lines for x in _wrapped(line, limit * span)]) for at, span, lines in row] for row in rows]
+            for row in rows:
+                for at, span, lines in row:
+                    if span == 1:
+                        longest = max((len(x) for x in lines if len(x) <= limit), default=0)
+                        width[at] = max(width.get(at, 0), longest)
         columns = sorted(width)
         out = []
-        for row in self.rows:
-            for k in range(max((len(lines) for _, _, lines in row), default=0)):
+        for row in rows:
+            left = [(at, span, deque(lines)) for at, span, lines in row]
+            while any(lines for *_, lines in left):
                 line, done = [], 0  # done: columns already passed
-                for at, span, lines in row:
+                long = (i for i, (_, span, lines) in enumerate(left) if aligned and span == 1 and lines and len(lines[0]) > limit)
+                alone = next(long, -1)  # the cells behind it wait
+                for i, (at, span, lines) in enumerate(left):
                     first, last = bisect_left(columns, at), bisect_left(columns, at + span)
                     line += [" " * (width[c] + 2) for c in columns[done:first]]
                     room = sum(width[c] + 2 for c in columns[first:last]) - 2
-                    line.append((lines[k] if k < len(lines) else "").ljust(max(room, 0)) + "  ")
+                    shown = lines.popleft() if lines and (alone < 0 or i <= alone) else ""
+                    line.append(shown.ljust(max(room, 0)) + "  ")
                     done = max(done, last)
                 out.append("".join(line).rstrip())
         return out
@@ -243,7 +289,7 @@ class _Layout:
             self.pre -= 1
         elif tag == "table":
             for line in self.tables.pop().layout():
-                box.put(line)
+                box.put(line, fixed=True)
         box.indent = kept
         if tag in SPACED and not (tag in LISTS and self.lists):
             box.gap = 1
@@ -257,7 +303,7 @@ class _Layout:
         first, *more = s.replace("\r\n", "\n").replace("\r", "\n").split("\n")
         box.parts.append(first)
         for line in more:
-            box.put("".join(box.parts))
+            box.put("".join(box.parts), fixed=True)
             box.parts = [line]
         if box.parts == [""]:
             box.parts = []
@@ -284,11 +330,11 @@ class _Tree:
 
     def __init__(self):
         self.layout = _Layout()
-        self.stack: list[tuple] = []  # (tag, hidden, closed details, what the layout kept)
+        self.stack: list[tuple] = []  # (tag, hidden, closed details, what the layout kept, unseen)
         self.count: dict[str, int] = {}
 
     def _pop(self) -> None:
-        tag, hidden, _, kept = self.stack.pop()
+        tag, hidden, _, kept, _ = self.stack.pop()
         self.count[tag] -= 1
         if not hidden:
             self.layout.close(tag, kept)
@@ -323,14 +369,14 @@ class _Tree:
         if tag in ("td", "th"):
             if not self._row_open():
                 self.start("tr", {})
-        _, hidden, closed, _ = self.stack[-1] if self.stack else ("", False, False, None)
+        _, hidden, closed, _, unseen = self.stack[-1] if self.stack else ("", False, False, None, False)
         hidden = hidden or closed and tag != "summary" or tag in HIDDEN or _hidden(tag, attrs)
         if tag in VOID:
             if not hidden:
                 self.layout.close(tag, self.layout.open(tag, attrs))
             return
         kept = None if hidden else self.layout.open(tag, attrs)
-        self.stack.append((tag, hidden, tag == "details" and "open" not in attrs, kept))
+        self.stack.append((tag, hidden, tag == "details" and "open" not in attrs, kept, _unseen(attrs, unseen)))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def hidden_head_child(self) -> bool:
@@ -360,7 +406,7 @@ class _Tree:
     def text(self, s: str, raw: bool = False) -> None:
         if self.stack and self.stack[-1][0] == "head" and s.strip():
             self._close(("head",), ())
-        if self.stack and (self.stack[-1][1] or self.stack[-1][2]):
+        if self.stack and (self.stack[-1][1] or self.stack[-1][2] or self.stack[-1][4]):
             return
         self.layout.text(s if raw else unescape(s))
 
@@ -406,7 +452,10 @@ def _raw_end(name: str) -> re.Pattern:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(page_id, text) for every page, whole. Null and empty pages give ''; repeated rows give repeated rows; no other column is read."""
+    """(page_id, text) for every page, whole, however long; a page is laid out in one task, in time linear in it.
+
+    Null and empty pages give ''; repeated rows give repeated rows; an empty table gives none; no other column is read.
+    """
     import pyarrow as pa
 
     def run(batches):

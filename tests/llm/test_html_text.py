@@ -71,6 +71,10 @@ def test_every_page_keeps_its_visible_words(spark):
         ("</p>x</div></b><h1>h</h2>y", "x\n\nh\n\ny"),
         ("<p>unclosed <b>tag", "unclosed tag"),
         ("text <!-- open comment <p>x", "text"),
+        ("a<p style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</p>b", "a\n\nyes\n\nb"),
+        ("<div style='visibility:collapse'><div style='display:none'><i style='visibility:visible'>no</i></div>no</div>x", "x"),
+        ("<ol><li style='visibility:hidden'>no<li>two</ol>", "2. two"),
+        ("<p style='backface-visibility:hidden; --display:none'>seen", "seen"),
         ("", ""), (None, ""), ("   ", ""), ("<p></p><ul><li></ul>", ""),
     ],
 )
@@ -78,6 +82,33 @@ def test_layout(html, text):
     assert ht.visible_text(html) == text.strip("\n")
 
 
+def columns_of(text, starts):
+    return [tuple(line[a:b].strip() for a, b in zip(starts, [*starts[1:], None])) for line in text.split("\n")]
+
+
+def test_long_cells_wrap_within_their_column():
+    prose = " ".join(f"word{i}" for i in range(60))
+    got = ht.visible_text(f"<table><tr><td>k<td>{prose}<td>end<tr><td>kk<td>short<td>fin</table>")
+    lines = got.split("\n")
+    where = lines[0].index("end")
+    assert where <= 4 + 80 + 2 and lines[-1].index("fin") == where and lines[-1].startswith("kk  short")
+    assert " ".join(x[1] for x in columns_of(got, (0, 4, where))[:-1]) == prose
+    url = "http://" + "x" * 200
+    got = ht.visible_text(f"<table><tr><td>see {url} here<td>one<br>two<br>three<tr><td>a<td>b</table>").split("\n")
+    assert [x.strip() for x in got if url in x] == [url] and got[0].startswith("see")
+    at = got[0].index("one")
+    assert [x[at:] for x in got if len(x) < 200 and x[at:]] == ["one", "two", "three", "b"]
+    inner = "<table>" + "".join(f"<tr><td>{'r' * k}<td>{'s' * 50}<td>{'t' * 50}" for k in (1, 20)) + "</table>"
+    got = ht.visible_text(f"<table><tr><td>nav<td>{inner}<td>side</table>").split("\n")
+    assert got[0].startswith("nav  r ") and got[0].index("t" * 50) == got[1].index("t" * 50) and [x.strip() for x in got[2:]] == ["side"]
+    pre = "a   b" + " " * 90 + "c"
+    assert ht.visible_text(f"<table><tr><td>x<td><pre>{pre}\n</pre><td>y</table>") == f"x  {pre}\n     y"
+    wide = ht.visible_text("<table><tr>" + f"<td>{prose}" * 60 + "<tr>" + "<td>c" * 60 + "</table>").split("\n")
+    starts = [i for i, ch in enumerate(wide[-1]) if ch == "c"]
+    assert len(starts) == 60 and max(map(len, wide)) <= 2000 and all(x[i - 1] == " " for x in wide for i in starts[1:] if i < len(x))
+    assert sorted(w for x in wide[:-1] for w in x.split()) == sorted(prose.split() * 60)
+
+
 def test_deep_and_long_pages_take_linear_time():
     n = 20_000
     assert ht.visible_text("<div>" * n + "x") == "x"
