@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 from ..functions.losses import Loss, get_loss
+from ..operators.evaluation_log import LoggedEvaluator
 from ..operators.loss_grad import SparkEvaluator
 from ..operators.moments import MAX_DRIVER_D, MomentsEvaluator
 from ..operators.penalties import Penalty, Projector
@@ -29,6 +30,8 @@ def fit(
     init=None,
     projector: Projector | None = None,
     strategy: str = "auto",
+    resume_path: str | None = None,
+    write_every: int = 20,
     **options,
 ) -> tr.FitResult:
     """Fit weights of shape (d,) or (C, d) by one of ``SOLVERS``.
@@ -37,6 +40,11 @@ def fit(
     ``c1``, ``rho``, ``batch``, ``momentum``...). Squared loss is fitted from the
     moments (one scan) unless ``strategy`` names a row strategy or the moment
     matrix would outgrow the driver; then every step scans the rows.
+
+    With ``resume_path`` every evaluation is written there as the fit runs, and a
+    fit that was stopped goes on where it was when called again with the same
+    arguments (see ``operators.evaluation_log``); a finished one is read back
+    without a step.
     """
     loss = get_loss(loss)
     C = loss.n_margins(points.n_classes)
@@ -47,6 +55,8 @@ def fit(
         ev = MomentsEvaluator.from_points(points)
     else:
         ev = SparkEvaluator(points, loss, strategy=strategy)
+    if resume_path is not None:
+        ev = LoggedEvaluator(ev, points.df.sparkSession, resume_path, write_every)
     try:
         if solver == "gradient_descent":
             return tr.gradient_descent(ev, w0, penalty, lam, **options)
