@@ -53,11 +53,14 @@ SPELLINGS = [
 ]
 # A line that states who holds a copyright.
 COPYRIGHT_LINE = r"^[ \t]*[#*/;%-]*[ \t]*(copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9]{4}|<|\[)[^\n]*"
-# The same in a text that still has its capitals, wider: also "Copyright, 2020", and a holder's name without a year.
+# The same in a text that still has its capitals, wider: also "Copyright, 2020", and a holder's name without a year, if the line
+# holds nothing but names: up to 20 further words without small initials, addresses, and the small words that names are joined by.
 HOLDER_LINE = (
     r"^[ \t]*[#*/;%-]*[ \t]*(?:(?i:copyright|\(c\)|©)[ \t]*(?:(?i:\(c\))|©|[0-9]{4}|<|\[)|(?i:copyright)[ \t]*[,:][ \t]*[0-9]{4}"
     r"|(?:Copyright|©)[ \t]*[,:]?[ \t]+(?:by[ \t]+|the[ \t]+)*"
-    r"(?!(?:Licen[cs]es?|Acts?|Laws?|Notices?|Holders?|Owners?|Statements?|Office|Rights?|Interests?)\b)\p{Lu})[^\n]*"
+    r"(?!(?:Licen[cs]es?|Acts?|Laws?|Notices?|Holders?|Owners?|Statements?|Office|Rights?|Interests?)\b)\p{Lu}\S*"
+    r"(?:[ \t]+(?:[^\p{Ll}\s]\S*|\S*@\S*|https?:\S*|(?:of|and|the|for|by|at|de|der|den|du|di|da|van|von|la|le|et|al|its|other|others"
+    r"|authors?|contributors?|all|rights|reserved)\b[.,;]?(?!\S))){0,20}+[ \t\r]*$)[^\n]*"
 )
 NOT_WORD = r"[^\p{L}\p{N}]+"
 NOT_WORD_OR_LINE = r"[^\p{L}\p{N}\n]+"

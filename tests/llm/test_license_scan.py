@@ -68,6 +68,11 @@ def test_whole_licences_headings_and_holders(spark):
     for head in ("", "The MIT License (MIT)\n", "Copyright Jane Doe\n", "Copyright, 2020\n", "COPYRIGHT: 2020 J\n", "Copyright by the Foo Authors\n", "© Jane Doe\n"):
         rows.append(("MIT", head + body))
     rows.append((None, "Copyright Holders and others\n" + body))
+    for head in ("Copyright Dyke van Buren B.V. and its contributors <a@b.org>\n", "Copyright The Foo Authors, foo@bar.org https://foo.org\r\n"):
+        rows.append(("MIT", head + body))
+    for head in ("Copyright Reform is debated today\n", "Copyright Tribunal hears a case\n", "Copyright " + "Big " * 30 + "\n",
+                 "Copyright " + "A" * 100_000 + " b" * 50_000 + "\n"):
+        rows.append((None, head + body))
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     assert [r.license_id for r in ls.scan(df).orderBy("doc_id").collect()] == [k for k, _ in rows]
     header = 'x\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except\n'
