@@ -7,15 +7,24 @@ and no pair table is formed: with v = Σ_i a_i y_i x_i,
     (K a)_i = y_i x_i · v,   D(a) = −‖v‖²/(4λ) + Σ a_i,
     ∇(−D)_i = y_i (x_i · v)/(2λ) − 1,
 
-so each projected-gradient step needs the data once, for v, Σa and ‖Δa‖².
+so a projected-gradient step needs of the data only v, Σa and ‖Δa‖².
+
+A job takes a window of steps. Between the few steps at which some multiplier
+reaches or leaves its bound, v follows a linear recursion with the Gram matrix of
+the rows inside the box, so the driver can guess the coming v. Each task takes
+its rows through the window with the guesses and returns Σ a_i y_i x_i after
+every step. Guesses that come back as they went out are the true steps, and so is
+the first sum that doesn't: at least one step of a window counts, mostly many.
+The others are corrected by the same recursion, with the Gram matrices that the
+rows inside the box had in spans of the window, and go into the next window.
 
 The points are packed once into blocks of rows (a matrix y_i x_i per block),
 written, and cached by block. The multipliers are a narrow table (block, a). A
-step joins the two without moving the points, replays the few steps since the
+window joins the two without moving the points, replays the steps since the
 table was last written, and returns one packed vector per task. Every
-``checkpoint_every`` steps the multipliers alone are written to the shared
-checkpoint folder and the superseded table is deleted, so a lost executor
-replays at most that many steps.
+``checkpoint_every`` steps, or as many as a window has if that is more, the
+multipliers alone are written to the shared checkpoint folder and the superseded
+table is deleted, so a lost executor replays few steps.
 """
 
 from __future__ import annotations
@@ -157,14 +166,73 @@ def _dealt(frame: DataFrame, parts: int) -> DataFrame:
     return frame.repartition(parts, "block").sortWithinPartitions("block").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+WINDOW, SHORTEST_WINDOW = 512, 64  # steps that a job takes ahead, at most and at least
+GRAM_NUMBERS, SPANS = 1 << 18, 64  # numbers of a window's Gram matrices, and spans of steps that have one
+SAME = 1e-12  # guesses count as right within this share of the largest number; the order of summing moves them as much
+
+
 def _replayed(yx, a, steps, lam):
-    """Multipliers after the given (v, η) steps from a, and those before the last one."""
-    before = a
-    if steps:
-        Z = yx @ np.array([v for v, _ in steps]).T
-        for k, (_, eta) in enumerate(steps):
-            before, a = a, np.clip(a - eta * (Z[:, k] / (2.0 * lam) - 1.0), 0.0, 1.0)
-    return a, before
+    """Multipliers after the given (v, η) steps from a."""
+    for at in range(0, len(steps), WINDOW):
+        part = steps[at : at + WINDOW]
+        Z = yx @ np.array([v for v, _ in part]).T
+        for k, (_, eta) in enumerate(part):
+            a = np.clip(a - eta * (Z[:, k] / (2.0 * lam) - 1.0), 0.0, 1.0)
+    return a
+
+
+def _spans(K: int, d: int) -> np.ndarray:
+    """Bounds of the spans of a window of K steps, none where even one Gram matrix is too large."""
+    spans = min(SPANS, K, GRAM_NUMBERS // (d * d))
+    return np.unique(np.linspace(0, K, spans + 1).astype(int)) if spans else np.zeros(1, int)
+
+
+def _window_sums(yx, a, V, etas, lam, cuts) -> list[np.ndarray]:
+    """Of rows taken through steps with the given v: Σ a y x and Σ a before and after every step, ‖Δa‖² of each,
+    and per span the sum of y x (y x)ᵀ over the rows, by the share of the span's steps that leave them inside the box."""
+    K, (rows, d) = len(V), yx.shape
+    A, inside = np.empty((K + 1, rows)), V @ yx.T
+    inside /= 2.0 * lam
+    A[0] = a
+    for k in range(K):
+        step = inside[k]
+        step -= 1.0
+        step *= -etas[k]
+        step += A[k]
+        np.clip(step, 0.0, 1.0, out=A[k + 1])
+    moves = np.diff(A, axis=0)
+    out = [(A @ yx).reshape(-1), A.sum(axis=1), np.einsum("ij,ij->i", moves, moves)]
+    if len(cuts) > 1:
+        free = (inside > 0.0) & (inside < 1.0)
+        share = np.add.reduceat(free, cuts[:-1], axis=0, dtype=float) / np.diff(cuts)[:, None]
+        whole, upper = (share == 1.0).all(axis=0), np.triu_indices(d)
+        some = (share > 0.0).any(axis=0) & ~whole
+        always, x = yx[whole].T @ yx[whole], yx[some]
+        out += [(always + (x * w[some][:, None]).T @ x)[upper] for w in share]
+    return out
+
+
+def _next_guesses(V, etas, sums, grams, cuts, right, lam, coming) -> np.ndarray:
+    """The v of the coming steps: exact in the first row, the window's own guesses corrected, then the recursion carried on.
+
+    ``coming``: the step sizes from the first step of the window to the last one to guess.
+    """
+    K, d = V.shape
+    guesses = [sums[right]]
+    with np.errstate(all="ignore"):
+        span = np.searchsorted(cuts, np.arange(K), side="right") - 1
+        off = sums[:K] - V
+        if right < K:
+            change = off[right]
+            for k in range(right, K - 1):
+                change = change - etas[k] / (2.0 * lam) * (grams[span[k]] @ change) + (off[k + 1] - off[k])
+                guesses.append(V[k + 1] + change)
+        move, last = (sums[K] - sums[K - 1]) / etas[-1], grams[-1] / (2.0 * lam)
+        for k in range(right + len(guesses) - 1, len(coming) - 1):
+            guesses.append(guesses[-1] + coming[k] * (move - last @ (guesses[-1] - V[-1])))
+    guesses = np.array(guesses[: len(coming) - right])
+    wrong = np.flatnonzero(~np.isfinite(guesses).all(axis=1))
+    return guesses[: max(1, wrong[0])] if len(wrong) else guesses
 
 
 def fit_svm_dual(
@@ -181,7 +249,8 @@ def fit_svm_dual(
     ``lr='lipschitz'`` takes the step 1/L from one moments scan; a number sets
     it, with ``lr_decay`` as lr/√t. Labels must be ±1 and the table not empty.
     Stops when ‖Δa‖ < tol or after n_iter steps. The result's multipliers are a
-    table (id, a) in the checkpoint folder.
+    table (id, a) in the checkpoint folder. A job takes many steps (see above), but
+    only one of points so wide that a Gram matrix doesn't go with each task's sums.
     """
     if points.id is None:
         raise ValueError("the dual needs a row id for its multipliers")
@@ -193,7 +262,7 @@ def fit_svm_dual(
     source.write.parquet(blocks_path)
     packed_points = spark.read.schema(source.schema).parquet(blocks_path)
     size = packed_points.agg(F.sum(F.length("yx"))).first()[0] or 0
-    parts = max(1, -(-size // PARTITION_BYTES))
+    parts = max(1, -(-size // min(PARTITION_BYTES, max(WINDOW_BYTES, size // WINDOW_TASKS))))
     blocks = _dealt(packed_points, parts)
     tables: list[str] = []
 
@@ -207,65 +276,101 @@ def fit_svm_dual(
             return blocks.select("block", "ids", "yx", F.lit(None).cast("binary").alias("a"))
         return blocks.hint("merge").join(state, "block").select("block", "ids", "yx", "a")
 
-    def mapped(state, steps, each, schema, width=d):
-        """``each(block, ids, yx, a, a_before)`` gives a row per block, or adds to one packed vector per task."""
+    def replayed(batches, steps):
+        """(block, ids, y x, multipliers after the steps) of every block."""
+        for b in batches:
+            for block, ids, yx, a in zip(*(b.column(i) for i in range(4))):
+                yx = np.frombuffer(yx.as_buffer(), "<f8").reshape(-1, d)
+                a = np.frombuffer(a.as_py(), "<f8") if a.is_valid else np.zeros(len(yx))
+                yield block.as_py(), ids.as_py(), yx, _replayed(yx, a, steps, lam)
 
-        def run(batches):
-            import pyarrow as pa
+    def window(state, steps, V, etas):
+        """Rows, and the sums of ``_window_sums``, over all points; small blocks are taken together."""
+        cuts = _spans(len(V), d)
+        size = 1 + (len(V) + 1) * (d + 1) + len(V) + (len(cuts) - 1) * (d * (d + 1) // 2)
 
-            total, seen = np.zeros(d + 3), False
-            for b in batches:
-                out = []
-                for block, ids, yx, a in zip(*(b.column(i).to_pylist() for i in range(4))):
-                    yx = np.frombuffer(yx, "<f8").reshape(-1, width)
-                    a = np.zeros(len(yx)) if a is None else np.frombuffer(a, "<f8")
-                    a, before = _replayed(yx, a, steps, lam)
-                    if each is None:
-                        seen = True
-                        total += np.r_[a @ yx, a.sum(), (a - before) @ (a - before), len(a)]
-                    else:
-                        out.append(each(block, ids, a))
-                if out and each is not None:
-                    cols = list(zip(*out))
-                    yield from _rows(pa, cols, schema)
+        def run(batches):
+            total, held, seen = np.zeros(size), [], False
+
+            def add():
+                yx, a = (np.concatenate(m) for m in zip(*held))
+                held.clear()
+                with np.errstate(all="ignore"):
+                    return np.concatenate([[len(a)], *_window_sums(yx, a, V, etas, lam, cuts)])
+
+            for _, _, yx, a in replayed(batches, steps):
+                seen = True
+                if held and sum(len(m[1]) for m in held) + len(a) > BLOCK_ROWS:
+                    total += add()
+                held.append((yx, a))
+            if held:
+                total += add()
             if seen:
                 yield packed(total)
 
-        return with_state(state).mapInArrow(run, schema)
+        K, total = len(V), collect_sum(with_state(state).mapInArrow(run, PACKED), size, parts)
+        n, sums, sum_a, moved, upper = np.split(total, np.cumsum([1, (K + 1) * d, K + 1, K]))
+        grams = np.zeros((len(cuts) - 1, d, d))
+        i, j = np.triu_indices(d)
+        grams[:, i, j] = grams[:, j, i] = upper.reshape(len(grams), len(i))
+        return n[0], sums.reshape(K + 1, d), sum_a, np.sqrt(moved), grams, cuts
+
+    def as_state(state, steps):
+        def run(batches):
+            import pyarrow as pa
 
-    def _rows(pa, cols, schema):
-        if schema.startswith("block"):
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["block", "a"])
-        else:
-            ids = np.concatenate([np.frombuffer(x, "<i8") for x in cols[0]])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(cols[1]))], names=["id", "a"])
+            for block, _, _, a in replayed(batches, steps):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([a.tobytes()], pa.binary())], names=["block", "a"])
 
-    dual_hist, path, etas, norms = [], [], [], []
+        return write(with_state(state).mapInArrow(run, "block long, a binary"), "multipliers")
+
+    def as_rows(state, steps):
+        def run(batches):
+            import pyarrow as pa
+
+            for _, ids, _, a in replayed(batches, steps):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, "<i8")), pa.array(a)], names=["id", "a"])
+
+        return write(with_state(state).mapInArrow(run, "id long, a double"), "multipliers")
+
+    start = np.zeros(d)
+    dual_hist, path, etas, norms = [0.0], [start], [], []
     status, state, steps = "max_iter", None, []
+    V, ahead = start[None], SHORTEST_WINDOW  # guesses from the step after the last one known; the first is no guess
     try:
         if lr == "lipschitz":
             lr = 1.0 / svm_lipschitz_constant(points, lam)
+
+        def sizes(first, count):
+            return np.array([lr / math.sqrt(t + 1) if lr_decay else lr for t in range(first, min(first + count, n_iter))])
+
         jobs = 1
-        for t in range(n_iter + 1):
-            total = collect_sum(mapped(state, list(steps), None, PACKED), d + 3, parts)
+        while status != "converged" and len(etas) < n_iter:
+            K, t = len(V), len(etas)
+            eta = sizes(t, K)
+            n, sums, sum_a, moved, grams, cuts = window(state, list(steps), V, eta)
             jobs += 1
-            if total[-1] == 0:
+            if n == 0:
                 raise ValueError("empty point table")
-            v = total[:d]
-            dual_hist.append(-float(v @ v) / (4.0 * lam) + float(total[d]))
-            path.append(v / (2.0 * lam))
-            if t > 0:
-                norms.append(math.sqrt(total[d + 1]))
+            finite = np.abs(sums[:K][np.isfinite(sums[:K])])
+            agree = np.isclose(sums[:K], V, rtol=0.0, atol=SAME * max(1.0, finite.max(initial=0.0)), equal_nan=True).all(axis=1)
+            right = max(1, int(np.argmin(agree)) if not agree.all() else K)
+            for k in range(right):
+                v = sums[k + 1]
+                steps.append((V[k], eta[k]))
+                etas.append(float(eta[k]))
+                dual_hist.append(-float(v @ v) / (4.0 * lam) + float(sum_a[k + 1]))
+                path.append(v / (2.0 * lam))
+                norms.append(float(moved[k]))
                 if norms[-1] < tol:
                     status = "converged"
                     break
-            if t == n_iter:
+            if status == "converged" or len(etas) == n_iter:
                 break
-            etas.append(lr / math.sqrt(t + 1) if lr_decay else lr)
-            steps.append((v, etas[-1]))
-            if len(steps) > checkpoint_every:
-                # the last step stays unwritten: the next aggregate needs a before and after it
-                new = write(mapped(state, steps[:-1], lambda block, ids, a: (block, a.tobytes()), "block long, a binary"), "multipliers")
+            ahead = min(2 * ahead, WINDOW) if right == K else ahead if 3 * right >= K else max(ahead // 2, SHORTEST_WINDOW)
+            V = sums[right][None] if len(cuts) < 2 else _next_guesses(V, eta, sums, grams, cuts, right, lam, sizes(t, right + ahead))
+            if len(steps) >= max(checkpoint_every, len(V)):
+                new = as_state(state, list(steps))
                 if state is not None:
                     state.unpersist()
                 state = _dealt(new, parts)
@@ -273,8 +378,8 @@ def fit_svm_dual(
                 jobs += 2
                 if len(tables) > 1:
                     drop_path(spark, tables.pop(-2))
-                steps = steps[-1:]
-        mult = write(mapped(state, list(steps), lambda block, ids, a: (ids, a), "id long, a double"), "multipliers")
+                steps = []
+        mult = as_rows(state, list(steps))
         if len(tables) > 1:
             drop_path(spark, tables.pop(-2))
     finally:
@@ -285,6 +390,9 @@ def fit_svm_dual(
     return SVMFit(lam, mult, path[-1], dual_hist, path, etas, norms, status, jobs)
 
 
+WINDOW_BYTES, WINDOW_TASKS = 4 << 20, 128  # a window is much work on few bytes: smaller partitions, but not too many sums
+
+
 PARTITION_BYTES = 64 << 20
 
 

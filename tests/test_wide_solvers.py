@@ -171,3 +171,30 @@ def test_dual_ascent_edge_cases(spark):
     sv.fit_svm_dual(points, 0.5, n_iter=3)
     assert not [t for t in scratch_tables(spark) - before if t.startswith("blocks")]
     assert fx.svm_points(spark, SF_SMALL).id
+
+
+@pytest.mark.parametrize("decay,grams", [(False, True), (True, True), (False, False)])
+def test_projected_dual_takes_many_steps_a_job(spark, decay, grams, monkeypatch):
+    """Every iterate is that of the plain iteration; without Gram matrices a job takes one step."""
+    monkeypatch.setattr(sv, "BLOCK_ROWS", 64)
+    if not grams:
+        monkeypatch.setattr(sv, "GRAM_NUMBERS", 0)
+    points, X, y = table(spark, 600, 10, parts=4, spread=False)
+    yx = X * y[:, None]
+    lr = 3.0 / np.linalg.norm(yx, 2) ** 2
+    fit = sv.fit_svm_dual(points, 1.5, lr=lr, lr_decay=decay, n_iter=900 if grams else 12)
+    a, path, duals, norms = np.zeros(600), [np.zeros(10)], [0.0], []
+    for t in range(len(fit.eta_hist)):
+        new = np.clip(a - lr / (np.sqrt(t + 1) if decay else 1.0) * (yx @ (yx.T @ a) / 3.0 - 1.0), 0.0, 1.0)
+        norms.append(np.linalg.norm(new - a))
+        a, v = new, yx.T @ new
+        path.append(v / 3.0)
+        duals.append(new.sum() - v @ v / 6.0)
+    np.testing.assert_allclose(fit.weight_path, path, atol=1e-9)
+    np.testing.assert_allclose(fit.dual_hist, duals, atol=1e-8)
+    np.testing.assert_allclose(fit.norm_hist, norms, atol=1e-9)
+    assert fit.status == ("converged" if norms[-1] < 1e-6 else "max_iter") and min(norms[:-1]) >= 1e-6
+    got = {r.id: r.a for r in fit.multipliers.collect()}
+    np.testing.assert_allclose([got[i] for i in range(600)], a, atol=1e-9)
+    if grams:
+        assert len(norms) > 300 and fit.jobs < len(norms) / 4
