@@ -7,6 +7,8 @@ for new weights. Every task returns one packed vector.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -16,13 +18,30 @@ from ..sources.points import PointSet
 from .loss_grad import batch_matrix
 from .tree_sum import MERGERS, PACKED, collect_sum, packed
 
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES, MOST_ROWS = 1 << 18, 2048  # a block's features, and its rows: what is computed of them stays in the processor's cache
+BATCH_BYTES = 1 << 20  # blocks handed to a Python worker at once; Arrow grows larger batches by copying them
+
+
+def _block_rows(d: int) -> int:
+    return min(MOST_ROWS, max(1, BLOCK_BYTES // (8 * max(1, d))))
+
+
+@contextmanager
+def small_arrow_batches(spark, d: int):
+    """While a job over blocks runs, Arrow batches hold about ``BATCH_BYTES`` of them instead of as many blocks as rows elsewhere."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, BATCH_BYTES // (8 * max(1, d) * _block_rows(d)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def packed_blocks(points: PointSet) -> DataFrame:
-    """(y, x): labels and row-major features of consecutive rows as binary float64, about ``BLOCK_BYTES`` a block."""
+    """(y, x): labels and row-major features of consecutive rows as binary float64, at most about ``BLOCK_BYTES`` a block."""
     feats, label, vector, d = list(points.features), points.label, points.vector, points.d
-    rows = max(1, BLOCK_BYTES // (8 * max(1, d)))
+    rows = _block_rows(d)
 
     def run(batches):
         import pyarrow as pa
@@ -70,7 +89,12 @@ class PointBlocks:
                     add(total, X, y)
             yield packed(total)
 
-        return collect_sum(self.df.mapInArrow(run, PACKED), size, self.tasks if self.tasks <= MERGERS else None)
+        return self.collect(run, size)
+
+    def collect(self, run, size: int) -> np.ndarray:
+        """The sum of the packed vectors that ``run`` makes of each task's Arrow batches of blocks."""
+        with small_arrow_batches(self.df.sparkSession, self.d):
+            return collect_sum(self.df.mapInArrow(run, PACKED), size, self.tasks if self.tasks <= MERGERS else None)
 
     def gram_product(self, V: np.ndarray) -> np.ndarray:
         """XᵀX V without XᵀX: one scan, d numbers per column of V."""

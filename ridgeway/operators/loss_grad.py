@@ -346,8 +346,7 @@ def collect_models(points: PointSet, loss: str | Loss, Ws, with_grad: bool = Tru
         if blocks is None:
             v = collect_sum(_models_parts(points, loss, chunk, with_grad), len(chunk) * width)
         else:
-            parts = blocks.df.mapInArrow(_arrow_partials(blocks.matrices(), loss, chunk, with_grad), PACKED)
-            v = collect_sum(parts, len(chunk) * width, blocks.tasks)
+            v = blocks.collect(_arrow_partials(blocks.matrices(), loss, chunk, with_grad), len(chunk) * width)
         v = v.reshape(len(chunk), width)
         n = float(v[0, 0])
         losses[start : start + len(chunk)] = v[:, 1]

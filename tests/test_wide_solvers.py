@@ -198,3 +198,40 @@ def test_projected_dual_takes_many_steps_a_job(spark, decay, grams, monkeypatch)
     np.testing.assert_allclose([got[i] for i in range(600)], a, atol=1e-9)
     if grams:
         assert len(norms) > 300 and fit.jobs < len(norms) / 4
+
+
+def test_blocks_reach_workers_in_small_batches(spark, monkeypatch):
+    """A pass over blocks hands over few of them at a time, whatever the session's batch size, which stays as it was."""
+    monkeypatch.setattr(bl, "MOST_ROWS", 8)
+    monkeypatch.setattr(bl, "BATCH_BYTES", 4 * 8 * 8 * 5)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    points, X, y = table(spark, 600, 5, parts=2)
+
+    def largest(batches):
+        yield bl.packed([max(b.num_rows for b in batches)])
+
+    with bl.PointBlocks(points) as b:
+        assert 2 <= b.collect(largest, 1)[0] <= 4 * 2
+        assert b.label_product()[0] == 600
+    assert spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("loss", ["logistic", "softmax"])
+def test_losses_of_far_margins(loss):
+    from ridgeway.functions.losses import get_loss
+
+    z = np.array([-800.0, -40.0, -1.0, -1e-9, 0.0, 0.5, 40.0, 800.0])
+    for label in (0.0, 1.0):
+        if loss == "logistic":
+            y = np.full(8, 2.0 * label - 1.0)
+            got, d = get_loss(loss).numpy(z[:, None], y)
+            d = d[:, 0] * y
+        else:
+            y = np.full(8, label)
+            got, d = get_loss(loss).numpy(np.column_stack([np.zeros(8), z]), y)
+            assert np.allclose(d.sum(axis=1), 0.0, atol=1e-15) and d.shape == (8, 2)
+            d = d[:, int(label)]
+        m = z if label else -z
+        np.testing.assert_allclose(got, np.logaddexp(0.0, -m), rtol=1e-14, atol=1e-15)
+        np.testing.assert_allclose(d, -np.exp(-np.logaddexp(0.0, m)), rtol=1e-13, atol=1e-15)
