@@ -109,6 +109,7 @@ class Pieces:
         self.shorter = {i: next((reached[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in reached), self.count + ord(p[0])) for p, i in reached.items() if len(p) > 1}
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging: the best score first, the leftmost of equal ones."""
@@ -137,12 +138,20 @@ class Pieces:
     def walk(self, text: str) -> list[int]:
         """The pieces of a segment of any length, by number."""
         end, count, sizes, pairs = len(text), self.count, self.sizes, self.pairs
-        longest = array("i", [-1]) * end
+        longest = [-1] * end if end <= LONGEST_REMEMBERED else array("i", [-1]) * end
         for last, i in self.automaton.iter(text):  # of one start, longer matches come later
             longest[last - sizes[i] + 1] = i
         failed = None  # one bit for each place, once there is any
         path: list[int] = []
         at, before, i = 0, -1, -1
+        while at < end:  # as long as each longest piece is known to go with the one before
+            i = longest[at]
+            if i < 0 or before >= 0 and not pairs.get(before << 32 | i):
+                break
+            path.append(i)
+            at += sizes[i]
+            before = i
+        i = -1
         while at < end:
             if i < 0:
                 i = longest[at]
@@ -181,9 +190,21 @@ class Pieces:
                 ids.append(self.unknown)
         found = array("I", ids).tobytes()
         if len(text) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = found
+            self.remember(text, found)
+        return found
+
+    def remember(self, text: str, found: bytes) -> None:
+        """Half of the remembered segments are the newest ones; when those fill their half, they take the place of the others."""
+        if len(self.known) >= REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        self.known[text] = found
+
+    def recalled(self, text: str) -> bytes:
+        """Ids of a segment that isn't among the newest remembered ones; one that was met before is among them again."""
+        found = self.older.get(text)
+        if found is None:
+            return self.segment(text)
+        self.remember(text, found)
         return found
 
     def normal(self, text: str) -> str:
@@ -206,8 +227,7 @@ class Pieces:
                 stop = here.start() + 1 if here else stop
             part = text[at:stop]
             segments = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", part) if self.cuts else [part]
-            known = self.known
-            ids = b"".join([known.get(s) or self.segment(s) for s in segments])
+            ids = b"".join([self.known.get(s) or self.recalled(s) for s in segments])
             if self.bytes:
                 out.frombytes(ids)
             else:  # neighbouring unknown characters are one id

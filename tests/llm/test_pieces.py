@@ -149,3 +149,16 @@ def test_refuses_what_it_does_not_read(tmp_path):
     path.write_bytes(_message((1, _message((1, b"<unk>"), (3, 2))), (2, _message((3, 1)))))
     with pytest.raises(ValueError):
         pieces.Pieces(str(path))
+
+
+def test_frequent_segments_stay_remembered(monkeypatch):
+    """Many rare segments don't push out one that keeps coming: it is encoded once."""
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    model = pieces.Pieces(MODEL)
+    walked = []
+    walk = model.walk
+    monkeypatch.setattr(model, "walk", lambda text: walked.append(text) or walk(text))
+    words = [w for k in range(200) for w in ("often", f"rare{k}")]
+    whole = model.encode(" ".join(words))
+    assert walked.count(pieces.SPACE + "often") == 1 and len(model.known) + len(model.older) <= 20
+    assert model.decode(whole) == " ".join(words)
