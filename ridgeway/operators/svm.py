@@ -16,7 +16,10 @@ its rows through the window with the guesses and returns Σ a_i y_i x_i after
 every step. Guesses that come back as they went out are the true steps, and so is
 the first sum that doesn't: at least one step of a window counts, mostly many.
 The others are corrected by the same recursion, with the Gram matrices that the
-rows inside the box had in spans of the window, and go into the next window.
+rows inside the box had in spans of the window, and go into the next window. The
+rows that cross a bound in the window or would soon do so, a bounded number of
+them and at most a quarter of all, reach the driver as they are and are stepped
+there one by one, so that mostly the whole next window is guessed right.
 
 The points are packed once into blocks of rows (a matrix y_i x_i per block),
 written, and cached by block. The multipliers are a narrow table (block, a). A
@@ -166,18 +169,25 @@ def _dealt(frame: DataFrame, parts: int) -> DataFrame:
     return frame.repartition(parts, "block").sortWithinPartitions("block").persist(StorageLevel.MEMORY_AND_DISK)
 
 
-WINDOW, SHORTEST_WINDOW = 512, 64  # steps that a job takes ahead, at most and at least
+WINDOW_NUMBERS, SHORTEST_WINDOW = 1 << 17, 64  # numbers of the guesses that a job takes ahead, at most; steps, at least
+STEP_NUMBERS = 1 << 21  # steps times rows that a task holds at once
 GRAM_NUMBERS, SPANS = 1 << 18, 64  # numbers of a window's Gram matrices, and spans of steps that have one
+NEAR_NUMBERS, NEAR_SHARE = 1 << 17, 0.25  # numbers, and share of all rows, that go to the driver as single rows, at most
 SAME = 1e-12  # guesses count as right within this share of the largest number; the order of summing moves them as much
 
 
+def _longest_window(d: int) -> int:
+    return min(2048, max(512, WINDOW_NUMBERS // d))
+
+
 def _replayed(yx, a, steps, lam):
     """Multipliers after the given (v, η) steps from a."""
-    for at in range(0, len(steps), WINDOW):
-        part = steps[at : at + WINDOW]
-        Z = yx @ np.array([v for v, _ in part]).T
-        for k, (_, eta) in enumerate(part):
-            a = np.clip(a - eta * (Z[:, k] / (2.0 * lam) - 1.0), 0.0, 1.0)
+    ahead = min(len(steps), max(1, STEP_NUMBERS // max(1, len(a))))
+    for at in range(0, len(steps), max(1, ahead)):
+        part = steps[at : at + ahead]
+        Z = np.array([v for v, _ in part]) @ yx.T
+        for z, (_, eta) in zip(Z, part):
+            a = np.clip(a - eta * (z / (2.0 * lam) - 1.0), 0.0, 1.0)
     return a
 
 
@@ -187,9 +197,13 @@ def _spans(K: int, d: int) -> np.ndarray:
     return np.unique(np.linspace(0, K, spans + 1).astype(int)) if spans else np.zeros(1, int)
 
 
-def _window_sums(yx, a, V, etas, lam, cuts) -> list[np.ndarray]:
+def _window_sums(yx, a, V, etas, lam, cuts, most) -> tuple[np.ndarray, np.ndarray]:
     """Of rows taken through steps with the given v: Σ a y x and Σ a before and after every step, ‖Δa‖² of each,
-    and per span the sum of y x (y x)ᵀ over the rows, by the share of the span's steps that leave them inside the box."""
+    and per span the sum of y x (y x)ᵀ over the rows, by the share of the span's steps that leave them inside the box;
+    that sum and Σ y x over the rows that the last step leaves there.
+
+    The ``most`` rows that cross a bound, or come next to it, aren't in the sums from the spans' on; they come back as (a, y x).
+    """
     K, (rows, d) = len(V), yx.shape
     A, inside = np.empty((K + 1, rows)), V @ yx.T
     inside /= 2.0 * lam
@@ -200,36 +214,51 @@ def _window_sums(yx, a, V, etas, lam, cuts) -> list[np.ndarray]:
         step *= -etas[k]
         step += A[k]
         np.clip(step, 0.0, 1.0, out=A[k + 1])
+    out, near = [(A @ yx).reshape(-1), A.sum(axis=1)], np.zeros(0, int)
     moves = np.diff(A, axis=0)
-    out = [(A @ yx).reshape(-1), A.sum(axis=1), np.einsum("ij,ij->i", moves, moves)]
+    out.append(np.einsum("ij,ij->i", moves, moves))
     if len(cuts) > 1:
-        free = (inside > 0.0) & (inside < 1.0)
+        low, high = inside.min(axis=0), inside.max(axis=0)
+        whole, some = (low > 0.0) & (high < 1.0), ~((low > 0.0) & (high < 1.0) | (high <= 0.0) | (low >= 1.0))
+        # how far a row stays from a change of sides, negative if it changes, in windows at the pace of this one
+        slack = np.maximum(np.minimum(low, 1.0 - high), np.maximum(-high, low - 1.0)) / (high - low)
+        near = np.argsort(slack, kind="stable")[:most]
+        whole[near] = some[near] = False
+        free = inside[:, some]
+        free = (free > 0.0) & (free < 1.0)
         share = np.add.reduceat(free, cuts[:-1], axis=0, dtype=float) / np.diff(cuts)[:, None]
-        whole, upper = (share == 1.0).all(axis=0), np.triu_indices(d)
-        some = (share > 0.0).any(axis=0) & ~whole
-        always, x = yx[whole].T @ yx[whole], yx[some]
-        out += [(always + (x * w[some][:, None]).T @ x)[upper] for w in share]
-    return out
+        always, x, upper = yx[whole].T @ yx[whole], yx[some], np.triu_indices(d)
+        out += [(always + (x * w[:, None]).T @ x)[upper] for w in (*share, free[-1])]
+        out.append(yx[whole].sum(axis=0) + free[-1] @ x)
+    return np.concatenate(out), np.column_stack([a[near], yx[near]])
 
 
-def _next_guesses(V, etas, sums, grams, cuts, right, lam, coming) -> np.ndarray:
+def _next_guesses(V, etas, sums, grams, pull, cuts, near, right, lam, coming) -> np.ndarray:
     """The v of the coming steps: exact in the first row, the window's own guesses corrected, then the recursion carried on.
 
+    ``grams``: one a span, and that of the rows inside the box at the end; ``pull``: Σ y x of these.
+    ``near``: rows (a, y x) at the window's start that the Gram matrices leave out and that are stepped one by one.
     ``coming``: the step sizes from the first step of the window to the last one to guess.
     """
     K, d = V.shape
-    guesses = [sums[right]]
+    yx, guesses = np.ascontiguousarray(near[:, 1:]), [sums[right]]
     with np.errstate(all="ignore"):
+        A, Z = np.empty((K + 1, len(yx))), V @ yx.T
+        A[0] = near[:, 0]
+        for k in range(K):
+            np.clip(A[k] - etas[k] * (Z[k] / (2.0 * lam) - 1.0), 0.0, 1.0, out=A[k + 1])
+        own = A @ yx  # what these rows have in the sums
         span = np.searchsorted(cuts, np.arange(K), side="right") - 1
-        off = sums[:K] - V
-        if right < K:
-            change = off[right]
-            for k in range(right, K - 1):
-                change = change - etas[k] / (2.0 * lam) * (grams[span[k]] @ change) + (off[k + 1] - off[k])
-                guesses.append(V[k + 1] + change)
-        move, last = (sums[K] - sums[K - 1]) / etas[-1], grams[-1] / (2.0 * lam)
-        for k in range(right + len(guesses) - 1, len(coming) - 1):
-            guesses.append(guesses[-1] + coming[k] * (move - last @ (guesses[-1] - V[-1])))
+        v, a, change = sums[right], A[right], np.zeros(d)
+        for k in range(right, len(coming) - 1):
+            new = np.clip(a - coming[k] * (yx @ v / (2.0 * lam) - 1.0), 0.0, 1.0)
+            if k < K:
+                change = change - etas[k] / (2.0 * lam) * (grams[span[k]] @ (v - V[k]))
+                v = sums[k + 1] + change + (new @ yx - own[k + 1])
+            else:
+                v = v + coming[k] * (pull - grams[-1] @ v / (2.0 * lam)) + (new - a) @ yx
+            a = new
+            guesses.append(v)
     guesses = np.array(guesses[: len(coming) - right])
     wrong = np.flatnonzero(~np.isfinite(guesses).all(axis=1))
     return guesses[: max(1, wrong[0])] if len(wrong) else guesses
@@ -264,6 +293,8 @@ def fit_svm_dual(
     size = packed_points.agg(F.sum(F.length("yx"))).first()[0] or 0
     parts = max(1, -(-size // min(PARTITION_BYTES, max(WINDOW_BYTES, size // WINDOW_TASKS))))
     blocks = _dealt(packed_points, parts)
+    n_points = size // (8 * d)
+    places = {p: i for i, (p,) in enumerate(sorted(blocks.select(F.spark_partition_id()).distinct().collect()))}  # of tasks that hold points
     tables: list[str] = []
 
     def write(frame: DataFrame, kind: str) -> DataFrame:
@@ -285,35 +316,53 @@ def fit_svm_dual(
                 yield block.as_py(), ids.as_py(), yx, _replayed(yx, a, steps, lam)
 
     def window(state, steps, V, etas):
-        """Rows, and the sums of ``_window_sums``, over all points; small blocks are taken together."""
+        """Rows, the sums of ``_window_sums`` over all points, and the rows near a bound; small blocks are taken together."""
         cuts = _spans(len(V), d)
-        size = 1 + (len(V) + 1) * (d + 1) + len(V) + (len(cuts) - 1) * (d * (d + 1) // 2)
+        held_rows = max(1, min(BLOCK_ROWS, STEP_NUMBERS // len(V)))
+        slots = min(NEAR_NUMBERS // (d + 1), int(NEAR_SHARE * n_points)) // max(1, len(places)) if len(cuts) > 1 else 0
+        grams = len(cuts) if len(cuts) > 1 else 0
+        pull = d if grams else 0
+        size = 1 + (len(V) + 1) * (d + 1) + len(V) + grams * (d * (d + 1) // 2) + pull
+        width = size + len(places) * slots * (d + 1)  # every task has its own slots, zeros elsewhere
 
         def run(batches):
-            total, held, seen = np.zeros(size), [], False
+            from pyspark import TaskContext
+
+            place = places.get(TaskContext.get().partitionId())
+            total, held, rows, given = np.zeros(width), [], 0, 0
 
             def add():
-                yx, a = (np.concatenate(m) for m in zip(*held))
+                nonlocal rows, given
+                many = [np.concatenate(m) for m in zip(*held)]
                 held.clear()
-                with np.errstate(all="ignore"):
-                    return np.concatenate([[len(a)], *_window_sums(yx, a, V, etas, lam, cuts)])
+                for at in range(0, len(many[1]), held_rows):
+                    yx, a = (m[at : at + held_rows] for m in many)
+                    rows += len(a)
+                    most = 0 if place is None else min(slots, math.ceil(rows * slots * len(places) / n_points)) - given
+                    with np.errstate(all="ignore"):
+                        sums, near = _window_sums(yx, a, V, etas, lam, cuts, most)
+                    total[1:size] += sums
+                    if len(near):
+                        start = size + (place * slots + given) * (d + 1)
+                        total[start : start + near.size] = near.reshape(-1)
+                        given += len(near)
 
             for _, _, yx, a in replayed(batches, steps):
-                seen = True
                 if held and sum(len(m[1]) for m in held) + len(a) > BLOCK_ROWS:
-                    total += add()
+                    add()
                 held.append((yx, a))
             if held:
-                total += add()
-            if seen:
+                add()
+                total[0] = rows
                 yield packed(total)
 
-        K, total = len(V), collect_sum(with_state(state).mapInArrow(run, PACKED), size, parts)
-        n, sums, sum_a, moved, upper = np.split(total, np.cumsum([1, (K + 1) * d, K + 1, K]))
-        grams = np.zeros((len(cuts) - 1, d, d))
+        K, total = len(V), collect_sum(with_state(state).mapInArrow(run, PACKED), width, len(places))
+        n, sums, sum_a, moved, upper, pull, near = np.split(total, np.cumsum([1, (K + 1) * d, K + 1, K, grams * (d * (d + 1) // 2), pull]))
         i, j = np.triu_indices(d)
+        grams = np.zeros((grams, d, d))
         grams[:, i, j] = grams[:, j, i] = upper.reshape(len(grams), len(i))
-        return n[0], sums.reshape(K + 1, d), sum_a, np.sqrt(moved), grams, cuts
+        near = near.reshape(-1, d + 1)
+        return n[0], sums.reshape(K + 1, d), sum_a, np.sqrt(moved), grams, pull, cuts, near[near[:, 1:].any(axis=1)]
 
     def as_state(state, steps):
         def run(batches):
@@ -348,7 +397,7 @@ def fit_svm_dual(
         while status != "converged" and len(etas) < n_iter:
             K, t = len(V), len(etas)
             eta = sizes(t, K)
-            n, sums, sum_a, moved, grams, cuts = window(state, list(steps), V, eta)
+            n, sums, sum_a, moved, grams, pull, cuts, near = window(state, list(steps), V, eta)
             jobs += 1
             if n == 0:
                 raise ValueError("empty point table")
@@ -367,8 +416,8 @@ def fit_svm_dual(
                     break
             if status == "converged" or len(etas) == n_iter:
                 break
-            ahead = min(2 * ahead, WINDOW) if right == K else ahead if 3 * right >= K else max(ahead // 2, SHORTEST_WINDOW)
-            V = sums[right][None] if len(cuts) < 2 else _next_guesses(V, eta, sums, grams, cuts, right, lam, sizes(t, right + ahead))
+            ahead = min(2 * ahead, _longest_window(d)) if right == K else ahead if 3 * right >= K else max(ahead // 2, SHORTEST_WINDOW)
+            V = sums[right][None] if len(cuts) < 2 else _next_guesses(V, eta, sums, grams, pull, cuts, near, right, lam, sizes(t, right + ahead))
             if len(steps) >= max(checkpoint_every, len(V)):
                 new = as_state(state, list(steps))
                 if state is not None:

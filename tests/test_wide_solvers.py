@@ -200,6 +200,24 @@ def test_projected_dual_takes_many_steps_a_job(spark, decay, grams, monkeypatch)
         assert len(norms) > 300 and fit.jobs < len(norms) / 4
 
 
+def test_projected_dual_guesses_rows_that_cross_a_bound(spark):
+    """Windows grow while rows still reach and leave the box: far fewer jobs than steps, the same iterates."""
+    points, X, y = table(spark, 3000, 10, parts=4, spread=False)
+    yx = X * y[:, None]
+    lr = 3.0 / np.linalg.norm(yx, 2) ** 2
+    fit = sv.fit_svm_dual(points, 1.5, lr=lr, n_iter=1500)
+    a, path, crossings, inside = np.zeros(3000), [np.zeros(10)], 0, None
+    for _ in range(1500):
+        a = np.clip(a - lr * (yx @ (yx.T @ a) / 3.0 - 1.0), 0.0, 1.0)
+        path.append(yx.T @ a / 3.0)
+        crossings += 0 if inside is None else int((inside != ((a > 0) & (a < 1))).sum())
+        inside = (a > 0) & (a < 1)
+    np.testing.assert_allclose(fit.weight_path, path, atol=1e-9)
+    got = {r.id: r.a for r in fit.multipliers.collect()}
+    np.testing.assert_allclose([got[i] for i in range(3000)], a, atol=1e-9)
+    assert crossings > 1000 and fit.jobs < 50
+
+
 def test_blocks_reach_workers_in_small_batches(spark, monkeypatch):
     """A pass over blocks hands over few of them at a time, whatever the session's batch size, which stays as it was."""
     monkeypatch.setattr(bl, "MOST_ROWS", 8)
