@@ -168,6 +168,12 @@ class HingeLoss(Loss):
         loss = np.maximum(0.0, 1.0 - yy * Z)
         return loss, np.where(loss > 0, -yy, 0.0)
 
+    def numpy_many_sums(self, Z, y):
+        _check_pm1(y)
+        loss = Z * -y[:, None]
+        loss += 1.0
+        return np.maximum(loss, 0.0, out=loss).sum(axis=0)
+
 
 class SquaredLoss(Loss):
     """0.5 (x.w - y)^2 with derivative (x.w - y)."""

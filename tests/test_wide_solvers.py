@@ -218,6 +218,24 @@ def test_projected_dual_guesses_rows_that_cross_a_bound(spark):
     assert crossings > 1000 and fit.jobs < 50
 
 
+def test_primal_history_reads_cached_blocks(spark, monkeypatch):
+    """All iterates are scored over blocks packed once, without derivatives; nothing stays cached."""
+    from ridgeway.functions.losses import get_loss
+    from ridgeway.operators import loss_grad as lg
+
+    monkeypatch.setattr(lg, "MAX_MARGINS_PER_ROW", 3)
+    monkeypatch.setattr(lg, "_models_parts", None)  # scoring that reads and packs the points for each chunk
+    points, X, y = table(spark, 200, 6, parts=2)
+    path = [np.full(6, 0.3 * t) for t in range(8)]
+    fit = sv.SVMFit(1.5, None, path[-1], [0.0] * 8, path, [])
+    want = [np.maximum(0.0, 1.0 - y * (X @ w)).sum() + 1.5 * (w @ w) for w in path]
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    np.testing.assert_allclose(sv.primal_history(points, fit), want, atol=1e-9)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= kept
+    hinge, Z = get_loss("hinge"), X @ np.array(path).T
+    np.testing.assert_allclose(hinge.numpy_many_sums(Z, y), hinge.numpy_many(Z, y)[0].sum(axis=0), atol=1e-9)
+
+
 def test_blocks_reach_workers_in_small_batches(spark, monkeypatch):
     """A pass over blocks hands over few of them at a time, whatever the session's batch size, which stays as it was."""
     monkeypatch.setattr(bl, "MOST_ROWS", 8)
